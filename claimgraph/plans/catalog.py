@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import search_rollup
+from . import links_streams, resolve_quality, search_rollup
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "search_rollup"]
+__all__ = ["ORACLES", "QUERIES", "links_streams", "resolve_quality", "search_rollup"]
