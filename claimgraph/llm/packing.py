@@ -97,30 +97,33 @@ def pack_plan(lengths: np.ndarray, tiers: tuple[int, ...] = TIERS) -> tuple[np.n
         here = int((size > tiers[k + 1]).sum()) if k + 1 < len(tiers) else 0
         gaps, fill = int((tier - size[:here]).sum()), int(size[here:].sum())
         last = k + 1 == len(tiers) or gaps > fill
-        heads = -(-int(size.sum()) // tier) if last else here
-        if not heads:
-            continue
-        pieces.append(np.stack((left[:heads], begin[:heads], size[:heads], count + np.arange(heads), np.zeros(heads, np.int64)), 1))
-        kinds.append(np.full(heads, tier))
+        heads = int(size.sum()) // tier if last else here
+        if heads:
+            pieces.append(np.stack((left[:heads], begin[:heads], size[:heads], count + np.arange(heads), np.zeros(heads, np.int64)), 1))
+            kinds.append(np.full(heads, tier))
         # the shortest rests fill the gaps in a row, cut where a gap ends
         l, b, s = left[heads:][::-1], begin[heads:][::-1], size[heads:][::-1]  # noqa: E741
         room = np.concatenate(([0], np.cumsum(tier - size[:heads])))
         run = np.concatenate(([0], np.cumsum(s)))
-        end = min(room[-1], run[-1])
-        edges = np.unique(np.concatenate((room[room <= end], run[run <= end], [end])))
+        end = int(room[-1])
+        edges = np.unique(np.concatenate((room, run[run <= end])))
         a, length = edges[:-1], np.diff(edges)
         i, j = np.searchsorted(run, a, "right") - 1, np.searchsorted(room, a, "right") - 1
         if len(a):
             pieces.append(np.stack((l[i], b[i] + a - run[i], length, count + j, size[:heads][j] + a - room[j]), 1))
         count += heads
-        i = int(np.searchsorted(run, end, "right")) - 1  # what is left over goes on to the next tier
         if end >= run[-1]:
             break
-        b, s = b[i:].copy(), s[i:].copy()
+        i = int(np.searchsorted(run, end, "right")) - 1  # what is left over
+        l, b, s = l[i:], b[i:].copy(), s[i:].copy()  # noqa: E741
         b[0] += end - run[i]
         s[0] -= end - run[i]
+        if last:  # less than a window: one more
+            pieces.append(np.stack((l, b, s, np.full(len(s), count), np.cumsum(s) - s), 1))
+            kinds.append(np.full(1, min(t for t in tiers if t >= s.sum())))
+            break
         order = np.argsort(-s, kind="stable")
-        left, begin, size = l[i:][order], b[order], s[order]
+        left, begin, size = l[order], b[order], s[order]
     return np.concatenate(pieces).astype(np.int64), np.concatenate(kinds) if kinds else np.empty(0, np.int64)
 
 
