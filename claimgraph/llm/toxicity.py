@@ -96,11 +96,12 @@ def label_model(votes: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.nda
         total1, total0 = post.sum() + 2, (1 - post).sum() + 2
         p1 = np.clip((post @ votes + 0.2) / total1, 1e-4, 1 - 1e-4)
         p0 = np.clip(((1 - post) @ votes + 0.2) / total0, 1e-4, 1 - 1e-4)
-        if step == 3:  # what the class leaves unexplained
+        if step == 10:  # what the class leaves unexplained; the given label is no copy of any voter
             left = votes - (post[:, None] * p1 + (1 - post)[:, None] * p0)
             spread = np.sqrt((left**2).mean(0)) + 1e-9
             rho = np.abs((left / spread).T @ (left / spread)) / n
             np.fill_diagonal(rho, 0)
+            rho[0], rho[:, 0] = 0, 0
             weight = 1 / (1 + np.where(rho > 0.1, rho, 0).sum(1))
         fired, quiet = np.log(p1 / p0), np.log((1 - p1) / (1 - p0))
         logit = np.log(total1 / total0) + votes @ (weight * (fired - quiet)) + (weight * quiet).sum()
@@ -182,7 +183,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     ends = np.flatnonzero(np.concatenate((np.diff(logits[order]) < 0, [True])))
     k = ends[np.argmax(f1[ends])]
     nxt = logits[order[k + 1]] if k + 1 < len(y) else logits[order[k]] - 1
-    return weights, -float((logits[order[k]] + nxt) / 2)
+    bias = -float((logits[order[k]] + nxt) / 2)
+    weights[seed[(c1 + c0)[seed] < 1]] = max(1.2 * -bias, 0.0)  # seed words that no fitted row has
+    return weights, bias
 
 
 def score_rows(rows: DataFrame, docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
