@@ -4,7 +4,7 @@ A source's documents all want the same number of copies, its target over its siz
 fractions are rounded dependently: two fractional documents trade words until one of them is integral, with odds that
 keep each one's expected copies, so the source's total never moves. Shards round their own documents, the one that stays
 fractional in each goes on to the next level of a reduction tree, and the last one of a source is rounded. What that
-leaves is settled by turning single documents of about that size, as long as a source misses its target by over 0.2 %. Coins are hashes of ids and a seed, so reruns agree.
+leaves is settled by turning documents of about that size, as long as a source misses its target by over 0.2 %. Coins are hashes of ids and a seed, so reruns agree.
 
 Defined cases: a null text has size 0 and takes nothing; a null source is a source of its own, last in order; sources
 without words have target 0; rows that repeat a doc_id or a text are rounded each; an empty table gives no rows.
@@ -114,32 +114,37 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOS
     for p in parts[1:]:
         rounded = rounded.unionByName(p)
     for i in range(SETTLE):  # what the last rounding left
-        rounded, helped = _settle(rounded, targets, most, i < SETTLE - 4)
+        rounded, helped = _settle(rounded, targets, most, seed + 1000 + i)
         if not helped:
             break
     out = full.select("doc_id", "row_id", "source", "size", "source_size", "target").join(rounded.select("row_id", "copies"), "row_id")
     return out.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "row_id")
 
 
-def _settle(rounded: DataFrame, targets: DataFrame, most: int, detour: bool) -> tuple[DataFrame, bool]:
-    """Turn, in each source that misses its target, the document whose size is nearest to the gap without passing it; whether any was turned.
+def _settle(rounded: DataFrame, targets: DataFrame, most: int, seed: int) -> tuple[DataFrame, bool]:
+    """Turn documents of sources that miss their target towards it; whether there were any.
 
-    With ``detour``, a source in which no single turn helps turns its smallest free document, for the next rounds to fill up.
+    A wide gap is closed by many small documents, each turned by a coin of the right odds; a narrow one by the document
+    whose size is nearest to it without passing it. Documents within their rounding go first, then any with copies to
+    give or take, and where no single turn helps the smallest one, for the next rounds to fill up.
     """
     gap = rounded.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
     gap = gap.alias("a").join(targets.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", (F.col("target") - F.col("got")).alias("gap"), "target")
     gap = cut(gap.filter(F.abs("gap") > F.lit(NEAR) * F.col("target")), "gap")
     if gap.isEmpty():
         return rounded, False
-    more = F.col("gap") > 0
-    free = F.when(more, (F.col("copies") == F.col("base")) & (F.col("base") < most)).otherwise(F.col("copies") == F.col("base") + 1)
-    near = rounded.alias("a").join(gap.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "row_id", "size", "copies", "base", "gap")
-    helps = F.col("size") < 2 * F.abs("gap")
-    over = F.greatest(F.col("size") - F.abs("gap"), F.lit(0.0)) * 4 - F.col("size")
-    near = near.filter(free & (F.col("size") > 0) & (helps | F.lit(detour))).withColumn("over", F.when(helps, over).otherwise(F.col("size") + F.lit(1e15)))
-    pick = near.groupBy("source").agg(F.min_by(F.struct("row_id", F.when(more, 1).otherwise(-1).cast("long").alias("by")), F.struct("over", "row_id")).alias("p"))
-    pick = cut(pick.select(F.col("p.row_id").alias("row_id"), F.col("p.by").alias("by")), "turn")
-    if pick.isEmpty():
-        return rounded, False
-    turned = rounded.join(pick, "row_id", "left").withColumn("copies", F.col("copies") + F.coalesce("by", F.lit(0).cast("long")))
-    return cut(turned.select("source", "row_id", "size", "base", "copies"), "settled"), True
+    size, wide, more = F.col("size"), F.abs("gap"), F.col("gap") > 0
+    rows = rounded.alias("a").join(gap.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "row_id", "size", "copies", "base", "gap")
+    able = (size > 0) & F.when(more, F.col("copies") < most).otherwise(F.col("copies") > 0)
+    usual = F.when(more, F.col("copies") == F.col("base")).otherwise(F.col("copies") > F.col("base"))
+    kind = F.when(usual & (size < 2 * wide), 0).when(size < 2 * wide, 1).otherwise(2)
+    over = F.when(kind == 2, size.cast("double")).otherwise(F.greatest(size - wide, F.lit(0.0)) * 4 - size)
+    small = able & (size * 8 <= wide)
+    pick = rows.groupBy("source").agg(F.first("gap").alias("gap"), F.min_by("row_id", F.when(able, F.struct(kind.alias("k"), over.alias("o"), F.col("row_id")))).alias("one"), F.sum(F.when(small, size).otherwise(0)).alias("sum"))
+    pick = cut(pick.select("source", "gap", "one", "sum"), "turn")
+    rows = rounded.alias("a").join(pick.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")), "left").select("a.source", "row_id", "size", "copies", "base", "gap", "one", "sum")
+    many = F.col("sum") >= wide
+    coin = F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    turn = F.when(F.col("gap").isNull(), False).when(many, small & (coin < wide / F.col("sum"))).otherwise(F.col("row_id") == F.col("one"))
+    by = F.when(F.coalesce(turn, F.lit(False)), F.when(more, 1).otherwise(-1)).otherwise(0)
+    return cut(rows.select("source", "row_id", "size", "base", (F.col("copies") + by).cast("long").alias("copies")), "settled"), True
