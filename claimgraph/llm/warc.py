@@ -78,23 +78,17 @@ def records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
 def inflate(content: bytes) -> Iterator[bytes]:
     """A gzip file's bytes in pieces, whether it is one member or many."""
     view, at = memoryview(content), 0
-    unzip = zlib.decompressobj(31)
-    while at < len(view) or unzip.unconsumed_tail:
-        if unzip.eof:
-            at -= len(unzip.unused_data)
-            unzip = zlib.decompressobj(31)
-            continue
-        tail = unzip.unconsumed_tail
-        if not tail:
-            tail = view[at : at + _PIECE]
-            at += len(tail)
-        piece = unzip.decompress(tail, _PIECE * 4)
-        if piece:
-            yield piece
-    while piece := unzip.unconsumed_tail and unzip.decompress(unzip.unconsumed_tail, _PIECE * 4):
-        yield piece
-    if not unzip.eof:
-        raise ValueError("a gzip stream is cut short")
+    while at < len(view):
+        unzip = zlib.decompressobj(31)
+        while not unzip.eof:
+            chunk = unzip.unconsumed_tail or view[at : at + _PIECE]
+            at += 0 if unzip.unconsumed_tail else len(chunk)
+            piece = unzip.decompress(chunk, _PIECE * 4)
+            if piece:
+                yield piece
+            elif not len(chunk):
+                raise ValueError("a gzip stream is cut short")
+        at -= len(unzip.unused_data)
 
 
 def normalise(content: bytes, level: int = 6) -> tuple[bytes, list[tuple[int, int, dict[str, str]]]]:
