@@ -1,11 +1,18 @@
 """The registered queries on the smallest tables, against DuckDB where it can say them; and the pipeline's stages."""
 
+import zlib
+from collections import Counter
+
 import duckdb
+import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from claimgraph.llm.queries import ORACLES, QUERIES
+from claimgraph.llm.common import cut
+from claimgraph.llm.queries import ORACLES, QUERIES, tokenizer_path
+from claimgraph.llm.secrets import scanner
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,17 +33,55 @@ def test_all_are_registered():
     assert {f"op{n}_" for n in range(1, 11)} == {x[: x.index("_") + 1] for x in found if x.startswith("op")} and "pipeline" in found
 
 
+def representatives(rows):
+    """Smallest doc_id of each group of linked documents, by comparing all pairs."""
+    lower = {i: i + 32 for i in range(65, 91)}
+    sets = {}
+    for r in rows:
+        w = (r["text"] or "").translate(lower).encode().split()
+        sets[r["doc_id"]] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i for i in ids if find(i) == i}
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     n = docs.count()
     kept = corpus_pipeline.drop_toxic(spark, docs, SF)
     assert kept.columns == docs.columns and 0.7 * n < kept.count() < n
-    fewer = corpus_pipeline.drop_near_duplicates(spark, kept, SF)
-    assert fewer.columns == docs.columns and 0 < fewer.count() < kept.count()
-    masked = corpus_pipeline.mask_secrets(spark, fewer, SF)
-    assert masked.columns == docs.columns and masked.count() == fewer.count()
-    mixed = corpus_pipeline.mix_sources(spark, masked, SF)
+    kept = cut(kept)
+    fewer = cut(corpus_pipeline.drop_near_duplicates(spark, kept, SF))
+    assert fewer.columns == docs.columns and {r["doc_id"] for r in fewer.collect()} == representatives(kept.collect())
+    masked = cut(corpus_pipeline.mask_secrets(spark, fewer, SF))
+    before, after = ({r["doc_id"]: r for r in df.collect()} for df in (fewer, masked))
+    scan = scanner()
+    assert masked.columns == docs.columns and before.keys() == after.keys()
+    for i, r in before.items():
+        assert (r["text"] == after[i]["text"]) == (not scan(r["text"] or "")) and after[i]["n_chars"] == len(after[i]["text"])
+    mixed = cut(corpus_pipeline.mix_sources(spark, masked, SF))
     assert mixed.columns == docs.columns
-    pieces = corpus_pipeline.pack_tokens(spark, mixed, SF)
-    assert pieces.filter("length > 1024").count() == 0 and pieces.filter("start = 0").count() == mixed.count()
+    rows = mixed.collect()
+    assert all(r == after[r["doc_id"]] for r in rows) and max(Counter(r["doc_id"] for r in rows).values()) <= 3
+    slow = Tokenizer.from_file(tokenizer_path())
+    pieces = corpus_pipeline.pack_tokens(spark, mixed, SF).collect()
+    tokens = Counter()
+    for r in pieces:
+        tokens[r["doc_id"]] += r["length"]
+        assert r["length"] <= 1024
+        ids = slow.encode(after[r["doc_id"]]["text"], add_special_tokens=False).ids + [0]
+        part = ids[r["start"] : r["start"] + r["length"]]
+        assert r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
+    assert tokens == sum((Counter({r["doc_id"]: r["doc_tokens"]}) for r in pieces if r["start"] == 0), Counter())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "secrets", "mixing", "packing"]
