@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -10,21 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.shared import shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; a temporary one is set only where none is."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="claimgraph-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, and a lost executor costs no rework."""
     spark = df.sparkSession
@@ -66,17 +58,17 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int =
         yield pa.concat_tables(held).combine_chunks()
 
 
-def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table | None], schema: str, order: list[str] | None = None) -> DataFrame:
+def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table | None], schema: str, size: int = 20_000) -> DataFrame:
     """Apply ``fn`` to tables of whole groups of ``keys``; groups have to be bounded by the caller."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in whole_groups(batches, keys):
+        for whole in whole_groups(batches, keys, size):
             out = fn(whole)
             if out is not None and out.num_rows:
                 yield from out.to_batches(max_chunksize=10_000)
 
     n = partitions(df.sparkSession)
-    return df.repartition(n, *keys).sortWithinPartitions(*keys, *(order or [])).mapInArrow(run, schema)
+    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
@@ -86,28 +78,34 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     written and reread, so that a hub's edges meet them in a join that Spark may split. Self-loops and repeated edges
     are harmless; ids without edges have no row.
     """
-    spark = edges.sparkSession
     own = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    before = None
+    # a few hundred thousand edges a task: many small tasks would cost more than their work
+    tasks = max(8, -(-own.count() // 200_000))
+    slim = lambda df, name: cut(df.coalesce(tasks) if tasks < partitions(df.sparkSession) else df, name)
     for _ in range(rounds):
+        if _is_star(own):
+            break
         both = own.unionByName(own.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = cut(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "large")
+        low = slim(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "large")
         own = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        own = cut(own, "edges")
-        low = cut(own.groupBy("u").agg(F.min("v").alias("m")), "small")
+        own = slim(own, "edges")
+        low = slim(own.groupBy("u").agg(F.min("v").alias("m")), "small")
         kept = own.join(low, "u")
         own = kept.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
-        own = cut(own.distinct(), "edges")
-        now = tuple(own.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
+        own = slim(own.distinct(), "edges")
     else:
         raise RuntimeError("components did not settle")
     roots = own.select(F.col("v").alias("id")).distinct().withColumn("component_id", F.col("id"))
     return own.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(roots)
 
 
+def _is_star(edges: DataFrame) -> bool:
+    """Whether every edge (u, v) leads to a root and no id has two."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    per = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not per.agg(F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
+
+
 BLOOM_WORDS = 1 << 17
 
 

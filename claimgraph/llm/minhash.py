@@ -5,9 +5,10 @@ all 128 values are folded into a 512-bit parity bitmap (an odd sketch), and the
 bitmaps estimates the similarity of a candidate pair, so that only likely pairs are confirmed on the full sets.
 
 Skew: equal sets are one class and enter once. A bucket larger than ``CHUNK`` is dealt into chunks, differently in each
-band. Round one confirms each document's best estimated partner and contracts what is linked. Round two compares, in
-buckets that still hold several components, the rows outside the bucket's largest component with all of its rows.
-Pairs inside one component are never listed.
+band. Round one confirms each document's best estimated partner and contracts what is linked. The likely pairs also
+unite documents into clusters. Round two takes the clusters that still hold several components and confirms the rows
+outside a cluster's largest component against all of its rows, chunk against chunk. Pairs are never listed: a pair of
+chunks gives a spanning forest of its confirmed links.
 
 Defined cases: null and empty texts have no shingles and stay alone; texts of fewer than five words have one shingle,
 their whole sequence; rows that repeat a doc_id stay rows of
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as w
-from .common import components, cut, map_groups
+from .common import components, cut, map_groups, maybe_in
 
 SHINGLE, HASHES, ROWS, BITS = 5, 128, 4, 512
 BANDS = HASHES // ROWS
@@ -130,7 +131,7 @@ def _blocks(left: np.ndarray, right: np.ndarray, most: int = 1 << 19) -> Iterato
 
 
 def _best(least: float):
-    """Each row's most similar partner in its bucket chunk."""
+    """Each row's most similar partner in its bucket chunk, and a spanning forest of the likely pairs there."""
 
     def run(t: pa.Table) -> pa.Table:
         ids = t["doc_id"].to_numpy()
@@ -139,43 +140,94 @@ def _best(least: float):
         ends = np.concatenate((new[1:], [len(ids)]))
         end = np.repeat(ends, ends - new)
         s = _sketches(t["sketch"])
-        found = []
+        x, y, e = ids[:0], ids[:0], np.empty(0)
+        root = np.arange(len(ids))
         for a, b in _blocks(np.arange(len(ids)) + 1, end):
-            e = _estimate(s[a], s[b])
-            ok = e >= least
-            found.append((np.concatenate((ids[a[ok]], ids[b[ok]])), np.concatenate((ids[b[ok]], ids[a[ok]])), np.concatenate((e[ok], e[ok]))))
-            x, y, e = (np.concatenate(c) for c in zip(*found, strict=True))
+            est = _estimate(s[a], s[b])
+            ok = est >= least
+            a, b, est = a[ok], b[ok], est[ok]
+            root = _united(root, a, b)
+            x, y, e = np.concatenate((x, ids[a], ids[b])), np.concatenate((y, ids[b], ids[a])), np.concatenate((e, est, est))
             order = np.lexsort((y, -e, x))
             first = order[np.concatenate(([True], x[order][1:] != x[order][:-1]))] if len(order) else order
-            found = [(x[first], y[first], e[first])]
-        x, y, e = found[0] if found else (ids[:0], ids[:0], np.empty(0))
-        return pa.table({"x": x, "y": y, "e": e})
+            x, y, e = x[first], y[first], e[first]
+        far = np.flatnonzero(root != np.arange(len(ids)))
+        edges = np.unique(np.stack((ids[far], ids[root[far]]), 1), axis=0)
+        return pa.table({"x": np.concatenate((x, edges[:, 0])), "y": np.concatenate((y, edges[:, 1])), "e": np.concatenate((e, np.full(len(edges), -1.0)))})
 
     return run
 
 
-def _across(least: float):
-    """Likely pairs of a small row (outside the bucket's main component) and any row of another component."""
+def _united(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest place that each place reaches by the links (a, b) and what ``root`` has united before."""
+    while True:
+        low = root.copy()
+        np.minimum.at(low, root[a], root[b])
+        np.minimum.at(low, root[b], root[a])
+        low = low[low[root]]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def _across(least: float, percent: int):
+    """Confirmed links between the small rows (outside their cluster's main component) and all rows of one pair of chunks."""
 
     def run(t: pa.Table) -> pa.Table:
-        ids, comp, small = t["doc_id"].to_numpy(), t["component_id"].to_numpy(), t["small"].to_numpy(zero_copy_only=False)
-        key = w.mix(t["bucket"].to_numpy().view(np.uint64) + t["chunk"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        sets: list[np.ndarray] = []
+        for _, _, values, at in shingle_sets(t["text"]):
+            sets.extend(values[at[k] : at[k + 1]] for k in range(len(at) - 1))
+        ids, comp, left, s = t["doc_id"].to_numpy(), t["component_id"].to_numpy(), t["as_small"].to_numpy(zero_copy_only=False), _sketches(t["sketch"])
+        size = np.array([len(x) for x in sets])
+        key = w.mix(t["cluster"].to_numpy().view(np.uint64) + t["i"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + t["j"].to_numpy().astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        ends = np.concatenate((new[1:], [len(ids)]))
-        end, start = np.repeat(ends, ends - new), np.repeat(new, ends - new)
-        s, rows, found = _sketches(t["sketch"]), np.flatnonzero(small), []
-        for a, b in _blocks(start[rows], end[rows]):
-            a = rows[a]
-            ok = np.flatnonzero((comp[a] != comp[b]) & ~small[b] | (comp[a] != comp[b]) & (ids[a] < ids[b]))
-            a, b = a[ok], b[ok]
-            ok = _estimate(s[a], s[b]) >= least
-            found.append(np.unique(np.stack((np.minimum(ids[a[ok]], ids[b[ok]]), np.maximum(ids[a[ok]], ids[b[ok]])), 1), axis=0))
-        found = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+        found = []
+        for a, b in zip(new.tolist(), [*new[1:].tolist(), len(ids)], strict=True):
+            one, two = a + np.flatnonzero(left[a:b]), a + np.flatnonzero(~left[a:b])
+            if not len(one) or not len(two):
+                continue
+            maybe = comp[one][:, None] != comp[two][None, :]
+            small, large = np.minimum(size[one][:, None], size[two][None, :]), np.maximum(size[one][:, None], size[two][None, :])
+            maybe &= 100 * small >= percent * large
+            for k in range(len(one)):
+                maybe[k] &= _estimate(s[one[k]][None, :], s[two]) >= least
+            p, q = np.nonzero(maybe)
+            if not len(p):
+                continue
+            p, q = one[p], two[q]
+            common = _common([sets[k] for k in one], [sets[k] for k in two])[np.searchsorted(one, p), np.searchsorted(two, q)]
+            good = 100 * common >= percent * (size[p] + size[q] - common)
+            p, q = p[good] - a, q[good] - a
+            root = _united(np.arange(b - a), p, q)
+            far = np.flatnonzero(root != np.arange(b - a))
+            found.append(np.stack((ids[a + far], ids[a + root[far]]), 1))
+        found = np.concatenate(found) if found else np.empty((0, 2), np.int64)
         return pa.table({"x": found[:, 0], "y": found[:, 1]})
 
     return run
 
 
+def _common(one: list[np.ndarray], two: list[np.ndarray], tile: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets: a product of 0/1 matrices over the values that both sides have."""
+    out = np.zeros((len(one), len(two)), np.float32)
+    x, y = np.concatenate(one), np.concatenate(two)
+    names = np.intersect1d(x, y)
+    rows = [np.repeat(np.arange(len(z)), [len(v) for v in z]) for z in (one, two)]
+    place = []
+    for v in (x, y):
+        at = np.minimum(np.searchsorted(names, v), max(len(names) - 1, 0))
+        place.append(np.where(names[at] == v, at, -1) if len(names) else np.full(len(v), -1))
+    for lo in range(0, len(names), tile):
+        both = []
+        for row, at, n in ((rows[0], place[0], len(one)), (rows[1], place[1], len(two))):
+            own = (at >= lo) & (at < lo + tile)
+            m = np.zeros((n, min(tile, len(names) - lo)), np.float32)
+            m[row[own], at[own] - lo] = 1
+            both.append(m)
+        out += both[0] @ both[1].T
+    return out.astype(np.int64)
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) whose full sets meet 100 * intersection >= percent * union."""
 
@@ -215,31 +267,39 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     one = cut(sig.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "bands", "sketch"), "one")
 
     rows = one.select(F.explode("bands").alias("bucket"), "doc_id")
-    sizes = cut(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+    sizes = cut(rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("head")).filter("n > 1"), "sizes")
     found = rows.join(sizes, "bucket")
     found = cut(found.join(one.select("doc_id", "sketch"), "doc_id"), "found")
 
+    # round one: the best partner of each document
     chunk = F.when(F.col("n") <= CHUNK, F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id", "bucket"), F.ceil(F.col("n") / CHUNK)))
-    best = map_groups(found.select("bucket", chunk.cast("long").alias("chunk"), "doc_id", "sketch"), ["bucket", "chunk"], _best(least), "x long, y long, e double")
-    first = best.groupBy("x").agg(F.max_by("y", F.struct("e", -F.col("y"))).alias("y"))
+    met = cut(map_groups(found.select("bucket", chunk.cast("long").alias("chunk"), "doc_id", "sketch"), ["bucket", "chunk"], _best(least), "x long, y long, e double"), "met")
+    first = met.filter("e >= 0").groupBy("x").agg(F.max_by("y", F.struct("e", -F.col("y"))).alias("y"))
     first = cut(first.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "first")
-    wanted = found.select("doc_id").distinct()
-    texts = cut(docs.join(cut(wanted, "wanted"), "doc_id", "left_semi"), "texts")
+    near, _ = maybe_in(docs, "doc_id", met.select(F.col("x").alias("doc_id")))
+    wanted = cut(met.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct(), "wanted")
+    texts = cut(near.join(wanted, "doc_id", "left_semi"), "texts")
     linked = cut(confirm(first, texts, percent), "linked")
     comp = cut(components(linked.select(F.col("x").alias("a"), F.col("y").alias("b"))), "comp")
 
-    rows = found.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    # round two: clusters of likely pairs that still hold several components
+    hot = found.filter(F.col("n") > CHUNK).select(F.col("doc_id").alias("x"), F.col("head").alias("y"))
+    cluster = cut(components(met.filter("e < 0").select("x", "y").unionByName(hot).select(F.col("x").alias("a"), F.col("y").alias("b"))), "cluster")
+    rows = cluster.select(F.col("id").alias("doc_id"), F.col("component_id").alias("cluster")).join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     rows = cut(rows, "labelled")
-    shares = rows.groupBy("bucket", "component_id").agg(F.count("*").alias("c"))
-    mixed = cut(shares.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component_id", F.struct("c", -F.col("component_id"))).alias("main")).filter("parts > 1"), "mixed")
-    rows = cut(rows.join(mixed, "bucket").withColumn("small", F.col("component_id") != F.col("main")), "mixed")
-    pieces = F.ceil(F.col("n") / CHUNK)
-    spread = rows.filter("small").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
-    large = rows.filter("not small").withColumn("chunk", F.pmod(F.xxhash64("doc_id", "bucket"), pieces))
-    cols = ["bucket", "chunk", "doc_id", "component_id", "small", "sketch"]
-    pairs = map_groups(large.select(cols).unionByName(spread.select(cols)), ["bucket", "chunk"], _across(least), "x long, y long")
-    pairs = cut(pairs.distinct().join(first, ["x", "y"], "left_anti"), "pairs")
-    more = cut(confirm(pairs, texts, percent), "more")
+    shares = rows.groupBy("cluster", "component_id").agg(F.count("*").alias("c"))
+    mixed = shares.groupBy("cluster").agg(F.count("*").alias("parts"), F.sum("c").alias("n"), F.max_by(F.struct("component_id", "c"), F.struct("c", -F.col("component_id"))).alias("m")).filter("parts > 1")
+    pieces = lambda c: F.greatest(F.ceil(c / CHUNK), F.lit(1)).cast("long")
+    mixed = cut(mixed.select("cluster", F.col("m.component_id").alias("main"), pieces(F.col("n") - F.col("m.c")).alias("ni"), pieces(F.col("n")).alias("nj")), "mixed")
+    rows = cut(rows.join(mixed, "cluster").withColumn("small", F.col("component_id") != F.col("main")), "mixed")
+    steps = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    own = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(n)), F.col(n))
+    cols = ["cluster", "i", "j", "doc_id", "component_id", "as_small"]
+    pairs = rows.filter("small").withColumn("i", own("ni")).withColumn("j", steps(F.col("nj"))).withColumn("as_small", F.lit(True)).select(cols)
+    pairs = pairs.unionByName(rows.withColumn("j", own("nj")).withColumn("i", steps(F.col("ni"))).withColumn("as_small", F.lit(False)).select(cols))
+    full = cut(texts.join(one.select("doc_id", "sketch"), "doc_id"), "full")
+    more = map_groups(pairs.join(full, "doc_id"), ["cluster", "i", "j"], _across(least, percent), "x long, y long", size=2048)
+    more = cut(more.distinct(), "more")
 
     label = comp.select(F.col("id"), "component_id")
     bridge = more.join(label.select(F.col("id").alias("x"), F.col("component_id").alias("cx")), "x", "left").join(label.select(F.col("id").alias("y"), F.col("component_id").alias("cy")), "y", "left")
