@@ -26,7 +26,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from . import words as w
 
 #: Most labelled rows that are used for fitting.
-SAMPLE = 16_000
+SAMPLE = 10_000
 SPACE = 1 << 20
 #: Most hashed features that the classifier keeps, and most voters that the label model learns.
 FEATURES, VOTERS = 1024, 160
@@ -121,13 +121,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("doc_id is not null and label is not null")
     known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = texts.join(known, "doc_id").select("label", "text").mapInArrow(run, "label int, features array<int>").toArrow().combine_chunks()
+    # the sample's ids and labels are SAMPLE rows at most, so they are broadcast and no text is shuffled
+    found = texts.join(F.broadcast(known), "doc_id").select("label", "text").mapInArrow(run, "label int, features array<int>").toArrow().combine_chunks()
     y = found["label"].to_numpy().astype(float) if found.num_rows else np.empty(0)
     lists = found["features"].combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32()))
     if isinstance(lists, pa.ChunkedArray):
         lists = lists.combine_chunks()
-    feature = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    row = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy())) if len(y) else np.empty(0, np.int64)
+    feature = lists.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(lists.offsets.to_numpy())) if len(y) else np.empty(0, np.int32)
     weights = np.zeros(SPACE, np.float32)
     seed = _seed_features()
     if y.sum() < 3 or (1 - y).sum() < 3:
