@@ -7,8 +7,9 @@ bitmaps estimates the similarity of a candidate pair, so that only likely pairs
 Skew: equal sets are one class and enter once. A bucket larger than ``CHUNK`` is dealt into chunks, differently in each
 band. Round one confirms each document's best estimated partner and contracts what is linked. The likely pairs also
 unite documents into clusters. Round two takes the clusters that still hold several components and confirms the rows
-outside a cluster's largest component against all of its rows, chunk against chunk. Pairs are never listed: a pair of
-chunks gives a spanning forest of its confirmed links.
+outside a cluster's largest component against all of its rows, chunk against chunk: by sketch first, so that only rows
+with a likely partner in a pair of chunks need their texts there. Pairs are never listed: a pair of chunks gives a
+spanning forest of its confirmed links.
 
 Defined cases: null and empty texts have no shingles and stay alone; texts of fewer than five words have one shingle,
 their whole sequence; rows that repeat a doc_id stay rows of
@@ -170,6 +171,31 @@ def _united(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = low
 
 
+def _chunk_pairs(t: pa.Table) -> Iterator[tuple[int, int]]:
+    """(first row, end row) of each pair of chunks."""
+    key = w.mix(t["cluster"].to_numpy().view(np.uint64) + t["i"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + t["j"].to_numpy().astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return zip(new.tolist(), [*new[1:].tolist(), len(key)], strict=True)
+
+
+def _likely(least: float, percent: int):
+    """The rows of each pair of chunks that have a likely partner on its other side."""
+
+    def run(t: pa.Table) -> pa.Table:
+        comp, left, s, size = t["component_id"].to_numpy(), t["as_small"].to_numpy(zero_copy_only=False), _sketches(t["sketch"]), t["n_shingles"].to_numpy()
+        good = np.zeros(len(comp), bool)
+        for a, b in _chunk_pairs(t):
+            one, two = a + np.flatnonzero(left[a:b]), a + np.flatnonzero(~left[a:b])
+            for k in one:
+                fits = two[(comp[two] != comp[k]) & (100 * np.minimum(size[k], size[two]) >= percent * np.maximum(size[k], size[two]))]
+                fits = fits[_estimate(s[k][None, :], s[fits]) >= least]
+                good[fits] = True
+                good[k] = len(fits) > 0
+        return t.filter(pa.array(good)).drop_columns(["n_shingles"])
+
+    return run
+
+
 def _across(least: float, percent: int):
     """Confirmed links between the small rows (outside their cluster's main component) and all rows of one pair of chunks."""
 
@@ -179,10 +205,8 @@ def _across(least: float, percent: int):
             sets.extend(values[at[k] : at[k + 1]] for k in range(len(at) - 1))
         ids, comp, left, s = t["doc_id"].to_numpy(), t["component_id"].to_numpy(), t["as_small"].to_numpy(zero_copy_only=False), _sketches(t["sketch"])
         size = np.array([len(x) for x in sets])
-        key = w.mix(t["cluster"].to_numpy().view(np.uint64) + t["i"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + t["j"].to_numpy().astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         found = []
-        for a, b in zip(new.tolist(), [*new[1:].tolist(), len(ids)], strict=True):
+        for a, b in _chunk_pairs(t):
             one, two = a + np.flatnonzero(left[a:b]), a + np.flatnonzero(~left[a:b])
             if not len(one) or not len(two):
                 continue
@@ -264,7 +288,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     member = cut(
         sig.filter("n_shingles > 0").select("doc_id", "fp1", "fp2", "n_shingles").join(classes, ["fp1", "fp2", "n_shingles"]).select("doc_id", "n_shingles", "class_id"), "member"
     )
-    one = cut(sig.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "bands", "sketch"), "one")
+    one = cut(sig.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n_shingles", "bands", "sketch"), "one")
 
     rows = one.select(F.explode("bands").alias("bucket"), "doc_id")
     sizes = cut(rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("head")).filter("n > 1"), "sizes")
@@ -297,8 +321,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     cols = ["cluster", "i", "j", "doc_id", "component_id", "as_small"]
     pairs = rows.filter("small").withColumn("i", own("ni")).withColumn("j", steps(F.col("nj"))).withColumn("as_small", F.lit(True)).select(cols)
     pairs = pairs.unionByName(rows.withColumn("j", own("nj")).withColumn("i", steps(F.col("ni"))).withColumn("as_small", F.lit(False)).select(cols))
-    full = cut(texts.join(one.select("doc_id", "sketch"), "doc_id"), "full")
-    more = map_groups(pairs.join(full, "doc_id"), ["cluster", "i", "j"], _across(least, percent), "x long, y long", size=2048)
+    schema = "cluster long, i long, j long, doc_id long, component_id long, as_small boolean, sketch binary"
+    pairs = pairs.join(one.select("doc_id", "sketch", "n_shingles"), "doc_id").select(*cols, "sketch", "n_shingles")
+    likely = cut(map_groups(pairs, ["cluster", "i", "j"], _likely(least, percent), schema), "likely")
+    # hot members without a likely partner in their own chunks have no text yet
+    apart = cut(likely.select("doc_id").distinct().join(wanted, "doc_id", "left_anti"), "apart")
+    full = texts.unionByName(cut(docs.join(apart, "doc_id", "left_semi"), "full"))
+    more = map_groups(likely.join(full, "doc_id"), ["cluster", "i", "j"], _across(least, percent), "x long, y long", size=2048)
     more = cut(more.distinct(), "more")
 
     label = comp.select(F.col("id"), "component_id")

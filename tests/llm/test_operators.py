@@ -89,6 +89,18 @@ def test_near_duplicates_over_chunks(frame, monkeypatch):
     assert small == {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df).collect()}
 
 
+def test_near_duplicates_apart_in_hot_buckets(frame, monkeypatch):
+    """A pair that shares hot buckets only, in different chunks of each, among documents that are unlike it."""
+    rng = random.Random(43)
+    make = lambda k: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(k)]
+    base = make(60)
+    texts = [" ".join(base + make(70)) for _ in range(1000)]
+    texts = [" ".join(base + make(9)) for _ in range(2)] + texts
+    df = frame([(i, t, "a", 1, "x") for i, t in enumerate(texts)], DOCS)
+    monkeypatch.setattr(minhash, "CHUNK", 4)
+    assert [(r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(df).orderBy("doc_id").collect()] == [(i, i if i != 1 else 0) for i in range(1002)]
+
+
 def test_odd_sketches_estimate():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2, (1, minhash.BITS)).astype(np.uint8)
