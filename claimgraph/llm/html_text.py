@@ -4,7 +4,9 @@ Two passes parse the pages. The first hashes every block element's subtree and c
 host each occurs, pages with the same main text counting once; a host's templates are the subtrees on many of its pages. They are gathered as one short array a host,
 bounded by the share of pages that each needs, and joined to the pages; Spark broadcasts that table only if it is small.
 The second pass drops templates and the elements that are never main text (menus, footers, forms, scripts and so on, by
-element, role or class) and joins the blocks that are left of the articles, or of the body where there is none.
+element, role or class) and joins the blocks that are left of the articles, or of the body where no article is left.
+A class or id marks an element by a whole token or a token's first word. It drops no element that is or holds an article,
+but for articles that are reader comments. Articles held by such an element do not make the rest of the body no main text.
 
 What recurs inside articles is content as a rule, copies of an article above all: there a subtree is a template only if
 over half of the host's pages have it.
@@ -41,45 +43,51 @@ _ROLES = frozenset("navigation banner contentinfo complementary search form menu
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner sidebar sidenav nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent notice popup modal overlay newsletter subscribe signup share sharing social related recommended comment comments disqus replies".split()
 )
+_REPLIES = frozenset("comment comments disqus replies".split())
 #: What an opening tag closes first, if it is open within the innermost of its bounds.
 _CLOSES = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"), "body": ("head", "html")}
 _ENDS_P = _BLOCKS - {"body", "head", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup"}
 
 
 class _Open:
-    __slots__ = ("blocks", "dropped", "main", "start", "tag")
+    __slots__ = ("blocks", "dropped", "main", "marks", "start", "tag")
 
-    def __init__(self, tag: str, start: int, blocks: int, dropped: bool, main: bool):
-        self.tag, self.start, self.blocks, self.dropped, self.main = tag, start, blocks, dropped, main
+    def __init__(self, tag: str, start: int, blocks: int, dropped: bool, main: bool, marks: tuple[int, ...]):
+        self.tag, self.start, self.blocks, self.dropped, self.main, self.marks = tag, start, blocks, dropped, main, marks
 
 
-def _never_main(tag: str, attributes: str, inside: bool) -> bool:
+def _never_main(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether the element is never main text, and whether a class or id marks it so unless it is or holds an article."""
     if tag in _NEVER or tag == "header" and not inside:
-        return True
+        return True, False
     if tag in ("html", "body", "main", "article") and "=" not in attributes:
-        return False
+        return False, False
+    marked = False
     for name, value in _ATTRIBUTE.findall(attributes):
-        words = re.split(r"[^a-z0-9]+", value.lower())
         if name.lower() == "role":
-            if not _ROLES.isdisjoint(words) and tag not in ("html", "body"):
-                return True
-        elif tag not in ("html", "body", "main") and not _MARKS.isdisjoint(words):
-            return True
-    return False
-
-
-def parse(source: str) -> tuple[list[tuple[str, bool, bool]], list[tuple[int, int, int, int, bool]]]:
-    """Blocks (text, dropped, in an article) and subtrees (start, end, first block, end block, in an article) of a page."""
-    blocks: list[tuple[str, bool, bool]] = []
+            if not _ROLES.isdisjoint(re.split(r"[^a-z0-9]+", value.lower())) and tag not in ("html", "body"):
+                return True, False
+        elif tag not in ("html", "body", "main"):
+            words = {re.split(r"[^a-z0-9]", token)[0] for token in value.lower().strip("\"'").split()}
+            if tag == "article" and not _REPLIES.isdisjoint(words):
+                return True, False
+            marked |= not _MARKS.isdisjoint(words)
+    return False, marked
+
+
+def parse(source: str) -> tuple[list[tuple[str, bool, bool, bool]], list[tuple[int, int, int, int, bool]]]:
+    """Blocks (text, dropped, in an article, in a kept article that no mark is on or around) and subtrees (start, end, first block, end block, in an article) of a page."""
+    blocks: list[tuple[str, bool, bool, tuple[int, ...]]] = []
     trees: list[tuple[int, int, int, int, bool]] = []
-    stack = [_Open("", 0, 0, False, False)]
+    stack = [_Open("", 0, 0, False, False, ())]
+    holds: list[bool] = []  # of each marked element, whether it is or holds a kept article
     text: list[str] = []
 
     def flush() -> None:
         if text:
             whole = " ".join(entities.unescape("".join(text)).split())
             if whole:
-                blocks.append((whole, stack[-1].dropped, stack[-1].main))
+                blocks.append((whole, stack[-1].dropped, stack[-1].main, stack[-1].marks))
             text.clear()
 
     def close(depth: int, end: int) -> None:
@@ -142,11 +150,22 @@ def parse(source: str) -> tuple[list[tuple[str, bool, bool]], list[tuple[int, in
         if tag in _LONE:
             continue
         up = stack[-1]
-        dropped = up.dropped or _never_main(tag, m[3] or "", up.main)
-        stack.append(_Open(tag, m.start(), len(blocks), dropped, up.main or tag in ("article", "main") or 'role="main"' in (m[3] or "")))
+        never, marked = _never_main(tag, m[3] or "", up.main)
+        dropped, main, marks = up.dropped or never, tag in ("article", "main") or 'role="main"' in (m[3] or ""), up.marks
+        if marked:
+            marks = (*marks, len(holds))
+            holds.append(False)
+        if main and not dropped:
+            for k in marks:
+                holds[k] = True
+        stack.append(_Open(tag, m.start(), len(blocks), dropped, up.main or main, marks))
     close(1, len(source))
     flush()
-    return blocks, trees
+    out = []
+    for whole, dropped, main, marks in blocks:
+        dropped = dropped or not all(holds[k] for k in marks)
+        out.append((whole, dropped, main, main and not dropped and not marks))
+    return out, trees
 
 
 def _key(piece: str) -> int:

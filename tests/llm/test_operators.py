@@ -262,6 +262,21 @@ def test_html_keeps_copied_articles(frame):
     assert got[0] == "Same\n\ncopied paragraph" and got[105] == "other 5"
 
 
+def test_html_keeps_marked_wrappers_of_articles(frame):
+    story = "<article><p>story</p></article>"
+    pages = [
+        f'<div class="layout has-sidebar">{story}</div>',
+        '<div id="no-sidebar"><p>story</p></div>',
+        f'<body><div class="with-banner">{story}</div></body>',
+        '<article class="post category-social tag-ads"><p>story</p></article>',
+        f'<div class="sidebar"><div class="ad-free">{story}</div></div>',
+        '<main><article class="promo"><p>story</p></article></main>',
+        '<p>story</p><div class="ad-slot">buy</div><div class="left ad">buy</div>',
+    ]
+    got = html_text.extract_text(frame([(i, f"http://h{i}/", page) for i, page in enumerate(pages)], "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == dict.fromkeys(range(len(pages)), "story")
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, keys string"
 
 
