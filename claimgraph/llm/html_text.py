@@ -222,7 +222,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                         gone.update(range(i, j))
                         n += 1
                 own = [x for k, x in enumerate(blocks) if not x[1] and k not in gone]
-                main = [x[0] for x in own if x[2]] if any(x[2] for x in blocks) else [x[0] for x in own]
+                main = [x[0] for x in own if x[2]] if any(x[3] for x in own) else [x[0] for x in own]
                 texts.append("\n\n".join(main))
                 removed.append(n)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int64())], names=["page_id", "url", "text", "n_chars", "n_templates"])

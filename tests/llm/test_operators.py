@@ -277,6 +277,16 @@ def test_html_keeps_marked_wrappers_of_articles(frame):
     assert {r["page_id"]: r["text"] for r in got} == dict.fromkeys(range(len(pages)), "story")
 
 
+def test_html_falls_back_to_the_body(frame):
+    pages = [
+        "<div><p>story</p></div><aside><article>teaser</article></aside>",
+        '<div><p>story</p></div><div id="comments"><article class="comment">first!</article><article class="comment-body">second</article></div>',
+        '<article><p>story</p></article><p>around</p><article class="comment">first!</article>',
+    ]
+    got = html_text.extract_text(frame([(i, f"http://h{i}/", page) for i, page in enumerate(pages)], "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == dict.fromkeys(range(len(pages)), "story")
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, keys string"
 
 
