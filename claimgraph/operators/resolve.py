@@ -112,7 +112,7 @@ def contains_match(a: DataFrame, a_id: str, a_name: Column, b: DataFrame, b_id:
     """The first entity of ``b`` (by id) whose name contains the other's, or is contained in it.
 
     The condition has no key to join on, so ``b`` has to be small: its size is checked before it is broadcast, and a larger
-    one is matched by the words that either name holds whole.
+    one, each name once, is matched by the pieces of up to three characters that the longer name holds of the shorter's start.
     """
     left = a.select(F.col(a_id).alias("left_id"), a_name.alias("ln")).filter(F.length("ln") > 0)
     right = b.select(F.col(b_id).alias("right_id"), b_name.alias("rn")).filter(F.length("rn") > 0)
@@ -120,7 +120,8 @@ def contains_match(a: DataFrame, a_id: str, a_name: Column, b: DataFrame, b_id:
     if right.limit(small + 1).count() <= small:
         met = left.join(F.broadcast(right), inside)
     else:
-        grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, 3)))
+        right = right.groupBy("rn").agg(F.min("right_id").alias("right_id"))
+        grams = lambda c: F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.array(*(F.substring(c, i, F.lit(k)) for k in (1, 2, 3))))))
         first = lambda c: F.substring(c, 1, 3)
         one = left.withColumn("g", F.explode(grams(F.col("ln")))).join(right.withColumn("g", first(F.col("rn"))), "g").filter(F.col("ln").contains(F.col("rn")))
         two = left.withColumn("g", first(F.col("ln"))).join(right.withColumn("g", F.explode(grams(F.col("rn")))), "g").filter(F.col("rn").contains(F.col("ln")))

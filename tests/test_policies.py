@@ -119,3 +119,11 @@ def test_stream_expiry_sets_no_timer_for_never(spark, tmp_path):
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
     got = twins.run_once(twins.expiry_stream(stream, "k", "ts", F.col("ttl"), "0 seconds"), "expiry", spark)
     assert [r["key"] for r in got.collect()] == ["a"]
+
+
+def test_contains_match_by_size(spark):
+    """Both paths find the same, names of one and two letters included."""
+    a = spark.createDataFrame(list(enumerate(["AI dragons", "x", "go", "dragon", "", None, "zebra", "éa"])), "id long, name string")
+    b = spark.createDataFrame([(9, "AI"), (3, "AI"), (4, "dragons"), (5, "box"), (6, "g"), (7, "a"), (8, ""), (10, None), (11, "zebra")], "id long, name string")
+    one, two = (sorted(map(tuple, resolve.contains_match(a, "id", F.col("name"), b, "id", F.col("name"), small=n).collect())) for n in (10_000, 0))
+    assert one == two == [(0, 3), (1, 5), (2, 4), (3, 4), (6, 7), (7, 7)]
