@@ -58,8 +58,8 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int =
         yield pa.concat_tables(held).combine_chunks()
 
 
-def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table | None], schema: str, size: int = 20_000) -> DataFrame:
-    """Apply ``fn`` to tables of whole groups of ``keys``; groups have to be bounded by the caller."""
+def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table | None], schema: str, size: int = 20_000, order: list[str] | None = None) -> DataFrame:
+    """Apply ``fn`` to tables of whole groups of ``keys``, sorted by ``order`` within; groups have to be bounded by the caller."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in whole_groups(batches, keys, size):
@@ -68,7 +68,7 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table
                 yield from out.to_batches(max_chunksize=10_000)
 
     n = partitions(df.sparkSession)
-    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, *(order or [])).mapInArrow(run, schema)
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:

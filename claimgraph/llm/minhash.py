@@ -5,15 +5,18 @@ all 128 values are folded into a 512-bit parity bitmap (an odd sketch), and the
 bitmaps estimates the similarity of a candidate pair, so that only likely pairs are confirmed on the full sets.
 
 Skew: equal sets are one class and enter once. A bucket larger than ``CHUNK`` is dealt into chunks, differently in each
-band. Round one confirms each document's best estimated partner and contracts what is linked. The likely pairs also
-unite documents into clusters. Round two takes the clusters that still hold several components and confirms the rows
-outside a cluster's largest component against all of its rows, chunk against chunk: by sketch first, so that only rows
-with a likely partner in a pair of chunks need their texts there. Pairs are never listed: a pair of chunks gives a
-spanning forest of its confirmed links.
+band; likely pairs within a chunk unite documents to clusters, and a bucket whose chunks left several clusters has the
+rows outside its largest one compared with all of its rows, by sketch, chunk against chunk. Round one confirms each
+document's best partner. Round two takes the clusters that still hold several components: the rows outside a cluster's
+largest component meet all of its rows, first by sketch, then, of those with a likely partner of another component, by
+full sets. Pairs are never listed: a pair of chunks gives a spanning forest of its links. What grows with the square of
+a group is the number of 64-byte sketches compared, for documents that share a band with very many others and are unlike
+them; copies cost a row each.
 
 Defined cases: null and empty texts have no shingles and stay alone; texts of fewer than five words have one shingle,
-their whole sequence; rows that repeat a doc_id stay rows of
-their own and share its component; a null doc_id has a row and links with nothing; extra columns are ignored.
+their whole sequence; rows that repeat a doc_id are one document, linked by any of their texts, and have a row each; a
+null doc_id has a row, links with nothing and is kept, its component null; extra columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -26,13 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as w
-from .common import components, cut, map_groups, maybe_in
+from .common import components, cut, map_groups
 
 SHINGLE, HASHES, ROWS, BITS = 5, 128, 4, 512
 BANDS = HASHES // ROWS
 #: Estimates this far below the threshold are dropped: five standard deviations of 128 samples at 0.75 are 0.19.
 SLACK = 0.19
+#: Most rows of a bucket that are compared in one piece.
 CHUNK = 512
+#: Rows of a chunk on either side where sketches are compared, and words (with 1,000 a row) where texts are.
+SKETCHES, TEXTS = (2048, 8192), (1 << 20, 1 << 20)
 _rng = np.random.default_rng(20240607)
 _MULTIPLY = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _ADD = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -109,54 +115,24 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return source.mapInArrow(run, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sketch binary")
 
 
+def _sets(column: pa.Array) -> list[np.ndarray]:
+    """The sorted shingle hashes of each text."""
+    return [values[at[k] : at[k + 1]] for _, _, values, at in shingle_sets(column) for k in range(len(at) - 1)]
+
+
 def _sketches(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
 
 
 def _estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Similarity from the XOR of two odd sketches of ``HASHES`` samples each."""
-    odd = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+    odd = np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
     return 1 + BITS / (4 * HASHES) * np.log(np.maximum(1 - 2 * odd / BITS, 1e-9))
 
 
-def _blocks(left: np.ndarray, right: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Runs of (row, partner), the partners of row i being left[i]..right[i], at most about ``most`` at once."""
-    counts = np.maximum(right - left, 0)
-    sums, i = np.cumsum(counts), 0
-    while i < len(counts):
-        j = max(i + 1, int(np.searchsorted(sums, (sums[i - 1] if i else 0) + most, "right")))
-        c = counts[i:j]
-        row = np.repeat(np.arange(i, j), c)
-        yield row, np.arange(len(row)) - np.repeat(np.cumsum(c) - c, c) + left[row]
-        i = j
-
-
-def _best(least: float):
-    """Each row's most similar partner in its bucket chunk, and a spanning forest of the likely pairs there."""
-
-    def run(t: pa.Table) -> pa.Table:
-        ids = t["doc_id"].to_numpy()
-        key = w.mix(t["bucket"].to_numpy().view(np.uint64) + t["chunk"].to_numpy().astype(np.uint64))
-        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        ends = np.concatenate((new[1:], [len(ids)]))
-        end = np.repeat(ends, ends - new)
-        s = _sketches(t["sketch"])
-        x, y, e = ids[:0], ids[:0], np.empty(0)
-        root = np.arange(len(ids))
-        for a, b in _blocks(np.arange(len(ids)) + 1, end):
-            est = _estimate(s[a], s[b])
-            ok = est >= least
-            a, b, est = a[ok], b[ok], est[ok]
-            root = _united(root, a, b)
-            x, y, e = np.concatenate((x, ids[a], ids[b])), np.concatenate((y, ids[b], ids[a])), np.concatenate((e, est, est))
-            order = np.lexsort((y, -e, x))
-            first = order[np.concatenate(([True], x[order][1:] != x[order][:-1]))] if len(order) else order
-            x, y, e = x[first], y[first], e[first]
-        far = np.flatnonzero(root != np.arange(len(ids)))
-        edges = np.unique(np.stack((ids[far], ids[root[far]]), 1), axis=0)
-        return pa.table({"x": np.concatenate((x, edges[:, 0])), "y": np.concatenate((y, edges[:, 1])), "e": np.concatenate((e, np.full(len(edges), -1.0)))})
-
-    return run
+def _most_odd(least: float) -> int:
+    """The population count up to which the estimate is ``least`` or more."""
+    return int(BITS / 2 * (1 - np.exp((least - 1) * 4 * HASHES / BITS)))
 
 
 def _united(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -171,62 +147,113 @@ def _united(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = low
 
 
-def _chunk_pairs(t: pa.Table) -> Iterator[tuple[int, int]]:
-    """(first row, end row) of each pair of chunks."""
-    key = w.mix(t["cluster"].to_numpy().view(np.uint64) + t["i"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + t["j"].to_numpy().astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return zip(new.tolist(), [*new[1:].tolist(), len(key)], strict=True)
+def _runs(t: pa.Table, *keys: str) -> tuple[np.ndarray, np.ndarray]:
+    """First row and number of rows of each group of ``keys``; the rows are sorted by them."""
+    key = np.zeros(t.num_rows, np.uint64)
+    for k in keys:
+        key = w.mix(key + t[k].to_numpy().astype(np.int64).view(np.uint64))
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return first, np.diff(np.append(first, t.num_rows))
 
 
-def _likely(least: float, percent: int):
-    """The rows of each pair of chunks that have a likely partner on its other side."""
+def _best(most: int, block: int = 1 << 18):
+    """Each row's most similar partner in its bucket chunk, and (with odd -1) a spanning forest of the likely pairs there.
+
+    Groups of one size are compared together, at most ``block`` pairs at once.
+    """
 
     def run(t: pa.Table) -> pa.Table:
-        comp, left, s, size = t["component_id"].to_numpy(), t["as_small"].to_numpy(zero_copy_only=False), _sketches(t["sketch"]), t["n_shingles"].to_numpy()
-        good = np.zeros(len(comp), bool)
-        for a, b in _chunk_pairs(t):
-            one, two = a + np.flatnonzero(left[a:b]), a + np.flatnonzero(~left[a:b])
-            for k in one:
-                fits = two[(comp[two] != comp[k]) & (100 * np.minimum(size[k], size[two]) >= percent * np.maximum(size[k], size[two]))]
-                fits = fits[_estimate(s[k][None, :], s[fits]) >= least]
-                good[fits] = True
-                good[k] = len(fits) > 0
-        return t.filter(pa.array(good)).drop_columns(["n_shingles"])
+        ids, s = t["doc_id"].to_numpy(), _sketches(t["sketch"])
+        root, best, least = np.arange(len(ids)), np.zeros(len(ids), np.int64), np.full(len(ids), BITS)
+        starts, sizes = _runs(t, "bucket", "chunk")
+        for n in np.unique(sizes[sizes > 1]).tolist():
+            first, step = starts[sizes == n], max(1, block // (n * n))
+            for k in range(0, len(first), step):
+                place = first[k : k + step, None] + np.arange(n)
+                odd = np.bitwise_count(s[place][:, :, None] ^ s[place][:, None]).sum(-1, dtype=np.int16)
+                odd[ids[place][:, :, None] == ids[place][:, None]] = BITS
+                least[place] = odd.min(2)
+                best[place] = np.take_along_axis(place, odd.argmin(2), 1)
+                g, a, b = np.nonzero(odd <= most)
+                root = _united(root, place[g, a], place[g, b])
+        good, far = np.flatnonzero(least <= most), np.flatnonzero(root != np.arange(len(ids)))
+        return pa.table({"x": np.concatenate((ids[good], ids[far])), "y": np.concatenate((ids[best[good]], ids[root[far]])), "odd": np.concatenate((least[good], np.full(len(far), -1)))})
 
     return run
 
 
-def _across(least: float, percent: int):
-    """Confirmed links between the small rows (outside their cluster's main component) and all rows of one pair of chunks."""
+def _sides(rows: DataFrame, left: int, right: int) -> DataFrame:
+    """Rows of the groups with several tags, dealt so that the rows outside a group's commonest tag meet all its rows.
+
+    ``rows`` (part, doc_id, tag, weight, ...); each comes back once for every pair (i, j) of chunks that it is in, as a
+    small row of chunk i or as one of all rows of chunk j, chunks holding a weight of about ``left`` and ``right``.
+    """
+    shares = rows.groupBy("part", "tag").agg(F.sum("weight").alias("c"))
+    parts = shares.groupBy("part").agg(F.count("*").alias("tags"), F.sum("c").alias("n"), F.max_by(F.struct("tag", "c"), F.struct("c", -F.col("tag"))).alias("m")).filter("tags > 1")
+    pieces = lambda c, most: F.greatest(F.ceil(c / most), F.lit(1)).cast("long")
+    parts = cut(parts.select("part", F.col("m.tag").alias("main"), pieces(F.col("n") - F.col("m.c"), left).alias("ni"), pieces(F.col("n"), right).alias("nj")), "parts")
+    own = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(n)), F.col(n))
+    steps = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    whole = F.transform(steps("ni"), lambda i: F.struct(i.alias("i"), own("nj").alias("j"), F.lit(False).alias("small")))
+    small = F.transform(steps("nj"), lambda j: F.struct(own("ni").alias("i"), j.alias("j"), F.lit(True).alias("small")))
+    dealt = F.explode(F.when(F.col("tag") != F.col("main"), F.concat(whole, small)).otherwise(whole))
+    return rows.join(parts, "part").withColumn("at", dealt).select(*rows.columns, "at.*")
+
+
+def _likely_pairs(t: pa.Table, most: int, percent: int, block: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Likely pairs (small row, row) of different tags in each pair of chunks, block by block."""
+    tag, small, s, size = t["tag"].to_numpy(), t["small"].to_numpy(zero_copy_only=False), _sketches(t["sketch"]), t["n_shingles"].to_numpy()
+    for first, n in zip(*(x.tolist() for x in _runs(t, "part", "i", "j")), strict=True):
+        one, two = first + np.flatnonzero(small[first : first + n]), first + np.flatnonzero(~small[first : first + n])
+        step = max(1, block // max(len(two), 1))
+        for k in range(0, len(one) if len(two) else 0, step):
+            a = one[k : k + step]
+            good = np.bitwise_count(s[a][:, None] ^ s[two][None]).sum(-1, dtype=np.int16) <= most
+            good &= tag[a][:, None] != tag[two][None]
+            good &= 100 * np.minimum(size[a][:, None], size[two][None]) >= percent * np.maximum(size[a][:, None], size[two][None])
+            p, q = np.nonzero(good)
+            yield a[p], two[q]
+
+
+def _bridges(most: int, percent: int):
+    """A spanning forest of the likely pairs of each pair of chunks."""
 
     def run(t: pa.Table) -> pa.Table:
-        sets: list[np.ndarray] = []
-        for _, _, values, at in shingle_sets(t["text"]):
-            sets.extend(values[at[k] : at[k + 1]] for k in range(len(at) - 1))
-        ids, comp, left, s = t["doc_id"].to_numpy(), t["component_id"].to_numpy(), t["as_small"].to_numpy(zero_copy_only=False), _sketches(t["sketch"])
-        size = np.array([len(x) for x in sets])
-        found = []
-        for a, b in _chunk_pairs(t):
-            one, two = a + np.flatnonzero(left[a:b]), a + np.flatnonzero(~left[a:b])
-            if not len(one) or not len(two):
-                continue
-            maybe = comp[one][:, None] != comp[two][None, :]
-            small, large = np.minimum(size[one][:, None], size[two][None, :]), np.maximum(size[one][:, None], size[two][None, :])
-            maybe &= 100 * small >= percent * large
-            for k in range(len(one)):
-                maybe[k] &= _estimate(s[one[k]][None, :], s[two]) >= least
-            p, q = np.nonzero(maybe)
-            if not len(p):
-                continue
-            p, q = one[p], two[q]
-            common = _common([sets[k] for k in one], [sets[k] for k in two])[np.searchsorted(one, p), np.searchsorted(two, q)]
-            good = 100 * common >= percent * (size[p] + size[q] - common)
-            p, q = p[good] - a, q[good] - a
-            root = _united(np.arange(b - a), p, q)
-            far = np.flatnonzero(root != np.arange(b - a))
-            found.append(np.stack((ids[a + far], ids[a + root[far]]), 1))
-        found = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pa.table({"x": found[:, 0], "y": found[:, 1]})
+        ids, root = t["doc_id"].to_numpy(), np.arange(t.num_rows)
+        for p, q in _likely_pairs(t, most, percent):
+            root = _united(root, p, q) if len(p) else root
+        far = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.table({"x": ids[far], "y": ids[root[far]]})
+
+    return run
+
+
+def _likely(most: int, percent: int):
+    """The rows that have a likely partner of another tag."""
+
+    def run(t: pa.Table) -> pa.Table:
+        good = np.zeros(t.num_rows, bool)
+        for p, q in _likely_pairs(t, most, percent):
+            good[p] = good[q] = True
+        return t.filter(pa.array(good)).select(["part", "doc_id", "tag", "n_shingles", "sketch"])
+
+    return run
+
+
+def _across(most: int, percent: int):
+    """A spanning forest of the confirmed links between rows of different tags in each pair of chunks."""
+
+    def run(t: pa.Table) -> pa.Table:
+        sets = _sets(t["text"])
+        ids, root, size = t["doc_id"].to_numpy(), np.arange(t.num_rows), np.array([len(x) for x in sets])
+        for p, q in _likely_pairs(t, most, percent):
+            if len(p):
+                one, two = np.unique(p), np.unique(q)
+                common = _common([sets[k] for k in one], [sets[k] for k in two])[np.searchsorted(one, p), np.searchsorted(two, q)]
+                good = 100 * common >= percent * (size[p] + size[q] - common)
+                root = _united(root, p[good], q[good])
+        far = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.table({"x": ids[far], "y": ids[root[far]]})
 
     return run
 
@@ -257,21 +284,14 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            both = pa.concat_arrays([batch.column(2), batch.column(3)])
-            order = np.arange(2 * n).reshape(2, n).T.ravel()  # the two texts of a pair side by side
-            good = np.zeros(n, bool)
-            for i in range(0, n, 512):
-                part = both.take(pa.array(order[2 * i : 2 * (i + 512)]))
-                sets: list[np.ndarray] = []
-                for _, _, values, at in shingle_sets(part):
-                    sets.extend(values[at[k] : at[k + 1]] for k in range(len(at) - 1))
-                for k in range(0, len(sets), 2):
-                    a, b = sets[k], sets[k + 1]
+            good = np.zeros(batch.num_rows, bool)
+            for i in range(0, batch.num_rows, 256):
+                one, two = (_sets(batch.column(k).slice(i, 256)) for k in (2, 3))
+                for k, (a, b) in enumerate(zip(one, two, strict=True)):
                     met = np.concatenate((a, b))
                     met.sort()
                     common = int((met[1:] == met[:-1]).sum())
-                    good[i + k // 2] = 100 * common >= percent * (len(a) + len(b) - common)
+                    good[i + k] = 100 * common >= percent * (len(a) + len(b) - common)
             keep = pa.array(good)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["x", "y"])
 
@@ -281,61 +301,54 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest linked id), kept, class_id (smallest id with an equal set)."""
-    least = percent / 100 - SLACK
+    most = _most_odd(percent / 100 - SLACK)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sig = cut(signatures(docs), "sig")
-    classes = cut(sig.filter("n_shingles > 0").groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("class_id")), "classes")
-    member = cut(
-        sig.filter("n_shingles > 0").select("doc_id", "fp1", "fp2", "n_shingles").join(classes, ["fp1", "fp2", "n_shingles"]).select("doc_id", "n_shingles", "class_id"), "member"
-    )
-    one = cut(sig.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n_shingles", "bands", "sketch"), "one")
+    able = sig.filter("n_shingles > 0 and doc_id is not null")
+    classes = cut(able.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("class_id")), "classes")
+    member = cut(able.select("doc_id", "fp1", "fp2", "n_shingles").join(classes, ["fp1", "fp2", "n_shingles"]).select("doc_id", "class_id"), "member")
+    one = cut(able.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n_shingles", "bands", "sketch"), "one")
 
+    # each bucket: best partners, and what is likely alike there
     rows = one.select(F.explode("bands").alias("bucket"), "doc_id")
-    sizes = cut(rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("head")).filter("n > 1"), "sizes")
-    found = rows.join(sizes, "bucket")
-    found = cut(found.join(one.select("doc_id", "sketch"), "doc_id"), "found")
+    sizes = cut(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+    found = cut(rows.join(sizes, "bucket").join(one.select("doc_id", "n_shingles", "sketch"), "doc_id"), "found")
+    chunk = F.when(F.col("n") <= CHUNK, F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id", "bucket"), F.ceil(F.col("n") / CHUNK))).cast("long")
+    dealt = found.select("bucket", chunk.alias("chunk"), "doc_id", "sketch")
+    met = cut(map_groups(dealt, ["bucket", "chunk"], _best(most), "x long, y long, odd long", size=4096, order=["doc_id"]), "met")
+    likely = met.filter("odd < 0").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    cluster = cut(components(likely), "cluster")
+    hot = found.filter(F.col("n") > CHUNK)
+    if not hot.isEmpty():  # rows of a hot bucket that their chunks left in different clusters
+        hot = hot.select(F.col("bucket").alias("part"), "doc_id", "n_shingles", "sketch", F.lit(1).alias("weight"))
+        hot = hot.join(cluster.select(F.col("id").alias("doc_id"), F.col("component_id").alias("tag")), "doc_id", "left").withColumn("tag", F.coalesce("tag", "doc_id"))
+        more = cut(map_groups(_sides(hot, *SKETCHES), ["part", "i", "j"], _bridges(most, percent), "a long, b long", size=4096), "bridges")
+        if not more.isEmpty():
+            cluster = cut(components(cluster.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(more)), "cluster")
 
     # round one: the best partner of each document
-    chunk = F.when(F.col("n") <= CHUNK, F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id", "bucket"), F.ceil(F.col("n") / CHUNK)))
-    met = cut(map_groups(found.select("bucket", chunk.cast("long").alias("chunk"), "doc_id", "sketch"), ["bucket", "chunk"], _best(least), "x long, y long, e double"), "met")
-    first = met.filter("e >= 0").groupBy("x").agg(F.max_by("y", F.struct("e", -F.col("y"))).alias("y"))
+    first = met.filter("odd >= 0").groupBy("x").agg(F.min_by("y", F.struct("odd", "y")).alias("y"))
     first = cut(first.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "first")
-    near, _ = maybe_in(docs, "doc_id", met.select(F.col("x").alias("doc_id")))
-    wanted = cut(met.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct(), "wanted")
-    texts = cut(near.join(wanted, "doc_id", "left_semi"), "texts")
+    texts = cut(docs.join(cluster.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), "texts")
     linked = cut(confirm(first, texts, percent), "linked")
-    comp = cut(components(linked.select(F.col("x").alias("a"), F.col("y").alias("b"))), "comp")
+    final = cut(components(linked.select(F.col("x").alias("a"), F.col("y").alias("b"))), "linked")
 
     # round two: clusters of likely pairs that still hold several components
-    hot = found.filter(F.col("n") > CHUNK).select(F.col("doc_id").alias("x"), F.col("head").alias("y"))
-    cluster = cut(components(met.filter("e < 0").select("x", "y").unionByName(hot).select(F.col("x").alias("a"), F.col("y").alias("b"))), "cluster")
-    rows = cluster.select(F.col("id").alias("doc_id"), F.col("component_id").alias("cluster")).join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    rows = cut(rows, "labelled")
-    shares = rows.groupBy("cluster", "component_id").agg(F.count("*").alias("c"))
-    mixed = shares.groupBy("cluster").agg(F.count("*").alias("parts"), F.sum("c").alias("n"), F.max_by(F.struct("component_id", "c"), F.struct("c", -F.col("component_id"))).alias("m")).filter("parts > 1")
-    pieces = lambda c: F.greatest(F.ceil(c / CHUNK), F.lit(1)).cast("long")
-    mixed = cut(mixed.select("cluster", F.col("m.component_id").alias("main"), pieces(F.col("n") - F.col("m.c")).alias("ni"), pieces(F.col("n")).alias("nj")), "mixed")
-    rows = cut(rows.join(mixed, "cluster").withColumn("small", F.col("component_id") != F.col("main")), "mixed")
-    steps = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    own = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(n)), F.col(n))
-    cols = ["cluster", "i", "j", "doc_id", "component_id", "as_small"]
-    pairs = rows.filter("small").withColumn("i", own("ni")).withColumn("j", steps(F.col("nj"))).withColumn("as_small", F.lit(True)).select(cols)
-    pairs = pairs.unionByName(rows.withColumn("j", own("nj")).withColumn("i", steps(F.col("ni"))).withColumn("as_small", F.lit(False)).select(cols))
-    schema = "cluster long, i long, j long, doc_id long, component_id long, as_small boolean, sketch binary"
-    pairs = pairs.join(one.select("doc_id", "sketch", "n_shingles"), "doc_id").select(*cols, "sketch", "n_shingles")
-    likely = cut(map_groups(pairs, ["cluster", "i", "j"], _likely(least, percent), schema), "likely")
-    # hot members without a likely partner in their own chunks have no text yet
-    apart = cut(likely.select("doc_id").distinct().join(wanted, "doc_id", "left_anti"), "apart")
-    full = texts.unionByName(cut(docs.join(apart, "doc_id", "left_semi"), "full"))
-    more = map_groups(likely.join(full, "doc_id"), ["cluster", "i", "j"], _across(least, percent), "x long, y long", size=2048)
-    more = cut(more.distinct(), "more")
-
-    label = comp.select(F.col("id"), "component_id")
-    bridge = more.join(label.select(F.col("id").alias("x"), F.col("component_id").alias("cx")), "x", "left").join(label.select(F.col("id").alias("y"), F.col("component_id").alias("cy")), "y", "left")
-    bridge = cut(bridge.select(F.coalesce("cx", "x").alias("a"), F.coalesce("cy", "y").alias("b")), "bridge")
-    roots = components(bridge).select(F.col("id").alias("component_id"), F.col("component_id").alias("root"))
-    nodes = comp.select("id", "component_id").unionByName(bridge.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("component_id", F.col("id"))).distinct()
-    final = cut(nodes.join(roots, "component_id", "left").groupBy("id").agg(F.min(F.coalesce("root", "component_id")).alias("component_id")), "final")
-    out = member.join(final.withColumnRenamed("id", "class_id"), "class_id", "left").select("doc_id", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id"))
-    empty = sig.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
-    return out.unionByName(empty).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    rows = cluster.select(F.col("id").alias("doc_id"), F.col("component_id").alias("part")).join(final.select(F.col("id").alias("doc_id"), F.col("component_id").alias("tag")), "doc_id", "left")
+    rows = cut(rows.withColumn("tag", F.coalesce("tag", "doc_id")), "tagged")
+    open_ = rows.groupBy("part").agg(F.count_distinct("tag").alias("tags")).filter("tags > 1").select("part")
+    rows = cut(rows.join(open_, "part", "left_semi").join(one.select("doc_id", "n_shingles", "sketch"), "doc_id"), "open")
+    pairs = _sides(rows.withColumn("weight", F.lit(1)), *SKETCHES)
+    schema = "part long, doc_id long, tag long, n_shingles long, sketch binary"
+    rows = cut(map_groups(pairs, ["part", "i", "j"], _likely(most, percent), schema, size=4096).distinct(), "likely")
+    pairs = _sides(rows.withColumn("weight", F.col("n_shingles") + 1000), *TEXTS).join(texts, "doc_id")
+    links = map_groups(pairs, ["part", "i", "j"], _across(most, percent), "a long, b long", size=1024)
+
+    # several texts of one doc_id are one document
+    several = member.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).filter("a < b").select("doc_id", "a")
+    more = cut(links.unionByName(member.join(several, "doc_id").select("a", F.col("class_id").alias("b"))).filter("a <> b").distinct(), "more")
+    if not more.isEmpty():
+        final = cut(components(final.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(more)), "final")
+    own = member.join(final.withColumnRenamed("id", "class_id"), "class_id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "class_id")).alias("component_id"), F.min("class_id").alias("class_id"))
+    out = sig.select("doc_id", "n_shingles").join(own, "doc_id", "left").withColumns({c: F.coalesce(c, "doc_id") for c in ("component_id", "class_id")})
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

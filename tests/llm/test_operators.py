@@ -101,6 +101,28 @@ def test_near_duplicates_apart_in_hot_buckets(frame, monkeypatch):
     assert [(r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(df).orderBy("doc_id").collect()] == [(i, i if i != 1 else 0) for i in range(1002)]
 
 
+def test_near_duplicates_of_repeated_and_null_ids(frame):
+    """Several texts of one id link as one document; a null id links with nothing and is kept."""
+    make = lambda k, n=30: " ".join(f"w{k}x{i}" for i in range(n))
+    rows = [(1, make(1)), (5, make(1)), (5, make(2)), (7, make(2) + " more"), (8, make(3)), (8, make(3)), (9, make(4)), (9, ""), (3, make(4)), (None, make(1)), (None, None)]
+    df = frame([(i, t, "a", 1, "x") for i, t in rows], DOCS)
+    got = sorted(((r["doc_id"] or -1, r["component_id"], r["kept"]) for r in minhash.near_duplicates(df).collect()), key=lambda r: r[0])
+    assert got == [(-1, None, True), (-1, None, True), (1, 1, True), (3, 3, True), (5, 1, False), (5, 1, False), (7, 1, False), (8, 8, True), (8, 8, True), (9, 3, False), (9, 3, False)]
+
+
+@pytest.mark.parametrize("chunks", [(2, 3), (2048, 8192)])
+def test_hot_buckets_of_near_copies(frame, monkeypatch, chunks):
+    """A group of near copies over many chunks, and unlike documents with the same opening, cost rows in proportion."""
+    rng = random.Random(12)
+    make = lambda k: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(k)]
+    base, opening = make(120), make(60)
+    texts = [" ".join(base[:i] + ["changed", str(i)] + base[i:]) for i in range(60)] + [" ".join(opening + make(60)) for _ in range(60)]
+    monkeypatch.setattr(minhash, "CHUNK", 8)
+    monkeypatch.setattr(minhash, "SKETCHES", chunks)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame([(i, t, "a", 1, "x") for i, t in enumerate(texts)], DOCS)).collect()}
+    assert got == {i: 0 if i < 60 else i for i in range(120)}
+
+
 def test_odd_sketches_estimate():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2, (1, minhash.BITS)).astype(np.uint8)
