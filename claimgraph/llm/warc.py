@@ -6,11 +6,13 @@ members' offsets in a sidecar index, so that a reader can fetch any record alone
 and is bounded by ``ARCHIVE_BYTES`` of payload and one record; rows of binary content can be stored wherever Spark writes.
 
 Of equal payloads of at least ``LEAST`` bytes the smallest id's is kept as a response and the others become revisit
-records that refer to it. Only digests and ids are shuffled, never payloads.
+records that refer to it. The smallest id of each payload that occurs twice is joined by digest; Spark broadcasts that
+table where it is small, and otherwise moves each page once.
 
-Defined cases: null html is an empty payload; payloads under ``LEAST`` bytes are always responses; ids are expected to be
-distinct, and rows that repeat one are records each; a null url is written as an empty target; an empty table gives no
-archives and no rows; a null id takes no part.
+Defined cases: null html is an empty payload; payloads under ``LEAST`` bytes are always responses; rows that repeat an id
+are records each, and those that hold the payload's smallest id are all responses; a null id has a record and is always a
+response; a null url is written as an empty target; an empty table gives no archives and no rows; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -31,11 +33,11 @@ LEAST = 100
 _PIECE = 1 << 18
 
 
-def record(page_id: int, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One WARC record. A revisit keeps the HTTP header, with the length of the payload that it leaves out."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     body = http + (payload if refers_to is None else b"")
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Target-URI: {' '.join(url.split())}", f"WARC-Payload-Digest: sha256:{digest}"]
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Target-URI: {' '.join(url.split())}", f"WARC-Payload-Digest: sha256:{digest}"]
     if refers_to is not None:
         head += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
@@ -102,21 +104,14 @@ def normalise(content: bytes, level: int = 6) -> tuple[bytes, list[tuple[int, in
     return bytes(out), index
 
 
-def digests(pages: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest and refers_to of each page (id, html)."""
-    payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
-    own = pages.select("page_id", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest"))
-    own = cut(own, "digests")
-    first = own.filter(F.col("payload_bytes") >= LEAST).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = cut(first.select("payload_digest", "first"), "first")
-    return own.join(first, "payload_digest", "left").select("page_id", "payload_bytes", "payload_digest", F.when(F.col("first") != F.col("page_id"), F.col("first")).alias("refers_to"))
-
-
 def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", level: int = 2) -> DataFrame:
     """(archive, content): gzip files of one member over all their records."""
-    pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")).filter("page_id is not null")
-    known = digests(pages.select("page_id", "html"))
-    copies = cut(known.filter("refers_to is not null").select("page_id", "refers_to"), "copies")
+    payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
+    pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    pages = pages.withColumn("digest", F.sha2(payload, 256)).withColumn("long", F.octet_length(payload) >= LEAST)
+    first = pages.filter("long").groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null")
+    first = cut(first.select("digest", "first"), "first")
+    known = pages.join(first, "digest", "left").select("page_id", "url", "html", "digest", F.when(F.col("long") & (F.col("first") != F.col("page_id")), F.col("first")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n, size, out = TaskContext.get().partitionId(), 0, 0, bytearray()
@@ -130,16 +125,16 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
             return done
 
         for batch in batches:
-            for page_id, url, html, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page_id, url, html, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 payload = (html or "").encode()
-                out += zip_.compress(record(page_id, url or "", payload, hashlib.sha256(payload).hexdigest(), refers_to))
+                out += zip_.compress(record(page_id, url or "", payload, digest, refers_to))
                 size += len(payload) + 400
                 if size >= ARCHIVE_BYTES:
                     yield close()
         if size:
             yield close()
 
-    return pages.join(copies, "page_id", "left").select("page_id", "url", "html", "refers_to").mapInArrow(run, "archive string, content binary")
+    return known.mapInArrow(run, "archive string, content binary")
 
 
 def normalise_archives(archives: DataFrame) -> DataFrame:
@@ -160,7 +155,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
     """Records of normalised archives, each fetched through the index: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = lambda x: int(x[10:-1])  # noqa: E731  <urn:page:7>
+        number = lambda x: int(x[10:-1]) if len(x) > 11 else None  # noqa: E731  <urn:page:7>
         for batch in batches:
             for content, index in zip(batch.column(0), batch.column(1), strict=True):
                 view, rows = memoryview(content.as_buffer()), []
