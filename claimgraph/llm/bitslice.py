@@ -7,25 +7,29 @@ Negative digits add the complemented slices, which shifts all scores of the quer
 of all rows; the top k are read from its most significant slice downward, and rows that tie at the boundary are resolved
 exactly, by id. Scores of the few rows found are then added up directly.
 
-Blocks of rows meet groups of queries by key, each block with each group once; a block keeps k rows a query, and a last
-window over k rows a block and query ranks them. Work is queries times rows, as the exact answer asks.
-
-Defined cases: null vectors and those holding null or non-finite components take no part; vectors of another length
-than the query's are not compared with it; a zero vector scores 0; equal scores rank by id, repeated ids by row; fewer
-than k candidates give all of them; an empty table gives no rows.
+Every row goes to one block, whose index is built once; the queries are sent to every block and stream by behind it. A
+block keeps k rows a query, and a last window over k rows a block and query ranks them. Work is queries times rows, as
+the exact answer asks; what is shuffled is each row once and each query once a block.
+
+Defined cases: null ids, null vectors and those holding null or non-finite components take no part; vectors of another
+length than the query's are not compared with it; a zero vector scores 0; equal scores rank by id; rows that repeat an
+id are queries and candidates each, the query's own row alone being left out; fewer than k candidates give all of them;
+an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, partitions
 
-BLOCK = 16_384
-GROUP = 512
+#: Least and most rows of a block; in between there are as many blocks as shuffle partitions.
+BLOCK = (1024, 16_384)
 
 
 def digits(value: int) -> list[tuple[int, int]]:
@@ -119,39 +123,71 @@ def quantised(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> D
     return vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).filter(fine & F.col("vec_id").isNotNull()).select("vec_id", F.transform("v", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values, starts and sizes of an Arrow list column."""
+    offsets = column.offsets.to_numpy()
+    return column.values.to_numpy(), offsets[:-1], np.diff(offsets)
+
+
+class Block:
+    """The rows of one block: an index for each length of vectors, rows in the order of ids."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        self.own: dict[int, tuple] = {}
+        ids, rows = (np.concatenate([b.column(k).to_numpy() for b in batches]) for k in (2, 3))
+        flat, starts, sizes = _flat(pa.concat_arrays([b.column(4) for b in batches]))
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            r = np.flatnonzero(sizes == size)
+            r = r[np.lexsort((rows[r], ids[r]))]
+            by_row = np.argsort(rows[r])
+            self.own[size] = (Slices(flat[starts[r][:, None] + np.arange(size)]), ids[r], rows[r], by_row, rows[r][by_row])
+
+    def top(self, query: np.ndarray, row: int, k: int) -> Iterator[tuple[int, int, int]]:
+        """(vec_id, row, score) of the k best rows other than ``row``."""
+        if len(query) not in self.own:
+            return
+        index, ids, rows, by_row, sorted_rows = self.own[len(query)]
+        a, b = np.searchsorted(sorted_rows, [row, row + 1])
+        best = index.top(query, k, by_row[a:b])
+        yield from zip(ids[best].tolist(), rows[best].tolist(), (index.values[best] @ query).tolist(), strict=True)
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest integer inner products with rows other than its own.
 
     ``is_query`` is a condition on ``vec_id``.
     """
-    rows = cut(quantised(vectors, scale, id_col, vector_col), "quantised")
-    n, m = rows.agg(F.count("*"), F.count_if(is_query)).first()
-    blocks, groups = max(1, -(-n // BLOCK)), max(1, -(-m // GROUP))
-    left = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn("query", F.lit(False))
-    right = rows.filter(is_query).withColumn("group", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).withColumn("query", F.lit(True))
-
-    def run(t: pa.Table) -> pa.Table:
-        ids, own = t["vec_id"].to_numpy(), t["query"].to_numpy(zero_copy_only=False)
-        lists = t["v"].combine_chunks()
-        lists = lists if not isinstance(lists, pa.ChunkedArray) else pa.concat_arrays(lists.chunks)
-        sizes = np.diff(lists.offsets.to_numpy())
-        flat, starts = lists.values.to_numpy(), lists.offsets.to_numpy()[:-1]
-        found: list[tuple] = []
-        for size in np.unique(sizes[own]).tolist():
-            at = lambda mask: np.flatnonzero(mask & (sizes == size))  # noqa: B023, E731
-            q, r = at(own), at(~own)
-            if not size or not len(r):
-                continue
-            r = r[np.argsort(ids[r], kind="stable")]
-            index = Slices(flat[starts[r][:, None] + np.arange(size)])
-            for i in q.tolist():
-                query = flat[starts[i] : starts[i] + size]
-                a, b = np.searchsorted(ids[r], [ids[i], ids[i] + 1])
-                top = index.top(query, k, np.arange(a, b))
-                found += zip([int(ids[i])] * len(top), ids[r][top].tolist(), (index.values[top] @ query).tolist(), strict=True)
-        q, v, s = zip(*found, strict=True) if found else ((), (), ())
-        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.int64())})
-
-    best = left.unionByName(right).groupBy("block", "group").applyInArrow(run, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    # a row's own number is written with it, so that it stays
+    rows = cut(quantised(vectors, scale, id_col, vector_col).withColumn("row", F.monotonically_increasing_id()), "quantised")
+    n, tasks = rows.count(), partitions(rows.sparkSession)
+    blocks = max(1, -(-n // min(max(-(-n // tasks), BLOCK[0]), BLOCK[1])))
+    cols = ["block", "query", "vec_id", "row", "v"]
+    left = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).withColumn("query", F.lit(False)).select(cols)
+    right = rows.filter(is_query).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).withColumn("query", F.lit(True)).select(cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, block = None, [], None
+        for batch in batches:
+            key, query = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (query[1:] != query[:-1]))))[: batch.num_rows]
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), batch.num_rows], strict=True):
+                part = batch.slice(a, b - a)
+                if key[a] != at:
+                    at, held, block = key[a], [], None
+                if not query[a]:
+                    held.append(part)
+                    continue
+                if block is None:
+                    block, held = Block(held) if held else None, []
+                if block is None:
+                    continue
+                ids, own = part.column(2).to_pylist(), part.column(3).to_pylist()
+                flat, starts, sizes = _flat(part.column(4))
+                found = [(own[i], ids[i], *x) for i in range(len(ids)) for x in block.top(flat[starts[i] : starts[i] + sizes[i]], own[i], k)]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["query_row", "query_id", "vec_id", "row", "score"])
+
+    both = left.unionByName(right).repartition(tasks, "block").sortWithinPartitions("block", "query")
+    best = both.mapInArrow(run, "query_row long, query_id long, vec_id long, row long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
