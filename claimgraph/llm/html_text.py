@@ -1,10 +1,12 @@
 """Main text of web pages, with site templates removed.
 
-Two passes parse the pages. The first hashes every block element's subtree and counts, in Spark, on how many pages of a
-host each occurs, pages with the same main text counting once; a host's templates are the subtrees on many of its pages. They are gathered as one short array a host,
-bounded by the share of pages that each needs, and joined to the pages; Spark broadcasts that table only if it is small.
-The second pass drops templates and the elements that are never main text (menus, footers, forms, scripts and so on, by
-element, role or class) and joins the blocks that are left of the articles, or of the body where no article is left.
+Two passes parse the pages. The first hashes every block element's subtree, from the leaves up, and counts in Spark on how
+many pages of a host each occurs, pages with the same main text counting once; a host's templates are the subtrees on many
+of its pages. They are gathered as one short array a host, bounded by the share of pages that each needs, and joined to
+the pages; Spark broadcasts that table only if it is small. The second pass deletes the templates first. Rules take what
+they leave, since much of a page's frame differs from page to page and small hosts have no templates: elements that are
+never main text (menus, footers, forms, scripts and so on, by element, role or class) go, and the blocks left are joined,
+those of the articles, or of the body where no article is left. Counts tell how many characters each of them removed.
 A class or id marks an element by a whole token or a token's first word. It drops no element that is or holds an article,
 but for articles that are reader comments. Articles held by such an element do not make the rest of the body no main text.
 
@@ -12,14 +14,16 @@ What recurs inside articles is content as a rule, copies of an article above all
 over half of the host's pages have it.
 
 Defined cases: null and empty html give an empty text; pages without markup give their text; broken markup is read as
-browsers read it in the main (unclosed blocks end where their parent ends); null urls are one host; repeated rows are
-pages each; an empty table gives no rows.
+browsers read it in the main (unclosed blocks end where their parent ends, a quote that is never closed does not count, a
+tag that never ends is text), in time linear in its length; null urls are one host; repeated rows are
+pages each; a null id stays null; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,7 +35,11 @@ from .common import cut
 
 #: A template is on at least so many pages of its host, and on at least such a share of them, outside and inside articles.
 LEAST_PAGES, SHARE, SHARE_INSIDE = 5, 0.05, 0.5
-_TAG = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*>?|/([a-zA-Z][^\s/>]*)[^>]*>|([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>)""", re.S)
+_OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/<>]*))")
+_COMMENT_END = re.compile("--!?>")
+_STOP = re.compile("[>\"']")
+#: Open elements at most; what is nested deeper belongs to the last of them, as in browsers.
+DEPTH = 512
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes".split())
 _BLOCKS = frozenset(
@@ -50,10 +58,45 @@ _ENDS_P = _BLOCKS - {"body", "head", "html", "td", "th", "tr", "tbody", "thead",
 
 
 class _Open:
-    __slots__ = ("blocks", "dropped", "main", "marks", "start", "tag")
+    __slots__ = ("blocks", "dropped", "main", "marks", "parts", "tag")
 
-    def __init__(self, tag: str, start: int, blocks: int, dropped: bool, main: bool, marks: tuple[int, ...]):
-        self.tag, self.start, self.blocks, self.dropped, self.main, self.marks = tag, start, blocks, dropped, main, marks
+    def __init__(self, tag: str, head: str, blocks: int, dropped: bool, main: bool, marks: tuple[int, ...]):
+        self.tag, self.parts, self.blocks, self.dropped, self.main, self.marks = tag, [head], blocks, dropped, main, marks
+
+
+class _Ends:
+    """Where tags end, quotes observed; linear over a page, however broken: no quote is followed in vain twice."""
+
+    def __init__(self, source: str):
+        self.source, self.dead, self.last = source, set(), source.rfind(">")
+        self.clear = (0, -1)  # a stretch without stops, and the stop behind it
+
+    def _stop(self, at: int) -> int:
+        if not self.clear[0] <= at <= self.clear[1]:
+            m = _STOP.search(self.source, at)
+            self.clear = (at, m.start() if m else len(self.source))
+        return self.clear[1]
+
+    def tag(self, at: int) -> int:
+        """The place behind the end of an opening tag from ``at``; a quote that is never closed does not count; -1 if none."""
+        seen, here = [], at
+        while here <= self.last:
+            k = self._stop(here)
+            if self.source[k] == ">":
+                return k + 1
+            if k in self.dead:
+                break
+            seen.append(k)
+            end = self.source.find(self.source[k], k + 1)
+            if end < 0:
+                break
+            here = end + 1
+        self.dead.update(seen)
+        return self.plain(at)
+
+    def plain(self, at: int) -> int:
+        """The place behind the next > from ``at``, or -1."""
+        return self.source.index(">", at) + 1 if at <= self.last else -1
 
 
 def _never_main(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
@@ -75,14 +118,22 @@ def _never_main(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
     return False, marked
 
 
-def parse(source: str) -> tuple[list[tuple[str, bool, bool, bool]], list[tuple[int, int, int, int, bool]]]:
-    """Blocks (text, dropped, in an article, in a kept article that no mark is on or around) and subtrees (start, end, first block, end block, in an article) of a page."""
+def parse(source: str) -> tuple[list[tuple[str, bool, bool, bool]], list[tuple[int, int, int, bool]]]:
+    """Blocks (text, dropped, in an article, in a kept article that no mark is on or around) and subtrees (key, first block, end block, in an article) of a page.
+
+    A subtree's key hashes its tags, its text and its subtrees' keys, from the leaves up; scripts and styles do not count.
+    """
     blocks: list[tuple[str, bool, bool, tuple[int, ...]]] = []
-    trees: list[tuple[int, int, int, int, bool]] = []
-    stack = [_Open("", 0, 0, False, False, ())]
+    trees: list[tuple[int, int, int, bool]] = []
+    stack = [_Open("", "", 0, False, False, ())]
+    open_: Counter[str] = Counter()
     holds: list[bool] = []  # of each marked element, whether it is or holds a kept article
     text: list[str] = []
 
+    def add(piece: str) -> None:
+        text.append(piece)
+        stack[-1].parts.append(piece)
+
     def flush() -> None:
         if text:
             whole = " ".join(entities.unescape("".join(text)).split())
@@ -90,76 +141,90 @@ def parse(source: str) -> tuple[list[tuple[str, bool, bool, bool]], list[tuple[i
                 blocks.append((whole, stack[-1].dropped, stack[-1].main, stack[-1].marks))
             text.clear()
 
-    def close(depth: int, end: int) -> None:
+    def close(depth: int) -> None:
         flush()
         while len(stack) > depth:
             x = stack.pop()
-            if x.tag not in ("html", "body", "article", "main"):
-                trees.append((x.start, end, x.blocks, len(blocks), x.main))
-
-    at = 0
-    while True:
-        m = _TAG.search(source, at)
-        if m is None:
-            text.append(source[at:])
-            break
-        if m.start() > at:
-            text.append(source[at : m.start()])
-        at = m.end()
+            open_[x.tag] -= 1
+            key = _key("".join(x.parts))
+            stack[-1].parts.append(f"\0{key}\0")
+            if x.tag not in ("html", "body", "article", "main") and len(blocks) > x.blocks:
+                trees.append((key, x.blocks, len(blocks), x.main))
+
+    ends, at, done = _Ends(source), 0, 0
+    while (m := _OPEN.search(source, at)) is not None:
+        start, at = m.start(), m.end()
         if m[1]:
-            tag = m[1].lower()
+            end = _COMMENT_END.search(source, at)
+            end = end.end() if end else len(source)
+        elif m[2]:
+            end = ends.plain(at)
+            end = end if end > 0 else len(source)
+        else:
+            end = ends.plain(at) if m[3] else ends.tag(at)
+            if end < 0:
+                continue  # no tag: text
+        if start > done:
+            add(source[done:start])
+        at = done = end
+        tag = m[4].lower() if m[4] else ""
+        if m[3]:
             if tag in _BLOCKS:
+                if not open_[tag]:
+                    flush()
+                    continue
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth].tag == tag:
-                        close(depth, at)
+                        close(depth)
                         break
-                else:
-                    flush()
             elif tag == "br":
-                text.append(" ")
+                add(" ")
             continue
-        if not m[2]:
+        if not tag:
             continue
-        tag = m[2].lower()
         if tag in _RAW:
             end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.I).search(source, at)
-            at = end.end() if end else len(source)
+            at = done = end.end() if end else len(source)
             continue
         if tag in ("br", "img", "wbr", "input"):
             if tag != "wbr":
-                text.append(" ")
+                add(" ")
             continue
         if tag not in _BLOCKS:
+            stack[-1].parts.append(source[start:end])
             continue
         flush()
-        if tag in _ENDS_P:
+        if tag in _ENDS_P and open_["p"]:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == "p":
-                    close(depth, m.start())
+                    close(depth)
                     break
                 if stack[depth].tag in ("button", "td", "th", "caption"):
                     break
         if tag in _CLOSES:
-            ends, bounds = (x.split() for x in _CLOSES[tag])
+            own, bounds = (x.split() for x in _CLOSES[tag])
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag in bounds:
                     break
-                if stack[depth].tag in ends:
-                    close(depth, m.start())
+                if stack[depth].tag in own:
+                    close(depth)
                     break
-        if tag in _LONE:
+        if tag in _LONE or len(stack) > DEPTH:
             continue
-        up = stack[-1]
-        never, marked = _never_main(tag, m[3] or "", up.main)
-        dropped, main, marks = up.dropped or never, tag in ("article", "main") or 'role="main"' in (m[3] or ""), up.marks
+        up, attributes = stack[-1], source[m.end() : end - 1]
+        never, marked = _never_main(tag, attributes, up.main)
+        dropped, main, marks = up.dropped or never, tag in ("article", "main") or 'role="main"' in attributes, up.marks
         if marked:
             marks = (*marks, len(holds))
             holds.append(False)
         if main and not dropped:
             for k in marks:
                 holds[k] = True
-        stack.append(_Open(tag, m.start(), len(blocks), dropped, up.main or main, marks))
-    close(1, len(source))
+        stack.append(_Open(tag, source[start:end], len(blocks), dropped, up.main or main, marks))
+        open_[tag] += 1
+    if done < len(source):
+        add(source[done:])
+    close(1)
     flush()
     out = []
     for whole, dropped, main, marks in blocks:
@@ -182,10 +247,9 @@ def subtree_counts(pages: DataFrame) -> DataFrame:
         for batch in batches:
             hosts, keys, inside, articles = [], [], [], []
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                source = html or ""
-                blocks, trees = parse(source)
+                blocks, trees = parse(html or "")
                 article = _key("\n".join(x[0] for x in blocks if x[2] or not x[1]))
-                own = {(_key(source[a:b]), main) for a, b, i, j, main in trees if j > i}
+                own = {(key, main) for key, _, _, main in trees}
                 hosts += [host] * (len(own) + 1)
                 keys += [None, *(k for k, _ in own)]
                 inside += [False, *(m for _, m in own)]
@@ -204,28 +268,39 @@ def templates(pages: DataFrame) -> DataFrame:
     return cut(common.groupBy("host").agg(F.collect_set("key").alias("keys")), "templates")
 
 
+_COUNTS = ("n_chars", "n_templates", "template_chars", "rule_chars", "outside_chars")
+
+
+def main_text(html: str, known: set[int]) -> tuple[str, int, int, int, int]:
+    """The text; the template subtrees deleted; the characters that went with them, by rules, and for being outside the articles."""
+    blocks, trees = parse(html)
+    gone, n = set(), 0
+    for key, i, j, _ in trees if known else ():
+        if key in known:
+            gone.update(range(i, j))
+            n += 1
+    left = [x for k, x in enumerate(blocks) if k not in gone]
+    own = [x for x in left if not x[1]]
+    main = [x for x in own if x[2]] if any(x[3] for x in own) else own
+    chars = lambda rows: sum(len(x[0]) for x in rows)
+    return "\n\n".join(x[0] for x in main), n, chars(blocks) - chars(left), chars(left) - chars(own), chars(own) - chars(main)
+
+
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per page: page_id, url, text, n_chars, n_templates (subtrees removed as templates)."""
+    """One row per page: page_id, url, text, n_chars, n_templates (subtrees deleted as templates), and the characters that went with templates, by rules and for being outside the articles."""
     url = F.col(url_col).cast("string")
     host = F.regexp_replace(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), r"\.$", "")
     pages = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), F.coalesce(host, F.lit("")).alias("host"), F.col(html_col).cast("string").alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, removed = [], []
+            texts, counts = [], []
             for html, keys in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                blocks, trees = parse(html or "")
-                gone, n = set(), 0
-                known = set(keys or ())
-                for a, b, i, j, _ in trees if known else ():
-                    if j > i and _key(html[a:b]) in known:
-                        gone.update(range(i, j))
-                        n += 1
-                own = [x for k, x in enumerate(blocks) if not x[1] and k not in gone]
-                main = [x[0] for x in own if x[2]] if any(x[3] for x in own) else [x[0] for x in own]
-                texts.append("\n\n".join(main))
-                removed.append(n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int64())], names=["page_id", "url", "text", "n_chars", "n_templates"])
+                text, *own = main_text(html or "", set(keys or ()))
+                texts.append(text)
+                counts.append((len(text), *own))
+            numbers = [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)] if counts else [pa.array([], pa.int64())] * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), *numbers], names=["page_id", "url", "text", *_COUNTS])
 
     out = pages.join(templates(pages), "host", "left").select("page_id", "url", "html", "keys")
-    return out.mapInArrow(run, "page_id long, url string, text string, n_chars long, n_templates long")
+    return out.mapInArrow(run, "page_id long, url string, text string, " + ", ".join(f"{c} long" for c in _COUNTS))
