@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import words as w
+from .common import cut
 
 #: Most labelled rows that are used for fitting.
 SAMPLE = 10_000
@@ -110,7 +111,11 @@ def label_model(votes: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.nda
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
-    """Feature weights and bias, learned from rows whose crc32(doc_id as text) mod 5 is not 0."""
+    """Feature weights and bias, learned from rows whose crc32(doc_id as text) mod 5 is not 0.
+
+    The sample's features stay in a written table. What reaches the driver is bounded: a row each of the features that
+    pass the thresholds, of at most ``SPACE``, and of each sampled row its voters and its classifier features.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,75 +127,71 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # the sample's ids and labels are SAMPLE rows at most, so they are broadcast and no text is shuffled
-    found = texts.join(F.broadcast(known), "doc_id").select("label", "text").mapInArrow(run, "label int, features array<int>").toArrow().combine_chunks()
-    y = found["label"].to_numpy().astype(float) if found.num_rows else np.empty(0)
-    lists = found["features"].combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32()))
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.combine_chunks()
-    feature = lists.flatten().to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(lists.offsets.to_numpy())) if len(y) else np.empty(0, np.int32)
-    weights = np.zeros(SPACE, np.float32)
-    seed = _seed_features()
-    if y.sum() < 3 or (1 - y).sum() < 3:
+    found = texts.join(F.broadcast(known), "doc_id").select("label", "text").mapInArrow(run, "label int, features array<int>")
+    found = cut(found.withColumn("row", F.monotonically_increasing_id()), "sample")
+    pos, n = (x or 0 for x in found.agg(F.sum("label"), F.count("*")).first())
+    neg, weights, seed = n - pos, np.zeros(SPACE, np.float32), _seed_features()
+    if pos < 3 or neg < 3:
         weights[seed] = 4.0
         return weights, -2.5
-    pos, neg = y.sum(), (1 - y).sum()
-    c1 = np.bincount(feature, y[row], SPACE)
-    c0 = np.bincount(feature, 1 - y[row], SPACE)
-    rate = (pos + 1) / (pos + neg + 2)
-    z = (c1 - (c1 + c0) * rate) / np.sqrt((c1 + c0 + 1) * rate * (1 - rate))
-    odds = np.log((c1 + 0.5) / (pos + 1)) - np.log((c0 + 0.5) / (neg + 1))
-    score = np.where((c1 >= 2) & (odds > 1.2), z, 0)
-    learned = np.argsort(-score, kind="stable")[:VOTERS]
-    learned = learned[score[learned] > 3]
-    voters = np.unique(np.concatenate((seed, learned)))
 
-    def dense(columns: np.ndarray) -> np.ndarray:
+    def signs(rows: DataFrame, share: str, total: float) -> DataFrame:
+        """(f, c1, c0, z, odds): how each feature's weight ``share`` in class 1 stands out."""
+        rate = (total + 1) / (n + 2)
+        by = rows.select(F.explode("features").alias("f"), F.col(share).cast("double").alias("p")).groupBy("f").agg(F.sum("p").alias("c1"), (F.count("*") - F.sum("p")).alias("c0"))
+        z = (F.col("c1") - (F.col("c1") + F.col("c0")) * rate) / F.sqrt((F.col("c1") + F.col("c0") + 1) * rate * (1 - rate))
+        return by.withColumn("z", z).withColumn("odds", F.log((F.col("c1") + 0.5) / (total + 1)) - F.log((F.col("c0") + 0.5) / (n - total + 1)))
+
+    def strongest(rows: DataFrame, most: int) -> np.ndarray:
+        return np.array([r["f"] for r in rows.orderBy(F.desc("z"), "f").limit(most).select("f").collect()], np.int64)
+
+    def picked(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The rows' keys and labels, and (row, column) of those features among ``columns`` that each has."""
+        t = found.select("row", "label", F.array_intersect("features", F.lit(columns.tolist()).cast("array<int>")).alias("own")).orderBy("row").toArrow()
+        own = [x.values for x in t["own"]]
         place = np.full(SPACE, -1)
         place[columns] = np.arange(len(columns))
-        out = np.zeros((len(y), len(columns)), np.float32)
-        own = place[feature] >= 0
-        out[row[own], place[feature[own]]] = 1
-        return out
+        at = np.repeat(np.arange(n), [len(x) for x in own])
+        return t["row"].to_numpy(), t["label"].to_numpy().astype(float), at, place[np.concatenate([x.to_numpy() for x in own])]
 
-    post, _, _ = label_model(np.concatenate((y[:, None], dense(voters)), 1).astype(float))
+    learned = strongest(signs(found, "label", pos).filter("c1 >= 2 and odds > 1.2 and z > 3"), VOTERS)
+    voters = np.unique(np.concatenate((seed, learned)))
+    keys, y, at, col = picked(voters)
+    votes = np.zeros((n, len(voters) + 1))
+    votes[:, 0] = y
+    votes[at, col + 1] = 1
+    post, _, _ = label_model(votes)
     # the classifier: features that the posterior labels single out, and their weights
-    c1, c0 = np.bincount(feature, post[row], SPACE), np.bincount(feature, 1 - post[row], SPACE)
-    rate = (post.sum() + 1) / (len(y) + 2)
-    z = np.abs(c1 - (c1 + c0) * rate) / np.sqrt((c1 + c0 + 1) * rate * (1 - rate))
-    odds = np.log((c1 + 0.5) / (post.sum() + 1)) - np.log((c0 + 0.5) / ((1 - post).sum() + 1))
-    z = np.where((c1 + c0 >= 3) & (odds > PURE), z, 0)
-    chosen = np.argsort(-z, kind="stable")[:FEATURES]
-    chosen = np.unique(np.concatenate((seed, chosen[z[chosen] > STRONG])))
-    place = np.full(SPACE, -1)
-    place[chosen] = np.arange(len(chosen))
-    own = place[feature] >= 0
-    at, col = row[own], place[feature[own]]
-    target = 0.5 * post + 0.5 * y
-    beta, bias = np.zeros(len(chosen)), float(np.log(rate / (1 - rate)))
-    m1, m2, t = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1), 0
+    spark, total = found.sparkSession, float(post.sum())
+    posts = F.broadcast(spark.createDataFrame(pa.table({"row": keys, "post": post})))  # a number each of at most SAMPLE rows
+    strong = signs(found.join(posts, "row"), "post", total).filter((F.col("c1") + F.col("c0") >= 3) & (F.col("odds") > PURE) & (F.col("z") > STRONG))
+    chosen = np.unique(np.concatenate((seed, strongest(strong, FEATURES))))
+    _, _, at, col = picked(chosen)
+    beta, bias = np.zeros(len(chosen)), float(np.log((total + 1) / (n - total + 1)))
+    m1, m2 = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for t in range(1, 301):  # full-batch Adam
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(at, beta[col], len(y)) + bias, -30, 30)))
-        g = np.concatenate((np.bincount(col, (p - target)[at], len(chosen)) / len(y) + 2e-4 * beta, [(p - target).mean()]))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(at, beta[col], n) + bias, -30, 30)))
+        g = np.concatenate((np.bincount(col, (p - post)[at], len(chosen)) / n + 2e-4 * beta, [(p - post).mean()]))
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         move = 0.1 * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.999**t)) + 1e-9)
         beta, bias = beta - move[:-1], bias - move[-1]
     weights[chosen] = beta
     # the bias that tells the posterior labels apart best
-    logits = np.bincount(at, beta[col], len(y))
-    order = np.argsort(-logits)
-    hits = np.cumsum((y[order] > 0.5).astype(float))
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + pos)
+    logits = np.bincount(at, beta[col], n)
+    order = np.argsort(-logits, kind="stable")
+    hits = np.cumsum(post[order])
+    f1 = 2 * hits / (np.arange(1, n + 1) + total)
     ends = np.flatnonzero(np.concatenate((np.diff(logits[order]) < 0, [True])))
     k = ends[np.argmax(f1[ends])]
-    nxt = logits[order[k + 1]] if k + 1 < len(y) else logits[order[k]] - 1
-    bias = -float((logits[order[k]] + nxt) / 2)
-    weights[seed[(c1 + c0)[seed] < 1]] = max(1.2 * -bias, 0.0)  # seed words that no fitted row has
+    after = logits[order[k + 1]] if k + 1 < n else logits[order[k]] - 1
+    bias = -float((logits[order[k]] + after) / 2)
+    unseen = np.setdiff1d(np.arange(len(chosen)), col)
+    weights[np.intersect1d(seed, chosen[unseen])] = max(1.2 * -bias, 0.0)  # seed words that no fitted row has
     return weights, bias
 
 
-def score_rows(rows: DataFrame, docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``rows`` with a column score (0 to 1) of their texts, by a classifier fitted on ``docs`` and ``labels``."""
+def score_rows(rows: DataFrame, docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``rows`` with a new column ``score_col`` (0 to 1) of their texts, by a classifier fitted on ``docs`` and ``labels``."""
     weights, bias = fit(docs, labels, label_col, id_col, text_col)
     sent = rows.sparkSession.sparkContext.broadcast((weights, bias))  # SPACE floats, whatever the input
 
@@ -203,10 +204,9 @@ def score_rows(rows: DataFrame, docs: DataFrame, labels: DataFrame, label_col: s
             for first, end, own, found in _features(texts, strong):
                 logit = np.bincount(own, weights[found], end - first) + bias
                 scores[first:end] = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, score_col])
 
-    rows = rows.drop("score") if "score" in rows.columns else rows
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(score_col, DoubleType())]))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
