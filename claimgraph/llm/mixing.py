@@ -121,6 +121,24 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOS
     return out.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "row_id")
 
 
+def take(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The documents, each row as many times as the mix takes it; all columns stay, whatever their names.
+
+    Where ids repeat or are null, rows are told apart by a hash of all their columns, and equal rows by their place.
+    """
+    fresh = lambda name: name + "_" * (1 + max((len(c) for c in docs.columns if c.startswith(name)), default=0))
+    key, copies = fresh("key"), fresh("copies")
+    ids = docs.select(F.col(id_col).cast("long").alias("id"))
+    if ids.filter("id is null").isEmpty() and ids.groupBy("id").count().filter("count > 1").isEmpty():
+        keyed = docs.withColumn(key, F.col(id_col).cast("long"))
+    else:
+        keyed = docs.withColumn(key, F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns)))))
+        keyed = cut(keyed.withColumn(key, F.xxhash64(key, F.row_number().over(Window.partitionBy(key).orderBy(key)))), "keyed")
+    taken = cut(mix(keyed, id_col=key, **options).filter("copies > 0").select(F.col("doc_id").alias(key), F.col("copies").cast("int").alias(copies)), "copies")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    return keyed.join(taken, key).select(F.explode(F.array_repeat(row, F.col(copies))).alias("row")).select("row.*")
+
+
 def _settle(rounded: DataFrame, targets: DataFrame, most: int, seed: int) -> tuple[DataFrame, bool]:
     """Turn documents of sources that miss their target towards it; whether there were any.
 

@@ -241,6 +241,24 @@ def test_mixing_keeps_expected_copies():
     assert np.abs(mean - 0.3).max() < 0.06
 
 
+def test_taking_the_mix(frame):
+    """Repeated and null ids, and columns named like internal ones."""
+    rows = [(i % 5 if i % 7 else None, f"w{i} " * (i % 4), ["a", "b"][i % 2], 70 + i, 7, 9, i) for i in range(40)] + [(1, "same words", "a", 1, 2, 3, 99)] * 2
+    df = frame(rows, "doc_id long, text string, source string, copies int, nth int, row int, mark int")
+    taken, want = {}, {}
+    for r in mixing.take(df).collect():
+        assert tuple(r) in rows
+        taken[r["source"]] = taken.get(r["source"], 0) + len(words(r["text"]))
+    for r in mixing.mix(df).collect():
+        want[r["source"]] = r["target"]
+    assert all(abs(taken[s] - want[s]) <= 4 for s in want)
+    assert sorted(map(str, mixing.take(df).collect())) == sorted(map(str, mixing.take(df.repartition(2)).collect()))
+    plain = frame([(i, "w " * (i % 5), "ab"[i % 2], 0, 0, 0, i) for i in range(60)], df.schema)
+    counts = {r["doc_id"]: r["copies"] for r in mixing.mix(plain).collect()}
+    got = [r["doc_id"] for r in mixing.take(plain).collect()]
+    assert all(got.count(i) == n for i, n in counts.items())
+
+
 def test_secrets(frame):
     token = "ghp_" + "a" * 30
     good = token + secrets.checksum_base62("a" * 30)
@@ -309,6 +327,34 @@ def test_html_falls_back_to_the_body(frame):
     assert {r["page_id"]: r["text"] for r in got} == dict.fromkeys(range(len(pages)), "story")
 
 
+def test_html_templates_decide(frame):
+    """Blocks that recur on a host go, in and outside articles, with no rule on their names; counts tell by whom."""
+    share = "<div class=x><p>Read it in the app</p></div>"
+    rows = [(i, "http://a/", f"<body><div><p>Welcome to site A</p></div><div><p>text {i}</p></div></body>") for i in range(12)]
+    rows += [(100 + i, "http://b/", f"<article><h1>t {i}</h1>{share}<p>story {i}</p></article><footer>legal</footer><p>beside {i}</p>") for i in range(12)]
+    rows += [(200, "http://c/", f"<article><h1>t</h1>{share}<p>story</p></article>")]
+    got = {r["page_id"]: r for r in html_text.extract_text(frame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, host string, keys int")).collect()}
+    assert (got[3]["text"], got[3]["template_chars"], got[3]["rule_chars"]) == ("text 3", len("Welcome to site A"), 0)
+    assert got[103]["text"] == "t 3\n\nstory 3" and got[103]["template_chars"] == len("Read it in the app") + len("legal") and got[103]["outside_chars"] == len("beside 3")
+    assert got[200]["text"] == "t\n\nRead it in the app\n\nstory"
+
+
+@pytest.mark.parametrize("piece", ['<a href="', "<a href='\"", "<div ", "<div>", "<p><b", "<!-- ", "<a", "</", "<td><p>", '"<a', "<textarea>", "<li>"])
+def test_html_parses_broken_pages_in_linear_time(piece):
+    import time
+
+    began = time.process_time()
+    html_text.main_text(piece * 100_000 + " end", set())
+    html_text.main_text(piece * 100_000 + '">end', set())
+    assert time.process_time() - began < 8
+
+
+def test_html_broken_tags():
+    text = lambda x: html_text.main_text(x, set())[0]
+    assert text('<p title="a > b">one</p><p class=">two</p>three') == "one\n\ntwo\n\nthree"
+    assert text("a < b <3 <p>c<") == "a < b <3\n\nc<" and text("<div>" * 2000 + "deep" + "</div>" * 2000 + "after") == "deep\n\nafter"
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, keys string"
 
 
@@ -347,7 +393,7 @@ def test_near_vectors_in_chunks(frame, monkeypatch):
 
 
 def test_top_k(frame, monkeypatch):
-    monkeypatch.setattr(bitslice, "BLOCK", 100)
+    monkeypatch.setattr(bitslice, "BLOCK", (40, 100))
     rows, bad = vectors(3)
     got = bitslice.top_k(frame(rows + bad, VECTORS), F.col("vec_id") % 50 == 0).collect()
     x = {i: np.floor(256 * np.array(v, np.float32).astype(float)).astype(int) for i, v, _, _ in rows + [bad[1], bad[4]]}
@@ -364,6 +410,15 @@ def test_top_k_with_few_candidates(frame):
     assert got == [(0, 1, 7, 256 * 128 - 640 * 128), (0, 2, 9, 256 * 128 - 640 * 128)]
 
 
+def test_top_k_of_repeated_ids(frame):
+    """Rows of one id are queries each, and candidates of each other."""
+    rows = [(0, [2.0, 0.0], 0, ""), (0, [1.0, 1.0], 0, ""), (3, [1.0, 0.0], 0, ""), (3, [1.0, 0.0], 0, ""), (4, [0.0, 1.0], 0, ""), (None, [9.0, 9.0], 0, "")]
+    got = bitslice.top_k(frame([(*r, 7, 7) for r in rows], VECTORS + ", row int, block int"), F.col("vec_id") % 50 == 0).collect()
+    s = 256 * 256
+    want = [(0, 1, 0, 2 * s), (0, 2, 3, 2 * s), (0, 3, 3, 2 * s), (0, 4, 4, 0)] + [(0, 1, 0, 2 * s), (0, 2, 3, s), (0, 3, 3, s), (0, 4, 4, s)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 @pytest.mark.parametrize("sliced", [np.array([[0, 5], [-7, 300], [2, -1]]), np.array([[1], [1], [1]])])
 def test_slices_score_in_order(sliced):
     index = bitslice.Slices(sliced)
@@ -386,6 +441,15 @@ def test_warc_round_trip(frame):
         assert r["payload"] == (None if revisit else raw)
 
 
+def test_warc_repeated_and_null_ids(frame):
+    a, b = "a" * 200, "b" * 200
+    rows = [(1, "u", a, "d", 1), (2, "u", a, "d", 1), (2, "u", a, "d", 1), (2, "u", b, "d", 1), (None, "u", a, "d", 1), (None, None, None, "d", 1)]
+    pages = frame(rows, "page_id long, url string, html string, digest string, first int")
+    got = warc.read_archives(cut(warc.normalise_archives(cut(warc.write_archives(pages))))).collect()
+    want = [(-1, 0, "response", None), (-1, 200, "response", None), (1, 200, "response", None), (2, 200, "response", None), (2, 200, "revisit", 1), (2, 200, "revisit", 1)]
+    assert sorted((-1 if r["page_id"] is None else r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in got) == want
+
+
 def test_normaliser_reads_any_members():
     import gzip
 

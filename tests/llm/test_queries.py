@@ -56,6 +56,24 @@ def representatives(rows):
     return {i for i in ids if find(i) == i}
 
 
+def test_stages_keep_rows_of_any_shape(spark):
+    """Empty tables, null ids and texts, repeated rows and columns named like internal ones go through every stage."""
+    schema = "doc_id long, text string, source string, lang string, n_chars long, score string, copies int, kept boolean, label int, row string"
+    story = " ".join(f"word{i}" for i in range(30))
+    rows = [(i, f"{story} {i}" if i < 4 else f"text {i} of its own" + " pad" * i, "ab"[i % 2], "en", 9, "s", 5, False, 3, "r") for i in range(20)]
+    rows += [(7, "another text of seven", "a", "en", 9, "s", 5, False, 3, "r")] * 2 + [(None, "no id", "a", "en", 9, "s", 5, False, 3, "r"), (None, None, None, None, None, None, None, None, None, None), (30, "", "b", "en", 0, "s", 5, True, 3, "r")]
+    for own in (rows, []):
+        docs = spark.createDataFrame(own, schema)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = cut(stage(spark, docs, SF))
+            assert after.schema.simpleString() == docs.schema.simpleString(), name
+            if own:
+                assert {(r["score"], r["copies"], r["label"]) for r in after.collect()} <= {("s", 5, 3), (None, None, None)}
+                assert after.filter("doc_id is null and text = 'no id'").count() >= (1 if name != "mixing" else 0)
+            docs = after
+        assert bool(corpus_pipeline.STAGES[-1][1](spark, docs, SF).count()) == bool(own)
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     n = docs.count()
