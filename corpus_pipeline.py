@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from claimgraph.llm.common import cut, table
 from claimgraph.llm.minhash import near_duplicates
-from claimgraph.llm.mixing import mix
+from claimgraph.llm.mixing import take
 from claimgraph.llm.packing import pack
 from claimgraph.llm.queries import tokenizer_path
 from claimgraph.llm.secrets import redact_secrets
@@ -22,7 +22,8 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below 0.5."""
-    return score_rows(docs, docs, table(spark, sf_dir, "labels")).filter("score < 0.5").select(docs.columns)
+    score = "score" + "_" * max(map(len, docs.columns))
+    return score_rows(docs, docs, table(spark, sf_dir, "labels"), score_col=score).filter(F.col(score) < 0.5).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +40,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it."""
-    copies = cut(mix(docs).filter("copies > 0").select("doc_id", "copies"), "copies")
-    return docs.join(copies, "doc_id").withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(docs.columns)
+    return take(docs)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
