@@ -104,47 +104,3 @@ def _is_star(edges: DataFrame) -> bool:
     ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
     per = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
     return not per.agg(F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
-
-
-BLOOM_WORDS = 1 << 17
-
-
-def _bloom_bits(ids):
-    """Three bit places of each id in a bitmap of ``BLOOM_WORDS`` 64-bit words."""
-    from .words import mix
-
-    h = mix(ids.astype("int64").view("uint64") + 0x632BE59BD9B4E019)
-    return [((h >> shift) % (BLOOM_WORDS * 64)) for shift in (0, 21, 42)]
-
-
-def maybe_in(rows: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split ``rows`` by a Bloom filter of ``ids.key`` into those that may be in it and those that are surely not.
-
-    The filter is a bitmap of one megabyte whatever the number of ids; when it fills up, more rows pass and nothing is
-    lost. So wide rows of no interest stay out of the shuffle of the join that follows. Null keys are surely not in.
-    """
-    import numpy as np
-
-    def bits(batches):
-        for batch in batches:
-            word = np.concatenate([np.unique(b >> np.uint64(6) << np.uint64(6) | b & np.uint64(63)) for b in _bloom_bits(batch.column(0).drop_null().to_numpy())])
-            yield pa.RecordBatch.from_arrays([pa.array((word >> np.uint64(6)).astype("int64")), pa.array((np.uint64(1) << (word & np.uint64(63))).view("int64"))], names=["w", "b"])
-
-    found = ids.select(F.col(key).cast("long")).mapInArrow(bits, "w long, b long").groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    bitmap = np.zeros(BLOOM_WORDS, np.uint64)
-    bitmap[found["w"].to_numpy()] = found["b"].to_numpy().view(np.uint64)
-    sent = rows.sparkSession.sparkContext.broadcast(bitmap)
-
-    def keep(wanted: bool):
-        def run(batches):
-            for batch in batches:
-                column = batch.column(batch.schema.names.index(key))
-                inside = np.ones(batch.num_rows, bool)
-                for b in _bloom_bits(column.fill_null(0).to_numpy()):
-                    inside &= (sent.value[(b >> np.uint64(6)).astype("int64")] >> (b & np.uint64(63)) & np.uint64(1)).astype(bool)
-                inside &= ~column.is_null().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(inside == wanted))
-
-        return run
-
-    return rows.mapInArrow(keep(True), rows.schema), rows.mapInArrow(keep(False), rows.schema)

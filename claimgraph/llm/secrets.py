@@ -2,7 +2,7 @@
 
 One automaton holds the words that secrets begin with. At each hit the patterns of that word are matched, anchored where
 it starts; what they find with an embedded checksum is kept only if the checksum holds. Runs of hexadecimal digits have
-no keyword; eight of them in a row are what the pattern is anchored on. All positions count code points.
+no keyword that could announce them, so their pattern runs over the whole text. All positions count code points.
 
 The scan is one pass over the rows, without a shuffle.
 

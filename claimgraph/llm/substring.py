@@ -3,7 +3,7 @@
 Seeds are winnowed anchors: of every ``WINDOW`` words the least hash of ``GRAM`` consecutive words is picked, so that two
 documents with the same ``WINDOW`` words pick the same anchor in them. Documents are joined on anchors, and a seed is one
 that another document has too. Each document extends its seeds both ways, over all windows of ``WINDOW`` words that have
-the seed as their anchor; their hashes meet in one aggregation, which gives the smallest
+the seed as their anchor; their 128-bit hashes meet in one aggregation, which gives the smallest
 document of each. Runs of windows that a smaller document has are united to maximal repeats, and their words removed.
 
 Skew: whole copies are found first and enter once. Seeds and windows meet in aggregations that combine before the
@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as w
-from .common import cut, maybe_in
+from .common import cut
 
 WINDOW, GRAM = 50, 25
+_SALT = np.uint64(0xD1B54A32D192ED03)
 
 
 def _anchors(h: np.ndarray, window: int, gram: int) -> np.ndarray:
@@ -71,22 +72,23 @@ def seed_table(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _extend(window: int, gram: int):
-    """Hashes of the windows whose anchor is a seed."""
+    """128-bit hashes of the windows whose anchor is a seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out, rows = batch.column(0).to_numpy(), [], []
+            ids, out, rows, held = batch.column(0).to_numpy(), [], [], 0
             seeds = batch.column(2)
             for i, h in _hashed(batch.column(1)):
                 good = np.isin(_anchors(h, window, gram), seeds[i].values.to_numpy().view(np.uint64))
                 if not good.any():
                     continue
-                hashes = np.unique(w.windows(h, window)[good])
-                out.append(hashes)
+                hashes, at = np.unique(w.windows(h, window)[good], return_index=True)
+                out.append(np.stack((hashes, w.windows(w.mix(h + _SALT), window)[good][at])))
                 rows.append(np.full(len(hashes), ids[i]))
-                if sum(map(len, out)) > 200_000:
+                held += len(hashes)
+                if held > 200_000:
                     yield from _pairs(out, rows)
-                    out, rows = [], []
+                    out, rows, held = [], [], 0
             yield from _pairs(out, rows)
 
     return run
@@ -94,10 +96,11 @@ def _extend(window: int, gram: int):
 
 def _pairs(out: list, rows: list) -> Iterator[pa.RecordBatch]:
     if out:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(rows))], names=["h", "doc_id"])
+        h, g = np.concatenate(out, 1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(g), pa.array(np.concatenate(rows))], names=["h", "g", "doc_id"])
 
 
-def _remove(window: int, lists: bool):
+def _remove(window: int):
     """Kept words and maximal repeats of each text; column 2 says whether all goes, column 3 has the repeated windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,14 +108,13 @@ def _remove(window: int, lists: bool):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             spans, kept, total, gone = [], [], [], []
-            hashes = dict(_hashed(batch.column(1))) if lists else {}
-            for i, text in enumerate(texts):
-                parts = (text or "").encode().split()
+            for i, h in _hashed(batch.column(1)):
+                parts = (texts[i] or "").encode().split()
                 n, runs = len(parts), []
-                if lists and batch.column(2)[i].as_py():
+                if batch.column(2)[i].as_py():
                     runs = [(0, n)]
-                elif lists and batch.column(3)[i].is_valid:
-                    hit = np.isin(w.windows(hashes[i], window), batch.column(3)[i].values.to_numpy().view(np.uint64))
+                elif batch.column(3)[i].is_valid:
+                    hit = np.isin(w.windows(h, window), batch.column(3)[i].values.to_numpy().view(np.uint64))
                     depth = np.zeros(n + 1, np.int64)
                     at = np.flatnonzero(hit)
                     depth[at] += 1
@@ -151,13 +153,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
     shared = cut(anchors.groupBy("a").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x < y").select("a"), "shared")
     seeds = cut(anchors.join(shared, "a").groupBy("doc_id").agg(F.collect_list("a").alias("seeds")), "own")
 
-    near, _ = maybe_in(docs, "doc_id", seeds.select("doc_id"))
-    met = near.join(seeds, "doc_id").select("doc_id", "text", "seeds").mapInArrow(_extend(window, gram), "h long, doc_id long")
+    met = docs.join(seeds, "doc_id").select("doc_id", "text", "seeds").mapInArrow(_extend(window, gram), "h long, g long, doc_id long")
     met = cut(met, "windows")
-    first = cut(met.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("h", "first"), "first")
-    hits = met.join(first, "h").filter("first < doc_id").groupBy("doc_id").agg(F.collect_set("h").alias("windows"))
+    first = cut(met.groupBy("h", "g").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("h", "g", "first"), "first")
+    hits = met.join(first, ["h", "g"]).filter("first < doc_id").groupBy("doc_id").agg(F.collect_set("h").alias("windows"))
     hits = cut(hits.withColumn("all", F.lit(False)).unionByName(copy.select("doc_id", F.lit(None).cast("array<long>").alias("windows"), F.lit(True).alias("all"))), "hits")
-
-    near, clean = maybe_in(docs, "doc_id", hits.select("doc_id"))
-    changed = near.join(hits, "doc_id", "left").select("doc_id", "text", F.coalesce("all", F.lit(False)).alias("all"), "windows")
-    return changed.mapInArrow(_remove(window, True), _OUT).unionByName(clean.mapInArrow(_remove(window, False), _OUT))
+    changed = docs.join(hits, "doc_id", "left").select("doc_id", "text", F.coalesce("all", F.lit(False)).alias("all"), "windows")
+    return changed.mapInArrow(_remove(window), _OUT)

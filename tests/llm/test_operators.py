@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimgraph.llm import bitslice, html_text, minhash, mixing, neighbours, packing, secrets, substring, toxicity, warc
-from claimgraph.llm.common import components, cut, maybe_in
+from claimgraph.llm.common import components, cut
 from claimgraph.llm.queries import tokenizer_path
 
 DOCS = "doc_id long, text string, source string, bands int, component_id string"
@@ -139,13 +139,6 @@ def test_components(frame):
     assert got == {k: v for k, v in groups(pairs, ids | {7}).items() if k in ids}
 
 
-def test_bloom_filter_loses_nothing(frame):
-    df = frame([(i, str(i)) for i in range(500)] + [(None, "n")], "id long, v string")
-    inside, outside = maybe_in(df, "id", df.filter("id % 50 = 0").select("id"))
-    a, b = {r["v"] for r in inside.collect()}, {r["v"] for r in outside.collect()}
-    assert {str(i) for i in range(0, 500, 50)} <= a and not a & b and len(a | b) == 501 and len(a) < 60
-
-
 def test_remove_repeats(frame):
     rows = corpus(7)
     seen, want = {}, {}
