@@ -69,8 +69,44 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_minhash, op2_toxicity, op3_packing, op4_substring, op5_secrets, op6_html_text, op7_mixing, op8_neighbours, op9_bitslice, op10_warc)}
 
+#: Smallest node that each reaches by the links (a, b), a < b, of table ``links``; nodes without links have no row.
+_REACHED = """
+            e AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+            r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+            low AS (SELECT a, min(b) AS low FROM r GROUP BY a)
+"""
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
 #: DuckDB SQL of the queries that it can express and run on whole tables.
 ORACLES = {
+    "op1_minhash": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+            s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, CASE WHEN len(w) > 0 THEN 1 ELSE 0 END) + 1)) AS i FROM d)),
+            n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+            m AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+            links AS (SELECT a, b FROM m JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)),
+            {_REACHED}
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id, low IS NULL OR low >= d.doc_id AS kept
+        FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN low ON d.doc_id = low.a
+    """,
+    "op4_substring": f"""
+        WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+            t AS (SELECT doc_id, i, w[i] AS word, CASE WHEN i + 49 <= len(w) THEN md5(array_to_string(w[i : i + 49], ' ')) END AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+            f AS (SELECT h, min(doc_id) AS first FROM t WHERE h IS NOT NULL GROUP BY h),
+            k AS (SELECT doc_id, i, word, coalesce(max(CASE WHEN first < doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone FROM t LEFT JOIN f USING (h)),
+            o AS (SELECT doc_id, count(*) AS n_words, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM k GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN o USING (doc_id)
+    """,
+    "op8_neighbours": f"""
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+        ), links AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.v) = len(y.v) WHERE list_cosine_similarity(x.v, y.v) >= 0.93
+        ), {_REACHED}, n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, low IS NULL OR low >= vec_id AS kept
+        FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN low ON vec_id = low.a
+    """,
     "op9_bitslice": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings

@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     want = con.execute(ORACLES[name]).fetchall()
