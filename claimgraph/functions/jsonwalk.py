@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cols import first_match
@@ -22,32 +22,38 @@ LINKS_PER_DOCUMENT = 500
 
 
 def json_leaves(df: DataFrame, key: str, c: str, max_depth: int = 6) -> DataFrame:
-    """(key, path, name, value, mime) of every scalar leaf; JSON inside strings is parsed again.
+    """(key, path, name, value, mime, truncated) of every scalar leaf; JSON inside strings is parsed again.
 
-    Level by level, each container is exploded by Spark; the loop is over depth, not rows. ``mime`` is a sibling's type.
+    One pass: each level explodes the containers that are left and hands the leaves on; the loop is over depth, not rows.
+    ``mime`` is a sibling's type. Containers below ``max_depth`` come as rows without a value and texts with JSON of over
+    ``LONGEST_EMBEDDED`` characters unparsed, both with ``truncated`` set.
     """
-    level = df.select(key, F.lit("$").alias("path"), F.lit(None).cast("string").alias("name"), F.try_parse_json(F.col(c)).alias("v"), F.lit(None).cast("string").alias("mime")).filter("v is not null")
-    out = None
-    for _ in range(max_depth + 1):
-        kind = F.schema_of_variant("v")
-        text = F.expr("try_variant_get(v, '$', 'string')")
-        again = F.when((kind == "STRING") & text.rlike(r"^\s*[\[{]") & (F.length(text) <= LONGEST_EMBEDDED), F.try_parse_json(text))
-        level = level.withColumn("v", F.coalesce(again, "v"))
+    names = [key, "path", "name", "v", "mime", "truncated"]
+    no_text = F.lit(None).cast("string")
+    rows = df.select(key, F.lit("$").alias("path"), no_text.alias("name"), F.try_parse_json(F.col(c)).alias("v"), no_text.alias("mime"), F.lit(False).alias("truncated")).filter("v is not null")
+    value = F.expr("try_variant_get(v, '$', 'string')")
+    for depth in range(max_depth + 1):
+        held = F.schema_of_variant("v") == "STRING"
+        embedded = held & value.rlike(r"^\s*[\[{]")
+        long = F.length(value) > LONGEST_EMBEDDED
+        rows = rows.withColumn("truncated", F.col("truncated") | F.coalesce(embedded & long, F.lit(False))).withColumn("v", F.coalesce(F.when(embedded & ~long, F.try_parse_json(value)), "v"))
         nested = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")
-        leaves = level.filter(~nested).select(key, "path", "name", F.expr("try_variant_get(v, '$', 'string')").alias("value"), "mime")
-        out = leaves if out is None else out.unionByName(leaves)
-        level.createOrReplaceTempView("_json_level")
-        own_mime = "coalesce(try_variant_get(l.v, '$.mimeType', 'string'), try_variant_get(l.v, '$.mime_type', 'string'), try_variant_get(l.v, '$.type', 'string'), l.mime)"
-        level = df.sparkSession.sql(
-            f"""SELECT l.{key}, CASE WHEN e.key IS NULL THEN concat(l.path, '[', e.pos, ']') ELSE concat(l.path, '.', e.key) END AS path,
-                coalesce(e.key, l.name) AS name, e.value AS v, {own_mime} AS mime
-            FROM _json_level l, LATERAL variant_explode(l.v) e WHERE schema_of_variant(l.v) LIKE 'OBJECT%' OR schema_of_variant(l.v) LIKE 'ARRAY%'"""
-        )
-    return out
+        if depth == max_depth:
+            break
+        rows = rows.withColumn("nested", nested)
+        own = rows.lateralJoin(df.sparkSession.tvf.variant_explode_outer(F.when(F.col("nested").outer(), F.col("v").outer())).toDF("_pos", "_key", "_value")).filter("not nested or _pos is not null")
+        below = lambda there, here: F.when(F.col("nested"), there).otherwise(here)
+        mime = F.coalesce(*(F.expr(f"try_variant_get(v, '$.{k}', 'string')") for k in ("mimeType", "mime_type", "type")), "mime")
+        path = F.when(F.col("_key").isNull(), F.concat("path", F.lit("["), F.col("_pos").cast("string"), F.lit("]"))).otherwise(F.concat("path", F.lit("."), "_key"))
+        rows = own.select(key, below(path, F.col("path")).alias("path"), below(F.coalesce("_key", "name"), F.col("name")).alias("name"), below(F.col("_value"), F.col("v")).alias("v"), below(mime, F.col("mime")).alias("mime"), "truncated").select(names)
+    return rows.select(key, "path", "name", F.when(~nested, value).alias("value"), "mime", (F.col("truncated") | nested).alias("truncated"))
 
 
 def classify_links(leaves: DataFrame, key: str) -> DataFrame:
-    """(key, url, kind, reason, confidence, path): links on the leaves, the first evidence of each kind and URL by path."""
+    """(key, url, kind, reason, confidence, path, beyond_limit): links on the leaves, the first evidence of each kind and URL by path.
+
+    ``beyond_limit`` marks the links of a document that come after its first ``LINKS_PER_DOCUMENT``; none is dropped.
+    """
     low, name, mime = F.lower("value"), F.lower("name"), F.lower(F.coalesce("mime", F.lit("")))
     is_link = F.col("value").rlike(r"^(?i)(https?|ipfs|ar)://\S+$")
     reason = first_match(
@@ -66,4 +72,5 @@ def classify_links(leaves: DataFrame, key: str) -> DataFrame:
     confidence = first_match([(F.col("reason") == r, c) for r, (_, c) in EVIDENCE.items()])
     rows = rows.select(key, F.col("value").alias("url"), kind.alias("kind"), "reason", confidence.alias("confidence"), "path")
     first = rows.groupBy(key, "kind", "url").agg(F.min(F.struct("path", "reason", "confidence")).alias("f"))
-    return first.select(key, "url", "kind", "f.reason", "f.confidence", "f.path")
+    place = F.row_number().over(Window.partitionBy(key).orderBy("f.path", "kind", "url"))
+    return first.withColumn("place", place).select(key, "url", "kind", "f.reason", "f.confidence", "f.path", (F.col("place") > LINKS_PER_DOCUMENT).alias("beyond_limit"))

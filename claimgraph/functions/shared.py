@@ -3,22 +3,42 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_dir(spark) -> str:
-    """The folder that all executors share; a temporary one is set only where the session names none."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where the session names none, a temporary folder is set if all runs in one process, and the warehouse is used on a cluster.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    if not folder and spark.sparkContext.master.startswith(("local[", "local")) and not spark.sparkContext.master.startswith("local-cluster"):
         folder = tempfile.mkdtemp(prefix="claimgraph-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_dir(spark)}/claimgraph/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write and reread ``df``."""
-    path = f"{shared_dir(df.sparkSession)}/claimgraph/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: the lineage ends there, and a lost executor costs no rework."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sweep(spark: SparkSession, hours: float = 24.0) -> int:
+    """Delete the tables in the shared folder that are older than ``hours``; run it when no query that wrote them still runs.
+
+    Results that have not been written elsewhere read such tables, so none is deleted as long as it may be needed.
+    """
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/claimgraph")
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [x.getPath() for x in fs.listStatus(top) if x.getModificationTime() < (time.time() - 3600 * hours) * 1000] if fs.exists(top) else []
+    return sum(bool(fs.delete(p, True)) for p in old)

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from .cols import first_match
 
-#: Fixed gateways to which content-addressed URIs are sent, in order.
-IPFS_GATEWAYS = ("https://ipfs.io/ipfs/", "https://cloudflare-ipfs.com/ipfs/", "https://gateway.pinata.cloud/ipfs/")
+#: Hosts that serve content-addressed paths, and the gateways to which such URIs are sent, in order.
+IPFS_HOSTS = ("ipfs.io", "gateway.ipfs.io", "dweb.link", "nftstorage.link", "w3s.link", "gateway.pinata.cloud", "cloudflare-ipfs.com")
+IPFS_GATEWAYS = ("https://ipfs.io/ipfs/", "https://dweb.link/ipfs/", "https://nftstorage.link/ipfs/")
 AR_GATEWAYS = ("https://arweave.net/",)
-_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)"
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
+_AUTHORITY = _SCHEME + r"//(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
 
 
 def scheme(c: Column) -> Column:
@@ -22,28 +24,45 @@ def host(c: Column) -> Column:
 
 
 def canonical_uri(c: Column) -> Column:
-    """struct(uri, error): gateways become ipfs or ar, hosts are lower-cased, default ports and fragments dropped; paths keep their case."""
-    t = F.trim(c)
+    """struct(uri, error): gateways become ipfs or ar, hosts are lower-cased, default ports and fragments dropped; paths keep their case.
+
+    A path gateway is a known host with /ipfs/ in its path, a subdomain gateway a known host behind an identifier and
+    .ipfs; other hosts stay what they are. Data URIs are kept whole if they hold JSON.
+    """
+    t = F.regexp_replace(F.trim(c), r"(?i)^arweave://", "ar://")
     kind, name = scheme(t), host(t)
-    rest = F.regexp_extract(t, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^#]*)", 1)
-    port = F.regexp_extract(t, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?[^/?#:]*:(\d+)", 1)
-    shown = F.when((port == "") | ((kind == "http") & (port == "80")) | ((kind == "https") & (port == "443")), "").otherwise(F.concat(F.lit(":"), port))
-    cid = F.regexp_extract(t, r"/ipfs/([A-Za-z0-9]+[^#]*)", 1)
-    ipfs = F.regexp_replace(F.regexp_extract(t, r"^(?i)ipfs://([^#]*)", 1), "^ipfs/", "")
-    arweave = F.coalesce(F.nullif(F.regexp_extract(t, r"^(?i)ar://([^#]*)", 1), F.lit("")), F.nullif(F.regexp_extract(t, r"^(?i)https?://(?:www\.)?arweave\.net/([^#]*)", 1), F.lit("")))
-    path = F.when(F.substring(rest, 1, 1).isin("/", "?"), F.when(F.substring(rest, 1, 1) == "?", F.concat(F.lit("/"), rest)).otherwise(rest)).otherwise(F.lit("/"))
-    web = F.concat(kind, F.lit("://"), name, shown, path)
+    found = lambda pattern: F.nullif(F.regexp_extract(t, pattern, 1), F.lit(""))
+    path = F.regexp_extract(t, _SCHEME + r"//[^/?#]*([^?#]*)", 1)
+    query = F.coalesce(found(r"^[^?#]*(\?[^#]+)"), F.lit(""))
+    port = F.regexp_extract(t, _AUTHORITY + r":(\d+)", 2)
+    usual = (port == "") | ((kind == "http") & (port == "80")) | ((kind == "https") & (port == "443"))
+    bare = lambda x: F.regexp_replace(x, "^/+", "")
+
+    known = F.coalesce(name.isin(*IPFS_HOSTS) | name.endswith(".mypinata.cloud"), F.lit(False))
+    by_path = F.nullif(bare(F.regexp_extract(path, "^.*?/ipfs/(.*)$", 1)), F.lit(""))
+    cid = F.nullif(F.regexp_extract(name, r"^(.+)\.ipfs\.(?:" + "|".join(h.replace(".", r"\.") for h in IPFS_HOSTS) + ")$", 1), F.lit(""))
+    again = F.concat(F.lit("ipfs/"), cid)
+    rest = F.when(bare(path) == again, "").when(bare(path).startswith(F.concat(again, F.lit("/"))), F.substr(bare(path), F.length(again) + 2)).otherwise(bare(path))
+    by_name = F.concat(cid, F.when(rest == "", "").otherwise(F.concat(F.lit("/"), rest)))
+    ipfs = F.when(known, by_path).otherwise(by_name)
+    ar = F.when(name == "arweave.net", F.nullif(bare(path), F.lit("")))
+
+    own = first_match([(ipfs.isNotNull(), "ipfs"), (ar.isNotNull(), "ar"), (kind.isin("ipfs", "ipns", "ar"), kind)])
+    body = F.coalesce(ipfs, ar, bare(F.regexp_extract(t, _SCHEME + "([^?#]*)", 1)))
+    body = F.when(own == "ipfs", F.regexp_replace(body, "(?i)^ipfs(/+|$)", "")).otherwise(body)
+    web = F.concat(kind, F.lit("://"), name, F.when(usual, "").otherwise(F.concat(F.lit(":"), port)), F.when(path == "", "/").otherwise(path), query)
     error = first_match(
         [
             (t.isNull() | (t == ""), "empty"),
-            (t.rlike(r"\s"), "whitespace"),
             (kind.isNull(), "no_scheme"),
-            (~kind.isin("http", "https", "ipfs", "ar", "data"), "scheme"),
-            (kind.isin("http", "https") & name.isNull(), "no_host"),
-            ((kind == "ipfs") & (ipfs == ""), "no_cid"),
+            (own.isNotNull() & (body == ""), "no_cid"),
+            (own.isNotNull() | t.rlike("(?i)^data:(?:application/(?:ld\\+)?json|text/json)"), None),
+            (~kind.isin("http", "https"), "scheme"),
+            (t.rlike(_SCHEME + "//[^/?#]*@"), "credentials"),
+            (name.isNull(), "no_host"),
         ]
     )
-    uri = first_match([(error.isNotNull(), None), (kind == "data", t), (kind == "ipfs", F.concat(F.lit("ipfs://"), ipfs)), (cid != "", F.concat(F.lit("ipfs://"), cid)), (arweave.isNotNull(), F.concat(F.lit("ar://"), arweave))], web)
+    uri = first_match([(error.isNotNull(), None), (own.isNotNull(), F.concat(own, F.lit("://"), body, query)), (kind == "data", t)], web)
     return F.struct(uri.alias("uri"), error.alias("error"))
 
 

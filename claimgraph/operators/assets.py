@@ -20,7 +20,7 @@ def little_endian(c: Column, at: int) -> Column:
 
 
 def validate_assets(df: DataFrame, key: str, c: str, largest: int = LARGEST, observed: Column | None = None) -> DataFrame:
-    """Header, JSON chunk, model spec, digests and status of binary model files."""
+    """Header, JSON chunk, model spec, digests and status of binary model files; a row each, also for files over a limit."""
     content = F.col(c)
     out = df.select(
         key,
@@ -43,7 +43,11 @@ def validate_assets(df: DataFrame, key: str, c: str, largest: int = LARGEST, obs
     spec = first_match([(has("VRMC_vrm"), "1.0"), (has("VRM"), "0.x")])
     status = first_match(
         [
+            (F.col("observed") > largest, "too_large"),
+            (F.col("length").isNull(), "no_content"),
             ((F.col("magic") != MAGIC) | F.col("version").isNull(), "not_glb"),
+            (F.col("total") > largest, "too_large"),
+            (F.col("json_length") > LARGEST_JSON, "json_too_large"),
             (~F.col("sound"), "bad_header"),
             (parsed.isNull(), "bad_json"),
             (F.col("observed") != F.col("total"), "length_mismatch"),

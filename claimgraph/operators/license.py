@@ -11,18 +11,24 @@ from ..functions.cols import first_match
 
 #: Fixed layer order: the first layer that says something about a dimension wins.
 LAYERS = ("url", "terms", "embedded", "manual")
+RULES = 10_000
 DIMENSIONS = ("use_scope", "commercial_scope", "redistribute_original", "modify")
 
 
 def statements(texts: DataFrame, entity: str, layer: str, c: str, mapping: DataFrame) -> DataFrame:
     """(entity, layer, dimension, value) that a mapping (layer, pattern, dimension, value) finds in the texts of one layer.
 
-    The mapping is a rule table of fixed size; the longest pattern of a text wins in each dimension.
+    The mapping is a rule table of at most ``RULES`` rows, which is checked before it is broadcast; distinct texts meet it,
+    and the longest pattern of a text wins in each dimension.
     """
-    rules = F.broadcast(mapping.filter(F.col("layer") == layer).select("pattern", "dimension", "value"))
-    hits = texts.select(entity, F.lower(F.col(c)).alias("t")).filter("t is not null").join(rules, F.contains(F.col("t"), F.col("pattern")))
-    best = hits.groupBy(entity, "t", "dimension").agg(F.max_by("value", F.struct(F.length("pattern"), "pattern")).alias("value"))
-    return best.select(entity, F.lit(layer).alias("layer"), "dimension", "value")
+    rules = mapping.filter(F.col("layer") == layer).select("pattern", "dimension", "value")
+    if rules.limit(RULES + 1).count() > RULES:
+        raise ValueError(f"a rule table holds at most {RULES} rows of a layer")
+    rules = F.broadcast(rules)
+    rows = texts.select(entity, F.lower(F.col(c)).alias("t")).filter("t is not null")
+    hits = rows.select("t").distinct().join(rules, F.contains(F.col("t"), F.col("pattern")))
+    best = hits.groupBy("t", "dimension").agg(F.max_by("value", F.struct(F.length("pattern"), "pattern")).alias("value"))
+    return rows.join(best, "t").select(entity, F.lit(layer).alias("layer"), "dimension", "value")
 
 
 def normalize_license(found: DataFrame, entity: str) -> DataFrame:

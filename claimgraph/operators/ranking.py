@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cols import first_match
+from ..functions.shared import cut
 
 #: Fixed weights of the lead score and fixed field priorities.
 LEAD_WEIGHTS = {"vrm": 8, "avatar": 5, "3d": 3, "metaverse": 2}
@@ -48,6 +49,20 @@ def natural_order(c: Column) -> list[Column]:
     return [F.when(c.rlike(r"^\d+$"), 0).otherwise(1), F.when(c.rlike(r"^\d+$"), c.try_cast("decimal(38,0)")), c]
 
 
+def numbered(df: DataFrame, keys: Sequence[Column | str], name: str = "place") -> DataFrame:
+    """``df`` with each row's place (from 1) in the order of ``keys``, which have to tell all rows apart.
+
+    Range partitions are sorted by themselves; a partition's rows start behind the counts of those before it, and only
+    these counts, one a partition, are summed up.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
+    rows = cut(rows.withColumn("_part", F.shiftright("_id", 33)).withColumn("_nth", F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id"), "numbered")
+    before = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = rows.groupBy("_part").agg(F.count("*").alias("n")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(starts), "_part").withColumn(name, F.col("_before") + F.col("_nth") + 1).drop("_part", "_nth", "_before")
+
+
 def strongest(df: DataFrame, key: str, rank: Column, seq: str) -> DataFrame:
     """One row a key: the strongest rank, the first seen of those."""
     cols = [c for c in df.columns if c != key]

@@ -108,25 +108,43 @@ def token_overlap_pairs(a: DataFrame, a_id: str, b: DataFrame, b_id: str, name:
     return near.join(same.withColumn("same_name", F.lit(True)), ["left_id", "right_id"], "full").withColumn("same_name", F.coalesce("same_name", F.lit(False)))
 
 
-def contains_match(a: DataFrame, a_id: str, a_name: Column, b: DataFrame, b_id: str, b_name: Column, small: int = 10_000) -> DataFrame:
-    """The first entity of ``b`` (by id) whose name contains the other's, or is contained in it.
+def token_duplicates(df: DataFrame, id_col: str, name: str) -> DataFrame:
+    """(id, first): rows whose name equals, or shares two words or one word of more than four letters with, that of an earlier row; the earliest.
 
-    The condition has no key to join on, so ``b`` has to be small: its size is checked before it is broadcast, and a larger
-    one, each name once, is matched by the pieces of up to three characters that the longer name holds of the shorter's start.
+    Every such word, pair of words and whole name is a key with its smallest id, so a word in every name costs a row each
+    and no pairs.
+    """
+    words = F.array_sort(F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(F.col(name)), "[^a-z0-9]+", " "), " "), lambda w: w != "")))
+    pairs = F.flatten(F.transform("w", lambda x, i: F.transform(F.slice("w", i + 2, F.size("w")), lambda y: F.concat_ws(" ", x, y))))
+    keys = F.array_union(F.concat(F.filter("w", lambda x: F.length(x) > 4), pairs), F.array(F.concat(F.lit("="), F.col(name))))
+    rows = df.filter(F.col(name).isNotNull()).withColumn("w", words).select(F.col(id_col).alias("id"), F.explode(keys).alias("k"))
+    first = rows.groupBy("k").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return rows.join(first, "k").filter("first < id").groupBy("id").agg(F.min("first").alias("first"))
+
+
+def _held(longer: DataFrame, shorter: DataFrame) -> DataFrame:
+    """(whole, part) pairs of distinct names ``whole`` that hold a name ``part``, joined on the rarest piece of the part."""
+    pieces = lambda c: F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.array(*(F.substring(c, i, F.lit(k)) for k in (1, 2, 3))))))
+    whole = longer.select("whole", F.explode(pieces(F.col("whole"))).alias("g"))
+    often = whole.groupBy("g").agg(F.count("*").alias("n"))
+    own = shorter.select("part", F.explode(F.filter(pieces(F.col("part")), lambda g: F.length(g) == F.least(F.length("part"), F.lit(3)))).alias("g"))
+    # a part of which some piece is in no name is held by none
+    rare = own.join(often, "g", "left").groupBy("part").agg(F.min_by("g", F.struct(F.coalesce("n", F.lit(0)), "g")).alias("g"))
+    return whole.join(rare, "g").filter(F.contains("whole", "part")).select("whole", "part")
+
+
+def contains_match(a: DataFrame, a_id: str, a_name: Column, b: DataFrame, b_id: str, b_name: Column) -> DataFrame:
+    """The first entity of ``b`` (by id) whose name contains the other's, or is contained in it; empty names match nothing.
+
+    Distinct names meet on a piece of up to three characters, the rarest one of the shorter name.
     """
     left = a.select(F.col(a_id).alias("left_id"), a_name.alias("ln")).filter(F.length("ln") > 0)
-    right = b.select(F.col(b_id).alias("right_id"), b_name.alias("rn")).filter(F.length("rn") > 0)
-    inside = F.col("ln").contains(F.col("rn")) | F.col("rn").contains(F.col("ln"))
-    if right.limit(small + 1).count() <= small:
-        met = left.join(F.broadcast(right), inside)
-    else:
-        right = right.groupBy("rn").agg(F.min("right_id").alias("right_id"))
-        grams = lambda c: F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.array(*(F.substring(c, i, F.lit(k)) for k in (1, 2, 3))))))
-        first = lambda c: F.substring(c, 1, 3)
-        one = left.withColumn("g", F.explode(grams(F.col("ln")))).join(right.withColumn("g", first(F.col("rn"))), "g").filter(F.col("ln").contains(F.col("rn")))
-        two = left.withColumn("g", first(F.col("ln"))).join(right.withColumn("g", F.explode(grams(F.col("rn")))), "g").filter(F.col("rn").contains(F.col("ln")))
-        met = one.unionByName(two)
-    return met.groupBy("left_id").agg(F.min("right_id").alias("right_id"))
+    right = b.select(F.col(b_id).alias("right_id"), b_name.alias("rn")).filter(F.length("rn") > 0).groupBy("rn").agg(F.min("right_id").alias("right_id"))
+    one, two = left.select("ln").distinct(), right.select("rn")
+    inside = _held(one.select(F.col("ln").alias("whole")), two.select(F.col("rn").alias("part"))).select(F.col("whole").alias("ln"), F.col("part").alias("rn"))
+    around = _held(two.select(F.col("rn").alias("whole")), one.select(F.col("ln").alias("part"))).select(F.col("part").alias("ln"), F.col("whole").alias("rn"))
+    best = inside.unionByName(around).join(right, "rn").groupBy("ln").agg(F.min("right_id").alias("right_id"))
+    return left.join(best, "ln").select("left_id", "right_id").groupBy("left_id").agg(F.min("right_id").alias("right_id"))
 
 
 def find_missing(candidates: Sequence[DataFrame], key: str, name: Column, catalog: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonwalk, text, uri
 from ..functions.cols import joined
-from ..functions.shared import cut, shared_dir
+from ..functions.shared import cut, fresh_path, shared_dir
 from ..operators import assets, graph, quality
 from ..sources import readers, writers
 from ..streaming import twins
@@ -44,38 +44,35 @@ def a3(t: Tables):
 
 
 def _written(df, fmt: str) -> str:
-    import uuid
-
-    path = f"{shared_dir(df.sparkSession)}/claimgraph/{fmt}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, fmt)
     df.write.format(fmt).save(path)
     return path
 
 
-@query("a4_read_shards")
+@query("a4_read_shards", "SELECT s_suppkey, s_name, s_suppkey % 7 > 0 AS valid FROM supplier")
 def a4(t: Tables):
-    rows = t.nation.select(F.col("n_nationkey").alias("entity"), F.to_json(F.struct("n_name", "n_regionkey")).alias("value"))
+    document = F.to_json(F.struct("s_name", "s_nationkey"))
+    rows = t.supplier.select(F.col("s_suppkey").alias("entity"), F.when(F.col("s_suppkey") % 7 > 0, document).otherwise(F.substring(document, 1, F.length(document) - 1)).alias("value"))
     path = _written_by(rows)
     shards = readers.read_shards(t.spark, f"{path}/*/*.txt")
-    return shards.select(F.regexp_extract("shard", r"entity=(\d+)", 1).cast("long").alias("n_nationkey"), F.get_json_object("document", "$.n_name").alias("n_name"), "valid")
+    return shards.select(F.regexp_extract("shard", r"entity=(\d+)", 1).cast("long").alias("s_suppkey"), F.regexp_extract("document", '"s_name":"([^"]*)"', 1).alias("s_name"), "valid")
 
 
 def _written_by(rows) -> str:
-    import uuid
-
-    path = f"{shared_dir(rows.sparkSession)}/claimgraph/shards-{uuid.uuid4().hex}"
+    path = fresh_path(rows.sparkSession, "shards")
     rows.repartition("entity").write.partitionBy("entity").text(path)
     return path
 
 
 @query(
     "a5_markdown_tables",
-    "SELECT n_regionkey AS region, r_name AS section, n_name AS name, CAST(n_nationkey AS VARCHAR) AS id FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 7 > 0",
+    "SELECT c_custkey AS customer, c_name AS section, o_orderpriority AS name, CAST(o_orderkey AS VARCHAR) AS id FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 7 > 0",
 )
 def a5(t: Tables):
-    row = F.when(F.col("n_nationkey") % 7 > 0, F.concat(F.lit("| "), "n_name", F.lit(" | "), F.col("n_nationkey").cast("string"), F.lit(" |"))).otherwise(F.concat(F.lit("| "), "n_name", F.lit(" | ragged | x |")))
-    docs = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("n_regionkey", "r_name").agg(F.array_join(F.array_sort(F.collect_list(row)), "\n").alias("rows"))
-    docs = docs.select(F.col("n_regionkey").alias("region"), F.concat(F.lit("Intro\n\n## "), "r_name", F.lit("\n\n| Name | Id |\n|---|---|\n"), "rows", F.lit("\n\nOutro")).alias("md"))
-    return readers.read_markdown_tables(docs, "region", "md").select("region", "section", F.col("cells")["Name"].alias("name"), F.col("cells")["Id"].alias("id"))
+    row = F.when(F.col("o_orderkey") % 7 > 0, F.concat(F.lit("| "), "o_orderpriority", F.lit(" | "), F.col("o_orderkey").cast("string"), F.lit(" |"))).otherwise(F.concat(F.lit("| "), "o_orderpriority", F.lit(" | ragged | x |")))
+    docs = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_custkey", "c_name").agg(F.array_join(F.array_sort(F.collect_list(row)), "\n").alias("rows"))
+    docs = docs.select(F.col("c_custkey").alias("customer"), F.concat(F.lit("Intro\n\n## "), "c_name", F.lit("\n\n| Name | Id |\n|---|---|\n"), "rows", F.lit("\n\nOutro")).alias("md"))
+    return readers.read_markdown_tables(docs, "customer", "md").select("customer", "section", F.col("cells")["Name"].alias("name"), F.col("cells")["Id"].alias("id"))
 
 
 @query(
@@ -98,36 +95,39 @@ def a8(t: Tables):
     return readers.flatten_stats(rows.select("o_custkey", F.to_json(F.struct("total", "intervals")).alias("j")), "o_custkey", "j", ["F", "P"]).select("o_custkey", "volume", "sales", "volume_F", "volume_P")
 
 
-@query("a10_write_snapshot")
+@query("a10_write_snapshot", "SELECT s_suppkey, s_name FROM supplier")
 def a10(t: Tables):
     path = writers.write_snapshot(t.supplier, f"{shared_dir(t.spark)}/claimgraph/snapshots", "supplier")
     return t.spark.read.parquet(path).select("s_suppkey", "s_name")
 
 
-@query("a11_write_sidecars")
+@query("a11_write_sidecars", "SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1")
 def a11(t: Tables):
-    import uuid
-
-    folder = f"{shared_dir(t.spark)}/claimgraph/sidecars-{uuid.uuid4().hex}"
+    folder = fresh_path(t.spark, "sidecars")
     writers.write_sidecars(t.supplier, "s_nationkey", folder)
     return t.spark.read.schema("s_suppkey long, s_name string, s_acctbal double, s_nationkey int").json(folder).groupBy("s_nationkey").agg(F.count("*").alias("n"))
 
 
-@query("g24_snapshot_id")
+@query("g24_snapshot_id", "SELECT true AS stable, true AS sensitive")
 def g24(t: Tables):
     one = writers.snapshot_id({"customer": t.customer, "orders": t.orders, "events": t.events}, ["events"])
     two = writers.snapshot_id({"orders": t.orders.repartition(7), "customer": t.customer.orderBy(F.desc("c_name"))})
-    return one.withColumn("x", F.lit(1)).join(two.select(F.col("snapshot_id").alias("again"), F.lit(1).alias("x")), "x").select("snapshot_id", (F.col("snapshot_id") == F.col("again")).alias("stable"))
+    other = writers.snapshot_id({"customer": t.customer.withColumn("c_name", F.upper("c_name")), "orders": t.orders})
+    ids = one.select("snapshot_id", F.lit(1).alias("n")).unionByName(two.select("snapshot_id", F.lit(2).alias("n"))).unionByName(other.select("snapshot_id", F.lit(3).alias("n")))
+    got = lambda n: F.max(F.when(F.col("n") == n, F.col("snapshot_id")))
+    return ids.agg((got(1) == got(2)).alias("stable"), (got(1) != got(3)).alias("sensitive"))
 
 
 @query(
     "h1_canonical_uri",
-    """SELECT page_id, CASE WHEN page_id % 9 = 0 THEN 'ipfs://QmAb' || page_id || '/a.json' WHEN page_id % 11 = 0 THEN NULL ELSE regexp_replace(CASE WHEN regexp_matches(url, '^[a-z]+://[^/]+/') THEN regexp_replace(url, '#.*$', '') ELSE regexp_replace(url, '#.*$', '') || '/' END, '^([a-z]+://[^/]+):(80|443)/', '\\1/') END AS uri,
-    CASE WHEN page_id % 9 > 0 AND page_id % 11 = 0 THEN 'scheme' END AS error FROM pages""",
+    """SELECT page_id, CASE WHEN page_id % 9 = 0 THEN 'ipfs://QmAb' || page_id || '/a.json' WHEN page_id % 9 = 1 THEN 'ipfs://bafy' || page_id || '/A.vrm?x=1' WHEN page_id % 9 = 2 THEN 'https://example.com/ipfs/Qm' || page_id WHEN page_id % 9 = 3 THEN 'ar://Tx' || page_id || '/m.json' WHEN page_id % 9 = 4 THEN 'ipfs://Qm' || page_id WHEN page_id % 11 = 0 THEN NULL ELSE regexp_replace(CASE WHEN regexp_matches(url, '^[a-z]+://[^/]+/') THEN regexp_replace(url, '#.*$', '') ELSE regexp_replace(url, '#.*$', '') || '/' END, '^([a-z]+://[^/]+):(80|443)/', '\\1/') END AS uri,
+    CASE WHEN page_id % 9 > 4 AND page_id % 11 = 0 THEN 'scheme' END AS error FROM pages""",
 )
 def h1(t: Tables):
     k = F.col("page_id")
-    raw = F.when(k % 9 == 0, F.concat(F.lit("https://Gateway.example.com:443/ipfs/QmAb"), k.cast("string"), F.lit("/a.json#x"))).when(k % 11 == 0, "ftp://a/b").otherwise(F.regexp_replace("url", "^https://([^/]+)", "HTTPS://$1:443"))
+    n = k.cast("string")
+    raw = F.when(k % 9 == 0, F.concat(F.lit("https://Gateway.Pinata.cloud:443/ipfs/QmAb"), n, F.lit("/a.json#x"))).when(k % 9 == 1, F.concat(F.lit("https://bafy"), n, F.lit(".ipfs.w3s.link/ipfs/bafy"), n, F.lit("/A.vrm?x=1")))
+    raw = raw.when(k % 9 == 2, F.concat(F.lit("https://Example.com:443/ipfs/Qm"), n)).when(k % 9 == 3, F.concat(F.lit("arweave://Tx"), n, F.lit("/m.json"))).when(k % 9 == 4, F.concat(F.lit("ipfs://ipfs/Qm"), n)).when(k % 11 == 0, "ftp://a/b").otherwise(F.regexp_replace("url", "^https://([^/]+)", "HTTPS://$1:443"))
     return t.pages.select("page_id", uri.canonical_uri(raw).alias("u")).select("page_id", "u.uri", "u.error")
 
 
@@ -142,7 +142,7 @@ def h2(t: Tables):
 
 @query(
     "h3_transports",
-    """SELECT page_id, unnest([0, 1, 2]) AS place, unnest(['https://ipfs.io/ipfs/c', 'https://cloudflare-ipfs.com/ipfs/c', 'https://gateway.pinata.cloud/ipfs/c']) || page_id AS url FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT page_id, 0, url FROM pages WHERE page_id % 2 = 1""",
+    """SELECT page_id, unnest([0, 1, 2]) AS place, unnest(['https://ipfs.io/ipfs/c', 'https://dweb.link/ipfs/c', 'https://nftstorage.link/ipfs/c']) || page_id AS url FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT page_id, 0, url FROM pages WHERE page_id % 2 = 1""",
 )
 def h3(t: Tables):
     c = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("ipfs://c"), F.col("page_id").cast("string"))).otherwise(F.col("url"))
@@ -240,13 +240,13 @@ def h15(t: Tables):
 
 @query(
     "h16_pointer_status",
-    "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'pointer' WHEN doc_id % 3 = 1 THEN 'mentions' ELSE 'none' END AS status, CASE WHEN doc_id % 3 = 0 THEN 'vrm_url' END AS param, CASE WHEN doc_id % 3 = 0 THEN 'https://v/' || doc_id || '.vrm' END AS url FROM documents",
+    "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'pointer' WHEN doc_id % 3 = 1 OR contains(lower(text), 'vrm') THEN 'mentions' ELSE 'none' END AS status, CASE WHEN doc_id % 3 = 0 THEN 'vrm_url' END AS param, CASE WHEN doc_id % 3 = 0 THEN 'https://v/' || doc_id || '.vrm' END AS url FROM documents",
 )
 def h16(t: Tables):
     k = F.col("doc_id")
     tail = F.when(k % 3 == 0, F.concat(F.lit(' "vrm_url": "https://v/'), k.cast("string"), F.lit('.vrm"'))).when(k % 3 == 1, " a VRM model").otherwise("")
     patterns = [("vrm_url", r'"vrm_url"\s*:\s*"([^"]+)"'), ("model", r'"model"\s*:\s*"([^"]+\.vrm)"')]
-    return t.documents.select("doc_id", text.pointer(F.concat(F.coalesce(F.lower("source"), F.lit("")), tail), patterns, "vrm").alias("p")).select("doc_id", "p.*")
+    return t.documents.select("doc_id", text.pointer(F.concat(F.coalesce("text", F.lit("")), tail), patterns, "vrm").alias("p")).select("doc_id", "p.*")
 
 
 def _glb(t: Tables):
@@ -287,12 +287,10 @@ def h13b(t: Tables):
     return out.select("p_partkey", "allowed_user", "commercial")
 
 
-@query("a7_read_assets")
+@query("a7_read_assets", "SELECT CASE WHEN p_partkey % 5 = 4 THEN 'not_glb' WHEN p_partkey % 4 > 1 THEN 'valid_glb_not_vrm' ELSE 'valid' END AS status, count(*) AS n FROM part GROUP BY 1")
 def a7(t: Tables):
-    import uuid
-
     rows = _glb(t)
-    folder = f"{shared_dir(t.spark)}/claimgraph/documents-{uuid.uuid4().hex}"
+    folder = fresh_path(t.spark, "assets")
     rows.select(F.hex("content").alias("value")).write.text(folder)
     found = readers.read_assets(t.spark, f"{folder}/*.txt")
     lines = found.select(F.explode(F.split(F.col("content").cast("string"), "\n")).alias("h")).filter("h <> ''").select(F.unhex("h").alias("content"))
@@ -312,11 +310,11 @@ def edges(t: Tables):
 
 @query(
     "i1_expand_frontier",
-    f"""WITH RECURSIVE {_EDGES}, r AS (SELECT c_custkey AS node, c_custkey AS entity, 0 AS depth, 10 AS pr FROM customer WHERE c_custkey < 4 UNION SELECT e.child, r.entity, r.depth + 1, e.pr FROM r JOIN e ON r.node = e.parent WHERE r.depth < 3)
+    f"""WITH RECURSIVE {_EDGES}, r AS (SELECT c_custkey AS node, c_custkey AS entity, 0 AS depth, 10 AS pr FROM customer UNION SELECT e.child, r.entity, r.depth + 1, e.pr FROM r JOIN e ON r.node = e.parent WHERE r.depth < 3)
     SELECT node, CAST(min(depth) AS INTEGER) AS depth, CAST(min(pr) AS INTEGER) AS priority, string_agg(DISTINCT CAST(entity AS VARCHAR), ',' ORDER BY CAST(entity AS VARCHAR)) AS bindings FROM r GROUP BY node""",
 )
 def i1(t: Tables):
-    seeds = t.customer.filter("c_custkey < 4").select(F.col("c_custkey").alias("node"), F.lit(10).alias("priority"), F.col("c_custkey").alias("entity"))
+    seeds = t.customer.select(F.col("c_custkey").alias("node"), F.lit(10).alias("priority"), F.col("c_custkey").alias("entity"))
     nodes, _ = graph.expand_frontier(seeds, edges(t), 3)
     return nodes.select("node", "depth", "priority", joined(F.transform("bindings", lambda x: x.cast("string"))).alias("bindings"))
 
@@ -358,13 +356,9 @@ def j1(t: Tables):
 
 @query("j2_latest_stream", "SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max(ts) AS ts FROM events GROUP BY 1")
 def j2(t: Tables):
-    import uuid
-
-    folder = f"{shared_dir(t.spark)}/claimgraph/latest-{uuid.uuid4().hex}"
-    run = twins.latest_stream(event_stream(t), "user_id", "ts", "event_id", folder)
-    run.awaitTermination()
-    last = run.lastProgress["batchId"] if run.lastProgress else 0
-    return t.spark.read.parquet(f"{folder}/v={last}").select("user_id", "event_type", "ts")
+    folder = fresh_path(t.spark, "latest")
+    twins.latest_stream(event_stream(t), "user_id", "ts", "event_id", folder).awaitTermination()
+    return twins.read_latest(t.spark, folder, "user_id", "ts", "event_id").select("user_id", "event_type", "ts")
 
 
 _POLICY = {"purchase": -1, "view": 86_400, "error": 3_600}
@@ -379,6 +373,18 @@ def j3(t: Tables):
     return twins.freshness(t.events, "event_type", "ts", _POLICY, 7 * 86_400, F.lit("2024-01-20").cast("timestamp")).select("event_id", "expires_at", "fresh")
 
 
+@query(
+    "j3_expiry_stream",
+    """WITH t AS (SELECT user_id, epoch_us(ts) // 1000 AS ms, CASE event_type WHEN 'purchase' THEN -1 WHEN 'view' THEN 86400 WHEN 'error' THEN 3600 ELSE 604800 END AS ttl FROM events), l AS (SELECT user_id, max(ms) AS ms FROM t GROUP BY 1),
+    e AS (SELECT t.user_id, t.ms + 1000 * max(ttl) AS expired_ms FROM t JOIN l ON t.user_id = l.user_id AND t.ms = l.ms GROUP BY t.user_id, t.ms HAVING min(ttl) >= 0)
+    SELECT CAST(user_id AS VARCHAR) AS key, expired_ms FROM e WHERE expired_ms < (SELECT max(ms) FROM t)""",
+)
+def j3b(t: Tables):
+    own = Tables(twins.stateful_session(t.spark), t.folder)
+    ttl = twins.ttl_of(F.col("event_type"), _POLICY, 7 * 86_400)
+    return twins.run_once(twins.expiry_stream(event_stream(own), "user_id", "ts", ttl, "0 seconds"), "expiry", t.spark)
+
+
 @query("g29_number_in_text", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 10000 + doc_id WHEN doc_id % 3 = 1 THEN 500 END AS n FROM documents")
 def g29b(t: Tables):
     k = F.col("doc_id")

@@ -15,8 +15,8 @@ def digits(c: str):
 
 @query(
     "c1_cascade_match",
-    """WITH l AS (SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN s_suppkey END AS id, CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey END AS nk, CASE WHEN s_suppkey % 5 < 2 THEN regexp_extract(s_name, '([0-9]+)$', 1) END AS nm, s_nationkey FROM supplier),
-    c AS (SELECT c_custkey, c_nationkey, regexp_extract(c_name, '([0-9]+)$', 1) AS nm FROM customer WHERE c_custkey < 40),
+    """WITH l AS (SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN s_suppkey * 30 END AS id, CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey * 2 END AS nk, CASE WHEN s_suppkey % 5 < 2 THEN regexp_extract(s_name, '([0-9]+)$', 1) END AS nm, s_nationkey FROM supplier),
+    c AS (SELECT c_custkey, c_nationkey, regexp_extract(c_name, '([0-9]+)$', 1) AS nm FROM customer),
     m AS (SELECT s_suppkey, min(c_custkey) AS e, 0 AS r FROM l JOIN c ON id = c_custkey GROUP BY 1 UNION ALL SELECT s_suppkey, min(c_custkey), 1 FROM l JOIN c ON nk = c_nationkey GROUP BY 1 UNION ALL SELECT s_suppkey, min(c_custkey), 2 FROM l JOIN c ON l.nm = c.nm GROUP BY 1),
     b AS (SELECT s_suppkey, arg_min(e, r) AS e, min(r) AS r FROM m GROUP BY 1),
     n AS (SELECT l.* FROM l LEFT JOIN b ON l.s_suppkey = b.s_suppkey WHERE b.r IS NULL),
@@ -25,27 +25,26 @@ def digits(c: str):
     FROM l LEFT JOIN b ON l.s_suppkey = b.s_suppkey LEFT JOIN a ON l.s_suppkey = a.s_suppkey""",
 )
 def c1(t: Tables):
-    catalog = t.customer.filter("c_custkey < 40")
     rules = [
-        ("id", F.when(F.col("s_suppkey") % 4 == 0, F.col("s_suppkey")), F.col("c_custkey")),
-        ("key", F.when(F.col("s_suppkey") % 3 == 0, F.col("s_nationkey")), F.col("c_nationkey")),
+        ("id", F.when(F.col("s_suppkey") % 4 == 0, F.col("s_suppkey") * 30), F.col("c_custkey")),
+        ("key", F.when(F.col("s_suppkey") % 3 == 0, F.col("s_nationkey") * 2), F.col("c_nationkey")),
         ("name", F.when(F.col("s_suppkey") % 5 < 2, digits("s_name")), digits("c_name")),
     ]
-    return resolve.cascade_match(t.supplier, "s_suppkey", catalog, "c_custkey", rules).select("s_suppkey", "entity", "same_as_lead", "matched_by")
+    return resolve.cascade_match(t.supplier, "s_suppkey", t.customer, "c_custkey", rules).select("s_suppkey", "entity", "same_as_lead", "matched_by")
 
 
 @query(
     "c2_page_cascade",
     """WITH p AS (SELECT page_id, regexp_extract(lower(url), '^[a-z]+://([^/?#:]*)', 1) AS host, TRY_CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS id FROM pages),
-    h AS (SELECT host, min(page_id) AS e FROM p WHERE page_id < 60 GROUP BY 1), c AS (SELECT c_custkey FROM customer WHERE c_custkey < 700)
+    h AS (SELECT replace(host, '.com', '.net') AS host, min(page_id) AS e FROM p GROUP BY 1), c AS (SELECT c_custkey * 2 AS c_custkey FROM customer)
     SELECT p.page_id, coalesce(c_custkey, h.e) AS entity, CASE WHEN c_custkey IS NOT NULL THEN 'key' WHEN h.e IS NOT NULL THEN 'host' ELSE 'new' END AS matched_by
-    FROM p LEFT JOIN c ON p.id = c_custkey LEFT JOIN h ON p.host = h.host WHERE p.page_id >= 60""",
+    FROM p LEFT JOIN c ON p.id = c_custkey LEFT JOIN h ON p.host = h.host""",
 )
 def c2(t: Tables):
     rows = t.pages.select("page_id", F.regexp_extract(F.lower("url"), "^[a-z]+://([^/?#:]*)", 1).alias("host"), F.regexp_extract("url", "/([0-9]+)", 1).try_cast("bigint").alias("id"))
-    catalog = t.customer.filter("c_custkey < 700").select(F.col("c_custkey").alias("entity_id"), F.col("c_custkey").alias("key"), F.lit(None).cast("string").alias("h"))
-    catalog = catalog.unionByName(rows.filter("page_id < 60").select(F.col("page_id").alias("entity_id"), F.lit(None).cast("bigint").alias("key"), F.col("host").alias("h")))
-    out = resolve.cascade_match(rows.filter("page_id >= 60"), "page_id", catalog, "entity_id", [("key", F.col("id"), F.col("key")), ("host", F.col("host"), F.col("h"))])
+    catalog = t.customer.select((F.col("c_custkey") * 2).alias("entity_id"), (F.col("c_custkey") * 2).alias("key"), F.lit(None).cast("string").alias("h"))
+    catalog = catalog.unionByName(rows.select(F.col("page_id").alias("entity_id"), F.lit(None).cast("bigint").alias("key"), F.replace("host", F.lit(".com"), F.lit(".net")).alias("h")))
+    out = resolve.cascade_match(rows, "page_id", catalog, "entity_id", [("key", F.col("id"), F.col("key")), ("host", F.col("host"), F.col("h"))])
     return out.select("page_id", "entity", F.when(F.col("matched_by").startswith("lead:"), "new").otherwise(F.col("matched_by")).alias("matched_by"))
 
 
@@ -62,8 +61,8 @@ def c3(t: Tables):
 
 @query(
     "c4_bind",
-    """WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN o_custkey * CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 100000 END END AS sup, list_value(o_orderkey % 40, o_orderkey % 11) AS keys FROM orders),
-    w AS (SELECT s_suppkey % 40 AS k, s_suppkey AS e FROM supplier WHERE s_suppkey < 30), x AS (SELECT o_orderkey, unnest(keys) AS k FROM r),
+    """WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN o_custkey * CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 100000 END END AS sup, list_value(o_custkey, o_orderkey % 11) AS keys FROM orders),
+    w AS (SELECT s_suppkey AS k, s_suppkey + 1 AS e FROM supplier), x AS (SELECT o_orderkey, unnest(keys) AS k FROM r),
     b AS (SELECT o_orderkey, min(e) AS lo, max(e) AS hi FROM x JOIN w ON x.k = w.k GROUP BY 1), h AS (SELECT o_orderkey, 5 AS e FROM orders WHERE o_orderkey % 13 = 0),
     j AS (SELECT r.o_orderkey, sup, c.c_custkey AS known, lo, hi, h.e AS hand FROM r LEFT JOIN customer c ON sup = c_custkey LEFT JOIN b ON r.o_orderkey = b.o_orderkey LEFT JOIN h ON r.o_orderkey = h.o_orderkey),
     k AS (SELECT *, coalesce(known, CASE WHEN NOT coalesce(lo <> hi, false) THEN coalesce(lo, hand) END) AS bound_to FROM j)
@@ -71,8 +70,8 @@ def c3(t: Tables):
 )
 def c4(t: Tables):
     key = F.col("o_orderkey")
-    records = t.orders.select("o_orderkey", F.when(key % 7 == 0, F.col("o_custkey") * F.when(key % 2 == 0, 1).otherwise(100000)).alias("sup"), F.array_distinct(F.array(key % 40, key % 11)).alias("ids"))
-    owners = t.supplier.filter("s_suppkey < 30").select((F.col("s_suppkey") % 40).alias("k"), F.col("s_suppkey").alias("c_custkey"))
+    records = t.orders.select("o_orderkey", F.when(key % 7 == 0, F.col("o_custkey") * F.when(key % 2 == 0, 1).otherwise(100000)).alias("sup"), F.array_distinct(F.array(F.col("o_custkey"), key % 11)).alias("ids"))
+    owners = t.supplier.select(F.col("s_suppkey").alias("k"), (F.col("s_suppkey") + 1).alias("c_custkey"))
     curated = t.orders.filter("o_orderkey % 13 = 0").select("o_orderkey", F.lit(5).cast("bigint").alias("c_custkey"))
     return resolve.bind(records, "o_orderkey", "sup", "ids", t.customer, "c_custkey", owners, "k", curated).select("o_orderkey", "bound_to", "diagnostic")
 
@@ -106,14 +105,13 @@ def c7(t: Tables):
 
 @query(
     "c8_token_overlap",
-    """WITH a AS (SELECT p_partkey, p_name || ' ' || p_type AS n FROM part WHERE p_partkey < 60), b AS (SELECT p_partkey, p_name || ' ' || p_type AS n FROM part WHERE p_partkey BETWEEN 60 AND 119),
-    x AS (SELECT DISTINCT p_partkey, unnest(string_split(lower(n), ' ')) AS w FROM a), y AS (SELECT DISTINCT p_partkey, unnest(string_split(lower(n), ' ')) AS w FROM b),
-    m AS (SELECT x.p_partkey AS l, y.p_partkey AS r, count(*) AS shared, max(length(x.w)) AS longest FROM x JOIN y ON x.w = y.w GROUP BY 1, 2)
-    SELECT l AS left_id, r AS right_id, shared, (SELECT n FROM a WHERE p_partkey = l) = (SELECT n FROM b WHERE p_partkey = r) AS same_name FROM m WHERE shared >= 2 OR longest > 4""",
+    """WITH a AS (SELECT p_partkey, p_name || ' ' || p_brand || ' ' || p_size AS n FROM part), x AS (SELECT DISTINCT p_partkey, unnest(string_split(trim(regexp_replace(lower(n), '[^a-z0-9]+', ' ', 'g')), ' ')) AS w FROM a),
+    k AS (SELECT p_partkey, w AS k FROM x WHERE length(w) > 4 UNION ALL SELECT x.p_partkey, x.w || ' ' || y.w FROM x JOIN x y ON x.p_partkey = y.p_partkey AND x.w < y.w UNION ALL SELECT p_partkey, '=' || n FROM a),
+    f AS (SELECT k, min(p_partkey) AS first FROM k GROUP BY k)
+    SELECT p_partkey AS id, min(first) AS first FROM k JOIN f ON k.k = f.k WHERE first < p_partkey GROUP BY 1""",
 )
 def c8(t: Tables):
-    rows = t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("n"))
-    return resolve.token_overlap_pairs(rows.filter("p_partkey < 60"), "p_partkey", rows.filter("p_partkey between 60 and 119"), "p_partkey", "n")
+    return resolve.token_duplicates(t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_size").alias("n")), "p_partkey", "n")
 
 
 @query(
@@ -126,13 +124,13 @@ def c9(t: Tables):
 
 @query(
     "c10_find_missing",
-    """SELECT id, name FROM (SELECT s_suppkey * 20 AS id, s_name AS name FROM supplier UNION SELECT p_partkey, p_name FROM part WHERE p_size = 3)
-    WHERE id NOT IN (SELECT c_custkey FROM customer) AND lower(replace(name, ' ', '')) NOT IN (SELECT lower(replace(p_name, ' ', '')) FROM part WHERE p_size = 5)""",
+    """SELECT id, name FROM (SELECT s_suppkey * 20 + 500000000 AS id, s_name AS name FROM supplier UNION SELECT p_partkey, p_name || ' ' || p_size FROM part)
+    WHERE id NOT IN (SELECT c_custkey FROM customer) AND lower(replace(name, ' ', '')) NOT IN (SELECT lower(replace(p_name, ' ', '')) || (p_size + 1) FROM part)""",
 )
 def c10(t: Tables):
-    a = t.supplier.select((F.col("s_suppkey") * 20).alias("id"), F.col("s_name").alias("name"))
-    b = t.part.filter("p_size = 3").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
-    catalog = t.customer.select(F.col("c_custkey").alias("id"), F.lit(None).cast("string").alias("name")).unionByName(t.part.filter("p_size = 5").select(F.lit(None).cast("bigint").alias("id"), F.col("p_name").alias("name")))
+    a = t.supplier.select((F.col("s_suppkey") * 20 + 500_000_000).alias("id"), F.col("s_name").alias("name"))
+    b = t.part.select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_size").alias("name"))
+    catalog = t.customer.select(F.col("c_custkey").alias("id"), F.lit(None).cast("string").alias("name")).unionByName(t.part.select(F.lit(None).cast("bigint").alias("id"), F.concat("p_name", (F.col("p_size") + 1).cast("string")).alias("name")))
     return resolve.find_missing([a, b], "id", F.lower(F.replace("name", F.lit(" "))), catalog.filter("id is not null or name is not null"))
 
 
@@ -159,13 +157,13 @@ def c11(t: Tables):
 
 @query(
     "c12_url_conflicts",
-    """WITH p AS (SELECT page_id, regexp_replace(regexp_replace(lower(url), '^https?://(m\\.|blog\\.)?', ''), '[?#].*$|/$', '', 'g') AS u FROM pages)
-    SELECT a.page_id, b.page_id AS other FROM p a JOIN p b ON regexp_extract(a.u, '^[^/]*', 0) = regexp_extract(b.u, '^[^/]*', 0) AND b.page_id < 30 AND a.page_id >= 30""",
+    """WITH p AS (SELECT page_id, regexp_replace(regexp_replace(lower(url), '^https?://(m\\.|blog\\.)?', ''), '[?#].*$|/$', '', 'g') AS u FROM pages), b AS (SELECT u, min(page_id) AS bound FROM p GROUP BY 1)
+    SELECT page_id, bound AS other FROM p JOIN b ON p.u = b.u WHERE page_id <> bound""",
 )
 def c12(t: Tables):
-    u = F.regexp_extract(F.regexp_replace(F.regexp_replace(F.lower("url"), r"^https?://(m\.|blog\.)?", ""), r"[?#].*$|/$", ""), "^[^/]*", 0)
-    catalog = t.pages.filter("page_id < 30").select("page_id", "url", F.array("page_id").alias("ids")).withColumnRenamed("page_id", "other")
-    return resolve.url_identity_conflicts(t.pages.filter("page_id >= 30").select("page_id", "url"), u, "page_id", catalog.select("url", "ids"), u, "ids").select("page_id", F.col("bound")[0].alias("other"))
+    u = F.regexp_replace(F.regexp_replace(F.lower("url"), r"^https?://(m\.|blog\.)?", ""), r"[?#].*$|/$", "")
+    catalog = t.pages.groupBy(u.alias("url")).agg(F.array(F.min("page_id")).alias("ids"))
+    return resolve.url_identity_conflicts(t.pages.select("page_id", "url"), u, "page_id", catalog, F.col("url"), "ids").select("page_id", F.col("bound")[0].alias("other"))
 
 
 @query(
@@ -305,7 +303,7 @@ def g12(t: Tables):
 
 @query(
     "a9_upsert_fill",
-    """WITH t AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS seg, c_name AS nm FROM customer WHERE c_custkey < 900), n AS (SELECT o_custkey AS k, arg_max(o_orderpriority, o_orderkey) AS seg, arg_max(o_orderstatus, o_orderkey) AS nm FROM orders GROUP BY 1)
+    """WITH t AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS seg, c_name AS nm FROM customer), n AS (SELECT 2 * o_custkey AS k, arg_max(o_orderpriority, o_orderkey) AS seg, arg_max(o_orderstatus, o_orderkey) AS nm FROM orders GROUP BY 1)
     SELECT coalesce(t.k, n.k) AS k, CASE WHEN coalesce(t.seg, '') = '' THEN n.seg ELSE t.seg END AS seg, CASE WHEN coalesce(t.nm, '') = '' THEN n.nm ELSE t.nm END AS nm FROM t FULL JOIN n ON t.k = n.k""",
 )
 def a9_fill(t: Tables):
@@ -313,11 +311,11 @@ def a9_fill(t: Tables):
 
 
 def _upsert_sides(t: Tables):
-    target = t.customer.filter("c_custkey < 900").select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment")).alias("seg"), F.col("c_name").alias("nm"))
-    return target, t.orders.select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("seg"), F.col("o_orderstatus").alias("nm"), F.col("o_orderkey").alias("o"))
+    target = t.customer.select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment")).alias("seg"), F.col("c_name").alias("nm"))
+    return target, t.orders.select((2 * F.col("o_custkey")).alias("k"), F.col("o_orderpriority").alias("seg"), F.col("o_orderstatus").alias("nm"), F.col("o_orderkey").alias("o"))
 
 
-_UPSERT = "WITH t AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS seg, c_name AS nm FROM customer WHERE c_custkey < 900), n AS (SELECT o_custkey AS k, arg_max(o_orderpriority, o_orderkey) AS seg, arg_max(o_orderstatus, o_orderkey) AS nm FROM orders GROUP BY 1) "
+_UPSERT = "WITH t AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS seg, c_name AS nm FROM customer), n AS (SELECT 2 * o_custkey AS k, arg_max(o_orderpriority, o_orderkey) AS seg, arg_max(o_orderstatus, o_orderkey) AS nm FROM orders GROUP BY 1) "
 
 
 @query("a9_upsert_replace", _UPSERT + "SELECT coalesce(t.k, n.k) AS k, CASE WHEN n.k IS NOT NULL THEN n.seg ELSE t.seg END AS seg, CASE WHEN t.k IS NOT NULL THEN t.nm ELSE n.nm END AS nm FROM t FULL JOIN n ON t.k = n.k")
@@ -347,14 +345,14 @@ def g13(t: Tables):
 
 @query(
     "g14_overlay",
-    """WITH b AS (SELECT c_custkey AS e, '$.tier' AS path, CASE WHEN c_custkey % 4 = 0 THEN '[]' ELSE c_mktsegment END AS v FROM customer WHERE c_custkey < 500), i AS (SELECT o_custkey AS e, '$.tier' AS path, min(CASE WHEN o_custkey % 6 = 0 THEN '' ELSE o_orderpriority END) AS v FROM orders GROUP BY 1),
+    """WITH b AS (SELECT c_custkey AS e, '$.tier' AS path, CASE WHEN c_custkey % 4 = 0 THEN '[]' ELSE c_mktsegment END AS v FROM customer), i AS (SELECT 2 * o_custkey AS e, '$.tier' AS path, min(CASE WHEN o_custkey % 6 = 0 THEN '' ELSE o_orderpriority END) AS v FROM orders GROUP BY 1),
     j AS (SELECT coalesce(b.e, i.e) AS e, b.v AS old, i.v AS new, b.e IS NOT NULL AS known FROM b FULL JOIN i ON b.e = i.e),
     o AS (SELECT *, CASE WHEN NOT known THEN 'unknown_entity' WHEN coalesce(new, '') IN ('', '[]', '{}', 'null') THEN 'same' WHEN coalesce(old, '') IN ('', '[]', '{}', 'null') THEN 'filled' WHEN old = new THEN 'same' ELSE 'preserved' END AS outcome FROM j)
     SELECT e, '$.tier' AS path, CASE WHEN outcome = 'filled' THEN new ELSE old END AS v, outcome FROM o""",
 )
 def g14(t: Tables):
-    base = t.customer.filter("c_custkey < 500").select(F.col("c_custkey").alias("e"), F.lit("$.tier").alias("path"), F.when(F.col("c_custkey") % 4 == 0, "[]").otherwise(F.col("c_mktsegment")).alias("v"))
-    incoming = t.orders.select(F.col("o_custkey").alias("e"), F.lit("$.tier").alias("path"), F.when(F.col("o_custkey") % 6 == 0, "").otherwise(F.col("o_orderpriority")).alias("v"))
+    base = t.customer.select(F.col("c_custkey").alias("e"), F.lit("$.tier").alias("path"), F.when(F.col("c_custkey") % 4 == 0, "[]").otherwise(F.col("c_mktsegment")).alias("v"))
+    incoming = t.orders.select((2 * F.col("o_custkey")).alias("e"), F.lit("$.tier").alias("path"), F.when(F.col("o_custkey") % 6 == 0, "").otherwise(F.col("o_orderpriority")).alias("v"))
     return merge.overlay(base, incoming, "e", "path", "v")
 
 
@@ -373,25 +371,25 @@ def g15(t: Tables):
 
 @query(
     "g16_apply_decisions",
-    """SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'include' WHEN c_custkey % 7 = 0 THEN 'exclude' END AS v, 'applied' AS side FROM customer WHERE c_custkey < 100 UNION ALL SELECT c_custkey, CASE WHEN c_custkey >= 100 THEN 'unknown_entity' ELSE 'invalid_decision' END, 'problem'
-    FROM customer WHERE (c_custkey >= 100 AND (c_custkey % 5 = 0 OR c_custkey % 7 = 0 OR c_custkey % 11 = 0)) OR (c_custkey < 100 AND c_custkey % 11 = 0 AND c_custkey % 5 > 0 AND c_custkey % 7 > 0)""",
+    """WITH d AS (SELECT 2 * c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'include' WHEN c_custkey % 7 = 0 THEN 'exclude' WHEN c_custkey % 11 = 0 THEN 'maybe' END AS d FROM customer)
+    SELECT c_custkey AS k, nullif(d, 'maybe') AS v, 'applied' AS side FROM customer LEFT JOIN d ON c_custkey = k UNION ALL SELECT k, CASE WHEN c_custkey IS NULL THEN 'unknown_entity' ELSE 'invalid_decision' END, 'problem' FROM d LEFT JOIN customer ON c_custkey = k WHERE d IS NOT NULL AND (c_custkey IS NULL OR d = 'maybe')""",
 )
 def g16(t: Tables):
     k = F.col("c_custkey")
-    decisions = t.customer.select(k.alias("k"), F.when(k % 5 == 0, "include").when(k % 7 == 0, "exclude").when(k % 11 == 0, "maybe").alias("d")).filter("d is not null")
-    applied, problems = merge.apply_decisions(t.customer.filter("c_custkey < 100").select(k.alias("k"), F.lit(None).cast("string").alias("d")), "k", decisions, "d", ["include", "exclude"])
+    decisions = t.customer.select((2 * k).alias("k"), F.when(k % 5 == 0, "include").when(k % 7 == 0, "exclude").when(k % 11 == 0, "maybe").alias("d")).filter("d is not null")
+    applied, problems = merge.apply_decisions(t.customer.select(k.alias("k"), F.lit(None).cast("string").alias("d")), "k", decisions, "d", ["include", "exclude"])
     return applied.select("k", F.col("d").alias("v"), F.lit("applied").alias("side")).unionByName(problems.select("k", F.col("problem").alias("v"), F.lit("problem").alias("side")))
 
 
 @query(
     "g17_materialize",
-    """WITH r AS (SELECT o_custkey AS k, 'status' AS f, o_orderstatus AS v FROM orders WHERE o_totalprice > 350000 UNION ALL SELECT o_custkey, 'priority', o_orderpriority FROM orders WHERE o_totalprice > 300000), w AS (SELECT k, min(v) FILTER (f = 'status') AS s, min(v) FILTER (f = 'priority') AS p FROM r GROUP BY 1)
-    SELECT coalesce(c_custkey, k) AS k, coalesce(CASE WHEN c_custkey % 2 = 0 THEN 'S' END, s) AS status, p AS priority FROM (SELECT * FROM customer WHERE c_custkey < 800) FULL JOIN w ON c_custkey = k""",
+    """WITH r AS (SELECT 2 * o_custkey AS k, 'status' AS f, o_orderstatus AS v FROM orders WHERE o_totalprice > 350000 UNION ALL SELECT 2 * o_custkey, 'priority', o_orderpriority FROM orders WHERE o_totalprice > 300000), w AS (SELECT k, min(v) FILTER (f = 'status') AS s, min(v) FILTER (f = 'priority') AS p FROM r GROUP BY 1)
+    SELECT coalesce(c_custkey, k) AS k, coalesce(CASE WHEN c_custkey % 2 = 0 THEN 'S' END, s) AS status, p AS priority FROM customer FULL JOIN w ON c_custkey = k""",
 )
 def g17(t: Tables):
-    base = t.customer.filter("c_custkey < 800").select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 2 == 0, "S").alias("status"), F.lit("").alias("priority"))
-    research = t.orders.filter("o_totalprice > 350000").select(F.col("o_custkey").alias("k"), F.lit("status").alias("f"), F.col("o_orderstatus").alias("v"))
-    research = research.unionByName(t.orders.filter("o_totalprice > 300000").select(F.col("o_custkey").alias("k"), F.lit("priority").alias("f"), F.col("o_orderpriority").alias("v")))
+    base = t.customer.select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 2 == 0, "S").alias("status"), F.lit("").alias("priority"))
+    research = t.orders.filter("o_totalprice > 350000").select((2 * F.col("o_custkey")).alias("k"), F.lit("status").alias("f"), F.col("o_orderstatus").alias("v"))
+    research = research.unionByName(t.orders.filter("o_totalprice > 300000").select((2 * F.col("o_custkey")).alias("k"), F.lit("priority").alias("f"), F.col("o_orderpriority").alias("v")))
     return merge.materialize(base, "k", research, "f", "v", ["status", "priority"])[0]
 
 
@@ -590,12 +588,13 @@ def g26(t: Tables):
 
 @query(
     "g25_verify_artifacts",
-    """SELECT c_custkey AS k, 'unknown_key' AS violation FROM customer WHERE c_custkey >= 1000 UNION ALL SELECT c_custkey, 'snapshot_mismatch' FROM customer WHERE c_custkey < 1000 AND c_custkey % 9 = 0 UNION ALL SELECT c_custkey, 'differs:seg' FROM customer WHERE c_custkey < 1000 AND c_custkey % 4 = 0 AND c_mktsegment <> 'BUILDING'""",
+    """WITH a AS (SELECT 2 * c_custkey AS k, c_custkey AS i, CASE WHEN c_custkey % 4 = 0 THEN 'BUILDING' ELSE c_mktsegment END AS seg FROM customer), j AS (SELECT a.*, c.c_custkey AS c, c.c_mktsegment AS own FROM a LEFT JOIN customer c ON k = c.c_custkey)
+    SELECT k, 'unknown_key' AS violation FROM j WHERE c IS NULL UNION ALL SELECT k, 'snapshot_mismatch' FROM j WHERE c IS NOT NULL AND i % 9 = 0 UNION ALL SELECT k, 'differs:seg' FROM j WHERE seg <> own""",
 )
 def g25(t: Tables):
     k = F.col("c_custkey")
-    canonical = t.customer.filter("c_custkey < 1000").select(k.alias("k"), F.lit("s1").alias("snap"), F.col("c_mktsegment").alias("seg"))
-    artifacts = t.customer.select(k.alias("k"), F.when(k % 9 == 0, "s0").otherwise("s1").alias("snap"), F.when(k % 4 == 0, "BUILDING").otherwise(F.col("c_mktsegment")).alias("seg"))
+    canonical = t.customer.select(k.alias("k"), F.lit("s1").alias("snap"), F.col("c_mktsegment").alias("seg"))
+    artifacts = t.customer.select((2 * k).alias("k"), F.when(k % 9 == 0, "s0").otherwise("s1").alias("snap"), F.when(k % 4 == 0, "BUILDING").otherwise(F.col("c_mktsegment")).alias("seg"))
     return quality.verify_artifacts(artifacts, canonical, "k", "snap", ["seg"])
 
 

@@ -335,18 +335,12 @@ def e3(t: Tables):
 
 @query(
     "e4_natural_order",
-    """WITH x AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE CAST(p_partkey AS VARCHAR) END AS id FROM part WHERE p_size = 7)
+    """WITH x AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE CAST(p_partkey AS VARCHAR) END AS id FROM part)
     SELECT id, p_partkey, row_number() OVER (ORDER BY CASE WHEN regexp_full_match(id, '[0-9]+') THEN 0 ELSE 1 END, TRY_CAST(id AS BIGINT), id, p_partkey) AS place FROM x""",
 )
 def e4(t: Tables):
-    from pyspark.sql import Window
-
-    rows = t.part.filter("p_size = 7").withColumn("id", F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise(F.col("p_partkey").cast("string")))
-    kind, number, text = ranking.natural_order(F.col("id"))
-    order = Window.partitionBy("kind").orderBy(number, text, "p_partkey")
-    placed = rows.withColumn("kind", kind).withColumn("n", F.row_number().over(order))
-    before = placed.groupBy("kind").agg(F.count("*").alias("size")).filter("kind = 0").select(F.lit(1).alias("kind"), F.col("size").alias("before"))
-    return placed.join(before, "kind", "left").select("id", "p_partkey", (F.col("n") + F.coalesce("before", F.lit(0))).cast("long").alias("place"))
+    rows = t.part.withColumn("id", F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise(F.col("p_partkey").cast("string")))
+    return ranking.numbered(rows, [*ranking.natural_order(F.col("id")), "p_partkey"]).select("id", "p_partkey", "place")
 
 
 @query(
@@ -385,12 +379,12 @@ def f1(t: Tables):
 
 @query(
     "f2_scope_omissions",
-    """SELECT item_id FROM benchmark WHERE item_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'fr')
-    AND lower(regexp_replace(left(text, 40), '[^A-Za-z0-9]', '', 'g')) NOT IN (SELECT lower(regexp_replace(left(text, 40), '[^A-Za-z0-9]', '', 'g')) FROM documents WHERE lang = 'fr' AND text IS NOT NULL)""",
+    """SELECT item_id FROM benchmark WHERE item_id NOT IN (SELECT 3 * doc_id FROM documents)
+    AND lower(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) NOT IN (SELECT lower(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) FROM documents WHERE text IS NOT NULL)""",
 )
 def f2(t: Tables):
-    actual = t.documents.filter("lang = 'fr'").select(F.col("doc_id").alias("item_id"), "text")
-    return ranking.scope_omissions(t.benchmark, actual, "item_id", F.lower(F.regexp_replace(F.substring("text", 1, 40), "[^A-Za-z0-9]", ""))).select("item_id")
+    actual = t.documents.select((3 * F.col("doc_id")).alias("item_id"), "text")
+    return ranking.scope_omissions(t.benchmark, actual, "item_id", F.sha2(F.lower(F.regexp_replace("text", "[^A-Za-z0-9]", "")), 256)).select("item_id")
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.cols import first_match
-from ..functions.shared import shared_dir
+from ..functions.shared import fresh_path
 
 #: Fixed classes of the freshness policy: seconds to live; -1 never expires.
 NEVER = -1
@@ -30,18 +30,20 @@ def latest_by_key(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
 
 
 def latest_stream(stream: DataFrame, key: str, ts: str, tie: str, folder: str):
-    """A query that keeps a table of the latest row of each key, a new version of it each batch; returns the started query.
+    """A query that keeps the latest row of each key in its state and appends the keys that changed; returns the started query.
 
-    The table is ``folder/v=<batch>``; a batch that runs again rewrites its own version.
+    A batch writes ``folder/batch=<n>``, nothing but its own changes, and rewrites only that when it runs again.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        old = spark.read.parquet(f"{folder}/v={number - 1}") if number else None
-        rows = batch if old is None else old.unionByName(batch)
-        latest_by_key(rows, key, ts, tie).write.mode("overwrite").parquet(f"{folder}/v={number}")
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}/_checkpoint").trigger(availableNow=True).start()
+    return latest_by_key(stream, key, ts, tie).writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{folder}_checkpoint").trigger(availableNow=True).start()
+
+
+def read_latest(spark: SparkSession, folder: str, key: str, ts: str, tie: str) -> DataFrame:
+    """The latest row of each key from the changes that ``latest_stream`` has appended."""
+    return latest_by_key(spark.read.parquet(folder).drop("batch"), key, ts, tie)
 
 
 def ttl_of(kind: Column, policy: Mapping[str, int], default: int) -> Column:
@@ -55,19 +57,28 @@ def freshness(df: DataFrame, kind: str, ts: str, policy: Mapping[str, int], defa
     return df.withColumn("expires_at", expires).withColumn("fresh", F.col("expires_at").isNull() | (F.col("expires_at") > as_of))
 
 
+def stateful_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose streams keep their state in RocksDB, as timers need."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return own
+
+
 class Expiry(StatefulProcessor):
-    """Emits a key when its latest row expires; keys that never expire set no timer."""
+    """Emits a key when its latest row expires; keys that never expire set no timer. Of rows of one time the longest class counts."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._seen = handle.getValueState("seen", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last, ttl = -1, NEVER
+        last, ttl = -1, 0
         for pdf in rows:
-            i = pdf["at_ms"].idxmax()
-            if pdf["at_ms"][i] > last:
-                last, ttl = int(pdf["at_ms"][i]), int(pdf["ttl"][i])
+            at = int(pdf["at_ms"].max())
+            if at >= last:
+                own = pdf["ttl"][pdf["at_ms"] == at]
+                longest = NEVER if (own == NEVER).any() or at == last and ttl == NEVER else max(int(own.max()), ttl if at == last else 0)
+                last, ttl = at, longest
         known = self._seen.get()[0] if self._seen.exists() else -1
         if last > known:
             for timer in list(self._handle.listTimers()):
@@ -93,9 +104,7 @@ def expiry_stream(stream: DataFrame, key: str, ts: str, ttl: Column, delay: str)
 
 def run_once(stream: DataFrame, name: str, spark: SparkSession) -> DataFrame:
     """Run a stream over all that is there into Parquet in the shared folder, and read the result."""
-    import uuid
-
-    folder = f"{shared_dir(spark)}/claimgraph/{name}-{uuid.uuid4().hex}"
+    folder = fresh_path(spark, name)
     query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")

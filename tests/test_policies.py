@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from claimgraph.functions import text, uri
-from claimgraph.operators import assets, consensus, license, merge, quality, resolve
-from claimgraph.sources import writers
+from claimgraph.functions import jsonwalk, shared, text, uri
+from claimgraph.operators import assets, consensus, license, merge, quality, ranking, resolve
+from claimgraph.sources import readers, writers
 from claimgraph.streaming import twins
 
 
@@ -85,7 +85,96 @@ def test_snapshot_ignores_order_and_transient_tables(spark):
 def test_gateway_keeps_path_case(spark):
     df = spark.createDataFrame([("https://IPFS.io:443/ipfs/QmAbC/X.json#f",), ("https://arweave.net/AbC",), ("HTTP://H.com:80",), ("a b",), (None,)], "u string")
     got = [tuple(r[0]) for r in df.select(uri.canonical_uri(F.col("u"))).collect()]
-    assert got == [("ipfs://QmAbC/X.json", None), ("ar://AbC", None), ("http://h.com/", None), (None, "whitespace"), (None, "empty")]
+    assert got == [("ipfs://QmAbC/X.json", None), ("ar://AbC", None), ("http://h.com/", None), (None, "no_scheme"), (None, "empty")]
+
+
+@pytest.mark.parametrize(
+    ("raw", "want"),
+    [
+        ("https://studio.mypinata.cloud/ipfs/QmZ/low.vrm", "ipfs://QmZ/low.vrm"),
+        ("https://shop.example/ipfs/QmZ/low.vrm", "https://shop.example/ipfs/QmZ/low.vrm"),
+        ("https://shop.example/a?next=/ipfs/QmZ", "https://shop.example/a?next=/ipfs/QmZ"),
+        ("https://dweb.link/about", "https://dweb.link/about"),
+        ("https://nftstorage.link/x/ipfs//QmZ/1?d=2#f", "ipfs://QmZ/1?d=2"),
+        ("https://bafyone.ipfs.dweb.link/7.vrm", "ipfs://bafyone/7.vrm"),
+        ("https://bafyone.ipfs.w3s.link/ipfs/bafyone/7.vrm", "ipfs://bafyone/7.vrm"),
+        ("https://bafyone.ipfs.w3s.link/ipfs/bafyone", "ipfs://bafyone"),
+        ("https://bafyone.ipfs.w3s.link/ipfs/other/7", "ipfs://bafyone/ipfs/other/7"),
+        ("https://bafyone.ipfs.example/7", "https://bafyone.ipfs.example/7"),
+        ("ipfs://ipfs/QmZ/p.json", "ipfs://QmZ/p.json"),
+        ("ipfs:QmZ/p.json#x", "ipfs://QmZ/p.json"),
+        ("IPNS://k51Ab/p", "ipns://k51Ab/p"),
+        ("arweave://TxA/m.json", "ar://TxA/m.json"),
+        ("https://arweave.net/TxA?x=1", "ar://TxA?x=1"),
+        ("https://arweave.net/", "https://arweave.net/"),
+        ("https://[2001:DB8::1]:443/A?b#c", "https://[2001:db8::1]/A?b"),
+        ("http://[::1]:8080", "http://[::1]:8080/"),
+        ("data:application/json,{\"a\":1}", "data:application/json,{\"a\":1}"),
+        ("data:image/png;base64,AA", "scheme"),
+        ("ftp://a/b", "scheme"),
+        ("C:\\models\\a.vrm", "scheme"),
+        ("https://me:pw@host/a", "credentials"),
+        ("ipfs://", "no_cid"),
+        ("https:///a", "no_host"),
+    ],
+)
+def test_canonical_uris(spark, raw, want):
+    got = spark.createDataFrame([(raw,)], "u string").select(uri.canonical_uri(F.col("u")).alias("r")).select("r.*").first()
+    assert (got["uri"] or got["error"]) == want
+
+
+def test_json_leaves_mark_what_they_do_not_walk(spark):
+    deep = '{"a":{"b":{"c":1}},"l":[1,{"x":"[2,3]"}],"e":{},"s":"{broken"}'
+    long = '{"s":"[' + "1," * 600_000 + '1]"}'
+    df = spark.createDataFrame([(1, deep), (2, long), (3, None), (4, "no json")], "k int, j string")
+    got = sorted((r["k"], r["path"], (r["value"] or "~")[:9], r["truncated"]) for r in jsonwalk.json_leaves(df, "k", "j", 3).collect())
+    assert got == [(1, "$.a.b.c", "1", False), (1, "$.l[0]", "1", False), (1, "$.l[1].x", "~", True), (1, "$.s", "{broken", False), (2, "$.s", "[1,1,1,1,", True)]
+
+
+def test_links_beyond_the_limit_are_marked(spark):
+    doc = '{"files":[' + ",".join(f'{{"vrm":"https://h/{i:04d}.vrm"}}' for i in range(510)) + "]}"
+    links = jsonwalk.classify_links(jsonwalk.json_leaves(spark.createDataFrame([(1, doc)], "k int, j string"), "k", "j"), "k")
+    assert links.count() == 510 and links.filter("beyond_limit").count() == 10
+
+
+def test_numbered_rows_over_many_partitions(spark):
+    df = spark.range(1000).withColumn("v", (F.col("id") * 7919) % 1000)
+    assert [r["place"] for r in ranking.numbered(df, ["v"]).orderBy("v").collect()] == list(range(1, 1001))
+
+
+def test_token_duplicates(spark):
+    names = [(1, "red gear"), (2, "Red Gear"), (3, "red lamp"), (4, "crimson lamp"), (5, "crimson hat"), (6, ""), (7, None), (8, "")]
+    assert sorted(map(tuple, resolve.token_duplicates(spark.createDataFrame(names, "id int, n string"), "id", "n").collect())) == [(2, 1), (5, 4), (8, 6)]
+
+
+def test_files_over_the_limit_have_a_status(spark, tmp_path):
+    (tmp_path / "small.vrm").write_bytes(b"no model")
+    (tmp_path / "large.vrm").write_bytes(b"x" * 100)
+    files = readers.read_assets(spark, f"{tmp_path}/*.vrm", 50)
+    got = assets.validate_assets(files, "path", "content", 50, F.col("length")).collect()
+    assert sorted((r["path"][-9:], r["status"]) for r in got) == [("large.vrm", "too_large"), ("small.vrm", "not_glb")]
+
+
+def test_rule_tables_are_bounded(spark):
+    rules = spark.range(10_001).selectExpr("'terms' as layer", "cast(id as string) as pattern", "'d' as dimension", "'v' as value")
+    with pytest.raises(ValueError, match="at most"):
+        license.statements(spark.createDataFrame([(1, "x")], "e int, t string"), "e", "terms", "t", rules)
+
+
+def test_latest_of_a_stream_appends_changes_only(spark, tmp_path):
+    schema = "k string, ts timestamp, tie long, v int"
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    for rows in ([("a", 1, 1, 10), ("b", 5, 1, 20)], [("a", 3, 1, 11), ("b", 4, 1, 21)]):
+        spark.createDataFrame(rows, "k string, s long, tie long, v int").selectExpr("k", "timestamp_seconds(s) as ts", "tie", "v").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        twins.latest_stream(stream, "k", "ts", "tie", str(tmp_path / "out")).awaitTermination()
+    assert sorted((r["k"], r["v"]) for r in twins.read_latest(spark, str(tmp_path / "out"), "k", "ts", "tie").collect()) == [("a", 11), ("b", 20)]
+
+
+def test_sweep_deletes_old_tables_only(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    kept = shared.cut(spark.range(3), "kept")
+    assert shared.sweep(spark, 1.0) == 0 and kept.count() == 3 and folder
 
 
 def test_strict_merge_and_missing_values(spark):
@@ -121,9 +210,8 @@ def test_stream_expiry_sets_no_timer_for_never(spark, tmp_path):
     assert [r["key"] for r in got.collect()] == ["a"]
 
 
-def test_contains_match_by_size(spark):
-    """Both paths find the same, names of one and two letters included."""
+def test_contains_match(spark):
+    """Names of one and two letters included."""
     a = spark.createDataFrame(list(enumerate(["AI dragons", "x", "go", "dragon", "", None, "zebra", "éa"])), "id long, name string")
     b = spark.createDataFrame([(9, "AI"), (3, "AI"), (4, "dragons"), (5, "box"), (6, "g"), (7, "a"), (8, ""), (10, None), (11, "zebra")], "id long, name string")
-    one, two = (sorted(map(tuple, resolve.contains_match(a, "id", F.col("name"), b, "id", F.col("name"), small=n).collect())) for n in (10_000, 0))
-    assert one == two == [(0, 3), (1, 5), (2, 4), (3, 4), (6, 7), (7, 7)]
+    assert sorted(map(tuple, resolve.contains_match(a, "id", F.col("name"), b, "id", F.col("name")).collect())) == [(0, 3), (1, 5), (2, 4), (3, 4), (6, 7), (7, 7)]
