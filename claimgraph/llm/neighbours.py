@@ -6,8 +6,11 @@ are routed, each to one leaf or more of every tree. Within a leaf and label, cos
 pair that meets in several leaves counts in the first they share, so links are counted without listing pairs: a leaf
 gives one row a vector, its links and the smallest id it reaches there, and these are united.
 
-Skew: equal vectors of a label enter once, with their count. A leaf over ``CAP`` rows is dealt into chunks, and each pair
-of chunks is compared by itself.
+The bounded sample gives a bounded number of leaves; leaves that hold over ``CAP`` rows are split further by Spark, at
+medians of all their rows, with the same spill.
+
+Skew: equal vectors of a label enter once, with their count. A leaf that splits cannot make smaller, being of much alike
+vectors, is dealt into chunks, and each pair of chunks is compared by itself.
 
 Defined cases: null labels, null or zero vectors, and vectors with null or non-finite components link with nothing but
 have a row; vectors of different length never link; repeated ids are rows each; an empty table gives no rows.
@@ -122,6 +125,57 @@ def _compare(threshold: float):
     return run
 
 
+def _leaf_sizes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("label", "key").agg(F.count("*").alias("n"))
+
+
+def _split_large(routed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``routed`` with its leaves of over ``CAP`` rows split further, and the leaves (label, key, n) that stay larger.
+
+    All rows of such a leaf are projected on a direction that its key gives, and Spark finds their median, so leaves stay
+    bounded however many vectors there are; a leaf of which a split keeps most rows on both sides stays whole.
+    """
+    places = cut(routed.select("label", "rep", F.explode("keys").alias("key")), "places")
+    big = cut(_leaf_sizes(places).filter(F.col("n") > CAP), "big")
+    if big.isEmpty():
+        return routed, big
+    done, stuck = places.join(big, ["label", "key"], "left_anti"), None
+    places = places.join(big.select("label", "key"), ["label", "key"], "left_semi")
+    vectors = routed.select("label", "rep", "v")
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(2).to_numpy()
+            flat, starts, sizes = _lists(batch.column(3))
+            p = np.empty(len(key))
+            for k, size in set(zip(key.tolist(), sizes.tolist(), strict=True)):
+                own = np.flatnonzero((key == k) & (sizes == size))
+                x = _matrix(flat, size, own, starts)
+                direction = np.random.default_rng([k & 0x7FFFFFFFFFFFFFFF, size]).standard_normal(size)
+                p[own] = x @ direction / np.linalg.norm(direction) / np.linalg.norm(x, axis=1)
+            margin = SPILL * np.sqrt((2 - 2 * threshold) / np.maximum(sizes, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(p), pa.array(margin)], names=["label", "rep", "key", "p", "margin"])
+
+    while True:
+        at = places.join(vectors, ["label", "rep"]).select("label", "rep", "key", "v").mapInArrow(project, "label string, rep long, key long, p double, margin double")
+        at = cut(at, "projected")
+        middle = cut(at.groupBy("label", "key").agg(F.percentile_approx("p", 0.5, 1000).alias("m"), F.count("*").alias("n")), "middle")
+        sides = F.filter(F.array(F.when(F.col("p") <= F.col("m") + F.col("margin"), 0), F.when(F.col("p") > F.col("m") - F.col("margin"), 1)), lambda x: x.isNotNull())
+        split = cut(at.join(middle, ["label", "key"]).select("label", "rep", F.col("key").alias("parent"), "n", F.explode(sides).alias("side")).withColumn("key", F.xxhash64("parent", "side")), "split")
+        parts = split.groupBy("label", "parent", "n").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
+        vain = cut(parts.filter(F.least("a", "b") > 0.9 * F.col("n")).select("label", F.col("parent").alias("key"), "n"), "vain")
+        stuck = vain if stuck is None else stuck.unionByName(vain)
+        kept = at.join(vain, ["label", "key"], "left_semi").select("label", "rep", "key")
+        split = split.join(vain.select("label", F.col("key").alias("parent")), ["label", "parent"], "left_anti").select("label", "rep", "key")
+        big = cut(_leaf_sizes(split).filter(F.col("n") > CAP), "big")
+        done = done.unionByName(kept).unionByName(split.join(big, ["label", "key"], "left_anti"))
+        if big.isEmpty():
+            break
+        places = split.join(big.select("label", "key"), ["label", "key"], "left_semi")
+    keys = done.groupBy("label", "rep").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    return cut(routed.drop("keys").join(keys, ["label", "rep"]).select("label", "rep", "v", "copies", "keys"), "routed"), cut(stuck, "stuck")
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", trees: int = TREES) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     v = F.col(vector_col)
@@ -169,9 +223,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
 
     kind = dict(sets.dtypes)["v"]
     routed = cut(sets.select("label", "rep", "v", "copies").mapInArrow(leaves, f"label string, rep long, v {kind}, copies long, keys array<long>"), "routed")
+    routed, big = _split_large(routed, threshold)
     rows8 = routed.select("label", F.col("rep").alias("vec_id"), "v", "copies", "keys", F.explode("keys").alias("key"))
-    leaf_sizes = routed.select("label", F.explode("keys").alias("key")).groupBy("label", "key").agg(F.count("*").alias("n"))
-    big = cut(leaf_sizes.filter(F.col("n") > CAP), "big")
     whole = rows8.withColumn("chunk", F.lit(0).cast("long")).withColumn("other", F.lit(0).cast("long"))
     if not big.isEmpty():
         rows8 = rows8.join(big, ["label", "key"], "left")

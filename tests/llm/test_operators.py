@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -377,6 +378,29 @@ def test_near_vectors(frame):
     assert len(links) > 500 and {i: r["n_links"] for i, r in got.items()} == degree and {i: r["component_id"] for i, r in got.items()} == want
 
 
+def clustered(n=20_000, dim=32, seed=11):
+    """Vectors of three labels: a half of them around 2,000 centres, about as far apart as linked vectors are."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim)).astype(np.float32)
+    x[: n // 2] = x[n // 2 + np.arange(n // 2) % 2000] + (0.3 * rng.standard_normal((n // 2, dim))).astype(np.float32)
+    return x, np.arange(n) % 3
+
+
+@pytest.mark.parametrize("cap", [2048, 300])
+def test_near_vectors_recall(spark, monkeypatch, cap):
+    """Links of 20,000 vectors against brute force; a small cap has leaves split further."""
+    monkeypatch.setattr(neighbours, "CAP", cap)
+    x, label = clustered()
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    degree = np.zeros(len(x), int)
+    for c in range(3):
+        own = np.flatnonzero(label == c)
+        degree[own] = (unit[own] @ unit[own].T >= 0.93).sum(1) - 1
+    rows = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32())), "label": label}))
+    got = neighbours.near_vectors(rows).select("vec_id", "n_links").toPandas().set_index("vec_id")["n_links"].sort_index().to_numpy()
+    assert degree.sum() > 4000 and (got <= degree).all() and got.sum() >= 0.97 * degree.sum()
+
+
 def test_near_vectors_in_chunks(frame, monkeypatch):
     rows, _ = vectors(2)
     df = frame(rows, VECTORS)
