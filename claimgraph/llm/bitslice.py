@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, partitions
+from .common import cut
 
-#: Least and most rows of a block; in between there are as many blocks as shuffle partitions.
-BLOCK = (1024, 16_384)
+#: Rows of a block; far fewer would cost more calls than work.
+BLOCK = 16_384
 
 
 def digits(value: int) -> list[tuple[int, int]]:
@@ -159,8 +159,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
     """
     # a row's own number is written with it, so that it stays
     rows = cut(quantised(vectors, scale, id_col, vector_col).withColumn("row", F.monotonically_increasing_id()), "quantised")
-    n, tasks = rows.count(), partitions(rows.sparkSession)
-    blocks = max(1, -(-n // min(max(-(-n // tasks), BLOCK[0]), BLOCK[1])))
+    blocks = max(1, -(-rows.count() // BLOCK))
     cols = ["block", "query", "vec_id", "row", "v"]
     left = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).withColumn("query", F.lit(False)).select(cols)
     right = rows.filter(is_query).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).withColumn("query", F.lit(True)).select(cols)
@@ -187,7 +186,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["query_row", "query_id", "vec_id", "row", "score"])
 
-    both = left.unionByName(right).repartition(tasks, "block").sortWithinPartitions("block", "query")
+    both = left.unionByName(right).repartitionByRange(blocks, "block").sortWithinPartitions("block", "query")
     best = both.mapInArrow(run, "query_row long, query_id long, vec_id long, row long, score long")
     rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
