@@ -30,14 +30,27 @@ def canonical_uri(c: Column) -> Column:
     .ipfs; other hosts stay what they are. Data URIs are kept whole if they hold JSON.
     """
     t = F.regexp_replace(F.trim(c), r"(?i)^arweave://", "ar://")
-    kind, name = scheme(t), host(t)
-    found = lambda pattern: F.nullif(F.regexp_extract(t, pattern, 1), F.lit(""))
-    path = F.regexp_extract(t, _SCHEME + r"//[^/?#]*([^?#]*)", 1)
-    query = F.coalesce(found(r"^[^?#]*(\?[^#]+)"), F.lit(""))
-    port = F.regexp_extract(t, _AUTHORITY + r":(\d+)", 2)
-    usual = (port == "") | ((kind == "http") & (port == "80")) | ((kind == "https") & (port == "443"))
-    bare = lambda x: F.regexp_replace(x, "^/+", "")
+    # lambdas name what is computed once and used often
+    steps = F.transform(F.transform(F.array(t), _split), _identity)
+    return F.transform(steps, _canonical)[0]
+
+
+def _split(t: Column) -> Column:
+    query = F.nullif(F.regexp_extract(t, r"^[^?#]*(\?[^#]+)", 1), F.lit(""))
+    return F.struct(
+        t.alias("t"),
+        scheme(t).alias("kind"),
+        host(t).alias("name"),
+        F.regexp_extract(t, _SCHEME + r"//[^/?#]*([^?#]*)", 1).alias("path"),
+        F.coalesce(query, F.lit("")).alias("query"),
+        F.regexp_extract(t, _AUTHORITY + r":(\d+)", 2).alias("port"),
+    )
 
+
+def _identity(x: Column) -> Column:
+    """The parts with the content scheme and identifier that they name, if any."""
+    name, path, kind = x["name"], x["path"], x["kind"]
+    bare = lambda c: F.regexp_replace(c, "^/+", "")
     known = F.coalesce(name.isin(*IPFS_HOSTS) | name.endswith(".mypinata.cloud"), F.lit(False))
     by_path = F.nullif(bare(F.regexp_extract(path, "^.*?/ipfs/(.*)$", 1)), F.lit(""))
     cid = F.nullif(F.regexp_extract(name, r"^(.+)\.ipfs\.(?:" + "|".join(h.replace(".", r"\.") for h in IPFS_HOSTS) + ")$", 1), F.lit(""))
@@ -46,11 +59,17 @@ def canonical_uri(c: Column) -> Column:
     by_name = F.concat(cid, F.when(rest == "", "").otherwise(F.concat(F.lit("/"), rest)))
     ipfs = F.when(known, by_path).otherwise(by_name)
     ar = F.when(name == "arweave.net", F.nullif(bare(path), F.lit("")))
-
     own = first_match([(ipfs.isNotNull(), "ipfs"), (ar.isNotNull(), "ar"), (kind.isin("ipfs", "ipns", "ar"), kind)])
-    body = F.coalesce(ipfs, ar, bare(F.regexp_extract(t, _SCHEME + "([^?#]*)", 1)))
-    body = F.when(own == "ipfs", F.regexp_replace(body, "(?i)^ipfs(/+|$)", "")).otherwise(body)
-    web = F.concat(kind, F.lit("://"), name, F.when(usual, "").otherwise(F.concat(F.lit(":"), port)), F.when(path == "", "/").otherwise(path), query)
+    body = F.coalesce(ipfs, ar, bare(F.regexp_extract(x["t"], _SCHEME + "([^?#]*)", 1)))
+    return F.struct(x.alias("x"), own.alias("own"), body.alias("body"))
+
+
+def _canonical(y: Column) -> Column:
+    x, own = y["x"], y["own"]
+    t, kind, port = x["t"], x["kind"], x["port"]
+    usual = (port == "") | ((kind == "http") & (port == "80")) | ((kind == "https") & (port == "443"))
+    body = F.when(own == "ipfs", F.regexp_replace(y["body"], "(?i)^ipfs(/+|$)", "")).otherwise(y["body"])
+    web = F.concat(kind, F.lit("://"), x["name"], F.when(usual, "").otherwise(F.concat(F.lit(":"), port)), F.when(x["path"] == "", "/").otherwise(x["path"]), x["query"])
     error = first_match(
         [
             (t.isNull() | (t == ""), "empty"),
@@ -59,10 +78,10 @@ def canonical_uri(c: Column) -> Column:
             (own.isNotNull() | t.rlike("(?i)^data:(?:application/(?:ld\\+)?json|text/json)"), None),
             (~kind.isin("http", "https"), "scheme"),
             (t.rlike(_SCHEME + "//[^/?#]*@"), "credentials"),
-            (name.isNull(), "no_host"),
+            (x["name"].isNull(), "no_host"),
         ]
     )
-    uri = first_match([(error.isNotNull(), None), (own.isNotNull(), F.concat(own, F.lit("://"), body, query)), (kind == "data", t)], web)
+    uri = first_match([(error.isNotNull(), None), (own.isNotNull(), F.concat(own, F.lit("://"), body, x["query"])), (kind == "data", t)], web)
     return F.struct(uri.alias("uri"), error.alias("error"))
 
 
