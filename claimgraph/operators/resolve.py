@@ -97,29 +97,27 @@ def majority(df: DataFrame, key: str, label: str, seq: str) -> DataFrame:
     return votes.groupBy(key).agg(F.max_by(F.struct(label, "votes"), F.struct("votes", -F.col("seen"))).alias("b")).select(key, f"b.{label}", "b.votes")
 
 
-def token_overlap_pairs(a: DataFrame, a_id: str, b: DataFrame, b_id: str, name: str) -> DataFrame:
-    """Pairs whose names are equal or share two words, or one word of more than four letters; an equi-join on words, never all pairs."""
-    words = lambda c: F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "), " "), lambda w: w != ""))
-    left = a.select(F.col(a_id).alias("left_id"), F.explode(words(F.col(name))).alias("w"))
-    right = b.select(F.col(b_id).alias("right_id"), F.explode(words(F.col(name))).alias("w"))
-    met = left.join(right, "w").groupBy("left_id", "right_id").agg(F.count("*").alias("shared"), F.max(F.length("w")).alias("longest"))
-    near = met.filter((F.col("shared") >= 2) | (F.col("longest") > 4)).select("left_id", "right_id", "shared")
-    same = a.select(F.col(a_id).alias("left_id"), F.col(name).alias("n")).join(b.select(F.col(b_id).alias("right_id"), F.col(name).alias("n")), "n").select("left_id", "right_id")
-    return near.join(same.withColumn("same_name", F.lit(True)), ["left_id", "right_id"], "full").withColumn("same_name", F.coalesce("same_name", F.lit(False)))
+def _name_keys(df: DataFrame, id_col: str, name: str) -> DataFrame:
+    """(id, k): the words of over four letters, the pairs of words and the whole name of each row."""
+    words = F.array_sort(F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(F.col(name)), "[^a-z0-9]+", " "), " "), lambda w: w != "")))
+    pairs = F.flatten(F.transform("w", lambda x, i: F.transform(F.slice("w", i + 2, F.size("w")), lambda y: F.concat_ws(" ", x, y))))
+    keys = F.array_union(F.concat(F.filter("w", lambda x: F.length(x) > 4), pairs), F.array(F.concat(F.lit("="), F.col(name))))
+    return df.filter(F.col(name).isNotNull()).withColumn("w", words).select(F.col(id_col).alias("id"), F.explode(keys).alias("k"))
 
 
-def token_duplicates(df: DataFrame, id_col: str, name: str) -> DataFrame:
-    """(id, first): rows whose name equals, or shares two words or one word of more than four letters with, that of an earlier row; the earliest.
+def token_match(a: DataFrame, a_id: str, b: DataFrame, b_id: str, name: str) -> DataFrame:
+    """(id, first): rows of ``a`` whose name equals, or shares two words or one word of more than four letters with, that of a row of ``b``; the smallest.
 
     Every such word, pair of words and whole name is a key with its smallest id, so a word in every name costs a row each
     and no pairs.
     """
-    words = F.array_sort(F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(F.col(name)), "[^a-z0-9]+", " "), " "), lambda w: w != "")))
-    pairs = F.flatten(F.transform("w", lambda x, i: F.transform(F.slice("w", i + 2, F.size("w")), lambda y: F.concat_ws(" ", x, y))))
-    keys = F.array_union(F.concat(F.filter("w", lambda x: F.length(x) > 4), pairs), F.array(F.concat(F.lit("="), F.col(name))))
-    rows = df.filter(F.col(name).isNotNull()).withColumn("w", words).select(F.col(id_col).alias("id"), F.explode(keys).alias("k"))
-    first = rows.groupBy("k").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return rows.join(first, "k").filter("first < id").groupBy("id").agg(F.min("first").alias("first"))
+    first = _name_keys(b, b_id, name).groupBy("k").agg(F.min("id").alias("first"))
+    return _name_keys(a, a_id, name).join(first, "k").groupBy("id").agg(F.min("first").alias("first"))
+
+
+def token_duplicates(df: DataFrame, id_col: str, name: str) -> DataFrame:
+    """(id, first): as ``token_match``, of rows with an earlier row of the same table."""
+    return token_match(df, id_col, df, id_col, name).filter("first < id")
 
 
 def _held(longer: DataFrame, shorter: DataFrame) -> DataFrame:

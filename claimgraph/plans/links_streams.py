@@ -187,7 +187,13 @@ def h6(t: Tables):
     return t.part.select("p_partkey", text.norm_name(F.concat("p_name", F.lit(" (beta)"))).alias("norm"), text.slug(F.concat_ws(" ", F.col("p_name"), F.concat("p_brand", F.lit("!")))).alias("slug"))
 
 
-@query("h7_short_text")
+@query(
+    "h7_short_text",
+    r"""WITH p AS (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '^[\s#>*_\-]+', ''), '\s+', ' ', 'g')) AS t FROM documents),
+    s AS (SELECT *, regexp_extract(left(t, 180) || ' ', '^(.*[.!?])\s', 1) AS last, regexp_extract(t || ' ', '^(.*?[.!?])\s', 1) AS one, regexp_extract(left(t, 180), '^(.*)\s', 1) AS words FROM p),
+    c AS (SELECT *, trim(CASE WHEN length(words) * 2 >= 180 THEN words ELSE left(t, 179) END) || '…' AS at_word FROM s)
+    SELECT doc_id, CASE WHEN length(t) <= 180 THEN t WHEN length(last) * 2 >= 180 THEN last ELSE at_word END AS audit, CASE WHEN length(t) <= 180 THEN t WHEN one <> '' AND length(one) <= 180 THEN one ELSE at_word END AS first FROM c""",
+)
 def h7(t: Tables):
     return t.documents.select("doc_id", text.short_text(F.col("text")).alias("audit"), text.short_text(F.col("text"), 180, False).alias("first"))
 

@@ -145,6 +145,9 @@ def test_numbered_rows_over_many_partitions(spark):
 def test_token_duplicates(spark):
     names = [(1, "red gear"), (2, "Red Gear"), (3, "red lamp"), (4, "crimson lamp"), (5, "crimson hat"), (6, ""), (7, None), (8, "")]
     assert sorted(map(tuple, resolve.token_duplicates(spark.createDataFrame(names, "id int, n string"), "id", "n").collect())) == [(2, 1), (5, 4), (8, 6)]
+    a = spark.createDataFrame([(1, "Pixel Beasts (new)"), (2, "the cat"), (3, "a b c"), (4, "zz")], "id int, n string")
+    b = spark.createDataFrame([(9, "pixel"), (7, "Beasts"), (5, "the dog"), (6, "c x b"), (8, "z z")], "id int, n string")
+    assert sorted(map(tuple, resolve.token_match(a, "id", b, "id", "n").collect())) == [(1, 7), (3, 6)]
 
 
 def test_files_over_the_limit_have_a_status(spark, tmp_path):
