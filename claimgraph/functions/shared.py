@@ -15,7 +15,7 @@ def shared_dir(spark: SparkSession) -> str:
     Where the session names none, a temporary folder is set if all runs in one process, and the warehouse is used on a cluster.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext.master.startswith(("local[", "local")) and not spark.sparkContext.master.startswith("local-cluster"):
+    if not folder and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
         folder = tempfile.mkdtemp(prefix="claimgraph-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
