@@ -64,42 +64,47 @@ def stateful_session(spark: SparkSession) -> SparkSession:
     return own
 
 
-class Expiry(StatefulProcessor):
-    """Emits a key when its latest row expires; keys that never expire set no timer. Of rows of one time the longest class counts."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._seen = handle.getValueState("seen", "at long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last, ttl = -1, 0
-        for pdf in rows:
-            at = int(pdf["at_ms"].max())
-            if at >= last:
-                own = pdf["ttl"][pdf["at_ms"] == at]
-                longest = NEVER if (own == NEVER).any() or at == last and ttl == NEVER else max(int(own.max()), ttl if at == last else 0)
-                last, ttl = at, longest
-        known = self._seen.get()[0] if self._seen.exists() else -1
-        if last > known:
-            for timer in list(self._handle.listTimers()):
-                self._handle.deleteTimer(timer)
-            self._seen.update((last,))
-            if ttl != NEVER:
-                self._handle.registerTimer(last + 1000 * ttl)
-        yield pd.DataFrame({"key": [], "expired_ms": []}).astype({"key": "str", "expired_ms": "int64"})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._seen.clear()
-        yield pd.DataFrame({"key": [str(key[0])], "expired_ms": [int(expiredTimerInfo.getExpiryTimeInMs())]})
-
-    def close(self) -> None:
-        pass
+def _expiry() -> StatefulProcessor:
+    """The processor of ``expiry_stream``; a local class travels whole, so a worker started without this package can load it."""
+
+    class Expiry(StatefulProcessor):
+        """Emits a key when its latest row expires; keys that never expire set no timer. Of rows of one time the longest class counts."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self._handle = handle
+            self._seen = handle.getValueState("seen", "at long")
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            last, ttl = -1, 0
+            for pdf in rows:
+                at = int(pdf["at_ms"].max())
+                if at >= last:
+                    own = pdf["ttl"][pdf["at_ms"] == at]
+                    longest = NEVER if (own == NEVER).any() or at == last and ttl == NEVER else max(int(own.max()), ttl if at == last else 0)
+                    last, ttl = at, longest
+            known = self._seen.get()[0] if self._seen.exists() else -1
+            if last > known:
+                for timer in list(self._handle.listTimers()):
+                    self._handle.deleteTimer(timer)
+                self._seen.update((last,))
+                if ttl != NEVER:
+                    self._handle.registerTimer(last + 1000 * ttl)
+            yield pd.DataFrame({"key": [], "expired_ms": []}).astype({"key": "str", "expired_ms": "int64"})
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            self._seen.clear()
+            yield pd.DataFrame({"key": [str(key[0])], "expired_ms": [int(expiredTimerInfo.getExpiryTimeInMs())]})
+
+        def close(self) -> None:
+            pass
+
+    return Expiry()
 
 
 def expiry_stream(stream: DataFrame, key: str, ts: str, ttl: Column, delay: str) -> DataFrame:
     """(key, expired_ms) rows as keys expire in event time."""
     rows = stream.withWatermark(ts, delay).select(F.col(key).cast("string").alias("key"), F.col(ts), F.unix_millis(ts).alias("at_ms"), ttl.cast("long").alias("ttl"))
-    return rows.groupBy("key").transformWithStateInPandas(statefulProcessor=Expiry(), outputStructType="key string, expired_ms long", outputMode="append", timeMode="eventTime")
+    return rows.groupBy("key").transformWithStateInPandas(statefulProcessor=_expiry(), outputStructType="key string, expired_ms long", outputMode="append", timeMode="eventTime")
 
 
 def run_once(stream: DataFrame, name: str, spark: SparkSession) -> DataFrame:
