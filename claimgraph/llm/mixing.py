@@ -17,10 +17,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranking import numbered
 from .common import cut
 
 MOST_COPIES = 3
-SHARD = 4096
+#: Documents of a source that are rounded together.
+SHARD = 1024
 FAN_IN = 64
 #: Rounds of settling at most, and the share of its target that a source may miss unsettled.
 SETTLE, NEAR = 10, 0.002
@@ -30,22 +32,22 @@ _SCHEMA = "source string, row_id long, size long, base long, fraction double, sh
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = MOST_COPIES) -> DataFrame:
     """(source, source_size, target) from (source, size): weighted shares of all words, none above ``most`` times its source.
 
-    The excess of capped sources is reshared by weight. Sources are capped in the order of size over weight, so running
-    sums over the table of sources give the final level at once: it is that of the first source left uncapped, the highest
-    of all such levels. The table has one row per source.
+    Sources are numbered over range partitions. The level (words a unit of weight) rises as sources reach their caps and
+    the excess is reshared; a step is one aggregate over the sources, and the last one caps no further source.
     """
     by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = Window.orderBy(F.col("source").isNull(), F.col("source"))
-    weight = F.element_at(F.array(*(F.lit(float(x)) for x in weights)), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
-    by = by.withColumn("weight", weight).withColumn("cap", F.lit(float(most)) * F.col("source_size"))
-    up = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").isNull(), F.col("source"))
-    before = up.rowsBetween(Window.unboundedPreceding, -1)
-    after = up.rowsBetween(0, Window.unboundedFollowing)
-    everything = F.sum("source_size").over(Window.partitionBy())
-    level = (everything - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(after)
-    by = by.withColumn("level", level).withColumn("free", F.col("level") * F.col("weight") <= F.col("cap"))
-    first = F.max(F.when(F.col("free"), F.col("level"))).over(Window.partitionBy())
-    return by.select("source", "source_size", F.least(F.col("cap"), F.coalesce(first * F.col("weight"), F.col("cap"))).alias("target"))
+    by = numbered(by, [F.col("source").isNull(), F.col("source")])
+    weight = F.element_at(F.array(*(F.lit(float(x)) for x in weights)), ((F.col("place") - 1) % len(weights) + 1).cast("int"))
+    by = by.select("source", "source_size", weight.alias("weight"), (F.lit(float(most)) * F.col("source_size")).alias("cap"))
+    level, before = 0.0, -1
+    while True:
+        full = F.col("cap") < F.lit(level) * F.col("weight")
+        left = F.sum("source_size") - F.sum(F.when(full, F.col("cap")).otherwise(0.0))
+        n, rest, free = by.agg(F.count_if(full), left, F.sum(F.when(full, 0.0).otherwise(F.col("weight")))).first()
+        if n == before or not free:
+            break
+        level, before = rest / free, n
+    return by.select("source", "source_size", F.least("cap", F.lit(level) * F.col("weight")).alias("target"))
 
 
 def _round(seed: int, last: bool):
@@ -113,10 +115,15 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOS
     rounded = parts[0]
     for p in parts[1:]:
         rounded = rounded.unionByName(p)
-    for i in range(SETTLE):  # what the last rounding left
-        rounded, helped = _settle(rounded, targets, most, seed + 1000 + i)
-        if not helped:
+    settled = []
+    for i in range(SETTLE):  # what the last rounding left: a round rewrites the sources that still miss, no others
+        gap = cut(_gaps(rounded, targets), "gap")
+        if gap.isEmpty():
             break
+        settled.append(rounded.alias("a").join(gap.alias("b"), same, "left_anti"))
+        rounded = _settle(rounded, gap, most, seed + 1000 + i)
+    for p in settled:
+        rounded = rounded.unionByName(p)
     out = full.select("doc_id", "row_id", "source", "size", "source_size", "target").join(rounded.select("row_id", "copies"), "row_id")
     return out.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "row_id")
 
@@ -139,18 +146,20 @@ def take(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     return keyed.join(taken, key).select(F.explode(F.array_repeat(row, F.col(copies))).alias("row")).select("row.*")
 
 
-def _settle(rounded: DataFrame, targets: DataFrame, most: int, seed: int) -> tuple[DataFrame, bool]:
-    """Turn documents of sources that miss their target towards it; whether there were any.
+def _gaps(rounded: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, gap): what the sources that miss their target by over ``NEAR`` of it lack."""
+    got = rounded.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
+    both = got.alias("a").join(targets.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", (F.col("target") - F.col("got")).alias("gap"), "target")
+    return both.filter(F.abs("gap") > F.lit(NEAR) * F.col("target")).select("source", "gap")
+
+
+def _settle(rounded: DataFrame, gap: DataFrame, most: int, seed: int) -> DataFrame:
+    """The rows of the sources in ``gap``, with documents turned towards their targets.
 
     A wide gap is closed by many small documents, each turned by a coin of the right odds; a narrow one by the document
     whose size is nearest to it without passing it. Documents within their rounding go first, then any with copies to
     give or take, and where no single turn helps the smallest one, for the next rounds to fill up.
     """
-    gap = rounded.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
-    gap = gap.alias("a").join(targets.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", (F.col("target") - F.col("got")).alias("gap"), "target")
-    gap = cut(gap.filter(F.abs("gap") > F.lit(NEAR) * F.col("target")), "gap")
-    if gap.isEmpty():
-        return rounded, False
     size, wide, more = F.col("size"), F.abs("gap"), F.col("gap") > 0
     rows = rounded.alias("a").join(gap.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "row_id", "size", "copies", "base", "gap")
     able = (size > 0) & F.when(more, F.col("copies") < most).otherwise(F.col("copies") > 0)
@@ -160,9 +169,8 @@ def _settle(rounded: DataFrame, targets: DataFrame, most: int, seed: int) -> tup
     small = able & (size * 8 <= wide)
     pick = rows.groupBy("source").agg(F.first("gap").alias("gap"), F.min_by("row_id", F.when(able, F.struct(kind.alias("k"), over.alias("o"), F.col("row_id")))).alias("one"), F.sum(F.when(small, size).otherwise(0)).alias("sum"))
     pick = cut(pick.select("source", "gap", "one", "sum"), "turn")
-    rows = rounded.alias("a").join(pick.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")), "left").select("a.source", "row_id", "size", "copies", "base", "gap", "one", "sum")
-    many = F.col("sum") >= wide
+    rows = rounded.alias("a").join(pick.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "row_id", "size", "copies", "base", "gap", "one", "sum")
     coin = F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    turn = F.when(F.col("gap").isNull(), False).when(many, small & (coin < wide / F.col("sum"))).otherwise(F.col("row_id") == F.col("one"))
+    turn = F.when(F.col("sum") >= wide, small & (coin < wide / F.col("sum"))).otherwise(F.col("row_id") == F.col("one"))
     by = F.when(F.coalesce(turn, F.lit(False)), F.when(more, 1).otherwise(-1)).otherwise(0)
-    return cut(rows.select("source", "row_id", "size", "base", (F.col("copies") + by).cast("long").alias("copies")), "settled"), True
+    return cut(rows.select("source", "row_id", "size", "base", (F.col("copies") + by).cast("long").alias("copies")), "settled")
