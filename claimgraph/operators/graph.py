@@ -16,26 +16,25 @@ def expand_frontier(seeds: DataFrame, edges: DataFrame, max_depth: int = 5, max_
     ``edges`` is (parent, child, priority). One join a level; a node keeps its least depth and priority and gains the
     bindings of every parent. Children beyond ``max_depth`` are observed as edges but not expanded.
     """
-    nodes = seeds.groupBy("node").agg(F.lit(0).alias("depth"), F.min("priority").alias("priority"))
-    bound = cut(seeds.filter("entity is not null").select("node", "entity").distinct())
-    nodes = cut(nodes)
-    frontier, new_bound, met = nodes, bound, None
+    frontier = cut(seeds.groupBy("node").agg(F.lit(0).alias("depth"), F.min("priority").alias("priority")))
+    new_bound = cut(seeds.filter("entity is not null").select("node", "entity").distinct())
+    # a level is written once and appended; what is there already is not written again
+    reached, bound, met = frontier, new_bound, None
     for depth in range(max_depth + 1):
-        out = edges.join(frontier.select(F.col("node").alias("parent")), "parent")
-        step = out.select("parent", "child", F.lit(depth).alias("depth"))
+        step = edges.join(frontier.select(F.col("node").alias("parent")), "parent").select("parent", "child", F.lit(depth).alias("depth"))
         met = step if met is None else met.unionByName(step)
-        # bindings travel along edges whether or not the child is new
-        pushed = edges.join(new_bound.withColumnRenamed("node", "parent"), "parent").select(F.col("child").alias("node"), "entity").distinct()
         if depth == max_depth:
             break
+        # bindings travel along edges whether or not the child is new
+        pushed = edges.join(new_bound.withColumnRenamed("node", "parent"), "parent").select(F.col("child").alias("node"), "entity").distinct()
         new_bound = cut(pushed.join(bound, ["node", "entity"], "left_anti"))
-        bound = cut(bound.unionByName(new_bound))
-        reached = out.groupBy(F.col("child").alias("node")).agg(F.lit(depth + 1).alias("depth"), F.min("priority").alias("priority"))
-        fresh = cut(reached.join(nodes, "node", "left_anti"))
-        nodes = cut(nodes.unionByName(reached).groupBy("node").agg(F.min("depth").alias("depth"), F.min("priority").alias("priority")))
-        if fresh.isEmpty() and new_bound.isEmpty():
+        out = edges.join(frontier.select(F.col("node").alias("parent")), "parent").groupBy(F.col("child").alias("node")).agg(F.min("priority").alias("priority"))
+        out = cut(out.select("node", F.lit(depth + 1).alias("depth"), "priority"))
+        frontier = cut(out.join(reached, "node", "left_anti"))
+        reached, bound = reached.unionByName(out), bound.unionByName(new_bound)
+        if frontier.isEmpty() and new_bound.isEmpty():
             break
-        frontier = fresh
+    nodes = reached.groupBy("node").agg(F.min("depth").alias("depth"), F.min("priority").alias("priority"))
     kept = nodes if max_nodes is None else nodes.orderBy("depth", "priority", "node").limit(max_nodes)
     per = bound.groupBy("node").agg(F.sort_array(F.collect_set("entity")).alias("bindings"))
     return kept.join(per, "node", "left"), met.distinct()

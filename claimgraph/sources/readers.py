@@ -70,7 +70,7 @@ def page_signals(df: DataFrame, key: str, c: str, words: Sequence[str]) -> DataF
 
 
 def read_assets(spark: SparkSession, glob: str, most: int = 64 << 20) -> DataFrame:
-    """Binary model files; of those longer than ``most`` bytes the content is null and never read."""
+    """Binary model files; of those longer than ``most`` bytes the content is null and never read. Files of no bytes have no row, since Spark's file sources skip them."""
     files = spark.read.format("binaryFile").load(glob)
     large = files.filter(F.col("length") > most).select(*(F.lit(None).cast("binary").alias(c) if c == "content" else c for c in files.columns))
     return files.filter(F.col("length") <= most).unionByName(large)

@@ -1,5 +1,8 @@
 """Policy rules on tiny frames, negative cases first."""
 
+import hashlib
+import struct
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,6 +161,33 @@ def test_files_over_the_limit_have_a_status(spark, tmp_path):
     assert sorted((r["path"][-9:], r["status"]) for r in got) == [("large.vrm", "too_large"), ("small.vrm", "not_glb")]
 
 
+def _model(document: bytes, rest: bytes = b"", more: int = 0) -> bytes:
+    """A binary model file; its header claims ``more`` bytes than it has."""
+    document += b" " * (-len(document) % 4)
+    return struct.pack("<4sIIII", b"glTF", 2, 20 + len(document) + len(rest) + more, len(document), 0x4E4F534A) + document + rest
+
+
+def test_binary_model_files(spark, tmp_path):
+    """Files with every byte value, which text readers would break."""
+    new, old = b'{"extensions":{"VRMC_vrm":{"meta":{"name":"a"}}}}', b'{"extensions":{"VRM":{}}}'
+    files = {
+        "new": _model(new, bytes(range(256)) * 4),
+        "old": _model(old),
+        "plain": _model(b'{"asset":{"version":"2.0"}}'),
+        "cut": _model(old, more=8),
+        "json": _model(b'{"extensions":{"VRM":'),
+        "text": b"glb\r\n\x00\xff",
+        "empty": b"",
+    }
+    for name, content in files.items():
+        (tmp_path / f"{name}.vrm").write_bytes(content)
+    found = readers.read_assets(spark, f"{tmp_path}/*.vrm")
+    got = {r["path"].rsplit("/", 1)[1][:-4]: (r["status"], r["spec"], r["content_sha256"]) for r in assets.validate_assets(found, "path", "content", observed=F.col("length")).collect()}
+    want = {"new": ("valid", "1.0"), "old": ("valid", "0.x"), "plain": ("valid_glb_not_vrm", None), "cut": ("length_mismatch", "0.x"), "json": ("bad_json", None), "text": ("not_glb", None)}
+    assert {k: v[:2] for k, v in got.items()} == want
+    assert all(got[k][2] == hashlib.sha256(files[k]).hexdigest() for k in got)
+
+
 def test_rule_tables_are_bounded(spark):
     rules = spark.range(10_001).selectExpr("'terms' as layer", "cast(id as string) as pattern", "'d' as dimension", "'v' as value")
     with pytest.raises(ValueError, match="at most"):
