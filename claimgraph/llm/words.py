@@ -36,7 +36,7 @@ _cache: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, for at least ``n`` places."""
-    size = 1 << max(20, (n - 1).bit_length())
+    size = 1 << max(18, (n - 1).bit_length())
     if size not in _cache:
         _cache.clear()
         _cache[size] = (_powers(_BASE, size), _powers(_INVERSE, size))
@@ -53,7 +53,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def text_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows of at most ``limit`` bytes, or one longer row; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
