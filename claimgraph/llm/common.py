@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.shared import cut
+from ..functions.shared import cut, fresh_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,3 +95,16 @@ def _is_star(edges: DataFrame) -> bool:
     ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
     per = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
     return not per.agg(F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
+
+
+class Written:
+    """A table written to the shared folder that can be deleted once a later table has taken its place."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self.spark, self.path = df.sparkSession, fresh_path(df.sparkSession, name)
+        df.write.option("compression", "zstd").parquet(self.path)
+        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bitslice import top_k
+from .codes import codebooks_digest, label_errors, vector_codes
 from .common import cut, table
 from .html_text import extract_text
+from .infill import fill_in_middle, restore_text
 from .minhash import near_duplicates
 from .mixing import mix
 from .neighbours import near_vectors
@@ -67,7 +69,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(cut(normalise_archives(careless), "normal")).drop("payload", "url")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_toxicity, op3_packing, op4_substring, op5_secrets, op6_html_text, op7_mixing, op8_neighbours, op9_bitslice, op10_warc)}
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_hash = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
+    both = restore_text(fill_in_middle(table(spark, sf_dir, "documents")))
+    return both.select("doc_id", "n", "form", "prefix_chars", "middle_chars", text_hash("output").alias("output_sha256"), text_hash("restored").alias("restored_sha256"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, codebooks = vector_codes(table(spark, sf_dir, "embeddings"))
+    return label_errors(codes).select("vec_id", "code", "error", "label_error", F.lit(codebooks_digest(codebooks)).alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_toxicity, op3_packing, op4_substring, op5_secrets, op6_html_text, op7_mixing, op8_neighbours, op9_bitslice, op10_warc, op12_infill, op13_codes)}
 
 #: Smallest node that each reaches by the links (a, b), a < b, of table ``links``; nodes without links have no row.
 _REACHED = """
@@ -75,6 +88,36 @@ _REACHED = """
             r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
             low AS (SELECT a, min(b) AS low FROM r GROUP BY a)
 """
+
+
+def _codes_sql(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """The quantiser with all distances, one pair of table expressions a round."""
+    kept = """
+        v AS MATERIALIZED (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+            WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+        )"""
+    steps = [
+        kept,
+        f"x AS MATERIALIZED (SELECT vec_id, p, q[p * len(q) // {parts} + 1 : (p + 1) * len(q) // {parts}] AS x FROM v, range({parts}) t(p))",
+        f"c0 AS MATERIALIZED (SELECT p, e, x AS c FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v) USING (vec_id) WHERE e < {entries})",
+    ]
+    near = f"SELECT vec_id, p, x, min(CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * {entries} + e) AS m FROM x JOIN c{{}} USING (p) GROUP BY ALL"
+    for k in range(rounds):
+        mean = f"SELECT p, m % {entries} AS e, i, sum(x[i]) AS s, count(*) AS n FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM a{k}) GROUP BY ALL"
+        steps += [
+            f"a{k} AS MATERIALIZED ({near.format(k)})",
+            f"s{k} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM ({mean}) GROUP BY ALL)",
+            f"c{k + 1} AS MATERIALIZED (SELECT o.p AS p, o.e AS e, coalesce(s.c, o.c) AS c FROM c{k} o LEFT JOIN s{k} s ON o.p = s.p AND o.e = s.e)",
+        ]
+    steps += [
+        f"a{rounds} AS ({near.format(rounds)})",
+        f"f AS MATERIALIZED (SELECT vec_id, label, string_agg(printf('%02x', m % {entries}), '' ORDER BY p) AS code, CAST(sum(m // {entries}) AS BIGINT) AS error FROM a{rounds} JOIN v USING (vec_id) GROUP BY ALL)",
+        f"h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds})",
+    ]
+    return f"WITH {', '.join(steps)} SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM f, h"
+
+
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 #: DuckDB SQL of the queries that it can express and run on whole tables.
@@ -117,6 +160,21 @@ ORACLES = {
         ), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op12_infill": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id) AS h FROM documents
+        ), d AS (
+            SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS y,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+                    WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM t
+        ), c AS (
+            SELECT doc_id, n, form, text, array_to_string(u[1 : least(x, y)], '') AS p, array_to_string(u[least(x, y) + 1 : greatest(x, y)], '') AS m, array_to_string(u[greatest(x, y) + 1 : n], '') AS s FROM d
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+        FROM c
+    """,
+    "op13_codes": _codes_sql(),
     "op10_warc": """
         WITH p AS (
             SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
