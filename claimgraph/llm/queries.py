@@ -16,6 +16,7 @@ from .neighbours import near_vectors
 from .packing import pack
 from .secrets import find_secrets, span_digests
 from .substring import remove_repeats
+from .suffix import remove_long_repeats
 from .toxicity import toxicity_scores
 from .warc import normalise_archives, read_archives, write_archives
 
@@ -69,6 +70,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(cut(normalise_archives(careless), "normal")).drop("payload", "url")
 
 
+def op11_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_long_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("repeats").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_hash = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
     both = restore_text(fill_in_middle(table(spark, sf_dir, "documents")))
@@ -80,7 +86,7 @@ def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_errors(codes).select("vec_id", "code", "error", "label_error", F.lit(codebooks_digest(codebooks)).alias("codebooks_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_toxicity, op3_packing, op4_substring, op5_secrets, op6_html_text, op7_mixing, op8_neighbours, op9_bitslice, op10_warc, op12_infill, op13_codes)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_toxicity, op3_packing, op4_substring, op5_secrets, op6_html_text, op7_mixing, op8_neighbours, op9_bitslice, op10_warc, op11_suffix, op12_infill, op13_codes)}
 
 #: Smallest node that each reaches by the links (a, b), a < b, of table ``links``; nodes without links have no row.
 _REACHED = """
@@ -160,6 +166,16 @@ ORACLES = {
         ), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op11_suffix": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+            c AS (SELECT doc_id, n, s, substring(x, 2 * s + 1, 2 * 1399) AS x FROM (SELECT *, unnest(range(0, n, 1000)) AS s FROM d)),
+            t AS (SELECT doc_id, s + i AS pos, substring(x, 2 * i + 1, 2) AS byte, CASE WHEN s + i + 400 <= n THEN md5(substring(x, 2 * i + 1, 800)) END AS h FROM (SELECT *, unnest(range(0, least(1000, n - s))) AS i FROM c)),
+            f AS (SELECT h FROM t WHERE h IS NOT NULL GROUP BY h HAVING count(*) > 1),
+            k AS (SELECT doc_id, pos, byte, max(CASE WHEN f.h IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 399 PRECEDING AND CURRENT ROW) AS gone FROM t LEFT JOIN f ON t.h = f.h),
+            e AS (SELECT *, coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), 0) AS before FROM k),
+            o AS (SELECT doc_id, sum(gone) AS n_removed, count(*) FILTER (gone = 1 AND before = 0) AS n_spans, string_agg(byte, '' ORDER BY pos) FILTER (gone = 0) AS kept FROM e GROUP BY doc_id)
+        SELECT d.doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN o ON d.doc_id = o.doc_id
+    """,
     "op12_infill": r"""
         WITH t AS (
             SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id) AS h FROM documents

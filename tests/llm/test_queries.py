@@ -30,7 +30,7 @@ def test_oracle(spark, name):
 
 def test_all_are_registered():
     found = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {x[: x.index("_") + 1] for x in found if x.startswith("op")} and "pipeline" in found
+    assert {f"op{n}_" for n in range(1, 14)} == {x[: x.index("_") + 1] for x in found if x.startswith("op")} and "pipeline" in found
 
 
 def representatives(rows):
