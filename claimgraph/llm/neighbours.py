@@ -9,11 +9,14 @@ gives one row a vector, its links and the smallest id it reaches there, and thes
 The bounded sample gives a bounded number of leaves; leaves that hold over ``CAP`` rows are split further by Spark, at
 medians of all their rows, with the same spill.
 
-Skew: equal vectors of a label enter once, with their count. A leaf that splits cannot make smaller, being of much alike
-vectors, is dealt into chunks, and each pair of chunks is compared by itself.
+Skew: equal vectors of a label enter once, with their count. A leaf of vectors so alike that the sides of a split would
+cost nearly as much as the leaf is dealt into chunks, and each pair of chunks is compared by itself; if it holds its whole
+label, the label is compared in it alone.
 
 Defined cases: null labels, null or zero vectors, and vectors with null or non-finite components link with nothing but
-have a row; vectors of different length never link; repeated ids are rows each; an empty table gives no rows.
+have a row; vectors of different length never link; repeated ids are rows each, and a
+component is named by the smallest id in it; very small and very large components count like others; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -48,7 +51,7 @@ def grow(sample: np.ndarray, depth: int, margin: float, seed: int) -> list[tuple
         p = sample[own] @ direction
         middle = float(np.median(p))
         left, right = own[p <= middle + margin], own[p > middle - margin]
-        if min(len(left), len(right)) > 0.9 * len(own):
+        if vain(len(left), len(right), len(own)):
             return place
         nodes[place] = (direction, middle, split(left, level + 1), split(right, level + 1))
         return place
@@ -76,7 +79,14 @@ def route(nodes: list, x: np.ndarray, margin: float) -> tuple[np.ndarray, np.nda
 
 
 def _matrix(column, size: int, pick: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return column[starts[pick][:, None] + np.arange(size)].astype(float)
+    """The rows in double precision, each scaled by a power of two so that no square is lost or overflows."""
+    x = column[starts[pick][:, None] + np.arange(size)].astype(float)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1]) if x.size else x
+
+
+def vain(left, right, rows):
+    """Whether comparing both sides of a split would cost nearly as much as comparing all its rows with each other."""
+    return left * left + right * right > 0.9 * rows * rows
 
 
 def _lists(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,7 +143,7 @@ def _split_large(routed: DataFrame, threshold: float) -> tuple[DataFrame, DataFr
     """``routed`` with its leaves of over ``CAP`` rows split further, and the leaves (label, key, n) that stay larger.
 
     All rows of such a leaf are projected on a direction that its key gives, and Spark finds their median, so leaves stay
-    bounded however many vectors there are; a leaf of which a split keeps most rows on both sides stays whole.
+    bounded however many vectors there are; a leaf of which a split keeps too many rows on both sides stays whole.
     """
     places = cut(routed.select("label", "rep", F.explode("keys").alias("key")), "places")
     big = cut(_leaf_sizes(places).filter(F.col("n") > CAP), "big")
@@ -163,17 +173,24 @@ def _split_large(routed: DataFrame, threshold: float) -> tuple[DataFrame, DataFr
         sides = F.filter(F.array(F.when(F.col("p") <= F.col("m") + F.col("margin"), 0), F.when(F.col("p") > F.col("m") - F.col("margin"), 1)), lambda x: x.isNotNull())
         split = cut(at.join(middle, ["label", "key"]).select("label", "rep", F.col("key").alias("parent"), "n", F.explode(sides).alias("side")).withColumn("key", F.xxhash64("parent", "side")), "split")
         parts = split.groupBy("label", "parent", "n").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
-        vain = cut(parts.filter(F.least("a", "b") > 0.9 * F.col("n")).select("label", F.col("parent").alias("key"), "n"), "vain")
-        stuck = vain if stuck is None else stuck.unionByName(vain)
-        kept = at.join(vain, ["label", "key"], "left_semi").select("label", "rep", "key")
-        split = split.join(vain.select("label", F.col("key").alias("parent")), ["label", "parent"], "left_anti").select("label", "rep", "key")
+        alike = cut(parts.filter(vain(F.col("a").cast("double"), F.col("b"), F.col("n"))).select("label", F.col("parent").alias("key"), "n"), "alike")
+        stuck = alike if stuck is None else stuck.unionByName(alike)
+        kept = at.join(alike, ["label", "key"], "left_semi").select("label", "rep", "key")
+        split = split.join(alike.select("label", F.col("key").alias("parent")), ["label", "parent"], "left_anti").select("label", "rep", "key")
         big = cut(_leaf_sizes(split).filter(F.col("n") > CAP), "big")
         done = done.unionByName(kept).unionByName(split.join(big, ["label", "key"], "left_anti"))
         if big.isEmpty():
             break
         places = split.join(big.select("label", "key"), ["label", "key"], "left_semi")
+    # a leaf that holds all of a label and stays whole compares all its pairs: the label needs no other leaf
+    stuck = cut(stuck, "stuck")
+    total = routed.groupBy("label").agg(F.count("*").alias("n"))
+    only = cut(stuck.join(total, ["label", "n"]).groupBy("label").agg(F.min("key").alias("only")), "only")
+    if not only.isEmpty():
+        done, stuck = (df.join(only, "label", "left").filter("only is null or key = only").drop("only") for df in (done, stuck))
+        stuck = cut(stuck, "stuck")
     keys = done.groupBy("label", "rep").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    return cut(routed.drop("keys").join(keys, ["label", "rep"]).select("label", "rep", "v", "copies", "keys"), "routed"), cut(stuck, "stuck")
+    return cut(routed.drop("keys").join(keys, ["label", "rep"]).select("label", "rep", "v", "copies", "keys"), "routed"), stuck
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", trees: int = TREES) -> DataFrame:
@@ -182,12 +199,15 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), F.col(label_col).cast("string").alias("label"))
     fine = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     good = rows.filter(fine)
-    sets = cut(good.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "sets")
+    # a set's number is written with it, so that it stays; ids may name several vectors
+    sets = good.groupBy("label", "v").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
+    sets = cut(sets.withColumn("rep", F.monotonically_increasing_id()), "sets")
     n, largest, twice = sets.groupBy("label").agg(F.count("*").alias("n"), F.max("copies").alias("c")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n"), F.max("c")).first()
-    empty = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    alone = rows.filter(~fine).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if not n:
-        return empty.withColumn("kept", F.lit(True))
-    sample = sets.select("v", "rep").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("v").toArrow()
+        return alone.select("*", kept)
+    sample = sets.select("v", "low").orderBy(F.xxhash64("low"), "low", "v").limit(SAMPLE).select("v").toArrow()
     flat, starts, sizes = _lists(sample["v"])
     depth = max(0, int(np.ceil(np.log2(max(largest / LEAF, 1)))))
     forest: dict[int, list] = {}
@@ -238,13 +258,13 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     met = cut(whole.groupBy("label", "key", "pair", "other").applyInArrow(_compare(threshold), "vec_id long, links long, root long"), "met")
     comp = components(met.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
     links = met.groupBy("vec_id").agg(F.sum("links").alias("links"))
-    per = links.join(comp, links.vec_id == comp.id, "left").select(links.vec_id.alias("rep"), "links", "component_id")
+    # the number of a component's smallest set, and the smallest id of all its sets
+    comp = sets.select("rep", "low").join(comp.withColumnRenamed("id", "rep"), "rep").select("rep", "component_id", "low")
+    lows = comp.groupBy("component_id").agg(F.min("low").alias("least"))
+    per = comp.join(lows, "component_id").select("rep", "least").join(links.withColumnRenamed("vec_id", "rep"), "rep", "left")
+    linked = cut(sets.join(per, "rep", "left").select("label", "v", "low", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("least", "low").alias("component_id")), "linked")
     if twice == 1:
-        out = per.select(F.col("rep").alias("vec_id"), F.col("links").alias("n_links"), "component_id")
+        out = linked.select(F.col("low").alias("vec_id"), "n_links", "component_id")
     else:
-        member = good.join(sets, ["label", "v"]).select("vec_id", "rep", "copies")
-        out = member.join(per, "rep", "left").select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
-    out = cut(out.withColumnRenamed("n_links", "l").withColumnRenamed("component_id", "c"), "linked")
-    found = empty.select("vec_id").join(out.groupBy("vec_id").agg(F.max("l").alias("l"), F.min("c").alias("c")), "vec_id", "left")
-    found = found.select("vec_id", F.coalesce("l", F.lit(0)).alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
-    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+        out = good.join(linked, ["label", "v"]).select("vec_id", "n_links", "component_id")
+    return out.unionByName(alone).select("*", kept)

@@ -29,6 +29,7 @@ _ACCESS = re.compile("AKIA[A-Z0-9]+")
 _HEX = re.compile("[0-9a-f]{16,}")
 _CHECKED = re.compile("(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 _SIGNED = re.compile(r"(eyJ[A-Za-z0-9_-]{10,})\.(eyJ[A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{20,})")
+_SIGNED_RUN = re.compile("[A-Za-z0-9_-]*")
 _PRIVATE = re.compile("-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\\s]+-----END [A-Z ]{0,20}PRIVATE KEY-----")
 _SERVICE = re.compile("sk_live_[A-Za-z0-9]{24,}|xox[abpr]-[A-Za-z0-9-]{20,}|AIza[A-Za-z0-9_-]{35}")
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -93,6 +94,8 @@ def scanner() -> Callable[[str], list[tuple[str, int, int]]]:
                 over[kind] = m.end()
                 if holds(m):
                     spans.append((kind, start, m.end()))
+            elif kind == "signed_token":  # its first part ends where that of any later start in the run ends
+                over[kind] = _SIGNED_RUN.match(text, start).end()
         spans.sort(key=lambda s: (s[1], order[s[0]], s[2]))
         return spans
 

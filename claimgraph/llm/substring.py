@@ -101,7 +101,7 @@ def _pairs(out: list, rows: list) -> Iterator[pa.RecordBatch]:
 
 
 def _remove(window: int):
-    """Kept words and maximal repeats of each text; column 2 says whether all goes, column 3 has the repeated windows."""
+    """Kept words and maximal repeats of each text; column 2 has the hashes of whole texts that go, column 3 the repeated windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -111,7 +111,8 @@ def _remove(window: int):
             for i, h in _hashed(batch.column(1)):
                 parts = (texts[i] or "").encode().split()
                 n, runs = len(parts), []
-                if batch.column(2)[i].as_py():
+                copies = batch.column(2)[i].as_py()
+                if copies and n >= window and hashlib.blake2b(h.tobytes(), digest_size=16).digest() in copies:
                     runs = [(0, n)]
                 elif batch.column(3)[i].is_valid:
                     hit = np.isin(w.windows(h, window), batch.column(3)[i].values.to_numpy().view(np.uint64))
@@ -147,8 +148,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
     long = table.filter("whole is not null and doc_id is not null")
     whole = long.groupBy("whole").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     whole = cut(whole.select("whole", "first"), "whole")
-    copy = cut(long.select("doc_id", "whole").join(whole, "whole").filter("first < doc_id").select("doc_id").distinct(), "copies")
-    once = long.select("doc_id", "anchors").join(copy, "doc_id", "left_anti")
+    # by text, not by id: an id may have other rows that are no copies
+    copy = cut(long.select("doc_id", "whole").join(whole, "whole").filter("first < doc_id").select("doc_id", "whole").distinct(), "copies")
+    once = long.select("doc_id", "whole", "anchors").join(copy, ["doc_id", "whole"], "left_anti")
     anchors = cut(once.select(F.explode("anchors").alias("a"), "doc_id"), "anchors")
     shared = cut(anchors.groupBy("a").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x < y").select("a"), "shared")
     seeds = cut(anchors.join(shared, "a").groupBy("doc_id").agg(F.collect_list("a").alias("seeds")), "own")
@@ -156,7 +158,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
     met = docs.join(seeds, "doc_id").select("doc_id", "text", "seeds").mapInArrow(_extend(window, gram), "h long, g long, doc_id long")
     met = cut(met, "windows")
     first = cut(met.groupBy("h", "g").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("h", "g", "first"), "first")
-    hits = met.join(first, ["h", "g"]).filter("first < doc_id").groupBy("doc_id").agg(F.collect_set("h").alias("windows"))
-    hits = cut(hits.withColumn("all", F.lit(False)).unionByName(copy.select("doc_id", F.lit(None).cast("array<long>").alias("windows"), F.lit(True).alias("all"))), "hits")
-    changed = docs.join(hits, "doc_id", "left").select("doc_id", "text", F.coalesce("all", F.lit(False)).alias("all"), "windows")
+    hits = met.join(first, ["h", "g"]).filter("first < doc_id").select("doc_id", F.col("h").alias("window"), F.lit(None).cast("binary").alias("whole"))
+    hits = hits.unionByName(copy.select("doc_id", F.lit(None).cast("long").alias("window"), "whole"))
+    hits = cut(hits.groupBy("doc_id").agg(F.collect_set("whole").alias("copies"), F.collect_set("window").alias("windows")), "hits")
+    changed = docs.join(hits, "doc_id", "left").select("doc_id", "text", "copies", "windows")
     return changed.mapInArrow(_remove(window), _OUT)

@@ -10,7 +10,9 @@ Fitting uses at most ``SAMPLE`` labelled rows, the first in the order of a hash
 Scores read nothing but the text.
 
 Defined cases: null and empty texts get the score of the prior; with no labelled rows, or none of one class, only the
-seed lexicon votes; conflicting or repeated labels of a document are each a row; other columns are ignored.
+seed lexicon votes; conflicting labels of a document are each a row; of the rows that repeat an id one (that of the
+smallest text hash) is used for fitting, so that no more than ``SAMPLE`` reach the driver, and all are scored; a null
+doc_id has no label and is not held out; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -121,13 +123,17 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         for batch in batches:
             for first, end, rows, found in _features(batch.column(1)):
                 places = np.searchsorted(rows, np.arange(end - first + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.ListArray.from_arrays(pa.array(places), pa.array(found.astype(np.int32)))], names=["label", "features"])
+                own = [c.slice(first, end - first) for c in (batch.column(0), batch.column(2), batch.column(3))]
+                yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(places), pa.array(found.astype(np.int32)))], names=["label", "doc_id", "hash", "features"])
 
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("doc_id is not null and label is not null")
     known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # the sample's ids and labels are SAMPLE rows at most, so they are broadcast and no text is shuffled
-    found = texts.join(F.broadcast(known), "doc_id").select("label", "text").mapInArrow(run, "label int, features array<int>")
+    found = texts.join(F.broadcast(known), "doc_id").select("label", "text", "doc_id", F.xxhash64("text").alias("hash"))
+    found = found.mapInArrow(run, "label int, doc_id long, hash long, features array<int>")
+    # one row of an id and label, however many rows repeat it
+    found = found.groupBy("doc_id", "label").agg(F.min(F.struct("hash", "features")).alias("r")).select("label", "r.features")
     found = cut(found.withColumn("row", F.monotonically_increasing_id()), "sample")
     pos, n = (x or 0 for x in found.agg(F.sum("label"), F.count("*")).first())
     neg, weights, seed = n - pos, np.zeros(SPACE, np.float32), _seed_features()
@@ -213,4 +219,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     """doc_id, held_out, score (0 to 1) and predicted (score >= 0.5) of every document."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = score_rows(rows, docs, labels, label_col, id_col, text_col) if (id_col, text_col) == ("doc_id", "text") else score_rows(rows, rows, labels.withColumnRenamed(id_col, "doc_id"), label_col)
-    return out.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
