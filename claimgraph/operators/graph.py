@@ -8,36 +8,61 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.shared import cut
+from .ranking import numbered
 
 
-def expand_frontier(seeds: DataFrame, edges: DataFrame, max_depth: int = 5, max_nodes: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Nodes (node, depth, priority, bindings) reached from seeds (node, priority, entity), and the edges met on the way.
+def expand_frontier(seeds: DataFrame, edges: DataFrame, max_depth: int = 5, max_nodes: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What is reached from seeds (node, priority, entity) along edges (parent, child, priority): nodes, bindings, edges met.
 
-    ``edges`` is (parent, child, priority). One join a level; a node keeps its least depth and priority and gains the
-    bindings of every parent. Children beyond ``max_depth`` are observed as edges but not expanded.
+    A node is any comparable value, such as a struct of kind and key. Nodes (node, depth, priority) keep their least depth
+    and priority; bindings (node, entity) are inherited from every parent. Edges have the depth of their parent and why
+    their child was refused: ``max_depth`` is observed but not expanded, and once ``max_nodes`` nodes are admitted all
+    further edges are ``max_nodes``. Admission is that of a sequential run: levels one after the other, a level's parents
+    by priority and node, and a parent's edges by ``seq``, if they have such a column, and child. A level's edges are
+    written once and, where the budget may bind, numbered over range partitions.
     """
-    frontier = cut(seeds.groupBy("node").agg(F.lit(0).alias("depth"), F.min("priority").alias("priority")))
-    new_bound = cut(seeds.filter("entity is not null").select("node", "entity").distinct())
-    # a level is written once and appended; what is there already is not written again
-    reached, bound, met = frontier, new_bound, None
+    edges = edges if "seq" in edges.columns else edges.withColumn("seq", F.lit(0))
+    first = seeds.groupBy("node").agg(F.min("priority").alias("priority"))
+    frontier = cut(_within(first, ["priority", "node"], max_nodes).select("node", F.lit(0).alias("depth"), "priority"), "frontier")
+    new_bound = cut(seeds.filter("entity is not null").join(frontier, "node", "left_semi").select("node", "entity").distinct(), "bound")
+    reached, bound, met, count = frontier, new_bound, None, frontier.count() if max_nodes is not None else 0
     for depth in range(max_depth + 1):
-        step = edges.join(frontier.select(F.col("node").alias("parent")), "parent").select("parent", "child", F.lit(depth).alias("depth"))
+        step = edges.join(frontier.select(F.col("node").alias("parent"), F.col("priority").alias("_by")), "parent")
+        step = step.select("parent", "child", "priority", "seq", "_by", F.lit(depth).alias("depth"))
+        if depth == max_depth:
+            step = cut(step.withColumn("refused", F.lit("max_depth")).drop("_by"), "met")
+        elif max_nodes is None:
+            step = cut(step.withColumn("refused", F.lit(None).cast("string")).drop("_by"), "met")
+        else:
+            step = numbered(step, ["_by", "parent", "seq", "child", "priority"]).drop("_by")
+            new = cut(step.groupBy(F.col("child").alias("node")).agg(F.min("place").alias("place")).join(reached.select("node").distinct(), "node", "left_anti"), "new")
+            over = 0 if count >= max_nodes else _nth(new, max_nodes - count)
+            step = step.withColumn("refused", F.when(F.col("place") > (F.lit(over) if over is not None else F.col("place")), "max_nodes")).drop("place")
+            count = min(max_nodes, count + new.count())
         met = step if met is None else met.unionByName(step)
         if depth == max_depth:
             break
+        good = met.filter("refused is null")
         # bindings travel along edges whether or not the child is new
-        pushed = edges.join(new_bound.withColumnRenamed("node", "parent"), "parent").select(F.col("child").alias("node"), "entity").distinct()
-        new_bound = cut(pushed.join(bound, ["node", "entity"], "left_anti"))
-        out = edges.join(frontier.select(F.col("node").alias("parent")), "parent").groupBy(F.col("child").alias("node")).agg(F.min("priority").alias("priority"))
-        out = cut(out.select("node", F.lit(depth + 1).alias("depth"), "priority"))
-        frontier = cut(out.join(reached, "node", "left_anti"))
+        pushed = good.join(new_bound.withColumnRenamed("node", "parent"), "parent").select(F.col("child").alias("node"), "entity").distinct()
+        new_bound = cut(pushed.join(bound, ["node", "entity"], "left_anti"), "bound")
+        out = cut(step.filter("refused is null").groupBy(F.col("child").alias("node")).agg(F.min("priority").alias("priority")).select("node", F.lit(depth + 1).alias("depth"), "priority"), "out")
+        frontier = cut(out.join(reached, "node", "left_anti"), "frontier")
         reached, bound = reached.unionByName(out), bound.unionByName(new_bound)
         if frontier.isEmpty() and new_bound.isEmpty():
             break
     nodes = reached.groupBy("node").agg(F.min("depth").alias("depth"), F.min("priority").alias("priority"))
-    kept = nodes if max_nodes is None else nodes.orderBy("depth", "priority", "node").limit(max_nodes)
-    per = bound.groupBy("node").agg(F.sort_array(F.collect_set("entity")).alias("bindings"))
-    return kept.join(per, "node", "left"), met.distinct()
+    return nodes, bound, met
+
+
+def _within(df: DataFrame, keys: Sequence[str], most: int | None) -> DataFrame:
+    return df if most is None else numbered(df, keys).filter(F.col("place") <= most).drop("place")
+
+
+def _nth(new: DataFrame, n: int) -> int | None:
+    """The n-th smallest place, or None if there are fewer."""
+    row = numbered(new, ["place"], "nth").filter(F.col("nth") == n).select("place").first()
+    return row[0] if row else None
 
 
 def explain_entity(bindings: DataFrame, nodes: DataFrame, observations: DataFrame, entity: object) -> DataFrame:

@@ -189,23 +189,55 @@ def _nulled(e: Column, names: Sequence[str]) -> Column:
     return e
 
 
-def classify_link(valid: Column, errors: Column, fallback: Column, validation: Column) -> Column:
-    """Health class of a link from the error codes of its transports and its validation."""
-    only = lambda *codes: (F.size(errors) > 0) & (F.size(F.array_except(errors, F.array(*(F.lit(c) for c in codes)))) == 0)
-    has = lambda *codes: F.arrays_overlap(errors, F.array(*(F.lit(c) for c in codes)))
-    return first_match(
+#: Fixed classes of links with their severities, and which error classes each rule names.
+LINK_SEVERITIES = {
+    "healthy": "info",
+    "healthy_with_transport_degradation": "warning",
+    "non_vrm_glb": "error",
+    "not_glb": "error",
+    "invalid_glb": "error",
+    "validation_rejected": "error",
+    "missing": "error",
+    "access_blocked": "error",
+    "blocked_or_invalid_uri": "error",
+    "unstable_transport": "warning",
+    "transient_transport_failure": "warning",
+    "unclassified_error": "error",
+}
+VALIDATION_CLASSES = {"valid_glb_not_vrm": "non_vrm_glb", "not_glb": "not_glb", "invalid_glb": "invalid_glb"}
+MISSING_ERRORS = ("http_404", "http_410")
+ACCESS_ERRORS = ("http_401", "http_403")
+URI_ERRORS = ("blocked_destination", "blocked_uri", "unsupported_scheme", "invalid_uri")
+TRANSIENT_ERRORS = ("timeout", "dns_or_conn", "server_error", "rate_limited")
+
+
+def classify_link(valid: Column, status: Column, probe_failures: Column, probe_successes: Column, fallback: Column, errors: Column) -> tuple[Column, Column]:
+    """Class and severity of a link.
+
+    ``valid`` is the outcome of its validation, null if there was none, ``status`` its status; the numbers of probes that
+    failed and succeeded, whether validation used another transport than the first, and the error classes of probes and
+    validation. A validation decides alone; without one the error classes do, in this order: all missing, all forbidden,
+    any of a bad address, any error beside a probe that succeeded, any transient one.
+    """
+    errors = F.filter(F.coalesce(errors, F.array().cast("array<string>")), lambda e: e.isNotNull() & (e != ""))
+    some = F.size(errors) > 0
+    named = lambda names: F.array(*(F.lit(n) for n in names))
+    only = lambda names: some & (F.size(F.array_except(errors, named(names))) == 0)
+    health = first_match(
         [
-            (valid & ((F.size(errors) > 0) | fallback), "degraded"),
+            (valid & ((F.coalesce(probe_failures, F.lit(0)) > 0) | F.coalesce(fallback, F.lit(False))), "healthy_with_transport_degradation"),
             (valid, "healthy"),
-            (text(validation).isNotNull(), text(validation)),
-            (only("404", "410"), "missing"),
-            (only("401", "403"), "blocked"),
-            (has("bad_uri"), "invalid_uri"),
-            (only("timeout", "dns", "429", "500", "502", "503", "504"), "transient"),
-            (has("404", "410") & has("timeout", "500", "503"), "unstable"),
+            *((valid.isNotNull() & (status == s), c) for s, c in VALIDATION_CLASSES.items()),
+            (valid.isNotNull(), "validation_rejected"),
+            (only(MISSING_ERRORS), "missing"),
+            (only(ACCESS_ERRORS), "access_blocked"),
+            (F.arrays_overlap(errors, named(URI_ERRORS)), "blocked_or_invalid_uri"),
+            (some & (F.coalesce(probe_successes, F.lit(0)) > 0), "unstable_transport"),
+            (F.arrays_overlap(errors, named(TRANSIENT_ERRORS)), "transient_transport_failure"),
         ],
-        "unclassified",
+        "unclassified_error",
     )
+    return health, F.element_at(F.create_map(*(F.lit(x) for pair in LINK_SEVERITIES.items() for x in pair)), health)
 
 
 def fetch_status(code: Column, content_ok: Column, error: Column, body: Column) -> Column:

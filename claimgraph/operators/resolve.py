@@ -8,34 +8,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cols import first_match
+from ..functions.shared import cut
 
 
-def cascade_match(leads: DataFrame, lead_id: str, catalog: DataFrame, entity: str, rules: Sequence[tuple[str, Column, Column]]) -> DataFrame:
-    """Each lead's match by the first rule that finds one: lead_id, entity (null if new) and matched_by.
+def _keys(df: DataFrame, id_col: str, name: str, keys: Sequence[Column]) -> DataFrame:
+    """(id, rank, k): the keys that each row has, by the rank of their rule."""
+    have = F.filter(F.array(*(F.struct(F.lit(i).alias("rank"), c.cast("string").alias("k")) for i, c in enumerate(keys))), lambda x: x["k"].isNotNull())
+    return df.select(F.col(id_col).alias(name), F.explode(have).alias("x")).select(name, "x.rank", "x.k")
 
-    A rule is (name, key of the lead, key of the catalog). Several entities under one key: the smallest id. Leads that
-    match nothing but share a rule's key with an earlier unmatched lead match that lead ('lead:' and the rule).
+
+def first_come(keyed: DataFrame) -> DataFrame:
+    """(lead, rank, k): the keys of the leads that are taken if leads come in order and one that shares a key with a taken one is not.
+
+    A round takes every lead that is the first under all its keys and sets aside those that share a key with it, so that
+    the rounds are as many as the longest chain of leads that wait for each other, and each is two joins of the leads left.
+    """
+    left, taken = keyed, keyed.limit(0)
+    while not left.isEmpty():
+        first = left.groupBy("rank", "k").agg(F.min("lead").alias("first"))
+        free = left.join(first, ["rank", "k"]).groupBy("lead").agg(F.bool_and(F.col("first") == F.col("lead")).alias("free")).filter("free").select("lead")
+        now = cut(left.join(free, "lead").select("lead", "rank", "k"), "taken")
+        taken = taken.unionByName(now)
+        met = left.join(now.select("rank", "k").distinct(), ["rank", "k"], "left_semi").select("lead").distinct()
+        left = cut(left.join(met, "lead", "left_anti").select("lead", "rank", "k"), "left")
+    return taken
+
+
+def cascade_match(leads: DataFrame, lead_id: str, catalog: DataFrame, entity: str, rules: Sequence[tuple[str, Column, Column]], among_leads: bool = True) -> DataFrame:
+    """Each lead's match by the first rule that finds one: entity (null if none), same_as_lead and matched_by.
+
+    A rule is (name, key of the lead, key of the catalog). Several entities under one key: the smallest id. Leads are
+    taken in the order of their ids: one that matches nothing is new, and from then on counts as an entity for later leads
+    ('lead:' and the rule); one that matched is none, so a lead never matches it.
     """
-    found = None
-    keyed = leads
-    for i, (name, lead_key, _) in enumerate(rules):
-        keyed = keyed.withColumn(f"_k{i}", lead_key)
-    for i, (name, _, catalog_key) in enumerate(rules):
-        index = catalog.select(catalog_key.alias("k"), F.col(entity).alias("entity")).filter("k is not null").groupBy("k").agg(F.min("entity").alias("entity"))
-        one = keyed.select(lead_id, F.col(f"_k{i}").alias("k")).filter("k is not null").join(index, "k").select(lead_id, "entity", F.lit(i).alias("rank"))
-        found = one if found is None else found.unionByName(one)
-    best = found.groupBy(lead_id).agg(F.min(F.struct("rank", "entity")).alias("b")).select(lead_id, "b.rank", "b.entity")
-    out = keyed.join(best, lead_id, "left")
-    new = out.filter("rank is null")
-    again = None
-    for i in range(len(rules)):
-        first = new.filter(F.col(f"_k{i}").isNotNull()).groupBy(f"_k{i}").agg(F.min(lead_id).alias("first"))
-        one = new.join(first, f"_k{i}").filter(F.col("first") < F.col(lead_id)).select(lead_id, F.lit(i).alias("r2"), "first")
-        again = one if again is None else again.unionByName(one)
-    again = again.groupBy(lead_id).agg(F.min(F.struct("r2", "first")).alias("b")).select(lead_id, "b.r2", "b.first")
     names = F.array(*(F.lit(n) for n, _, _ in rules))
-    by = F.when(F.col("rank").isNotNull(), names[F.col("rank")]).when(F.col("r2").isNotNull(), F.concat(F.lit("lead:"), names[F.col("r2")])).otherwise("new")
-    return out.join(again, lead_id, "left").select(*leads.columns, "entity", F.col("first").alias("same_as_lead"), by.alias("matched_by"))
+    keyed = cut(_keys(leads, lead_id, "lead", [k for _, k, _ in rules]), "keys")
+    index = _keys(catalog, entity, "entity", [k for _, _, k in rules]).groupBy("rank", "k").agg(F.min("entity").alias("entity"))
+    found = keyed.join(index, ["rank", "k"]).select("lead", "rank", "entity").withColumn("same_as_lead", F.lit(None).cast(dict(leads.dtypes)[lead_id]))
+    if among_leads:
+        found = cut(found, "found")
+        new = first_come(keyed.join(found.select("lead").distinct(), "lead", "left_anti"))
+        earlier = keyed.join(new.select(F.col("lead").alias("same_as_lead"), "rank", "k"), ["rank", "k"]).filter("same_as_lead < lead")
+        found = found.unionByName(earlier.select("lead", "rank", F.lit(None).cast(dict(found.dtypes)["entity"]).alias("entity"), "same_as_lead"))
+    best = found.groupBy("lead").agg(F.min(F.struct("rank", "entity", "same_as_lead")).alias("b"))
+    own = {f"_{n}": F.col(f"b.{n}") for n in ("rank", "entity", "same_as_lead")}
+    out = leads.join(best.select("lead", *(c.alias(n) for n, c in own.items())), F.col(lead_id) == F.col("lead"), "left")
+    by = F.when(F.col("_rank").isNull(), "new").otherwise(F.concat(F.when(F.col("_same_as_lead").isNotNull(), "lead:").otherwise(""), names[F.col("_rank")]))
+    return out.select(*leads.columns, F.col("_entity").alias("entity"), F.col("_same_as_lead").alias("same_as_lead"), by.alias("matched_by"))
 
 
 def presence(catalog: DataFrame, entity: str, other: DataFrame, keys: Sequence[tuple[Column, Column]], rows: str, optimised: str) -> DataFrame:
@@ -196,9 +215,30 @@ def merge_duplicates(df: DataFrame, key: str, order: str, cols: Sequence[str]) -
     return df.groupBy(key).agg(F.count("*").alias("merged"), *(F.min_by(c, F.when(usable(c), F.col(order))).alias(c) for c in cols))
 
 
+def follow_renames(renames: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(loser, survivor) with chains followed to their end; and the renames refused, with the reason.
+
+    Pointers jump: each round a loser points to what its survivor points to, so that a chain of any length ends in rounds
+    of the logarithm of its length. A loser with several survivors is ambiguous and stays as it is, also as the end of
+    other chains; losers on a cycle, or that lead into one, have no end and are refused.
+    """
+    pairs = renames.select("loser", "survivor").filter("loser is not null and survivor is not null").groupBy("loser").agg(F.min("survivor").alias("survivor"), F.max("survivor").alias("other"))
+    pairs = cut(pairs, "renames")
+    at = pairs.filter("survivor = other").select("loser", "survivor")
+    for _ in range(max(1, at.count()).bit_length() + 1):
+        on = at.select(F.col("loser").alias("survivor"), F.col("survivor").alias("next"))
+        at = cut(at.join(on, "survivor", "left").select("loser", F.coalesce("next", "survivor").alias("survivor"), F.col("next").isNotNull().alias("moved")), "followed")
+        if at.filter("moved").isEmpty():
+            break
+        at = at.select("loser", "survivor")
+    endless = at.join(at.select(F.col("loser").alias("survivor")), "survivor", "left_semi").select("loser")
+    reason = endless.select("loser", F.lit("cycle").alias("reason")).unionByName(pairs.filter("survivor <> other").select("loser", F.lit("several_survivors").alias("reason")))
+    return at.select("loser", "survivor").join(endless, "loser", "left_anti"), reason
+
+
 def merge_entities(children: DataFrame, key: str, renames: DataFrame, child_key: Sequence[str]) -> DataFrame:
-    """Children of merged entities point to the survivor; those that then collide are dropped. ``renames`` has loser, survivor."""
-    moved = children.join(renames, children[key] == renames["loser"], "left")
+    """Children of merged entities point to the last survivor; those that then collide are dropped. ``renames`` has loser, survivor."""
+    moved = children.join(follow_renames(renames)[0], children[key] == F.col("loser"), "left")
     moved = moved.withColumn("_moved", F.col("loser").isNotNull()).withColumn(key, F.coalesce("survivor", key)).drop("loser", "survivor")
     cols = [c for c in moved.columns if c not in child_key]
     once = moved.groupBy(*child_key).agg(F.min(F.struct("_moved", *[c for c in cols if c != "_moved"])).alias("r"))

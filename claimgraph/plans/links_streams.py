@@ -321,8 +321,9 @@ def edges(t: Tables):
 )
 def i1(t: Tables):
     seeds = t.customer.select(F.col("c_custkey").alias("node"), F.lit(10).alias("priority"), F.col("c_custkey").alias("entity"))
-    nodes, _ = graph.expand_frontier(seeds, edges(t), 3)
-    return nodes.select("node", "depth", "priority", joined(F.transform("bindings", lambda x: x.cast("string"))).alias("bindings"))
+    nodes, bound, _ = graph.expand_frontier(seeds, edges(t), 3)
+    bindings = bound.groupBy("node").agg(joined(F.collect_set(F.col("entity").cast("string"))).alias("bindings"))
+    return nodes.join(bindings, "node", "left").select("node", "depth", "priority", "bindings")
 
 
 @query(

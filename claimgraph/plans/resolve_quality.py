@@ -13,22 +13,33 @@ def digits(c: str):
     return F.regexp_extract(c, r"(\d+)$", 1)
 
 
+_C1_RULES = """WITH RECURSIVE l AS (SELECT s_suppkey AS id, list_filter([
+        CASE WHEN s_suppkey % 4 = 0 THEN '0:' || s_suppkey * 30 END, CASE WHEN s_suppkey % 3 = 0 THEN '1:' || s_nationkey * 2 END,
+        CASE WHEN s_suppkey % 5 < 3 THEN '2:' || (s_suppkey // 3) * 7 END, CASE WHEN s_suppkey % 2 = 1 THEN '3:' || s_suppkey // 5 END], lambda x: x IS NOT NULL) AS ks FROM supplier),
+    c AS (SELECT '0:' || c_custkey AS k, min(c_custkey) AS e FROM customer GROUP BY 1 UNION ALL SELECT '1:' || c_nationkey, min(c_custkey) FROM customer GROUP BY 1
+        UNION ALL SELECT '2:' || c_custkey * 13, min(c_custkey) FROM customer WHERE c_custkey % 2 = 0 GROUP BY 1),
+    x AS (SELECT id, unnest(ks) AS k FROM l), m AS (SELECT id, k, e FROM x JOIN c USING (k))"""
+
+
 @query(
     "c1_cascade_match",
-    """WITH l AS (SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN s_suppkey * 30 END AS id, CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey * 2 END AS nk, CASE WHEN s_suppkey % 5 < 2 THEN regexp_extract(s_name, '([0-9]+)$', 1) END AS nm, s_nationkey FROM supplier),
-    c AS (SELECT c_custkey, c_nationkey, regexp_extract(c_name, '([0-9]+)$', 1) AS nm FROM customer),
-    m AS (SELECT s_suppkey, min(c_custkey) AS e, 0 AS r FROM l JOIN c ON id = c_custkey GROUP BY 1 UNION ALL SELECT s_suppkey, min(c_custkey), 1 FROM l JOIN c ON nk = c_nationkey GROUP BY 1 UNION ALL SELECT s_suppkey, min(c_custkey), 2 FROM l JOIN c ON l.nm = c.nm GROUP BY 1),
-    b AS (SELECT s_suppkey, arg_min(e, r) AS e, min(r) AS r FROM m GROUP BY 1),
-    n AS (SELECT l.* FROM l LEFT JOIN b ON l.s_suppkey = b.s_suppkey WHERE b.r IS NULL),
-    a AS (SELECT x.s_suppkey, min(y.s_suppkey) AS f, 1 AS r FROM n x JOIN n y ON x.nk = y.nk AND y.s_suppkey < x.s_suppkey GROUP BY 1)
-    SELECT l.s_suppkey, b.e AS entity, a.f AS same_as_lead, CASE b.r WHEN 0 THEN 'id' WHEN 1 THEN 'key' WHEN 2 THEN 'name' ELSE CASE WHEN a.f IS NOT NULL THEN 'lead:key' ELSE 'new' END END AS matched_by
-    FROM l LEFT JOIN b ON l.s_suppkey = b.s_suppkey LEFT JOIN a ON l.s_suppkey = a.s_suppkey""",
+    _C1_RULES
+    + """, o AS (SELECT *, row_number() OVER (ORDER BY id) AS i FROM l WHERE id NOT IN (SELECT id FROM m)),
+    g(i, have, new) AS (SELECT 0::BIGINT, []::VARCHAR[], []::BIGINT[] UNION ALL
+        SELECT o.i, CASE WHEN list_has_any(have, ks) THEN have ELSE list_concat(have, ks) END, CASE WHEN list_has_any(have, ks) THEN new ELSE list_append(new, id) END FROM g JOIN o ON o.i = g.i + 1),
+    n AS (SELECT unnest(new) AS id FROM (SELECT new FROM g ORDER BY i DESC LIMIT 1)),
+    f AS (SELECT id, k, e, NULL::BIGINT AS other FROM m UNION ALL SELECT x.id, x.k, NULL, y.id FROM x JOIN x y ON x.k = y.k AND y.id < x.id WHERE y.id IN (SELECT id FROM n)),
+    b AS (SELECT id, min(CAST(k[1] AS INTEGER)) AS r, arg_min(e, k[1]) AS e0, arg_min((e, other), CAST(k[1] AS INTEGER)) AS w FROM f GROUP BY 1)
+    SELECT l.id AS s_suppkey, w[1] AS entity, w[2] AS same_as_lead, CASE WHEN r IS NULL THEN 'new' ELSE CASE WHEN w[2] IS NOT NULL THEN 'lead:' ELSE '' END || CASE r WHEN 0 THEN 'id' WHEN 1 THEN 'key' WHEN 2 THEN 'name' ELSE 'slug' END END AS matched_by
+    FROM l LEFT JOIN b ON l.id = b.id""",
 )
 def c1(t: Tables):
+    key = F.col("s_suppkey")
     rules = [
-        ("id", F.when(F.col("s_suppkey") % 4 == 0, F.col("s_suppkey") * 30), F.col("c_custkey")),
-        ("key", F.when(F.col("s_suppkey") % 3 == 0, F.col("s_nationkey") * 2), F.col("c_nationkey")),
-        ("name", F.when(F.col("s_suppkey") % 5 < 2, digits("s_name")), digits("c_name")),
+        ("id", F.when(key % 4 == 0, key * 30), F.col("c_custkey")),
+        ("key", F.when(key % 3 == 0, F.col("s_nationkey") * 2), F.col("c_nationkey")),
+        ("name", F.when(key % 5 < 3, F.floor(key / 3) * 7), F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey") * 13)),
+        ("slug", F.when(key % 2 == 1, F.floor(key / 5)), F.lit(None).cast("bigint")),
     ]
     return resolve.cascade_match(t.supplier, "s_suppkey", t.customer, "c_custkey", rules).select("s_suppkey", "entity", "same_as_lead", "matched_by")
 
@@ -44,8 +55,8 @@ def c2(t: Tables):
     rows = t.pages.select("page_id", F.regexp_extract(F.lower("url"), "^[a-z]+://([^/?#:]*)", 1).alias("host"), F.regexp_extract("url", "/([0-9]+)", 1).try_cast("bigint").alias("id"))
     catalog = t.customer.select((F.col("c_custkey") * 2).alias("entity_id"), (F.col("c_custkey") * 2).alias("key"), F.lit(None).cast("string").alias("h"))
     catalog = catalog.unionByName(rows.select(F.col("page_id").alias("entity_id"), F.lit(None).cast("bigint").alias("key"), F.replace("host", F.lit(".com"), F.lit(".net")).alias("h")))
-    out = resolve.cascade_match(rows, "page_id", catalog, "entity_id", [("key", F.col("id"), F.col("key")), ("host", F.col("host"), F.col("h"))])
-    return out.select("page_id", "entity", F.when(F.col("matched_by").startswith("lead:"), "new").otherwise(F.col("matched_by")).alias("matched_by"))
+    out = resolve.cascade_match(rows, "page_id", catalog, "entity_id", [("key", F.col("id"), F.col("key")), ("host", F.col("host"), F.col("h"))], among_leads=False)
+    return out.select("page_id", "entity", "matched_by")
 
 
 @query(
@@ -196,6 +207,18 @@ def c14b(t: Tables):
     return resolve.merge_entities(t.orders.select("o_custkey", "o_orderpriority", "o_orderkey"), "o_custkey", renames, ["o_custkey", "o_orderpriority"])
 
 
+@query(
+    "c14_follow_renames",
+    """WITH RECURSIVE r AS (SELECT c_custkey AS a, CASE WHEN c_custkey % 40 = 1 THEN c_custkey + 3 ELSE c_custkey - 1 END AS b FROM customer WHERE c_custkey % 8 > 0),
+    w AS (SELECT a, b, 0 AS n FROM r UNION ALL SELECT w.a, r.b, n + 1 FROM w JOIN r ON w.b = r.a WHERE n < 10), e AS (SELECT a, b FROM w WHERE b NOT IN (SELECT a FROM r)), m AS (SELECT o_orderkey, coalesce(b, o_custkey) AS k, b IS NOT NULL AS moved, o_orderpriority AS p FROM orders LEFT JOIN e ON o_custkey = a)
+    SELECT k AS o_custkey, p AS o_orderpriority, arg_min(o_orderkey, (moved, o_orderkey)) AS o_orderkey FROM m GROUP BY 1, 2""",
+)
+def c14c(t: Tables):
+    key = F.col("c_custkey")
+    renames = t.customer.filter(key % 8 > 0).select(key.alias("loser"), F.when(key % 40 == 1, key + 3).otherwise(key - 1).alias("survivor"))
+    return resolve.merge_entities(t.orders.select("o_custkey", "o_orderpriority", "o_orderkey"), "o_custkey", renames, ["o_custkey", "o_orderpriority"])
+
+
 @query(
     "c15_cascade_delete",
     "SELECT 'customer' AS name, count(*) AS n FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
@@ -560,15 +583,18 @@ def normalized(t: Tables):
 
 @query(
     "g23_first_rule",
-    """SELECT c_custkey, CASE WHEN c_nationkey < 12 AND c_mktsegment <> 'BUILDING' AND c_acctbal > 0 THEN 'green' WHEN c_nationkey BETWEEN 12 AND 17 OR c_mktsegment = 'BUILDING' THEN 'yellow' WHEN c_acctbal <= 0 THEN 'red' ELSE 'gray' END AS color FROM customer""",
+    """SELECT c_custkey, CASE WHEN c_nationkey < 12 AND c_mktsegment <> 'BUILDING' AND c_custkey % 7 > 0 AND c_custkey % 5 > 1 THEN 'green'
+    WHEN c_nationkey BETWEEN 12 AND 17 OR c_custkey % 5 = 1 OR c_mktsegment = 'BUILDING' OR c_custkey % 9 = 0 THEN 'yellow' WHEN c_custkey % 5 = 0 THEN 'red' ELSE 'gray' END AS color FROM customer""",
 )
 def g23(t: Tables):
+    key = F.col("c_custkey")
     rows = t.customer.select(
         "c_custkey",
         F.when(F.col("c_nationkey") < 12, "everyone").when(F.col("c_nationkey") <= 17, "holder").alias("use_scope"),
         F.when(F.col("c_mktsegment") == "BUILDING", "0").otherwise("1").alias("redistribute_original"),
-        F.lit("1").alias("modify"),
-        F.when(F.col("c_acctbal") > 0, "corporation").otherwise("none").alias("commercial_scope"),
+        F.when(key % 7 > 0, "1").alias("modify"),
+        F.when(key % 5 == 0, "none").when(key % 5 == 1, "personal_non_profit").when(key % 5 == 2, "personal_profit").otherwise("corporation").alias("commercial_scope"),
+        F.when(key % 9 == 0, "1").when(key % 9 == 1, "0").alias("corporate_use"),
     )
     return rows.select("c_custkey", license.color().alias("color"))
 
@@ -657,14 +683,18 @@ def g30(t: Tables):
 
 @query(
     "g31_classify_link",
-    """SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_quantity > 25 AND l_returnflag <> 'N' THEN 'degraded' WHEN l_quantity > 25 THEN 'healthy' WHEN l_linenumber = 7 THEN 'bad_header' WHEN l_returnflag = 'R' THEN 'missing' WHEN l_returnflag = 'A' THEN CASE WHEN l_linestatus = 'F' THEN 'transient' ELSE 'unstable' END ELSE 'unclassified' END AS health FROM lineitem""",
+    """WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_partkey % 4 AS v, l_orderkey % 6 AS st, l_suppkey % 3 AS failed, l_quantity > 25 AS good, l_suppkey % 2 = 0 AS fb, l_orderkey % 11 AS e FROM lineitem),
+    c AS (SELECT *, CASE WHEN v = 0 AND (failed > 0 OR fb) THEN 'healthy_with_transport_degradation' WHEN v = 0 THEN 'healthy' WHEN v = 1 AND st = 0 THEN 'non_vrm_glb' WHEN v = 1 AND st = 1 THEN 'not_glb' WHEN v = 1 AND st = 2 THEN 'invalid_glb' WHEN v = 1 THEN 'validation_rejected'
+        WHEN e IN (0, 1) THEN 'missing' WHEN e IN (2, 3) THEN 'access_blocked' WHEN e IN (4, 5) THEN 'blocked_or_invalid_uri' WHEN e IN (6, 7, 8, 9) AND good THEN 'unstable_transport' WHEN e IN (6, 7) THEN 'transient_transport_failure' ELSE 'unclassified_error' END AS health FROM x)
+    SELECT l_orderkey, l_linenumber, l_partkey, health, CASE health WHEN 'healthy' THEN 'info' WHEN 'healthy_with_transport_degradation' THEN 'warning' WHEN 'unstable_transport' THEN 'warning' WHEN 'transient_transport_failure' THEN 'warning' ELSE 'error' END AS severity FROM c""",
 )
 def g31(t: Tables):
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    none = F.array().cast("array<string>")
-    errors = F.when(flag == "R", F.array(F.lit("404"))).when((flag == "A") & (status == "F"), F.array(F.lit("timeout"), F.lit("503"))).when(flag == "A", F.array(F.lit("404"), F.lit("timeout"))).otherwise(none)
-    health = quality.classify_link(F.col("l_quantity") > 25, errors, F.lit(False), F.when(F.col("l_linenumber") == 7, "bad_header"))
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", health.alias("health"))
+    lists = ["http_404", "http_404 http_410", "http_401", "http_403 http_401", "blocked_uri", "http_404 unsupported_scheme", "timeout", "http_404 server_error", "http_404 http_401", "internal_error", ""]
+    errors = F.split(F.element_at(F.array(*(F.lit(x) for x in lists)), (F.col("l_orderkey") % 11 + 1).cast("int")), " ")
+    v = F.col("l_partkey") % 4
+    statuses = F.element_at(F.array(*(F.lit(x) for x in ("valid_glb_not_vrm", "not_glb", "invalid_glb", "too_large", "", "other"))), (F.col("l_orderkey") % 6 + 1).cast("int"))
+    health, severity = quality.classify_link(F.when(v == 0, True).when(v == 1, False), F.when(v == 1, statuses), F.col("l_suppkey") % 3, (F.col("l_quantity") > 25).cast("int"), F.col("l_suppkey") % 2 == 0, errors)
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", health.alias("health"), severity.alias("severity"))
 
 
 @query(
