@@ -67,6 +67,52 @@ def rig_proof(df: DataFrame, key: str, c: str) -> DataFrame:
     return out.select(key, F.coalesce(F.size("d.meshes") > 0, F.lit(False)).alias("has_mesh"), F.coalesce(good, F.lit(False)).alias("has_rig")).withColumn("rigged", F.col("has_mesh") & F.col("has_rig"))
 
 
+#: Fixed marks of FBX files: how a binary and a text file begin, what names its header, and what skeleton nodes are named.
+FBX_BINARY = "4B617964617261204642582042696E6172792020001A00"
+FBX_TEXT = "; FBX"
+FBX_HEADER = "FBXHeaderExtension"
+FBX_WIDE = 7500
+FBX_SKELETON = ("LimbNode", "Deformer")
+
+
+def fbx_proof(df: DataFrame, key: str, c: str, rigged: Column, evidence: Column, window: int = 4096) -> DataFrame:
+    """FBX files by their first bytes: (key, form, version, skeleton, status, valid_avatar).
+
+    ``form`` is binary or text, null if the bytes are no FBX. A binary file's version is the number behind its mark; its
+    first node says where it ends, 32 bits wide before version 7500 and 64 from it on, and a file that is shorter, or ends
+    before that number, is truncated. ``skeleton`` tells whether names of skeleton nodes occur, a lead and no proof: only
+    a stated rig with evidence makes a valid avatar. Only byte windows and searches, all native; null content has a status.
+    """
+    content = F.col(c)
+    long = lambda h: F.conv(F.concat(*(F.substring(h, 15 - 2 * i, 2) for i in range(8))), 16, 10).try_cast("long")
+    head = F.hex(F.substring(content, 1, 23))
+    latin = F.decode(content, "ISO-8859-1")
+    first = F.decode(F.substring(content, 1, window), "ISO-8859-1")
+    out = df.select(
+        key,
+        F.octet_length(content).cast("long").alias("length"),
+        F.when(head == FBX_BINARY, "binary").when(F.ltrim(F.regexp_replace(first, r"^\s+", "")).startswith(FBX_TEXT) | first.contains(FBX_HEADER), "text").alias("form"),
+        little_endian(content, 23).alias("version"),
+        little_endian(content, 27).alias("_narrow"),
+        F.when(F.octet_length(content) >= 35, long(F.hex(F.substring(content, 28, 8)))).alias("_wide"),
+        F.coalesce(latin.contains(FBX_SKELETON[0]) & latin.contains(FBX_SKELETON[1]), F.lit(False)).alias("skeleton"),
+        (F.coalesce(rigged, F.lit(False)) & F.coalesce(F.size(evidence) > 0, F.lit(False))).alias("_rigged"),
+    )
+    version = F.when(F.col("form") == "binary", F.col("version"))
+    end = F.when(version >= FBX_WIDE, F.col("_wide")).otherwise(F.col("_narrow"))
+    status = first_match(
+        [
+            (F.col("length").isNull(), "no_content"),
+            (F.col("form").isNull(), "not_fbx"),
+            ((F.col("form") == "binary") & F.coalesce(end > F.col("length"), F.lit(True)), "truncated"),
+            (F.col("_rigged"), "valid_rigged_fbx"),
+        ],
+        "valid_fbx_rigging_unproven",
+    )
+    out = out.select(key, "form", version.alias("version"), "skeleton", status.alias("status"))
+    return out.withColumn("valid_avatar", F.col("status") == "valid_rigged_fbx")
+
+
 def summarize_meta(df: DataFrame, key: str, spec: str, c: str) -> DataFrame:
     """License fields of a model's metadata by spec: absent fields of 1.0 are restrictive, those of 0.x unknown."""
     get = lambda p: F.get_json_object(c, f"$.{p}")

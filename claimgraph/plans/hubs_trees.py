@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.shared import cut
 from ..operators import graph, license, postings, trees
+from ..sources import readers
+from .links_streams import typed, typed_edges
 from .registry import Tables, query
 
 
@@ -33,19 +34,6 @@ def b10b(t: Tables):
     return out.select("c_custkey", "segment", "first_place", F.array_join(F.transform("children", lambda m: m["o_orderkey"].cast("string")), ",").alias("children"), "total")
 
 
-def _typed(kind: str, c: str):
-    return F.struct(F.lit(kind).alias("kind"), F.col(c).alias("key"))
-
-
-def _typed_edges(t: Tables):
-    """Customers to their orders' parts, parts to suppliers, suppliers to the customer of their number, over whole tables."""
-    li = t.lineitem
-    one = t.orders.join(li, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_custkey", "l_partkey").agg(F.min("l_orderkey").alias("seq")).select(_typed("account", "o_custkey").alias("parent"), _typed("part", "l_partkey").alias("child"), F.lit(20).alias("priority"), "seq")
-    two = li.groupBy("l_partkey", "l_suppkey").agg(F.min("l_orderkey").alias("seq")).select(_typed("part", "l_partkey").alias("parent"), _typed("seller", "l_suppkey").alias("child"), (F.lit(30) + F.col("l_partkey") % 3).cast("int").alias("priority"), "seq")
-    three = t.supplier.select(_typed("seller", "s_suppkey").alias("parent"), _typed("account", "s_suppkey").alias("child"), F.lit(50).alias("priority"), F.lit(0).cast("bigint").alias("seq"))
-    return cut(one.unionByName(two).unionByName(three), "edges")
-
-
 @query(
     "i1_admission",
     """WITH e1 AS (SELECT o_custkey AS p, l_partkey AS c, min(l_orderkey) AS seq FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2),
@@ -56,8 +44,8 @@ def _typed_edges(t: Tables):
 )
 def i1b(t: Tables):
     """Half of the parts fit the budget: the first by their parents' priority, and no seller is admitted behind them."""
-    seeds = t.customer.select(_typed("account", "c_custkey").alias("node"), F.when(F.col("c_custkey") % 5 == 0, 5).otherwise(10).alias("priority"), F.col("c_custkey").alias("entity"))
-    edges = _typed_edges(t)
+    seeds = t.customer.select(typed("account", "c_custkey").alias("node"), F.when(F.col("c_custkey") % 5 == 0, 5).otherwise(10).alias("priority"), F.col("c_custkey").alias("entity"))
+    edges = typed_edges(t)
     most = seeds.count() + edges.filter("parent.kind = 'account'").select("child").distinct().count() // 2
     nodes, _, _ = graph.expand_frontier(seeds, edges, 3, most)
     return nodes.select("node.kind", "node.key", "depth", "priority")
@@ -69,14 +57,11 @@ def i1b(t: Tables):
 )
 def i1c(t: Tables):
     """From all parts to their sellers; the sellers' accounts lie beyond the depth and are observed, not expanded."""
-    seeds = t.part.select(_typed("part", "p_partkey").alias("node"), F.lit(10).alias("priority"), F.lit(None).cast("bigint").alias("entity"))
-    _, _, met = graph.expand_frontier(seeds, _typed_edges(t), 1)
+    seeds = t.part.select(typed("part", "p_partkey").alias("node"), F.lit(10).alias("priority"), F.lit(None).cast("bigint").alias("entity"))
+    _, _, met = graph.expand_frontier(seeds, typed_edges(t), 1)
     return met.groupBy("parent.kind", "depth", F.coalesce("refused", F.lit("accepted")).alias("refused")).agg(F.count("*").alias("n"))
 
 
-_META_SQL = "CASE p_size % 4 WHEN 0 THEN 'humanName: Hips' WHEN 1 THEN 'setup' WHEN 2 THEN 'none' ELSE 'half' END"
-
-
 @query(
     "g34_tree_rollup",
     """WITH f AS (SELECT p_brand AS repo, 'root/' || lower(replace(p_type, ' ', '/')) || '/' || p_size || '/' || p_partkey || '.fbx' AS path, CASE WHEN p_partkey % 9 = 0 THEN 'missing_fbx_meta' WHEN p_size % 13 = 0 THEN 'meta_fetch_error' WHEN p_size % 4 > 1 THEN 'rigging_unproven' END AS reason FROM part WHERE p_partkey % 11 > 0),
@@ -162,3 +147,20 @@ def _layers(t: Tables):
     rows = rows.unionByName(one(c.filter("c_custkey % 3 = 0"), "c_custkey", "terms", F.lit(0), F.lit(1), "use_scope", F.lit("everyone"), F.lit("TERMS")))
     rows = rows.unionByName(one(c.filter("c_custkey % 6 = 0"), "c_custkey", "terms", F.lit(0), F.lit(2), "use_scope", F.lit("holder"), F.lit("HOLDER")))
     return rows.unionByName(one(c.filter("c_custkey % 4 = 0"), "c_custkey", "manual", F.lit(0), F.lit(1), "modify", F.lit("1"), none))
+
+
+@query(
+    "a6_page_leads",
+    r"""WITH p AS (SELECT page_id, url AS base, regexp_replace(coalesce(html, ''), '(?is)<!--.*?-->|<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>', '', 'g') AS h FROM pages),
+    a AS (SELECT page_id, base, unnest(regexp_extract_all(h, '(?is)<a\b[^>]*>.*?</a\s*>')) AS x FROM p), f AS (SELECT page_id, base, regexp_extract(x, '(?i)^<a href="([^"]*)"', 1) AS href, trim(regexp_replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS said FROM a),
+    u AS (SELECT *, CASE WHEN href LIKE '/%' THEN regexp_extract(base, '^[A-Za-z]+://[^/?#]*') || href ELSE href END AS url FROM f)
+    SELECT DISTINCT page_id, CASE WHEN lower(said) IN ('', 'image', 'logo', 'website', 'visit', 'learn more') THEN replace(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1), 'www.', '') ELSE said END AS label, url, '' AS image_url, 'relationship' AS role FROM u
+    UNION ALL SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'Mark ' || page_id ELSE regexp_extract(url, '^[A-Za-z]+://(?:www\.)?([^/?#]*)', 1) END, regexp_extract(url, '^[A-Za-z]+://[^/?#]*') || '/partner', regexp_extract(url, '^[A-Za-z]+://[^/?#]*') || '/logo/' || page_id || '.png', 'relationship' FROM pages
+    UNION ALL SELECT page_id, 'Loose & free', '', 'https://img.example.org/' || page_id || '.svg', 'image' FROM pages""",
+)
+def a6b(t: Tables):
+    """The pages, with a logo in a link, the same logo loose, and another loose image behind them."""
+    logo = F.concat(F.lit('<img src="/logo/'), F.col("page_id").cast("string"), F.lit('.png" alt="Logo" title="'), F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("Mark  "), F.col("page_id").cast("string"))).otherwise(""), F.lit('">'))
+    more = F.concat(F.lit("<a class=b href='../partner'> "), logo, F.lit("</a>"), logo, F.lit("<a href='#top'></a><!-- <a href='/x'>no</a> --><IMG alt='Loose &amp; free' src=https://img.example.org/"), F.col("page_id").cast("string"), F.lit(".svg>"))
+    rows = t.pages.select("page_id", F.regexp_replace("url", "^([a-z]+://[^/?#]*).*$", "$1/a/b").alias("url"), F.concat(F.coalesce("html", F.lit("")), more).alias("html"))
+    return readers.page_leads(rows, "page_id", "url", "html", "partner").select("page_id", "label", "url", "image_url", "role")

@@ -293,6 +293,25 @@ def h13b(t: Tables):
     return out.select("p_partkey", "allowed_user", "commercial")
 
 
+_FBX_SQL = "CASE p_partkey % 6 WHEN 0 THEN 'binary' WHEN 1 THEN 'binary' WHEN 2 THEN 'text' WHEN 3 THEN 'text' WHEN 4 THEN 'binary' END"
+
+
+@query(
+    "h13_fbx_proof",
+    f"""SELECT p_partkey, {_FBX_SQL} AS form, CASE WHEN p_partkey % 6 IN (0, 1, 4) THEN CASE WHEN p_size > 25 THEN 7700 ELSE 7400 END END AS version, p_partkey % 6 IN (0, 2) AS skeleton,
+    CASE WHEN p_partkey % 6 = 5 THEN 'not_fbx' WHEN p_partkey % 6 = 4 THEN 'truncated' WHEN p_size % 3 = 0 AND p_partkey % 2 = 0 THEN 'valid_rigged_fbx' ELSE 'valid_fbx_rigging_unproven' END AS status FROM part""",
+)
+def h13b(t: Tables):
+    k, wide = F.col("p_partkey") % 6, F.col("p_size") > 25
+    number = lambda n, width: F.lit("".join(f"{b:02X}" for b in n.to_bytes(width, "little")))
+    nodes = F.hex(F.encode(F.when(k.isin(0, 2), "Model LimbNode Deformer Skin").otherwise("Model Mesh Geometry Material"), "UTF-8"))
+    end = F.when(k == 4, F.when(wide, number(5000, 8)).otherwise(number(5000, 4))).otherwise(F.when(wide, number(60, 8)).otherwise(number(50, 4)))
+    binary = F.concat(F.lit(assets.FBX_BINARY), F.when(wide, number(7700, 4)).otherwise(number(7400, 4)), end, nodes)
+    text = F.concat(F.hex(F.encode(F.when(k == 2, "  ; FBX 7.4.0 project file\n").otherwise("\n{FBXHeaderExtension: }"), "UTF-8")), nodes)
+    rows = t.part.select("p_partkey", F.unhex(F.when(k == 5, nodes).when(k.isin(2, 3), text).otherwise(binary)).alias("c"), (F.col("p_size") % 3 == 0).alias("rigged"), F.when(F.col("p_partkey") % 2 == 0, F.array(F.lit("meta"))).alias("evidence"))
+    return assets.fbx_proof(rows, "p_partkey", "c", F.col("rigged"), F.col("evidence")).select("p_partkey", "form", "version", "skeleton", "status")
+
+
 @query("a7_read_assets", "SELECT CASE WHEN p_partkey % 5 = 4 THEN 'not_glb' WHEN p_partkey % 4 > 1 THEN 'valid_glb_not_vrm' ELSE 'valid' END AS status, count(*) AS n FROM part GROUP BY 1")
 def a7(t: Tables):
     rows = _glb(t)
@@ -303,27 +322,31 @@ def a7(t: Tables):
     return assets.validate_assets(lines.withColumn("id", F.xxhash64("content")), "id", "content").groupBy("status").agg(F.count("*").alias("n"))
 
 
-_EDGES = """e AS (SELECT DISTINCT o_custkey AS parent, 100000 + l_partkey AS child, 20 AS pr FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity = 50 UNION SELECT DISTINCT 100000 + l_partkey, 500000 + l_suppkey, 30 FROM lineitem WHERE l_quantity = 49 UNION SELECT 500000 + s_suppkey, s_suppkey, 50 FROM supplier)"""
+def typed(kind: str, c: str):
+    return F.struct(F.lit(kind).alias("kind"), F.col(c).cast("bigint").alias("key"))
 
 
-def edges(t: Tables):
+def typed_edges(t: Tables):
+    """Accounts to the parts they ordered, parts to their sellers, sellers to the account of their number, over whole tables."""
     li = t.lineitem
-    one = t.orders.join(li.filter("l_quantity = 50"), F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("parent"), (F.col("l_partkey") + 100000).alias("child"), F.lit(20).alias("priority"))
-    two = li.filter("l_quantity = 49").select((F.col("l_partkey") + 100000).alias("parent"), (F.col("l_suppkey") + 500000).alias("child"), F.lit(30).alias("priority"))
-    three = t.supplier.select((F.col("s_suppkey") + 500000).alias("parent"), F.col("s_suppkey").alias("child"), F.lit(50).alias("priority"))
-    return cut(one.unionByName(two).unionByName(three).distinct())
+    one = t.orders.join(li, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_custkey", "l_partkey").agg(F.min("l_orderkey").alias("seq")).select(typed("account", "o_custkey").alias("parent"), typed("part", "l_partkey").alias("child"), F.lit(20).alias("priority"), "seq")
+    two = li.groupBy("l_partkey", "l_suppkey").agg(F.min("l_orderkey").alias("seq")).select(typed("part", "l_partkey").alias("parent"), typed("seller", "l_suppkey").alias("child"), (F.lit(30) + F.col("l_partkey") % 3).cast("int").alias("priority"), "seq")
+    three = t.supplier.select(typed("seller", "s_suppkey").alias("parent"), typed("account", "s_suppkey").alias("child"), F.lit(50).alias("priority"), F.lit(0).cast("bigint").alias("seq"))
+    return cut(one.unionByName(two).unionByName(three), "edges")
 
 
 @query(
     "i1_expand_frontier",
-    f"""WITH RECURSIVE {_EDGES}, r AS (SELECT c_custkey AS node, c_custkey AS entity, 0 AS depth, 10 AS pr FROM customer UNION SELECT e.child, r.entity, r.depth + 1, e.pr FROM r JOIN e ON r.node = e.parent WHERE r.depth < 3)
-    SELECT node, CAST(min(depth) AS INTEGER) AS depth, CAST(min(pr) AS INTEGER) AS priority, string_agg(DISTINCT CAST(entity AS VARCHAR), ',' ORDER BY CAST(entity AS VARCHAR)) AS bindings FROM r GROUP BY node""",
+    """WITH RECURSIVE e AS (SELECT DISTINCT 'account' AS pk, o_custkey AS p, 'part' AS ck, l_partkey AS c, 20 AS pr FROM orders JOIN lineitem ON o_orderkey = l_orderkey UNION SELECT 'part', l_partkey, 'seller', l_suppkey, 30 + l_partkey % 3 FROM lineitem UNION SELECT 'seller', s_suppkey, 'account', s_suppkey, 50 FROM supplier),
+    r AS (SELECT 'account' AS kind, c_custkey AS key, c_nationkey AS entity, 0 AS depth, 10 AS pr FROM customer UNION SELECT e.ck, e.c, r.entity, r.depth + 1, e.pr FROM r JOIN e ON r.kind = e.pk AND r.key = e.p WHERE r.depth < 3)
+    SELECT kind, key, CAST(min(depth) AS INTEGER) AS depth, CAST(min(pr) AS INTEGER) AS priority, string_agg(DISTINCT CAST(entity AS VARCHAR), ',' ORDER BY CAST(entity AS VARCHAR)) AS bindings FROM r GROUP BY 1, 2""",
 )
 def i1(t: Tables):
-    seeds = t.customer.select(F.col("c_custkey").alias("node"), F.lit(10).alias("priority"), F.col("c_custkey").alias("entity"))
-    nodes, bound, _ = graph.expand_frontier(seeds, edges(t), 3)
+    seeds = t.customer.select(typed("account", "c_custkey").alias("node"), F.lit(10).alias("priority"), F.col("c_nationkey").alias("entity"))
+    nodes, bound, _ = graph.expand_frontier(seeds, typed_edges(t), 3)
+    # at most a nation each
     bindings = bound.groupBy("node").agg(joined(F.collect_set(F.col("entity").cast("string"))).alias("bindings"))
-    return nodes.join(bindings, "node", "left").select("node", "depth", "priority", "bindings")
+    return nodes.join(bindings, "node", "left").select("node.kind", "node.key", "depth", "priority", "bindings")
 
 
 @query(
@@ -349,9 +372,12 @@ def i3(t: Tables):
     return graph.materialize_valid(catalog, "k", "cur", F.col("ok"), hits, "u", ["o_orderdate", "o_orderkey"])[0].select("k", "cur")
 
 
-def event_stream(t: Tables):
-    """The events as a stream over files."""
+def event_stream(t: Tables, files: int | None = None):
+    """The events as a stream over files; with ``files`` over so many, one a batch."""
     raw = f"{t.folder}/events.parquet"
+    if files:
+        folder = _written(t.spark.read.parquet(raw).repartition(files, "event_id"), "parquet")
+        return t.spark.readStream.schema(t.spark.read.parquet(raw).schema).option("maxFilesPerTrigger", 1).parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
     folder = _written(t.spark.read.parquet(raw).unionByName(t.spark.read.parquet(raw).filter("event_id % 3 = 0")), "parquet")
     return t.spark.readStream.schema(t.spark.read.parquet(raw).schema).parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -368,6 +394,14 @@ def j2(t: Tables):
     return twins.read_latest(t.spark, folder, "user_id", "ts", "event_id").select("user_id", "event_type", "ts")
 
 
+@query("j2_compacted_stream", "SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max(ts) AS ts FROM events GROUP BY 1")
+def j2b(t: Tables):
+    """The events file by file, compacted after every other batch."""
+    folder = fresh_path(t.spark, "compacted")
+    twins.compacted_stream(event_stream(t, 6), "user_id", "ts", "event_id", folder, 2).awaitTermination()
+    return twins.read_compacted(t.spark, folder, "user_id", "ts", "event_id").select("user_id", "event_type", "ts")
+
+
 _POLICY = {"purchase": -1, "view": 86_400, "error": 3_600}
 
 

@@ -133,6 +133,17 @@ def c9(t: Tables):
     return resolve.contains_match(t.part, "p_partkey", F.concat(F.lit("nation_"), (F.col("p_size") % 30).cast("string")), t.nation, "n_nationkey", F.lower("n_name"))
 
 
+@query(
+    "c9_contains_large",
+    """WITH a AS (SELECT p_partkey, lower(p_name) || ' ' || p_size AS n FROM part), b AS (SELECT min(s_suppkey) AS s, s_suppkey % 50 || ' ' || s_nationkey AS n FROM supplier GROUP BY 2),
+    d AS (SELECT DISTINCT n FROM a), m AS (SELECT d.n, min(s) AS right_id FROM d JOIN b ON contains(d.n, b.n) OR contains(b.n, d.n) GROUP BY 1) SELECT p_partkey AS left_id, right_id FROM a JOIN m ON a.n = m.n""",
+)
+def c9b(t: Tables):
+    """Both sides grow: names of parts, and short ones made of suppliers."""
+    name = F.concat_ws(" ", (F.col("s_suppkey") % 50).cast("string"), F.col("s_nationkey").cast("string"))
+    return resolve.contains_match(t.part, "p_partkey", F.concat_ws(" ", F.lower("p_name"), F.col("p_size").cast("string")), t.supplier, "s_suppkey", name)
+
+
 @query(
     "c10_find_missing",
     """SELECT id, name FROM (SELECT s_suppkey * 20 + 500000000 AS id, s_name AS name FROM supplier UNION SELECT p_partkey, p_name || ' ' || p_size FROM part)
@@ -231,12 +242,12 @@ def c15(t: Tables):
 
 @query(
     "c16_enrich",
-    """WITH a AS (SELECT o_custkey, min(o_orderpriority) AS pr FROM orders WHERE o_totalprice > 400000 GROUP BY 1), b AS (SELECT s_nationkey, min(s_name) AS nm FROM supplier WHERE s_nationkey <> 3 GROUP BY 1)
+    """WITH a AS (SELECT o_custkey, min(o_orderpriority) AS pr FROM orders GROUP BY 1), b AS (SELECT s_nationkey, min(s_name) AS nm FROM supplier WHERE s_nationkey <> 3 GROUP BY 1)
     SELECT c_custkey, pr, CASE WHEN c_custkey % 10 > 0 THEN c_name ELSE nm END AS nm FROM customer LEFT JOIN a ON c_custkey = o_custkey LEFT JOIN b ON c_nationkey = s_nationkey""",
 )
 def c16(t: Tables):
     base = t.customer.select("c_custkey", "c_nationkey", F.when(F.col("c_custkey") % 10 > 0, F.col("c_name")).alias("nm"))
-    out = resolve.enrich(base, "c_custkey", [(t.orders.filter("o_totalprice > 400000").select("o_custkey", F.col("o_orderpriority").alias("pr")), "o_custkey", ["pr"])])
+    out = resolve.enrich(base, "c_custkey", [(t.orders.select("o_custkey", F.col("o_orderpriority").alias("pr")), "o_custkey", ["pr"])])
     shared = t.nation.filter("n_nationkey = 3").select("n_nationkey")
     return resolve.enrich(out, "c_nationkey", [(t.supplier.select("s_nationkey", F.col("s_name").alias("nm")), "s_nationkey", ["nm"])], shared).select("c_custkey", "pr", "nm")
 
@@ -301,13 +312,13 @@ def g10b(t: Tables):
 
 @query(
     "g11_authority",
-    """WITH o AS (SELECT o_custkey, max(CASE WHEN o_orderstatus = 'F' THEN 'corroborated' ELSE 'absent' END) AS s FROM orders WHERE o_totalprice > 400000 GROUP BY 1), e AS (SELECT user_id, max(CASE event_type WHEN 'error' THEN 'error' ELSE 'corroborated' END) AS s FROM events WHERE value > 60 GROUP BY 1),
+    """WITH o AS (SELECT o_custkey, max(CASE WHEN o_orderstatus = 'F' THEN 'corroborated' ELSE 'absent' END) AS s FROM orders GROUP BY 1), e AS (SELECT user_id, max(CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'corroborated' ELSE 'absent' END) AS s FROM events GROUP BY 1),
     j AS (SELECT c_custkey, (coalesce(o.s = 'corroborated', false)::INT + coalesce(e.s = 'corroborated', false)::INT) AS corroborating, coalesce(e.s = 'error', false)::INT AS errors FROM customer LEFT JOIN o ON c_custkey = o_custkey LEFT JOIN e ON c_custkey = user_id)
     SELECT c_custkey, corroborating, errors, CASE WHEN errors > 0 THEN 'review' WHEN corroborating >= 2 THEN 'authoritative' WHEN corroborating = 1 THEN 'corroborated' ELSE 'unobserved' END AS authority FROM j""",
 )
 def g11(t: Tables):
-    orders = t.orders.filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderstatus") == "F", "corroborated").otherwise("absent").alias("status"))
-    events = t.events.filter("value > 60").select(F.col("user_id").alias("c_custkey"), F.when(F.col("event_type") == "error", "error").otherwise("corroborated").alias("status"))
+    orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderstatus") == "F", "corroborated").otherwise("absent").alias("status"))
+    events = t.events.select(F.col("user_id").alias("c_custkey"), F.when(F.col("event_type") == "error", "error").when(F.col("event_type") == "view", "corroborated").otherwise("absent").alias("status"))
     return consensus.authority(t.customer.select("c_custkey"), "c_custkey", [("orders", orders), ("events", events)], "status").select("c_custkey", "corroborating", "errors", "authority")
 
 
@@ -358,10 +369,10 @@ def a9_nonblank(t: Tables):
 
 @query(
     "g13_merge_strict",
-    "SELECT c_nationkey AS e, c_mktsegment AS f, count(*) AS shards, CASE WHEN count(DISTINCT c_custkey % 2) <= 1 THEN 'merged' ELSE 'quarantined' END AS side FROM customer WHERE c_acctbal > 7000 GROUP BY 1, 2",
+    "SELECT c_nationkey AS e, c_mktsegment AS f, count(*) AS shards, CASE WHEN count(DISTINCT c_acctbal > 9000) <= 1 THEN 'merged' ELSE 'quarantined' END AS side FROM customer GROUP BY 1, 2",
 )
 def g13(t: Tables):
-    rows = t.customer.filter("c_acctbal > 7000").select(F.col("c_nationkey").alias("e"), F.col("c_mktsegment").alias("f"), (F.col("c_custkey") % 2).alias("v"))
+    rows = t.customer.select(F.col("c_nationkey").alias("e"), F.col("c_mktsegment").alias("f"), (F.col("c_acctbal") > 9000).alias("v"))
     ok, bad = merge.merge_strict(rows, ["e", "f"], "v")
     return ok.select("e", "f", "shards", F.lit("merged").alias("side")).unionByName(bad.select("e", "f", "shards", F.lit("quarantined").alias("side")))
 
@@ -406,13 +417,13 @@ def g16(t: Tables):
 
 @query(
     "g17_materialize",
-    """WITH r AS (SELECT 2 * o_custkey AS k, 'status' AS f, o_orderstatus AS v FROM orders WHERE o_totalprice > 350000 UNION ALL SELECT 2 * o_custkey, 'priority', o_orderpriority FROM orders WHERE o_totalprice > 300000), w AS (SELECT k, min(v) FILTER (f = 'status') AS s, min(v) FILTER (f = 'priority') AS p FROM r GROUP BY 1)
+    """WITH r AS (SELECT 2 * o_custkey AS k, 'status' AS f, o_orderstatus AS v FROM orders UNION ALL SELECT 2 * o_custkey, 'priority', o_orderpriority FROM orders), w AS (SELECT k, min(v) FILTER (f = 'status') AS s, min(v) FILTER (f = 'priority') AS p FROM r GROUP BY 1)
     SELECT coalesce(c_custkey, k) AS k, coalesce(CASE WHEN c_custkey % 2 = 0 THEN 'S' END, s) AS status, p AS priority FROM customer FULL JOIN w ON c_custkey = k""",
 )
 def g17(t: Tables):
     base = t.customer.select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 2 == 0, "S").alias("status"), F.lit("").alias("priority"))
-    research = t.orders.filter("o_totalprice > 350000").select((2 * F.col("o_custkey")).alias("k"), F.lit("status").alias("f"), F.col("o_orderstatus").alias("v"))
-    research = research.unionByName(t.orders.filter("o_totalprice > 300000").select((2 * F.col("o_custkey")).alias("k"), F.lit("priority").alias("f"), F.col("o_orderpriority").alias("v")))
+    research = t.orders.select((2 * F.col("o_custkey")).alias("k"), F.lit("status").alias("f"), F.col("o_orderstatus").alias("v"))
+    research = research.unionByName(t.orders.select((2 * F.col("o_custkey")).alias("k"), F.lit("priority").alias("f"), F.col("o_orderpriority").alias("v")))
     return merge.materialize(base, "k", research, "f", "v", ["status", "priority"])[0]
 
 
@@ -655,10 +666,10 @@ def g28(t: Tables):
 
 @query(
     "g28_validate_bundle",
-    "SELECT o_custkey AS k, 'duplicate_key' AS violation FROM orders WHERE o_totalprice > 400000 GROUP BY 1 HAVING count(*) > 1 UNION ALL SELECT o_custkey, 'missing_proof' FROM orders WHERE o_totalprice > 400000 AND o_orderstatus <> 'F'",
+    "SELECT o_custkey AS k, 'duplicate_key' AS violation FROM orders GROUP BY 1 HAVING count(*) > 1 UNION ALL SELECT o_custkey, 'missing_proof' FROM orders WHERE o_orderstatus <> 'F'",
 )
 def g28b(t: Tables):
-    rows = t.orders.filter("o_totalprice > 400000").withColumnRenamed("o_custkey", "k")
+    rows = t.orders.withColumnRenamed("o_custkey", "k")
     return quality.validate_bundle(rows, "k", {"missing_proof": F.col("o_orderstatus") == "F"})
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.uri import resolve_uri
+
 
 def read_catalog(spark: SparkSession, folder: str, name: str, schema: str | StructType) -> DataFrame:
     """A table with its declared schema."""
@@ -69,6 +71,62 @@ def page_signals(df: DataFrame, key: str, c: str, words: Sequence[str]) -> DataF
     )
 
 
+#: Fixed labels that say nothing of a link's target, address schemes that are no pages, and character references.
+EMPTY_LABELS = "image|logo|learn more|website|visit"
+NO_PAGES = "javascript:|mailto:|tel:|#"
+REFERENCES = (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&#160;", " "), ("&amp;", "&"))
+
+
+def _decoded(c: Column) -> Column:
+    for name, sign in REFERENCES:
+        c = F.replace(c, F.lit(name), F.lit(sign))
+    return c
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """An attribute of a tag, quoted or bare; null if it is absent or blank."""
+    found = F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", 0)
+    value = F.regexp_replace(F.regexp_replace(found, rf"(?is)^\s{name}\s*=\s*", ""), """^["']|["']$""", "")
+    return F.nullif(F.trim(_decoded(value)), F.lit(""))
+
+
+def _line(c: Column) -> Column:
+    return F.trim(F.regexp_replace(_decoded(c), r"\s+", " "))
+
+
+def page_leads(df: DataFrame, key: str, url: str, c: str, kind: str) -> DataFrame:
+    """Labelled leads of landed pages: (key, lead_id, kind, label, url, image_url, role), each once a page.
+
+    A page is cut into its anchors and its images outside anchors, in order; comments, scripts and styles are none. An
+    anchor's lead is its target, the first image in it, and as label the first of its text and its images' alt and title
+    that says something, else the target's host. An image outside anchors that no anchor of the page shows is a lead
+    without a target. Targets are resolved against the page's address; addresses within the page, of mail, telephone or
+    script are none. All native: one pass over the pages, and only images are joined, by page and address.
+    """
+    source = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>", "")
+    rows = df.select(key, F.col(url).alias("_base"), F.posexplode(F.regexp_extract_all(source, F.lit(r"(?is)<a\b[^>]*>.*?</a\s*>|<img\b[^>]*>"), F.lit(0))).alias("_at", "_piece"))
+    rows = rows.withColumn("_anchor", F.lower(F.substring("_piece", 1, 2)) == "<a")
+    target = lambda raw: F.when(raw.isNotNull() & ~F.lower(raw).rlike(f"^({NO_PAGES})"), resolve_uri(F.col("_base"), raw))
+    images = F.regexp_extract_all("_piece", F.lit(r"(?is)<img\b[^>]*>"), F.lit(0))
+    rows = rows.withColumn("_images", images).withColumn("image_url", F.coalesce(target(_attribute(F.get("_images", F.lit(0)), "src")), F.lit("")))
+    rows = rows.withColumn("url", F.when(F.col("_anchor"), target(_attribute(F.regexp_extract("_piece", r"(?is)^<a\b[^>]*>", 0), "href"))))
+    inner = F.regexp_replace("_piece", r"(?s)<[^>]*>", " ")
+    said = F.concat(F.array(_line(inner)), F.flatten(F.transform("_images", lambda i: F.array(_line(_attribute(i, "alt")), _line(_attribute(i, "title"))))))
+    telling = F.get(F.filter(said, lambda x: (x != "") & ~x.rlike(f"(?i)^({EMPTY_LABELS})$")), F.lit(0))
+    host = F.replace(F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("www."), F.lit(""))
+    only = F.coalesce(F.nullif(_line(_attribute(F.col("_piece"), "alt")), F.lit("")), F.nullif(_line(_attribute(F.col("_piece"), "title")), F.lit("")), F.lit(""))
+    label = F.when(F.col("_anchor"), F.coalesce(telling, F.nullif(host, F.lit("")), "url", F.lit(""))).otherwise(only)
+    rows = rows.select(key, "_anchor", label.alias("label"), F.coalesce("url", F.lit("")).alias("url"), "image_url")
+    shown = rows.filter(F.col("_anchor") & (F.col("image_url") != "")).select(key, "image_url").distinct()
+    anchors = rows.filter(F.col("_anchor") & ((F.col("url") != "") | (F.col("image_url") != "") | (F.col("label") != "")))
+    loose = rows.filter(~F.col("_anchor") & (F.col("image_url") != "")).join(shown, [key, "image_url"], "left_anti")
+    leads = anchors.withColumn("role", F.lit("relationship")).unionByName(loose.withColumn("role", F.lit("image"))).withColumn("kind", F.lit(kind))
+    lead_id = F.substring(F.sha2(F.concat_ws("|", "kind", "label", "url", "image_url"), 256), 1, 20)
+    out = leads.select(key, lead_id.alias("lead_id"), "kind", "label", "url", "image_url", "role")
+    return out.groupBy(key, "lead_id", "kind", "label", "url", "image_url").agg(F.max("role").alias("role"))
+
+
+
 def read_assets(spark: SparkSession, glob: str, most: int = 64 << 20) -> DataFrame:
     """Binary model files; of those longer than ``most`` bytes the content is null and never read. Files of no bytes have no row, since Spark's file sources skip them."""
     files = spark.read.format("binaryFile").load(glob)

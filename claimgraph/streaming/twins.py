@@ -46,6 +46,70 @@ def read_latest(spark: SparkSession, folder: str, key: str, ts: str, tie: str) -
     return latest_by_key(spark.read.parquet(folder).drop("batch"), key, ts, tie)
 
 
+def _finished(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The numbers n of the tables ``folder/name=n`` that were written to their end."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    found = [x.getPath() for x in fs.listStatus(top) if x.getPath().getName().startswith(f"{name}=")]
+    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def _forget(spark: SparkSession, folder: str, name: str, below: int) -> None:
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    for n in _finished(spark, folder, name):
+        if n < below:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}={n}"), True)
+
+
+def compact(spark: SparkSession, folder: str, key: str, ts: str, tie: str) -> int | None:
+    """Unite the newest base and the deltas behind it to a new base; its number, or None if there is no delta.
+
+    A base counts from the moment its last file stands, by the marker that Spark writes then; until then readers take the
+    one before, which stays, with the deltas behind it, until the new one is whole. A compaction that fails leaves nothing
+    that counts, and one that is repeated writes the same rows.
+    """
+    bases, deltas = _finished(spark, folder, "base"), _finished(spark, folder, "batch")
+    if not deltas or bases and deltas[-1] <= bases[-1]:
+        return None
+    read_compacted(spark, folder, key, ts, tie).write.mode("overwrite").parquet(f"{folder}/base={deltas[-1]}")
+    if bases:  # the last base but one and what it held; readers that began on the last one still find it
+        _forget(spark, folder, "base", bases[-1])
+        _forget(spark, folder, "batch", bases[-1] + 1)
+    return deltas[-1]
+
+
+def compacted_stream(stream: DataFrame, key: str, ts: str, tie: str, folder: str, every: int = 16):
+    """Like ``latest_stream``, with the changes compacted after each ``every`` batches; returns the started query.
+
+    A batch that is run again writes its delta again, or nothing if a base has it already.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        own = batch.sparkSession
+        bases = _finished(own, folder, "base")
+        last = bases[-1] if bases else -1
+        if number > last:
+            batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        if number - last >= every:
+            compact(own, folder, key, ts, tie)
+
+    return latest_by_key(stream, key, ts, tie).writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{folder}_checkpoint").trigger(availableNow=True).start()
+
+
+def read_compacted(spark: SparkSession, folder: str, key: str, ts: str, tie: str) -> DataFrame:
+    """The latest row of each key from the newest whole base and the whole deltas behind it: at most the keys and ``every`` deltas."""
+    bases = _finished(spark, folder, "base")
+    last = bases[-1] if bases else -1
+    paths = [f"{folder}/base={last}"] if bases else []
+    paths += [f"{folder}/batch={n}" for n in _finished(spark, folder, "batch") if n > last]
+    if not paths:
+        raise FileNotFoundError(f"no batch was written to {folder} yet")
+    return latest_by_key(spark.read.parquet(*paths), key, ts, tie)
+
+
 def ttl_of(kind: Column, policy: Mapping[str, int], default: int) -> Column:
     return first_match([(kind == k, v) for k, v in policy.items()], default)
 
