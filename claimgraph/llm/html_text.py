@@ -3,12 +3,17 @@
 Two passes parse the pages. The first hashes every block element's subtree, from the leaves up, and counts in Spark on how
 many pages of a host each occurs, pages with the same main text counting once; a host's templates are the subtrees on many
 of its pages. They are gathered as one short array a host, bounded by the share of pages that each needs, and joined to
-the pages; Spark broadcasts that table only if it is small. The second pass deletes the templates first. Rules take what
-they leave, since much of a page's frame differs from page to page and small hosts have no templates: elements that are
-never main text (menus, footers, forms, scripts and so on, by element, role or class) go, and the blocks left are joined,
-those of the articles, or of the body where no article is left. Counts tell how many characters each of them removed.
-A class or id marks an element by a whole token or a token's first word. It drops no element that is or holds an article,
-but for articles that are reader comments. Articles held by such an element do not make the rest of the body no main text.
+the pages, those of large hosts dealt over several parts. The second pass deletes the templates first. Rules take what
+they leave, since some of a page's frame differs from page to page and small hosts have no templates: elements that are
+never main text (menus, footers, scripts and so on, by element, role or class) go, and the blocks left are joined, those
+of the articles, or of the body where the articles left have less than a quarter of its text. Counts tell how many
+characters each of them removed. A class or id marks an element by a token's first word, inside an article only by a whole
+token. It drops no element that is or holds an article, but for articles that are reader comments. A form, dialog or role
+drops its element neither then nor if it holds more than half of the page's text and no article is beside it.
+
+A subtree is also counted by a looser key, without link targets, texts of links, digits and repetitions, if nearly all its
+text is in links: that is how menus with other links on each page recur. A page of nothing but
+links keeps them.
 
 What recurs inside articles is content as a rule, copies of an article above all: there a subtree is a template only if
 over half of the host's pages have it.
@@ -46,22 +51,28 @@ _BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li listing main menu nav ol optgroup option p plaintext pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 _LONE = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_NEVER = frozenset("nav footer aside form button select dialog menu head search".split())
+_NEVER = frozenset("nav footer aside button select menu head search".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner sidebar sidenav nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent notice popup modal overlay newsletter subscribe signup share sharing social related recommended comment comments disqus replies".split()
 )
 _REPLIES = frozenset("comment comments disqus replies".split())
+#: What may stand beside a mark in a class or id inside an article; other words make it content's own name.
+_BESIDE = frozenset("area articles bar block box button buttons container content form icon icons inner item items link links list module news panel posts section stories text widget wrap wrapper".split())
+#: Elements and roles that hold a whole page now and then.
+_AROUND = frozenset("form dialog".split())
+_DIGITS = re.compile("[0-9]+")
 #: What an opening tag closes first, if it is open within the innermost of its bounds.
 _CLOSES = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"), "body": ("head", "html")}
 _ENDS_P = _BLOCKS - {"body", "head", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup"}
 
 
 class _Open:
-    __slots__ = ("blocks", "dropped", "main", "marks", "parts", "tag")
+    __slots__ = ("blocks", "dropped", "last", "loose", "main", "marks", "parts", "tag")
 
     def __init__(self, tag: str, head: str, blocks: int, dropped: bool, main: bool, marks: tuple[int, ...]):
         self.tag, self.parts, self.blocks, self.dropped, self.main, self.marks = tag, [head], blocks, dropped, main, marks
+        self.loose, self.last = [tag], None  # the same without what differs from page to page, and the child before
 
 
 class _Ends:
@@ -99,57 +110,84 @@ class _Ends:
         return self.source.index(">", at) + 1 if at <= self.last else -1
 
 
-def _never_main(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether the element is never main text, and whether a class or id marks it so unless it is or holds an article."""
+def _marks(token: str, inside: bool) -> bool:
+    """Whether a class or id token marks what is no main text: by its first word, inside an article by all its words."""
+    words = re.split(r"[^a-z0-9]+", token)
+    return words[0] in _MARKS and (not inside or all(x in _MARKS or x in _BESIDE or not x for x in words))
+
+
+def _never_main(tag: str, attributes: str, inside: bool) -> tuple[bool, str]:
+    """Whether the element is never main text; and ``mark`` if a class or id says so unless it is or holds an article, ``around`` if its kind does unless it is or holds the main text."""
     if tag in _NEVER or tag == "header" and not inside:
-        return True, False
-    if tag in ("html", "body", "main", "article") and "=" not in attributes:
-        return False, False
-    marked = False
+        return True, ""
+    found = "around" if tag in _AROUND else ""
+    if "=" not in attributes:
+        return False, found
     for name, value in _ATTRIBUTE.findall(attributes):
         if name.lower() == "role":
             if not _ROLES.isdisjoint(re.split(r"[^a-z0-9]+", value.lower())) and tag not in ("html", "body"):
-                return True, False
+                found = found or "around"
         elif tag not in ("html", "body", "main"):
-            words = {re.split(r"[^a-z0-9]", token)[0] for token in value.lower().strip("\"'").split()}
-            if tag == "article" and not _REPLIES.isdisjoint(words):
-                return True, False
-            marked |= not _MARKS.isdisjoint(words)
-    return False, marked
+            tokens = value.lower().strip("\"'").split()
+            if tag == "article" and any(not _REPLIES.isdisjoint(re.split(r"[^a-z0-9]", t)[:1]) for t in tokens):
+                return True, ""
+            if any(_marks(t, inside) for t in tokens):
+                found = "mark"
+    return False, found
 
 
-def parse(source: str) -> tuple[list[tuple[str, bool, bool, bool]], list[tuple[int, int, int, bool]]]:
-    """Blocks (text, dropped, in an article, in a kept article that no mark is on or around) and subtrees (key, first block, end block, in an article) of a page.
+def parse(source: str) -> tuple[list[tuple[str, bool, bool, int]], list[tuple[int, int, int, bool]]]:
+    """Blocks (text, dropped, in an article, characters outside links) and subtrees (key, first block, end block, in an article) of a page.
 
     A subtree's key hashes its tags, its text and its subtrees' keys, from the leaves up; scripts and styles do not count.
+    Outside articles it has a second, looser key, of what does not differ from page to page: no attributes, no text in
+    links, no digits, and equal subtrees in a row once, so that menus of other links and lengths hash alike.
     """
-    blocks: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+    blocks: list[tuple[str, bool, bool, tuple[int, ...], int]] = []
     trees: list[tuple[int, int, int, bool]] = []
     stack = [_Open("", "", 0, False, False, ())]
     open_: Counter[str] = Counter()
     holds: list[bool] = []  # of each marked element, whether it is or holds a kept article
+    around: list[bool] = []  # and whether half of the page's text keeps it as well
     text: list[str] = []
+    link, linked = False, 0
 
     def add(piece: str) -> None:
+        nonlocal linked
         text.append(piece)
-        stack[-1].parts.append(piece)
+        own = stack[-1]
+        own.parts.append(piece)
+        if link:
+            linked += len(piece)
+        elif not piece.isspace():
+            own.loose.append(_DIGITS.sub("#", piece))
+            own.last = None
 
     def flush() -> None:
+        nonlocal link, linked
         if text:
             whole = " ".join(entities.unescape("".join(text)).split())
             if whole:
-                blocks.append((whole, stack[-1].dropped, stack[-1].main, stack[-1].marks))
+                blocks.append((whole, stack[-1].dropped, stack[-1].main, stack[-1].marks, max(0, len(whole) - linked)))
             text.clear()
+        link, linked = False, 0
 
     def close(depth: int) -> None:
         flush()
         while len(stack) > depth:
             x = stack.pop()
             open_[x.tag] -= 1
-            key = _key("".join(x.parts))
-            stack[-1].parts.append(f"\0{key}\0")
+            key, loose = _key("".join(x.parts)), _key("\0".join(x.loose))
+            up = stack[-1]
+            up.parts.append(f"\0{key}\0")
+            if up.last != loose:
+                up.loose.append(str(loose))
+                up.last = loose
             if x.tag not in ("html", "body", "article", "main") and len(blocks) > x.blocks:
                 trees.append((key, x.blocks, len(blocks), x.main))
+                # a key of tags alone, without a link, would be that of any text
+                if not x.main and x.loose != [x.tag] and all(b[4] <= len(b[0]) // 4 for b in blocks[x.blocks :]):
+                    trees.append((loose, x.blocks, len(blocks), False))
 
     ends, at, done = _Ends(source), 0, 0
     while (m := _OPEN.search(source, at)) is not None:
@@ -179,6 +217,8 @@ def parse(source: str) -> tuple[list[tuple[str, bool, bool, bool]], list[tuple[i
                         break
             elif tag == "br":
                 add(" ")
+            elif tag == "a":
+                link = False
             continue
         if not tag:
             continue
@@ -192,6 +232,11 @@ def parse(source: str) -> tuple[list[tuple[str, bool, bool, bool]], list[tuple[i
             continue
         if tag not in _BLOCKS:
             stack[-1].parts.append(source[start:end])
+            if tag == "a":
+                link = True
+                if stack[-1].last != "a":
+                    stack[-1].loose.append("a")
+                    stack[-1].last = "a"
             continue
         flush()
         if tag in _ENDS_P and open_["p"]:
@@ -217,6 +262,7 @@ def parse(source: str) -> tuple[list[tuple[str, bool, bool, bool]], list[tuple[i
         if marked:
             marks = (*marks, len(holds))
             holds.append(False)
+            around.append(marked == "around")
         if main and not dropped:
             for k in marks:
                 holds[k] = True
@@ -226,11 +272,15 @@ def parse(source: str) -> tuple[list[tuple[str, bool, bool, bool]], list[tuple[i
         add(source[done:])
     close(1)
     flush()
-    out = []
-    for whole, dropped, main, marks in blocks:
-        dropped = dropped or not all(holds[k] for k in marks)
-        out.append((whole, dropped, main, main and not dropped and not marks))
-    return out, trees
+    # a form or dialog round most of the page's text holds the main text, if no article stands beside it
+    if any(around) and not any(main and not dropped and not marks for _, dropped, main, marks, _ in blocks):
+        plain = Counter()
+        for _, dropped, _, marks, n in blocks:
+            if not dropped and all(holds[k] or around[k] for k in marks):
+                plain.update(dict.fromkeys((None, *marks), n))
+        for k, possible in enumerate(around):
+            holds[k] |= possible and 2 * plain[k] > plain[None]
+    return [(whole, dropped or not all(holds[k] for k in marks), main, n) for whole, dropped, main, marks, n in blocks], trees
 
 
 def _key(piece: str) -> int:
@@ -259,13 +309,13 @@ def subtree_counts(pages: DataFrame) -> DataFrame:
     return pages.select("host", "html").mapInArrow(run, "host string, key long, inside boolean, article long")
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, keys): each host's template subtrees. A page has a bounded number of blocks, so shares bound the arrays."""
+def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, keys): each host's template subtrees; and (host, pages). A page has a bounded number of blocks, so shares bound the arrays."""
     counts = cut(subtree_counts(pages).groupBy("host", "key", "inside").agg(F.count_distinct("article").alias("n")).filter((F.col("n") >= LEAST_PAGES) | F.col("key").isNull()), "subtrees")
-    total = counts.filter("key is null").select("host", F.col("n").alias("pages"))
-    common = counts.filter("key is not null").join(cut(total, "hosts"), "host")
+    total = cut(counts.filter("key is null").select("host", F.col("n").alias("pages")), "hosts")
+    common = counts.filter("key is not null").join(total, "host")
     common = common.filter(F.col("n") >= F.col("pages") * F.when(F.col("inside"), SHARE_INSIDE).otherwise(SHARE))
-    return cut(common.groupBy("host").agg(F.collect_set("key").alias("keys")), "templates")
+    return cut(common.groupBy("host").agg(F.collect_set("key").alias("keys")), "templates"), total
 
 
 _COUNTS = ("n_chars", "n_templates", "template_chars", "rule_chars", "outside_chars")
@@ -280,8 +330,12 @@ def main_text(html: str, known: set[int]) -> tuple[str, int, int, int, int]:
             gone.update(range(i, j))
             n += 1
     left = [x for k, x in enumerate(blocks) if k not in gone]
+    if not any(x[3] for x in blocks):  # a page of nothing but links is no menu
+        left, n = blocks, 0
     own = [x for x in left if not x[1]]
-    main = [x for x in own if x[2]] if any(x[3] for x in own) else own
+    main, plain = [x for x in own if x[2]], sum(x[3] for x in own)
+    if 4 * sum(x[3] for x in main) < plain or not main:  # teasers beside a text that is in no article
+        main = own
     chars = lambda rows: sum(len(x[0]) for x in rows)
     return "\n\n".join(x[0] for x in main), n, chars(blocks) - chars(left), chars(left) - chars(own), chars(own) - chars(main)
 
@@ -302,5 +356,11 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
             numbers = [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)] if counts else [pa.array([], pa.int64())] * 5
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), *numbers], names=["page_id", "url", "text", *_COUNTS])
 
-    out = pages.join(templates(pages), "host", "left").select("page_id", "url", "html", "keys")
+    found, total = templates(pages)
+    # hosts of more than a thousandth of all pages, a thousand at most, are dealt over parts in proportion
+    every = total.agg(F.sum("pages")).first()[0] or 0
+    hot = F.broadcast(total.filter(F.col("pages") * 1000 > every).select("host", F.ceil(F.col("pages") * 1000 / max(every, 1)).cast("int").alias("parts")))
+    found = found.join(hot, "host", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    dealt = pages.join(hot, "host", "left").withColumn("part", F.pmod(F.hash("page_id", "url"), F.coalesce("parts", F.lit(1)))).drop("parts")
+    out = dealt.join(found, ["host", "part"], "left").select("page_id", "url", "html", "keys")
     return out.mapInArrow(run, "page_id long, url string, text string, " + ", ".join(f"{c} long" for c in _COUNTS))
