@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hubs_trees, links_streams, resolve_quality, search_rollup
+from . import hubs_trees, links_streams, resolve_quality, search_rollup, staging
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "hubs_trees", "links_streams", "resolve_quality", "search_rollup"]
+__all__ = ["ORACLES", "QUERIES", "hubs_trees", "links_streams", "resolve_quality", "search_rollup", "staging"]
