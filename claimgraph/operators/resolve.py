@@ -117,11 +117,16 @@ def majority(df: DataFrame, key: str, label: str, seq: str) -> DataFrame:
 
 
 def _name_keys(df: DataFrame, id_col: str, name: str) -> DataFrame:
-    """(id, k): the words of over four letters, the pairs of words and the whole name of each row."""
-    words = F.array_sort(F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(F.col(name)), "[^a-z0-9]+", " "), " "), lambda w: w != "")))
-    pairs = F.flatten(F.transform("w", lambda x, i: F.transform(F.slice("w", i + 2, F.size("w")), lambda y: F.concat_ws(" ", x, y))))
-    keys = F.array_union(F.concat(F.filter("w", lambda x: F.length(x) > 4), pairs), F.array(F.concat(F.lit("="), F.col(name))))
-    return df.filter(F.col(name).isNotNull()).withColumn("w", words).select(F.col(id_col).alias("id"), F.explode(keys).alias("k"))
+    """(id, k): the words of over four letters, the pairs of words and the whole name of each row.
+
+    Pairs come from a join of the rows' words with themselves, so that a very long name is never one array of its pairs.
+    """
+    rows = df.filter(F.col(name).isNotNull()).select(F.col(id_col).alias("id"), F.col(name).alias("n"))
+    words = F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower("n"), "[^a-z0-9]+", " "), " "), lambda w: w != ""))
+    own = rows.select("id", F.col("n").alias("row"), F.explode(words).alias("w")).distinct()
+    pairs = own.join(own.select("id", "row", F.col("w").alias("v")), ["id", "row"]).filter("w < v").select("id", F.concat_ws(" ", "w", "v").alias("k"))
+    single = own.filter(F.length("w") > 4).select("id", F.col("w").alias("k"))
+    return single.unionByName(pairs).unionByName(rows.select("id", F.concat(F.lit("="), "n").alias("k")))
 
 
 def token_match(a: DataFrame, a_id: str, b: DataFrame, b_id: str, name: str) -> DataFrame:
@@ -139,29 +144,41 @@ def token_duplicates(df: DataFrame, id_col: str, name: str) -> DataFrame:
     return token_match(df, id_col, df, id_col, name).filter("first < id")
 
 
-def _held(longer: DataFrame, shorter: DataFrame) -> DataFrame:
-    """(whole, part) pairs of distinct names ``whole`` that hold a name ``part``, joined on the rarest piece of the part."""
-    pieces = lambda c: F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.array(*(F.substring(c, i, F.lit(k)) for k in (1, 2, 3))))))
-    whole = longer.select("whole", F.explode(pieces(F.col("whole"))).alias("g"))
+def _pieces(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with each piece ``g`` of one to three characters of the names."""
+    pieces = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(name)), lambda i: F.array(*(F.substring(name, i, F.lit(k)) for k in (1, 2, 3))))))
+    return df.withColumn("g", F.explode(pieces))
+
+
+def _holding(whole: DataFrame, w: str, part: DataFrame, p: str) -> DataFrame:
+    """``part`` and ``whole`` of names of over three characters and longer ones that hold them, joined on the part's rarest piece."""
     often = whole.groupBy("g").agg(F.count("*").alias("n"))
-    own = shorter.select("part", F.explode(F.filter(pieces(F.col("part")), lambda g: F.length(g) == F.least(F.length("part"), F.lit(3)))).alias("g"))
+    own = _pieces(part.filter(F.length(p) > 3), p).filter(F.length("g") == 3)
     # a part of which some piece is in no name is held by none
-    rare = own.join(often, "g", "left").groupBy("part").agg(F.min_by("g", F.struct(F.coalesce("n", F.lit(0)), "g")).alias("g"))
-    return whole.join(rare, "g").filter(F.contains("whole", "part")).select("whole", "part")
+    rare = own.join(often, "g", "left").groupBy(*part.columns).agg(F.min_by("g", F.struct(F.coalesce("n", F.lit(0)), "g")).alias("g"))
+    return whole.join(rare, "g").filter(F.contains(w, p))
 
 
 def contains_match(a: DataFrame, a_id: str, a_name: Column, b: DataFrame, b_id: str, b_name: Column) -> DataFrame:
     """The first entity of ``b`` (by id) whose name contains the other's, or is contained in it; empty names match nothing.
 
-    Distinct names meet on a piece of up to three characters, the rarest one of the shorter name.
+    Distinct names meet on pieces of up to three characters. A name that is such a piece itself is looked up among them,
+    with the smallest id of all names that hold it, so that a common short name costs a row for each name and no pairs; of
+    a longer name only the rarest piece is joined.
     """
     left = a.select(F.col(a_id).alias("left_id"), a_name.alias("ln")).filter(F.length("ln") > 0)
     right = b.select(F.col(b_id).alias("right_id"), b_name.alias("rn")).filter(F.length("rn") > 0).groupBy("rn").agg(F.min("right_id").alias("right_id"))
-    one, two = left.select("ln").distinct(), right.select("rn")
-    inside = _held(one.select(F.col("ln").alias("whole")), two.select(F.col("rn").alias("part"))).select(F.col("whole").alias("ln"), F.col("part").alias("rn"))
-    around = _held(two.select(F.col("rn").alias("whole")), one.select(F.col("ln").alias("part"))).select(F.col("part").alias("ln"), F.col("whole").alias("rn"))
-    best = inside.unionByName(around).join(right, "rn").groupBy("ln").agg(F.min("right_id").alias("right_id"))
-    return left.join(best, "ln").select("left_id", "right_id").groupBy("left_id").agg(F.min("right_id").alias("right_id"))
+    one = left.select("ln").distinct()
+    ours, theirs = _pieces(one, "ln"), _pieces(right, "rn")
+    short = lambda df, c: df.filter(F.length(c) <= 3).withColumnRenamed(c, "g")
+    found = [
+        ours.join(short(right, "rn"), "g").select("ln", "right_id"),
+        short(one, "ln").join(theirs.groupBy("g").agg(F.min("right_id").alias("right_id")), "g").select(F.col("g").alias("ln"), "right_id"),
+        _holding(ours, "ln", right, "rn").select("ln", "right_id"),
+        _holding(theirs, "rn", one, "ln").select("ln", "right_id"),
+    ]
+    best = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3]).groupBy("ln").agg(F.min("right_id").alias("right_id"))
+    return left.join(best, "ln").groupBy("left_id").agg(F.min("right_id").alias("right_id"))
 
 
 def find_missing(candidates: Sequence[DataFrame], key: str, name: Column, catalog: DataFrame) -> DataFrame:

@@ -174,6 +174,42 @@ def h5(t: Tables):
     return jsonwalk.classify_links(leaves, "page_id").select("page_id", "kind", "reason", F.col("confidence").cast("double").alias("confidence"), "url")
 
 
+@query(
+    "h5_model_links",
+    """WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS u FROM pages)
+    SELECT page_id, 'media' AS kind, 'file' AS form, 'media_address' AS reason, 'record' AS via, u || '/i.png' AS url FROM p UNION ALL SELECT page_id, 'animation', 'glb', 'animation_path', 'record', u || '/move.glb' FROM p
+    UNION ALL SELECT page_id, 'asset', 'glb', 'glb_address', 'mml_inline', u || '/body.glb' FROM p UNION ALL SELECT page_id, 'asset', 'vrm', CASE WHEN page_id % 2 = 0 THEN 'vrm_path' ELSE 'sibling_type' END, 'record', u || '/x' FROM p
+    UNION ALL SELECT page_id, 'media', 'file', 'sibling_type', 'record', u || '/y' FROM p UNION ALL SELECT page_id, 'metadata', 'json', 'metadata_field', 'record', u || '/t' FROM p""",
+)
+def h5b(t: Tables):
+    """A document a page with an image, an animation, a model in markup and in the record, and files told apart by their siblings."""
+    u = F.regexp_replace("url", "[?#].*$", "")
+    at = lambda tail: F.concat(u, F.lit(tail))
+    markup = F.concat(F.lit("<m-model anim=1 src='"), at("/body.glb"), F.lit("'></m-model>"))
+    even = F.col("page_id") % 2 == 0
+    doc = F.struct(
+        at("/i.png").alias("image"), at("/move.glb").alias("animation_url"), markup.alias("scene"), F.struct(at("/body.glb").alias("body")).alias("parts"), F.when(even, at("/x")).alias("vrm"), at("/t").alias("token_uri"), at("/z").alias("site"),
+        F.array(F.struct(F.when(~even, at("/x")).alias("uri"), F.lit("model/vrm").alias("type")), F.struct(at("/y").alias("uri"), F.lit("image/unknown").alias("type"))).alias("files"),
+    )
+    leaves = jsonwalk.json_leaves(t.pages.select("page_id", F.to_json(doc).alias("j")), "page_id", "j", 4)
+    return jsonwalk.model_links(leaves, "page_id").select("page_id", "kind", "form", "reason", "via", "url")
+
+
+@query(
+    "h5_model_pointer",
+    """SELECT p_partkey, p_partkey % 5 < 4 AS has_vrm, CASE p_partkey % 5 WHEN 0 THEN 'any/' || p_partkey WHEN 1 THEN 'a/' || p_partkey || '.vrm?x' WHEN 2 THEN 'f/' || p_partkey WHEN 3 THEN 'z/' || p_partkey || '.VRM' END AS vrm_url,
+    CASE p_partkey % 5 WHEN 0 THEN 'vrm_url' WHEN 1 THEN 'animation_url' WHEN 2 THEN 'properties.files[].uri' WHEN 3 THEN 'deep[1].link' END AS vrm_field FROM part""",
+)
+def h5c(t: Tables):
+    """Documents in data URIs, every other one in base64, whose pointer each rule finds in turn."""
+    k, key = F.col("p_partkey") % 5, F.col("p_partkey").cast("string")
+    file = F.struct(F.concat(F.lit("f/"), key).alias("uri"), F.when(k == 2, "Model/VRM").otherwise("image/png").alias("type"))
+    deep = F.array(F.struct(F.lit("n").alias("link")), F.struct(F.when(k <= 3, F.concat(F.lit("z/"), key, F.lit(".VRM"))).alias("link")))
+    doc = F.to_json(F.struct(F.when(k <= 1, F.concat(F.lit("a/"), key, F.lit(".vrm?x"))).alias("animation_url"), deep.alias("deep"), F.lit("100% a+b").alias("text"), F.struct(F.array(file).alias("files")).alias("properties"), F.when(k == 0, F.concat(F.lit("any/"), key)).alias("vrm_url")))
+    uri = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("data:application/json;base64,"), F.base64(F.encode(doc, "UTF-8")))).otherwise(F.concat(F.lit("data:text/json;charset=utf-8,"), F.replace(F.url_encode(doc), F.lit("+"), F.lit("%20"))))
+    return jsonwalk.model_pointer(jsonwalk.json_leaves(t.part.select("p_partkey", uri.alias("j")), "p_partkey", "j", 5), "p_partkey")
+
+
 @query("g19_validated_candidates", "SELECT p_partkey, 'https://x/' || p_partkey || '.vrm' AS url FROM part WHERE p_size > 25")
 def g19(t: Tables):
     doc = F.struct(F.struct(F.when(F.col("p_size") > 25, "valid").otherwise("bad").alias("status"), F.concat(F.lit("https://x/"), F.col("p_partkey").cast("string"), F.lit(".vrm")).alias("url"), F.lit("1.0").alias("vrm_spec"), F.sha2("p_name", 256).alias("sha256")).alias("deep"))
