@@ -11,7 +11,8 @@ Every row goes to one block, whose index is built once; the queries are sent to
 block keeps k rows a query, and a last window over k rows a block and query ranks them. Work is queries times rows, as
 the exact answer asks; what is shuffled is each row once and each query once a block.
 
-Defined cases: null ids, null vectors and those holding null or non-finite components take no part; vectors of another
+Defined cases: null ids, null vectors and those holding null or non-finite components, or components beyond ``LIMIT`` after
+scaling (whose scores might not fit a long), take no part; vectors of another
 length than the query's are not compared with it; a zero vector scores 0; equal scores rank by id; rows that repeat an
 id are queries and candidates each, the query's own row alone being left out; fewer than k candidates give all of them;
 an empty table gives no rows; extra columns are ignored.
@@ -30,6 +31,8 @@ from .common import cut
 
 #: Rows of a block; far fewer would cost more calls than work.
 BLOCK = 16_384
+#: Largest integer component: products of 2,048 components still fit a long.
+LIMIT = 1 << 26
 
 
 def digits(value: int) -> list[tuple[int, int]]:
@@ -119,7 +122,7 @@ class Slices:
 def quantised(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, v): floor(scale * x) of the vectors that take part."""
     v = F.col(vector_col)
-    fine = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    fine = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) <= LIMIT))
     return vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).filter(fine & F.col("vec_id").isNotNull()).select("vec_id", F.transform("v", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
 
 

@@ -109,9 +109,11 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     pages = pages.withColumn("digest", F.sha2(payload, 256)).withColumn("long", F.octet_length(payload) >= LEAST)
-    first = pages.filter("long").groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null")
-    first = cut(first.select("digest", "first"), "first")
-    known = pages.join(first, "digest", "left").select("page_id", "url", "html", "digest", F.when(F.col("long") & (F.col("first") != F.col("page_id")), F.col("first")).alias("refers_to"))
+    narrow = cut(pages.filter("long and page_id is not null").select("page_id", "digest").distinct(), "digests")
+    first = narrow.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").select("digest", "refers_to")
+    # only ids and digests meet by digest; pages meet their references by id, so that a common payload is no key of theirs
+    refers = cut(narrow.join(first, "digest").filter("refers_to <> page_id"), "refers")
+    known = pages.join(refers, ["page_id", "digest"], "left").select("page_id", "url", "html", "digest", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n, size, out = TaskContext.get().partitionId(), 0, 0, bytearray()

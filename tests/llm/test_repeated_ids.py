@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from claimgraph.llm import neighbours, secrets, substring, toxicity
+from claimgraph.llm import bitslice, neighbours, queries, secrets, substring, toxicity, warc
 from claimgraph.llm.common import cut
 
 DOCS = "doc_id long, text string, whole string, copies int"
@@ -42,7 +42,7 @@ def test_near_vectors_of_any_size(frame, size):
     assert near(frame, rows) == [(1, 1, 1, True), (2, 0, 2, True), (3, 1, 1, False)]
 
 
-@pytest.mark.parametrize("n", [3000, 6000, 12_000])
+@pytest.mark.parametrize("n", [3000, 9000])
 def test_dense_labels_are_compared_once(spark, monkeypatch, n):
     """Vectors so alike that no split helps meet in one leaf, in chunks, and not in a leaf of every tree."""
     import pyarrow as pa
@@ -99,3 +99,43 @@ def test_signed_tokens_behind_broken_ones():
     for before in ("eyJ", "eyJ" * 50 + " ", "eyJaaaaaaaaaaaa.eyJ ", "eyJaaaaaaaaaaaa. "):
         found = [(a, b) for kind, a, b in scan(before + good) if kind == "signed_token"]
         assert found == [(0 if before == "eyJ" else len(before), len(before + good))]
+
+
+def test_top_k_leaves_out_what_would_not_fit(frame):
+    rows = [(0, [1e300, 1.0], "a", 1), (50, [1.0, 0.5], "a", 1), (1, [2.0**18, 0.0], "a", 1), (2, [2.0**18 + 1, 0.0], "a", 1), (3, [1e-300, -1e-300], "a", 1)]
+    got = bitslice.top_k(frame(rows, VECTORS), F.col("vec_id") % 50 == 0).collect()
+    assert sorted((r["query_id"], r["vec_id"], r["score"]) for r in got) == [(50, 1, 256 * 2**26), (50, 3, -128)]
+
+
+def test_archives_of_one_common_payload(frame):
+    html = "<p>" + "the same page " * 20
+    rows = [(i, f"http://h/{i}", html) for i in (5, 9, 3, 3, 12)] + [(None, "u", html), (1, "u", "short"), (2, "u", "short"), (3, "other", "x" * 200)]
+    pages = frame(rows, "page_id long, url string, html string")
+    got = warc.read_archives(cut(warc.normalise_archives(cut(warc.write_archives(pages)))))
+    found = sorted((r["page_id"] or -1, r["url"], r["record_type"], r["refers_to"]) for r in got.collect())
+    assert found == sorted([(5, "http://h/5", "revisit", 3), (9, "http://h/9", "revisit", 3), (3, "http://h/3", "response", None), (3, "http://h/3", "response", None), (12, "http://h/12", "revisit", 3), (-1, "u", "response", None), (1, "u", "response", None), (2, "u", "response", None), (3, "other", "response", None)])
+
+
+SF = "/root/testdata/sf0.001"
+_WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+
+
+def test_sizes_and_counts_in_sql(spark):
+    """What SQL can say of op5 and op7: the base counts, and sizes, source sizes and water-filled targets."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    want = con.execute(
+        f"""WITH RECURSIVE s AS (SELECT source, CAST(sum({_WORDS}) AS DOUBLE) AS n FROM documents GROUP BY 1), w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w, sum(n) OVER () AS total FROM s),
+        f AS (SELECT source, n, w, total, 0 AS k, FALSE AS stopped FROM w UNION ALL SELECT source, n, w, total, k + 1, stopped OR w * (total - coalesce(sum(CASE WHEN stopped THEN 3 * n END) OVER (), 0)) / nullif(sum(CASE WHEN stopped THEN 0 ELSE w END) OVER (), 0) > 3 * n FROM f WHERE k < 20),
+        t AS (SELECT source, n, CASE WHEN stopped THEN 3 * n ELSE w * (total - coalesce(sum(CASE WHEN stopped THEN 3 * n END) OVER (), 0)) / sum(CASE WHEN stopped THEN 0 ELSE w END) OVER () END AS target FROM f WHERE k = 20)
+        SELECT doc_id, {_WORDS} AS size, CAST(n AS BIGINT), round(target, 4) FROM documents d JOIN t ON d.source IS NOT DISTINCT FROM t.source ORDER BY 1"""
+    ).fetchall()
+    got = sorted((r["doc_id"], r["size"], r["source_size"], round(r["target"], 4)) for r in queries.op7_mixing(spark, SF).collect())
+    assert got == want
+    want = con.execute(
+        r"""SELECT doc_id, len(list_filter(regexp_extract_all(coalesce(text, ''), '(?i:(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)', 1), lambda x: length(x) >= 12)),
+        len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 18)), len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 16)) FROM documents ORDER BY 1"""
+    ).fetchall()
+    assert sorted((r["doc_id"], r["n_assign"], r["n_access"], r["n_hex"]) for r in queries.op5_secrets(spark, SF).collect()) == want
