@@ -9,16 +9,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session names none, a temporary folder is set if all runs in one process, and the warehouse is used on a cluster.
+    Where the session names none, it is a temporary folder if all runs in one process. On a cluster it is a folder in the
+    warehouse, unless that lies on the machines' own disks, where executors would not find each other's files.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
-        folder = tempfile.mkdtemp(prefix="claimgraph-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="claimgraph-")
+        return _LOCAL[context.applicationId]
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    if spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file":
+        raise ValueError("name a folder that all machines share in spark.checkpoint.dir: the warehouse is on a local disk")
+    return folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -105,3 +105,26 @@ def test_compacted_stream_goes_on(spark, tmp_path):
         twins.compacted_stream(stream, "k", "ts", "n", folder, 4).awaitTermination()
         assert latest(spark, folder) == sorted(want.items())
     assert len(twins._finished(spark, folder, "base")) <= 2 and len([n for n in twins._finished(spark, folder, "batch")]) <= 8
+
+
+def test_shared_folder(spark):
+    from claimgraph.functions import shared
+
+    class Conf:
+        def __init__(self, own):
+            self.own = own
+
+        def get(self, key, default=None):
+            return self.own.get(key, default)
+
+    class Session:
+        def __init__(self, master, **own):
+            self.conf, self._jvm, self._jsc = Conf({k.replace("_", "."): v for k, v in own.items()}), spark._jvm, spark._jsc
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-of-the-test"})
+
+    assert shared.shared_dir(Session("yarn", spark_checkpoint_dir="hdfs://c")) == "hdfs://c"
+    assert shared.shared_dir(Session("local[2]")) == shared.shared_dir(Session("local[*]")) != ""
+    with pytest.raises(ValueError):
+        shared.shared_dir(Session("spark://h:7077", spark_sql_warehouse_dir="file:/tmp/warehouse"))
+    with pytest.raises(ValueError):
+        shared.shared_dir(Session("local-cluster[2,1,1024]", spark_sql_warehouse_dir="/tmp/warehouse"))
