@@ -164,3 +164,22 @@ def a6b(t: Tables):
     more = F.concat(F.lit("<a class=b href='../partner'> "), logo, F.lit("</a>"), logo, F.lit("<a href='#top'></a><!-- <a href='/x'>no</a> --><IMG alt='Loose &amp; free' src=https://img.example.org/"), F.col("page_id").cast("string"), F.lit(".svg>"))
     rows = t.pages.select("page_id", F.regexp_replace("url", "^([a-z]+://[^/?#]*).*$", "$1/a/b").alias("url"), F.concat(F.coalesce("html", F.lit("")), more).alias("html"))
     return readers.page_leads(rows, "page_id", "url", "html", "partner").select("page_id", "label", "url", "image_url", "role")
+
+
+@query(
+    "a6_page_meta",
+    r"""WITH p AS (SELECT page_id, nullif(replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '&amp;', '&'), '') AS t FROM pages)
+    SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'Page "' || page_id || '"' ELSE t END AS title, CASE page_id % 3 WHEN 0 THEN 'of ' || page_id WHEN 1 THEN 'preview' END AS description, CASE WHEN page_id % 5 > 0 THEN '/i/' || page_id || '.png' END AS image, 2 + (page_id % 2 = 0)::INT + (page_id % 3 < 2)::INT * (2 - (page_id % 3)::INT) + (page_id % 5 > 0)::INT AS n FROM p""",
+)
+def a6c(t: Tables):
+    """The pages with meta tags before them, in any order of attributes, some twice or without a name."""
+    k, key = F.col("page_id"), F.col("page_id").cast("string")
+    tags = [
+        F.lit("<meta name=generator content=hand><META NAME='Generator' content='twice'><meta charset=x><meta name='empty' content=' '><meta name='viewport' content='a>b'>"),
+        F.when(k % 2 == 0, F.concat(F.lit("<meta content='Page &quot;"), key, F.lit("&quot;' property=og:title>"))),
+        F.when(k % 3 == 0, F.concat(F.lit('<meta content="of '), key, F.lit('" name="description"/><meta name="og:description" content="preview">'))).when(k % 3 == 1, F.lit('<meta property="og:description"\ncontent="preview">')),
+        F.when(k % 5 > 0, F.concat(F.lit("<meta property='og:image' content='/i/"), key, F.lit(".png'>"))),
+        F.lit("<!-- <meta name=hidden content=x> -->"),
+    ]
+    rows = t.pages.select("page_id", F.concat(*(F.coalesce(x, F.lit("")) for x in tags), F.regexp_replace(F.coalesce("html", F.lit("")), "(?i)<meta[^>]*>", "")).alias("html"))
+    return readers.page_meta(rows, "page_id", "html").select("page_id", "title", "description", "image", F.size("meta").alias("n"))

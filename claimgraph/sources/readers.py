@@ -71,6 +71,24 @@ def page_signals(df: DataFrame, key: str, c: str, words: Sequence[str]) -> DataF
     )
 
 
+def page_meta(df: DataFrame, key: str, c: str) -> DataFrame:
+    """Meta tags of landed pages: (key, meta, title, description, image); ``meta`` maps a tag's name or property to its content.
+
+    Names are lower-cased, attributes may stand in any order and quotation, the first of tags of one name counts, and tags
+    without a name or content do not. The description is that of the page, else of its preview; title and image are those
+    of the preview, else the page's title.
+    """
+    source = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script>", "")
+    tags = F.regexp_extract_all(source, F.lit(r"""(?is)<meta\b(?:[^>"']|"[^"]*"|'[^']*')*>"""), F.lit(0))
+    named = F.transform(tags, lambda t: F.struct(F.lower(F.coalesce(_attribute(t, "property"), _attribute(t, "name"))).alias("key"), _line(_attribute(t, "content")).alias("value")))
+    named = F.filter(named, lambda e: e["key"].isNotNull() & (e["value"] != ""))
+    # the first of each name
+    first = F.filter(named, lambda e, i: ~F.exists(F.slice(named, F.lit(1), i), lambda x: x["key"] == e["key"]))
+    out = df.select(key, F.map_from_entries(first).alias("meta"), F.nullif(_line(F.regexp_extract(source, r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit("")).alias("_title"))
+    get = lambda *names: F.coalesce(*(F.try_element_at("meta", F.lit(n)) for n in names))
+    return out.select(key, "meta", F.coalesce(get("og:title"), F.col("_title")).alias("title"), get("description", "og:description", "twitter:description").alias("description"), get("og:image", "twitter:image").alias("image"))
+
+
 #: Fixed labels that say nothing of a link's target, address schemes that are no pages, and character references.
 EMPTY_LABELS = "image|logo|learn more|website|visit"
 NO_PAGES = "javascript:|mailto:|tel:|#"

@@ -128,3 +128,11 @@ def test_shared_folder(spark):
         shared.shared_dir(Session("spark://h:7077", spark_sql_warehouse_dir="file:/tmp/warehouse"))
     with pytest.raises(ValueError):
         shared.shared_dir(Session("local-cluster[2,1,1024]", spark_sql_warehouse_dir="/tmp/warehouse"))
+
+
+def test_page_meta(spark):
+    html = """<title> The
+    page </title><meta name="Description" content="one &amp; two"><meta name=description content=later><meta content='a>b "c"' property="og:title"><meta property=og:image content=i.png><meta name="x"><meta content="y"><script>'<meta name=no content=no>'</script>"""
+    rows = spark.createDataFrame([(1, html), (2, "<title>T</title>"), (3, None)], "k int, h string")
+    got = {r["k"]: (r["meta"], r["title"], r["description"], r["image"]) for r in readers.page_meta(rows, "k", "h").collect()}
+    assert got == {1: ({"description": "one & two", "og:title": 'a>b "c"', "og:image": "i.png"}, 'a>b "c"', "one & two", "i.png"), 2: ({}, "T", None, None), 3: ({}, None, None, None)}
