@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, partitions
 
 #: A template is on at least so many pages of its host, and on at least such a share of them, outside and inside articles.
 LEAST_PAGES, SHARE, SHARE_INSIDE = 5, 0.05, 0.5
@@ -357,9 +357,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), *numbers], names=["page_id", "url", "text", *_COUNTS])
 
     found, total = templates(pages)
-    # hosts of more than a thousandth of all pages, a thousand at most, are dealt over parts in proportion
-    every = total.agg(F.sum("pages")).first()[0] or 0
-    hot = F.broadcast(total.filter(F.col("pages") * 1000 > every).select("host", F.ceil(F.col("pages") * 1000 / max(every, 1)).cast("int").alias("parts")))
+    # hosts with more pages than a partition's share, fewer than there are partitions, are dealt over parts in proportion
+    every, share = total.agg(F.sum("pages")).first()[0] or 0, partitions(pages.sparkSession)
+    hot = F.broadcast(total.filter(F.col("pages") * share > every).select("host", F.ceil(F.col("pages") * share / max(every, 1)).cast("int").alias("parts")))
     found = found.join(hot, "host", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
     dealt = pages.join(hot, "host", "left").withColumn("part", F.pmod(F.hash("page_id", "url"), F.coalesce("parts", F.lit(1)))).drop("parts")
     out = dealt.join(found, ["host", "part"], "left").select("page_id", "url", "html", "keys")
