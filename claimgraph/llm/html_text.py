@@ -359,9 +359,12 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     found, total = templates(pages)
     # hosts with more pages than a partition's share, fewer than there are partitions, are dealt over parts in proportion
     every, share = total.agg(F.sum("pages")).first()[0] or 0, partitions(pages.sparkSession)
-    hot = F.broadcast(total.filter(F.col("pages") * share > every).select("host", F.ceil(F.col("pages") * share / max(every, 1)).cast("int").alias("parts")))
-    # written, so that Spark knows its size and moves no page if it is small
-    found = cut(found.join(hot, "host", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts"), "dealt")
-    dealt = pages.join(hot, "host", "left").withColumn("part", F.pmod(F.hash("page_id", "url"), F.coalesce("parts", F.lit(1)))).drop("parts")
-    out = dealt.join(found, ["host", "part"], "left").select("page_id", "url", "html", "keys")
+    hot = [(r["host"], -(-r["pages"] * share // every)) for r in total.filter(F.col("pages") * share > every).collect()]
+    if hot:
+        hot = F.broadcast(pages.sparkSession.createDataFrame(hot, "host string, parts int"))
+        part = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+        # written, so that Spark knows its size and moves no page if it is small
+        found = cut(found.join(hot, "host", "left").withColumn("part", F.explode(part)).drop("parts"), "dealt")
+        pages = pages.join(hot, "host", "left").withColumn("part", F.pmod(F.hash("page_id", "url"), F.coalesce("parts", F.lit(1)))).drop("parts")
+    out = pages.join(found, ["host", "part"] if hot else "host", "left").select("page_id", "url", "html", "keys")
     return out.mapInArrow(run, "page_id long, url string, text string, " + ", ".join(f"{c} long" for c in _COUNTS))
