@@ -26,11 +26,14 @@ def first_come(keyed: DataFrame) -> DataFrame:
     left, taken = keyed, keyed.limit(0)
     while not left.isEmpty():
         first = left.groupBy("rank", "k").agg(F.min("lead").alias("first"))
-        free = left.join(first, ["rank", "k"]).groupBy("lead").agg(F.bool_and(F.col("first") == F.col("lead")).alias("free")).filter("free").select("lead")
-        now = cut(left.join(free, "lead").select("lead", "rank", "k"), "taken")
-        taken = taken.unionByName(now)
-        met = left.join(now.select("rank", "k").distinct(), ["rank", "k"], "left_semi").select("lead").distinct()
-        left = cut(left.join(met, "lead", "left_anti").select("lead", "rank", "k"), "left")
+        own = left.join(first, ["rank", "k"])
+        free = own.groupBy("lead").agg(F.bool_and(F.col("first") == F.col("lead")).alias("free")).filter("free")
+        # a key is taken if the lead that comes first in it is free
+        own = own.join(free, "lead", "left").join(free.select(F.col("lead").alias("first"), F.col("free").alias("met")), "first", "left")
+        gone = own.groupBy("lead").agg(F.bool_or(F.coalesce("met", F.lit(False))).alias("gone"))
+        state = cut(own.join(gone, "lead").select("lead", "rank", "k", F.coalesce("free", F.lit(False)).alias("free"), "gone"), "round")
+        taken = taken.unionByName(state.filter("free").drop("free", "gone"))
+        left = state.filter("not gone").drop("free", "gone")
     return taken
 
 
