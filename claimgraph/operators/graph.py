@@ -22,11 +22,15 @@ def expand_frontier(seeds: DataFrame, edges: DataFrame, max_depth: int = 5, max_
     written once and, where the budget may bind, numbered over range partitions.
     """
     edges = edges if "seq" in edges.columns else edges.withColumn("seq", F.lit(0))
-    first = seeds.groupBy("node").agg(F.min("priority").alias("priority"))
-    frontier = cut(_within(first, ["priority", "node"], max_nodes).select("node", F.lit(0).alias("depth"), "priority"), "frontier")
-    new_bound = cut(seeds.filter("entity is not null").join(frontier, "node", "left_semi").select("node", "entity").distinct(), "bound")
-    reached, bound, met, count = frontier, new_bound, None, frontier.count() if max_nodes is not None else 0
+    first = _within(seeds.groupBy("node").agg(F.min("priority").alias("priority")), ["priority", "node"], max_nodes)
+    # nodes and bindings know the level they came at, so that one aggregation a level both adds to them and tells what is new
+    nodes = cut(first.select("node", F.lit(0).alias("depth"), "priority"), "nodes")
+    bound = cut(seeds.filter("entity is not null").join(nodes, "node", "left_semi").select("node", "entity", F.lit(0).alias("since")).distinct(), "bound")
+    met, count = None, nodes.count() if max_nodes is not None else 0
     for depth in range(max_depth + 1):
+        frontier, new_bound = nodes.filter(F.col("depth") == depth), bound.filter(F.col("since") == depth)
+        if depth and frontier.isEmpty() and new_bound.isEmpty():
+            break
         step = edges.join(frontier.select(F.col("node").alias("parent"), F.col("priority").alias("_by")), "parent")
         step = step.select("parent", "child", "priority", "seq", "_by", F.lit(depth).alias("depth"))
         if depth == max_depth:
@@ -35,24 +39,20 @@ def expand_frontier(seeds: DataFrame, edges: DataFrame, max_depth: int = 5, max_
             step = cut(step.withColumn("refused", F.lit(None).cast("string")).drop("_by"), "met")
         else:
             step = numbered(step, ["_by", "parent", "seq", "child", "priority"]).drop("_by")
-            new = cut(step.groupBy(F.col("child").alias("node")).agg(F.min("place").alias("place")).join(reached.select("node").distinct(), "node", "left_anti"), "new")
+            new = cut(step.groupBy(F.col("child").alias("node")).agg(F.min("place").alias("place")).join(nodes.select("node"), "node", "left_anti"), "new")
             over = 0 if count >= max_nodes else _nth(new, max_nodes - count)
             step = step.withColumn("refused", F.when(F.col("place") > (F.lit(over) if over is not None else F.col("place")), "max_nodes")).drop("place")
             count = min(max_nodes, count + new.count())
         met = step if met is None else met.unionByName(step)
         if depth == max_depth:
             break
-        good = met.filter("refused is null")
         # bindings travel along edges whether or not the child is new
-        pushed = good.join(new_bound.withColumnRenamed("node", "parent"), "parent").select(F.col("child").alias("node"), "entity").distinct()
-        new_bound = cut(pushed.join(bound, ["node", "entity"], "left_anti"), "bound")
-        out = cut(step.filter("refused is null").groupBy(F.col("child").alias("node")).agg(F.min("priority").alias("priority")).select("node", F.lit(depth + 1).alias("depth"), "priority"), "out")
-        frontier = cut(out.join(reached, "node", "left_anti"), "frontier")
-        reached, bound = reached.unionByName(out), bound.unionByName(new_bound)
-        if frontier.isEmpty() and new_bound.isEmpty():
-            break
-    nodes = reached.groupBy("node").agg(F.min("depth").alias("depth"), F.min("priority").alias("priority"))
-    return nodes, bound, met
+        pushed = met.filter("refused is null").join(new_bound.select(F.col("node").alias("parent"), "entity"), "parent")
+        bound = bound.unionByName(pushed.select(F.col("child").alias("node"), "entity", F.lit(depth + 1).alias("since")))
+        bound = cut(bound.groupBy("node", "entity").agg(F.min("since").alias("since")), "bound")
+        nodes = nodes.unionByName(step.filter("refused is null").select(F.col("child").alias("node"), F.lit(depth + 1).alias("depth"), "priority"))
+        nodes = cut(nodes.groupBy("node").agg(F.min("depth").alias("depth"), F.min("priority").alias("priority")), "nodes")
+    return nodes, bound.drop("since"), met
 
 
 def _within(df: DataFrame, keys: Sequence[str], most: int | None) -> DataFrame:
