@@ -1,4 +1,4 @@
-"""Posting lists in segments: what belongs to a hub, in order, however much it is."""
+"""Posting lists in segments: what belongs to a hub, in order, however much it is."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cols import all_of
 from .ranking import numbered
 
 
@@ -45,3 +46,22 @@ def detail_segments(parent: DataFrame, child: DataFrame, key: str, child_order:
     lists = postings(child.filter(F.col(key).isNotNull()), [key], child_order, size)
     out = parent.join(lists.withColumnRenamed("members", "children"), key, "left")
     return out.withColumn("total", F.coalesce("total", F.lit(0))).withColumn("segment", F.coalesce("segment", F.lit(0)))
+
+
+def hit_postings(df: DataFrame, keys: Sequence[str], query: str, size: int = 1000) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One lead a key with the number of its hits, the queries of each lead in segments, and the hits without a whole key.
+
+    What ``merge_hits`` gives, for leads that any number of queries may find: a null query is a hit and no query, and a
+    lead that no query names has no segment.
+    """
+    whole = all_of([F.col(k).isNotNull() for k in keys])
+    hits = df.filter(whole)
+    leads = hits.groupBy(*keys).agg(F.count("*").alias("hits"))
+    return leads, postings(hits.filter(F.col(query).isNotNull()), keys, [query], size), df.filter(~whole)
+
+
+def asset_postings(df: DataFrame, key: Sequence[str], fmt: str, rigged: str, evidence: str, unknown: str = "unknown", size: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """One asset a key, as ``merge_assets`` merges them, and the evidence of each in segments; null evidence is none."""
+    known = F.when(F.col(fmt) != unknown, F.col(fmt))
+    merged = df.groupBy(*key).agg(F.coalesce(F.min(known), F.lit(unknown)).alias(fmt), F.bool_or(rigged).alias(rigged))
+    return merged, postings(df.filter(F.col(evidence).isNotNull()), key, [evidence], size)

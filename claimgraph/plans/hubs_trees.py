@@ -34,6 +34,35 @@ def b10b(t: Tables):
     return out.select("c_custkey", "segment", "first_place", F.array_join(F.transform("children", lambda m: m["o_orderkey"].cast("string")), ",").alias("children"), "total")
 
 
+@query(
+    "e7_hit_segments",
+    """WITH r AS (SELECT DISTINCT o_orderpriority AS lead, o_custkey AS q FROM orders WHERE o_orderstatus <> 'P'), p AS (SELECT *, row_number() OVER (ORDER BY lead, q) - 1 AS place FROM r),
+    s AS (SELECT *, min(place) OVER (PARTITION BY lead) AS start, count(*) OVER (PARTITION BY lead) AS total FROM p),
+    h AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS lead, count(*) AS hits FROM orders GROUP BY 1)
+    SELECT coalesce(h.lead, '<unresolved>') AS lead, hits, segment, queries, total FROM h LEFT JOIN
+    (SELECT lead, place // 200 - start // 200 AS segment, string_agg(CAST(q AS VARCHAR), ',' ORDER BY q) AS queries, total FROM s GROUP BY lead, place // 200, start, total) g ON h.lead = g.lead""",
+)
+def e7b(t: Tables):
+    """Few leads that most accounts ask for; orders in progress have no lead yet."""
+    rows = t.orders.select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("lead"), "o_custkey")
+    leads, found, rest = postings.hit_postings(rows, ["lead"], "o_custkey", 200)
+    listed = found.select("lead", "segment", F.array_join(F.transform("members", lambda m: m["o_custkey"].cast("string")), ",").alias("queries"), "total")
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in (("segment", "long"), ("queries", "string"), ("total", "long"))]
+    return leads.join(listed, "lead", "left").unionByName(rest.agg(F.count("*").alias("hits")).filter("hits > 0").select(F.lit("<unresolved>").alias("lead"), "hits", *none))
+
+
+@query(
+    "f4_asset_evidence",
+    """WITH a AS (SELECT l_suppkey, coalesce(min(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END), 'unknown') AS fmt, bool_or(l_discount > 0.05) AS rigged FROM lineitem GROUP BY 1),
+    p AS (SELECT *, row_number() OVER (ORDER BY l_suppkey, l_orderkey) - 1 AS place FROM (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem)), s AS (SELECT *, min(place) OVER (PARTITION BY l_suppkey) AS start, count(*) OVER (PARTITION BY l_suppkey) AS total FROM p)
+    SELECT l_suppkey, fmt, rigged, place // 100 - start // 100 AS segment, string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY l_orderkey) AS evidence, total FROM s JOIN a USING (l_suppkey) GROUP BY l_suppkey, fmt, rigged, place // 100, start, total""",
+)
+def f4b(t: Tables):
+    rows = t.lineitem.select("l_suppkey", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).otherwise("unknown").alias("fmt"), (F.col("l_discount") > 0.05).alias("rigged"), "l_orderkey")
+    merged, evidence = postings.asset_postings(rows, ["l_suppkey"], "fmt", "rigged", "l_orderkey", size=100)
+    return merged.join(evidence, "l_suppkey").select("l_suppkey", "fmt", "rigged", "segment", F.array_join(F.transform("members", lambda m: m["l_orderkey"].cast("string")), ",").alias("evidence"), "total")
+
+
 @query(
     "i1_admission",
     """WITH e1 AS (SELECT o_custkey AS p, l_partkey AS c, min(l_orderkey) AS seq FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2),

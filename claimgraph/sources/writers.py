@@ -43,5 +43,5 @@ def write_snapshot(df: DataFrame, folder: str, name: str) -> str:
 
 
 def write_sidecars(df: DataFrame, key: str, folder: str) -> None:
-    """One JSON partition an entity."""
-    df.repartition(key).write.mode("overwrite").partitionBy(key).json(folder)
+    """One JSON partition an entity; an entity with many rows is dealt over tasks and has several files in its folder."""
+    df.hint("rebalance", key).write.mode("overwrite").partitionBy(key).json(folder)

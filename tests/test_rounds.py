@@ -107,6 +107,24 @@ def test_reverse_postings_and_details(spark):
     assert sum(r["total"] for r in out if r["u"] == "u" and r["segment"] == 0) == 3 and [(r["segment"], r["total"], r["children"]) for r in out if r["u"] == "v"] == [(0, 0, None)]
 
 
+def test_hits_and_evidence_in_segments(spark):
+    hits = frame(spark, [("k", f"q{i:03d}") for i in range(250)] * 2 + [("k", None), ("alone", None), (None, "q1")], "k string, q string", 5)
+    leads, found, rest = postings.hit_postings(hits, ["k"], "q", 100)
+    assert sorted(tuple(r) for r in leads.collect()) == [("alone", 1), ("k", 501)] and rest.count() == 1
+    got = sorted(found.collect(), key=lambda r: r["segment"])
+    assert {r["k"] for r in got} == {"k"} and max(r["n_members"] for r in got) <= 100
+    assert [m["q"] for r in got for m in r["members"]] == [f"q{i:03d}" for i in range(250)] and {r["total"] for r in got} == {250}
+    assets = frame(spark, [("u", "unknown", False, "e2"), ("u", "vrm", None, "e1"), ("u", "glb", True, "e1"), ("v", None, None, None)], "u string, fmt string, rigged boolean, e string")
+    merged, evidence = postings.asset_postings(assets, ["u"], "fmt", "rigged", "e", size=1)
+    assert sorted((r["u"], r["fmt"], r["rigged"]) for r in merged.collect()) == [("u", "glb", True), ("v", "unknown", None)]
+    assert sorted((r["u"], r["segment"], r["members"][0]["e"], r["total"]) for r in evidence.collect()) == [("u", 0, "e1", 2), ("u", 1, "e2", 2)]
+
+
+def test_hits_of_an_empty_table(spark):
+    leads, found, rest = postings.hit_postings(frame(spark, [], "k string, q string"), ["k"], "q")
+    assert leads.isEmpty() and found.isEmpty() and rest.isEmpty()
+
+
 # the frontier
 
 
