@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.shared import cut
 from ..functions.uri import resolve_uri
 
 
@@ -119,22 +120,25 @@ def page_leads(df: DataFrame, key: str, url: str, c: str, kind: str) -> DataFram
     anchor's lead is its target, the first image in it, and as label the first of its text and its images' alt and title
     that says something, else the target's host. An image outside anchors that no anchor of the page shows is a lead
     without a target. Targets are resolved against the page's address; addresses within the page, of mail, telephone or
-    script are none. All native: one pass over the pages, and only images are joined, by page and address.
+    script are none. All native: one pass over the pages writes the
+    pieces, and only images are joined, by page and address.
     """
     source = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>", "")
     rows = df.select(key, F.col(url).alias("_base"), F.posexplode(F.regexp_extract_all(source, F.lit(r"(?is)<a\b[^>]*>.*?</a\s*>|<img\b[^>]*>"), F.lit(0))).alias("_at", "_piece"))
     rows = rows.withColumn("_anchor", F.lower(F.substring("_piece", 1, 2)) == "<a")
     target = lambda raw: F.when(raw.isNotNull() & ~F.lower(raw).rlike(f"^({NO_PAGES})"), resolve_uri(F.col("_base"), raw))
     images = F.regexp_extract_all("_piece", F.lit(r"(?is)<img\b[^>]*>"), F.lit(0))
-    rows = rows.withColumn("_images", images).withColumn("image_url", F.coalesce(target(_attribute(F.get("_images", F.lit(0)), "src")), F.lit("")))
-    rows = rows.withColumn("url", F.when(F.col("_anchor"), target(_attribute(F.regexp_extract("_piece", r"(?is)^<a\b[^>]*>", 0), "href"))))
+    rows = rows.withColumn("_images", images).withColumn("_src", _attribute(F.get("_images", F.lit(0)), "src"))
+    rows = rows.withColumn("_href", F.when(F.col("_anchor"), _attribute(F.regexp_extract("_piece", r"(?is)^<a\b[^>]*>", 0), "href")))
+    rows = rows.withColumn("image_url", F.coalesce(target(F.col("_src")), F.lit(""))).withColumn("url", target(F.col("_href")))
     inner = F.regexp_replace("_piece", r"(?s)<[^>]*>", " ")
     said = F.concat(F.array(_line(inner)), F.flatten(F.transform("_images", lambda i: F.array(_line(_attribute(i, "alt")), _line(_attribute(i, "title"))))))
     telling = F.get(F.filter(said, lambda x: (x != "") & ~x.rlike(f"(?i)^({EMPTY_LABELS})$")), F.lit(0))
     host = F.replace(F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("www."), F.lit(""))
     only = F.coalesce(F.nullif(_line(_attribute(F.col("_piece"), "alt")), F.lit("")), F.nullif(_line(_attribute(F.col("_piece"), "title")), F.lit("")), F.lit(""))
     label = F.when(F.col("_anchor"), F.coalesce(telling, F.nullif(host, F.lit("")), "url", F.lit(""))).otherwise(only)
-    rows = rows.select(key, "_anchor", label.alias("label"), F.coalesce("url", F.lit("")).alias("url"), "image_url")
+    # written once: the filters below would otherwise parse each page again, for themselves and for what they keep
+    rows = cut(rows.select(key, "_anchor", label.alias("label"), F.coalesce("url", F.lit("")).alias("url"), "image_url"), "leads")
     shown = rows.filter(F.col("_anchor") & (F.col("image_url") != "")).select(key, "image_url").distinct()
     anchors = rows.filter(F.col("_anchor") & ((F.col("url") != "") | (F.col("image_url") != "") | (F.col("label") != "")))
     loose = rows.filter(~F.col("_anchor") & (F.col("image_url") != "")).join(shown, [key, "image_url"], "left_anti")
