@@ -243,25 +243,26 @@ def follow_renames(renames: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Pointers jump: each round a loser points to what its survivor points to, so that a chain of any length ends in rounds
     of the logarithm of its length. A loser with several survivors is ambiguous and stays as it is, also as the end of
-    other chains; losers on a cycle, or that lead into one, have no end and are refused.
+    other chains; losers on a cycle, or that lead into one, have no end and are refused. The joins are hinted, as the
+    tables written here are small only on disk: ids compress well, and broadcast they would all pass through the driver.
     """
     pairs = renames.select("loser", "survivor").filter("loser is not null and survivor is not null").groupBy("loser").agg(F.min("survivor").alias("survivor"), F.max("survivor").alias("other"))
     pairs = cut(pairs, "renames")
     at = pairs.filter("survivor = other").select("loser", "survivor")
     for _ in range(max(1, at.count()).bit_length() + 1):
         on = at.select(F.col("loser").alias("survivor"), F.col("survivor").alias("next"))
-        at = cut(at.join(on, "survivor", "left").select("loser", F.coalesce("next", "survivor").alias("survivor"), F.col("next").isNotNull().alias("moved")), "followed")
+        at = cut(at.join(on.hint("merge"), "survivor", "left").select("loser", F.coalesce("next", "survivor").alias("survivor"), F.col("next").isNotNull().alias("moved")), "followed")
         if at.filter("moved").isEmpty():
             break
         at = at.select("loser", "survivor")
-    endless = at.join(at.select(F.col("loser").alias("survivor")), "survivor", "left_semi").select("loser")
+    endless = at.join(at.select(F.col("loser").alias("survivor")).hint("merge"), "survivor", "left_semi").select("loser")
     reason = endless.select("loser", F.lit("cycle").alias("reason")).unionByName(pairs.filter("survivor <> other").select("loser", F.lit("several_survivors").alias("reason")))
-    return at.select("loser", "survivor").join(endless, "loser", "left_anti"), reason
+    return at.select("loser", "survivor").join(endless.hint("merge"), "loser", "left_anti"), reason
 
 
 def merge_entities(children: DataFrame, key: str, renames: DataFrame, child_key: Sequence[str]) -> DataFrame:
     """Children of merged entities point to the last survivor; those that then collide are dropped. ``renames`` has loser, survivor."""
-    moved = children.join(follow_renames(renames)[0], children[key] == F.col("loser"), "left")
+    moved = children.join(follow_renames(renames)[0].hint("merge"), children[key] == F.col("loser"), "left")
     moved = moved.withColumn("_moved", F.col("loser").isNotNull()).withColumn(key, F.coalesce("survivor", key)).drop("loser", "survivor")
     cols = [c for c in moved.columns if c not in child_key]
     once = moved.groupBy(*child_key).agg(F.min(F.struct("_moved", *[c for c in cols if c != "_moved"])).alias("r"))

@@ -26,3 +26,11 @@ def test_assets_of_a_table_larger_than_the_limit_of_a_file(spark, tmp_path, monk
     part.write.parquet(f"{tmp_path}/part.parquet")
     monkeypatch.setattr(readers, "read_assets", functools.partial(readers.read_assets, most=6 << 20))
     assert dict(map(tuple, QUERIES["a7_read_assets"](spark, str(tmp_path)).collect())) == {"not_glb": 12_000, "valid_glb_not_vrm": 24_000, "valid": 24_000}
+
+
+def test_renames_broadcast_nothing(spark):
+    pairs = cut(spark.createDataFrame([(1, 2), (2, 3), (3, 4), (7, 8), (8, 7), (9, 10), (9, 11)], "loser long, survivor long"))
+    children = cut(spark.createDataFrame([(1, "a"), (4, "a"), (7, "b"), (9, "c")], "k long, p string"))
+    df = resolve.merge_entities(children, "k", pairs, ["k", "p"])
+    assert "BroadcastExchange" not in _plan(df) and all("BroadcastExchange" not in _plan(x) for x in resolve.follow_renames(pairs))
+    assert sorted(map(tuple, df.collect())) == [(4, "a"), (7, "b"), (9, "c")]
