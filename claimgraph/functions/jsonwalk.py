@@ -52,24 +52,30 @@ def json_leaves(df: DataFrame, key: str, c: str, max_depth: int = 6) -> DataFram
     names = [key, "path", "name", "v", "mime", "truncated"]
     no_text = F.lit(None).cast("string")
     document = F.coalesce(F.when(F.col(c).startswith("data:"), data_json(F.col(c))), F.col(c))
-    rows = df.select(key, F.lit("$").alias("path"), no_text.alias("name"), F.try_parse_json(document).alias("v"), no_text.alias("mime"), F.lit(False).alias("truncated")).filter("v is not null")
-    said = F.expr("try_variant_get(v, '$', 'string')")
-    value = F.coalesce(F.when(said.startswith("data:"), data_json(said)), said)
+    rows = df.select(key, F.lit("$").alias("path"), no_text.alias("name"), F.try_parse_json(document).alias("v"), no_text.alias("mime"), F.lit(False).alias("truncated"))
+    # no filter on what is parsed: Spark would push it down to the source, and parse each document there as well. A text that
+    # is none has no type, and is left out with the first level
+    if max_depth == 0:
+        rows = rows.filter("v is not null")
+    # a container's type and text cost a walk through all of it: the type is taken once a level, the text of strings only
+    said = F.when(F.col("kind") == "STRING", F.expr("try_variant_get(v, '$', 'string')"))
     for depth in range(max_depth + 1):
-        held = F.schema_of_variant("v") == "STRING"
-        embedded = held & value.rlike(r"^\s*[\[{]")
-        long = F.length(value) > LONGEST_EMBEDDED
-        rows = rows.withColumn("truncated", F.col("truncated") | F.coalesce(embedded & long, F.lit(False))).withColumn("v", F.coalesce(F.when(embedded & ~long, F.try_parse_json(value)), "v"))
-        nested = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")
+        rows = rows.withColumn("kind", F.schema_of_variant("v")).withColumn("said", said)
+        rows = rows.withColumn("text", F.coalesce(F.when(F.col("said").startswith("data:"), data_json(F.col("said"))), "said"))
+        rows = rows.withColumn("embedded", F.coalesce(F.col("text").rlike(r"^\s*[\[{]"), F.lit(False))).withColumn("long", F.length("text") > LONGEST_EMBEDDED)
+        rows = rows.withColumn("inner", F.when(F.col("embedded") & ~F.col("long"), F.try_parse_json("text")))
+        rows = rows.withColumn("truncated", F.col("truncated") | (F.col("embedded") & F.col("long"))).withColumn("v", F.coalesce("inner", "v"))
+        rows = rows.withColumn("nested", F.coalesce(F.when(F.col("inner").isNotNull(), F.schema_of_variant("inner")), "kind").rlike("^(OBJECT|ARRAY)"))
         if depth == max_depth:
             break
-        rows = rows.withColumn("nested", nested)
+        rows = rows.select(*names, "nested")
         own = rows.lateralJoin(df.sparkSession.tvf.variant_explode_outer(F.when(F.col("nested").outer(), F.col("v").outer())).toDF("_pos", "_key", "_value")).filter("not nested or _pos is not null")
         below = lambda there, here: F.when(F.col("nested"), there).otherwise(here)
         mime = F.coalesce(*(F.expr(f"try_variant_get(v, '$.{k}', 'string')") for k in ("mimeType", "mime_type", "type")), "mime")
         path = F.when(F.col("_key").isNull(), F.concat("path", F.lit("["), F.col("_pos").cast("string"), F.lit("]"))).otherwise(F.concat("path", F.lit("."), "_key"))
         rows = own.select(key, below(path, F.col("path")).alias("path"), below(F.coalesce("_key", "name"), F.col("name")).alias("name"), below(F.col("_value"), F.col("v")).alias("v"), below(mime, F.col("mime")).alias("mime"), "truncated").select(names)
-    return rows.select(key, "path", "name", F.when(~nested, said).alias("value"), "mime", (F.col("truncated") | nested).alias("truncated"))
+    said = F.expr("try_variant_get(v, '$', 'string')")
+    return rows.select(key, "path", "name", F.when(~F.col("nested"), said).alias("value"), "mime", (F.col("truncated") | F.col("nested")).alias("truncated"))
 
 
 def classify_links(leaves: DataFrame, key: str) -> DataFrame:
@@ -149,15 +155,16 @@ def model_pointer(leaves: DataFrame, key: str) -> DataFrame:
     ``properties.files`` whose ``uri`` ends so or whose sibling type says so; then its members in the order of their paths,
     of which any text that ends so counts. A member's path orders it, numbers by value.
     """
-    ends = F.lower(F.regexp_replace("value", r"[?#].*$", "")).endswith(".vrm")
-    holder = F.regexp_replace("path", r"(\.[^.\[\]]*|\[\d+\])$", "")
+    # regular expressions run on the few texts and paths that may need them
+    leaves = leaves.withColumn("ends", F.lower("value").contains(".vrm") & F.lower(F.regexp_replace("value", r"[?#].*$", "")).endswith(".vrm"))
+    at = lambda c: F.regexp_replace(c, r"(\.[^.\[\]]*|\[\d+\])$", "")
+    listed = (F.col("name") == "uri") & at(F.col("path")).rlike(r"^\$\.properties\.files\[\d+\]$") & (F.col("ends") | F.lower(F.coalesce("mime", F.lit(""))).contains("vrm"))
+    rank = first_match([((F.col("name") == "vrm_url") & (F.col("value") != ""), 0), ((F.col("name") == "animation_url") & F.col("ends"), 1), (listed, 2), (F.col("ends"), 3)])
     padded = F.col("path")
     for n in range(1, 6):
         padded = F.regexp_replace(padded, rf"\[(\d{{{n}}})\]", f"[{'0' * (6 - n)}$1]")
-    at = lambda c: F.regexp_replace(c, r"(\.[^.\[\]]*|\[\d+\])$", "")
-    listed = holder.rlike(r"^\$\.properties\.files\[\d+\]$") & (F.col("name") == "uri") & (ends | F.lower(F.coalesce("mime", F.lit(""))).contains("vrm"))
-    rank = first_match([((F.col("name") == "vrm_url") & (F.col("value") != ""), 0), ((F.col("name") == "animation_url") & ends, 1), (listed, 2), (ends, 3)])
-    rows = leaves.withColumn("rank", rank).withColumn("at", first_match([(F.col("rank") == 3, padded), (F.col("rank") == 2, F.lit("$"))], at(padded)))
-    field = first_match([(F.col("rank") == 0, "vrm_url"), (F.col("rank") == 1, "animation_url"), (F.col("rank") == 2, "properties.files[].uri")], F.coalesce(F.nullif(_hint(F.col("path")), F.lit("")), F.lit("string")))
-    first = rows.groupBy(key).agg(F.min_by(F.struct("value", field.alias("field")), F.when(F.col("rank").isNotNull(), F.struct("at", "rank", padded.alias("path")))).alias("f"))
+    rows = leaves.withColumn("rank", rank).withColumn("padded", F.when(F.col("rank").isNotNull(), F.when(F.contains("path", F.lit("[")), padded).otherwise(F.col("path"))))
+    rows = rows.withColumn("at", first_match([(F.col("rank") == 3, F.col("padded")), (F.col("rank") == 2, F.lit("$"))], at(F.col("padded"))))
+    field = first_match([(F.col("rank") == 0, "vrm_url"), (F.col("rank") == 1, "animation_url"), (F.col("rank") == 2, "properties.files[].uri"), (F.col("rank") == 3, F.coalesce(F.nullif(_hint(F.col("path")), F.lit("")), F.lit("string")))])
+    first = rows.groupBy(key).agg(F.min_by(F.struct("value", field.alias("field")), F.when(F.col("rank").isNotNull(), F.struct("at", "rank", "padded"))).alias("f"))
     return first.select(key, F.col("f").isNotNull().alias("has_vrm"), F.col("f.value").alias("vrm_url"), F.col("f.field").alias("vrm_field"))

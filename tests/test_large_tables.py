@@ -4,6 +4,7 @@ import functools
 
 from pyspark.sql import functions as F
 
+from claimgraph.functions import jsonwalk
 from claimgraph.functions.shared import cut
 from claimgraph.operators import resolve
 from claimgraph.plans.catalog import QUERIES
@@ -41,3 +42,13 @@ def test_page_meta_query_leaves_references_of_a_title(spark, tmp_path):
     spark.createDataFrame(list(enumerate(html, 1)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = {r["page_id"]: r["title"] for r in QUERIES["a6_page_meta"](spark, str(tmp_path)).collect()}
     assert got == {1: "a &quot;b&quot; & &lt;c &lt; &x", 2: 'Page "2"', 3: None}
+
+
+def test_pointer_documents_are_parsed_behind_the_exchange(spark, tmp_path):
+    spark.range(10).select(F.col("id").alias("p_partkey")).write.parquet(f"{tmp_path}/part.parquet")
+    df = QUERIES["h5_model_pointer"](spark, str(tmp_path))
+    before = _plan(df).split("REPARTITION_BY_NUM")
+    assert len(before) == 2 and "parseJson" not in before[1]
+    assert df.filter("has_vrm").count() == 8
+    rows = spark.createDataFrame([(1, "{"), (2, None), (3, "[1, {}]"), (4, "null")], "k long, j string")
+    assert sorted((r["k"], r["path"], r["value"]) for r in jsonwalk.json_leaves(rows, "k", "j", 2).collect()) == [(3, "$[0]", "1"), (4, "$", None)]
