@@ -19,7 +19,8 @@ def expand_frontier(seeds: DataFrame, edges: DataFrame, max_depth: int = 5, max_
     their child was refused: ``max_depth`` is observed but not expanded, and once ``max_nodes`` nodes are admitted all
     further edges are ``max_nodes``. Admission is that of a sequential run: levels one after the other, a level's parents
     by priority and node, and a parent's edges by ``seq``, if they have such a column, and child. A level's edges are
-    written once and, where the budget may bind, numbered over range partitions.
+    written once and, where the budget may bind, numbered over range partitions; a level refused as a whole is neither,
+    and costs only who reads the edges met.
     """
     edges = edges if "seq" in edges.columns else edges.withColumn("seq", F.lit(0))
     first = _within(seeds.groupBy("node").agg(F.min("priority").alias("priority")), ["priority", "node"], max_nodes)
@@ -34,13 +35,15 @@ def expand_frontier(seeds: DataFrame, edges: DataFrame, max_depth: int = 5, max_
         step = edges.join(frontier.select(F.col("node").alias("parent"), F.col("priority").alias("_by")), "parent")
         step = step.select("parent", "child", "priority", "seq", "_by", F.lit(depth).alias("depth"))
         if depth == max_depth:
-            step = cut(step.withColumn("refused", F.lit("max_depth")).drop("_by"), "met")
+            step = step.withColumn("refused", F.lit("max_depth")).drop("_by")
+        elif max_nodes is not None and count >= max_nodes:
+            step = step.withColumn("refused", F.lit("max_nodes")).drop("_by")
         elif max_nodes is None:
             step = cut(step.withColumn("refused", F.lit(None).cast("string")).drop("_by"), "met")
         else:
             step = numbered(step, ["_by", "parent", "seq", "child", "priority"]).drop("_by")
             new = cut(step.groupBy(F.col("child").alias("node")).agg(F.min("place").alias("place")).join(nodes.select("node"), "node", "left_anti"), "new")
-            over = 0 if count >= max_nodes else _nth(new, max_nodes - count)
+            over = _nth(new, max_nodes - count)
             step = step.withColumn("refused", F.when(F.col("place") > (F.lit(over) if over is not None else F.col("place")), "max_nodes")).drop("place")
             count = min(max_nodes, count + new.count())
         met = step if met is None else met.unionByName(step)
