@@ -36,10 +36,19 @@ def read_seeds(spark: SparkSession, path: str, kinds: Sequence[str]) -> tuple[Da
     return rows.filter(ok).drop("line"), rows.filter(~ok).select("line")
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """(entity, document, shard): one JSON document a file, named after its entity."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("value").alias("document"), F.col("_metadata.file_path").alias("shard"))
-    return raw.select(F.regexp_extract("shard", r"([^/]+)\.[A-Za-z]+$", 1).alias("entity"), "document", "shard", F.try_parse_json("document").isNotNull().alias("valid"))
+def read_shards(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
+    """(entity, document, shard, valid): the JSON documents of entities, and the file that each is from.
+
+    One document a file, named after its entity; or, ``packed``, many entities a file, each line a JSON object of ``entity``
+    and ``document``, the latter as text, so that one that is no JSON spoils no other. A line that is no such object is a
+    row that is not valid.
+    """
+    if packed:
+        raw = spark.read.schema("entity string, document string").json(path).select("entity", "document", F.col("_metadata.file_path").alias("shard"))
+    else:
+        raw = spark.read.text(path, wholetext=True).select(F.col("value").alias("document"), F.col("_metadata.file_path").alias("shard"))
+        raw = raw.select(F.regexp_extract("shard", r"([^/]+)\.[A-Za-z]+$", 1).alias("entity"), "document", "shard")
+    return raw.withColumn("valid", F.try_parse_json("document").isNotNull())
 
 
 def read_markdown_tables(df: DataFrame, key: str, c: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 import functools
 
+import duckdb
 from pyspark.sql import functions as F
 
 from claimgraph.functions import jsonwalk
 from claimgraph.functions.shared import cut
 from claimgraph.operators import resolve
-from claimgraph.plans.catalog import QUERIES
+from claimgraph.plans.catalog import ORACLES, QUERIES
 from claimgraph.sources import readers
 
 
@@ -52,3 +53,26 @@ def test_pointer_documents_are_parsed_behind_the_exchange(spark, tmp_path):
     assert df.filter("has_vrm").count() == 8
     rows = spark.createDataFrame([(1, "{"), (2, None), (3, "[1, {}]"), (4, "null")], "k long, j string")
     assert sorted((r["k"], r["path"], r["value"]) for r in jsonwalk.json_leaves(rows, "k", "j", 2).collect()) == [(3, "$[0]", "1"), (4, "$", None)]
+
+
+def test_shards_hold_many_entities(spark, tmp_path, monkeypatch):
+    """No file an entity, and rows that repeat a key, have none or have odd names are rows as in the SQL."""
+    names = [(7, "a"), (8, "b"), (8, "c"), (9, None), (10, 'd"\\e\n'), (11, ""), (None, "f"), (-3, "g")]
+    rows = names + [(k, f"n{k}") for k in range(100, 300)]
+    spark.createDataFrame(rows, "s_suppkey long, s_name string").withColumn("s_nationkey", F.lit(1)).coalesce(2).write.parquet(f"{tmp_path}/supplier.parquet")
+    seen, read = [], readers.read_shards
+    monkeypatch.setattr(readers, "read_shards", lambda *a, **b: seen.append(read(*a, **b)) or seen[-1])
+    got = QUERIES["a4_read_shards"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW supplier AS SELECT * FROM '{tmp_path}/supplier.parquet/*.parquet'")
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.execute(ORACLES["a4_read_shards"]).fetchall()))
+    assert seen[0].select("shard").distinct().count() <= 4
+
+
+def test_shards_of_one_document(spark, tmp_path):
+    for name, document in {"a.json": '{\n"x": 1\n}', "b.json": '{"x": 1'}.items():
+        (tmp_path / name).write_text(document)
+    assert sorted((r["entity"], r["valid"]) for r in readers.read_shards(spark, f"{tmp_path}/*.json").collect()) == [("a", True), ("b", False)]
+    (tmp_path / "packed").mkdir()
+    (tmp_path / "packed/p.json").write_text('{"entity": "a", "document": "{\\"x\\": 1}"}\n{"entity": "b", "document": "{"}\n{"entity": \n')
+    assert sorted((r["entity"] or "", r["valid"]) for r in readers.read_shards(spark, f"{tmp_path}/packed", packed=True).collect()) == [("", False), ("a", True), ("b", False)]
