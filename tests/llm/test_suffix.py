@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from claimgraph.llm import suffix
 
@@ -123,6 +124,38 @@ def test_hot_passage_spreads(frame, monkeypatch):
     assert found(frame(rows, SCHEMA), 40) == by_hand(rows, 40)
 
 
+def test_large_keys_are_split_where_they_meet_their_counts(spark, frame, monkeypatch):
+    """Neither the copies of one text nor the different pieces of one group are all read by one task of their joins."""
+    monkeypatch.setattr(suffix, "GRAMS", (10,))
+    monkeypatch.setattr(suffix, "GROUP", 16)
+    low = {"autoBroadcastJoinThreshold": "-1", "adaptive.advisoryPartitionSizeInBytes": "4k", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "adaptive.skewJoin.skewedPartitionFactor": "1.01", "adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(f"spark.sql.{k}") for k in low}
+    written, shares = suffix.cut, {"copies": [], "mixed": []}
+
+    def watched(df, name):
+        if name in shares:
+            seen = [(r["g"] if name == "mixed" else 0, r["task"]) for r in df.withColumn("task", F.spark_partition_id()).collect()]
+            for g, n in Counter(g for g, _ in seen).most_common(1):
+                shares[name].append((n, max(Counter(task for k, task in seen if k == g).values())))
+        return written(df, name)
+
+    monkeypatch.setattr(suffix, "cut", watched)
+    rng = random.Random(8)
+    make = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
+    passage, copy = make(120), make(200)
+    rows = [(i, make(60) + passage + make(60) if i % 2 else copy, 1, "x", "y") for i in range(4000)]
+    try:
+        for k, v in low.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+        assert found(frame(rows, SCHEMA), 40) == by_hand(rows, 40)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+    (copies, most), (pieces, largest) = shares["copies"][0], shares["mixed"][0]
+    assert copies == 2000 and most < copies
+    assert pieces > 1000 and largest < pieces
+
+
 def test_slices_and_long_runs_keep_groups(monkeypatch):
     """However texts are sliced and runs are cut, each window has the group of its anchor and is in one piece."""
     data = np.frombuffer(b"".join((r[1] or "").encode() for r in corpus(5)) + b"a" * 3000, np.uint8)
