@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from claimgraph.functions import jsonwalk
 from claimgraph.functions.shared import cut
-from claimgraph.operators import resolve
+from claimgraph.operators import graph, resolve
+from claimgraph.plans import links_streams
 from claimgraph.plans.catalog import ORACLES, QUERIES
 from claimgraph.sources import readers
 
@@ -76,3 +77,38 @@ def test_shards_of_one_document(spark, tmp_path):
     (tmp_path / "packed").mkdir()
     (tmp_path / "packed/p.json").write_text('{"entity": "a", "document": "{\\"x\\": 1}"}\n{"entity": "b", "document": "{"}\n{"entity": \n')
     assert sorted((r["entity"] or "", r["valid"]) for r in readers.read_shards(spark, f"{tmp_path}/packed", packed=True).collect()) == [("", False), ("a", True), ("b", False)]
+
+
+def test_frontier_carries_segments_and_writes_no_edges(spark, monkeypatch):
+    """What a level writes grows with its nodes, an edge is joined once a segment, and nothing is broadcast by a file's size."""
+    written, plans = {}, []
+
+    def counted(df, name="cut"):
+        plans.append((name, _plan(df)))
+        out = cut(df, name)
+        written.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "cut", counted)
+    monkeypatch.setattr(links_streams, "cut", counted)
+    rows = QUERIES["i1_expand_frontier"](spark, "/root/testdata/sf0.001").count()
+    assert set(written) == {"ids", "found"} and max(written["found"]) <= rows
+    levels = [p for name, p in plans if name == "found"][1:]
+    assert len(levels) == 3 and all("SortMergeJoin [xxhash64(parent" in p for p in levels)
+
+
+def test_frontier_query_on_unknown_keys(spark, tmp_path):
+    """Unknown accounts and parts are reached and lead nowhere, repeated rows count once, accounts may have no nation."""
+    tables = {
+        "customer": ("c_custkey long, c_nationkey int", [(1, 3), (1, 11), (2, None), (None, 4), (5, 7), (6, 3)]),
+        "supplier": ("s_suppkey long", [(1,), (1,), (9,), (None,)]),
+        "orders": ("o_orderkey long, o_custkey long", [(1, 1), (2, 2), (3, None), (4, 5), (None, 6)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long", [(1, 10, 1), (1, 10, 1), (2, 11, 1), (2, None, 2), (3, 12, 9), (4, 10, None), (None, 13, 9), (4, 14, 9)]),
+    }
+    con = duckdb.connect()
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    got = QUERIES["i1_expand_frontier"](spark, str(tmp_path)).select("kind", "key", "depth", "priority", "bindings").collect()
+    want = con.execute(ORACLES["i1_expand_frontier"]).fetchall()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want)) and len(want) > 9

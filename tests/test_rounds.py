@@ -173,6 +173,56 @@ def test_admission_is_that_of_a_queue(spark, seed, max_nodes):
     assert sorted((tuple(r["parent"]), tuple(r["child"]), r["refused"]) for r in met.filter("refused is not null").collect()) == refused
 
 
+def walked(seeds, edges, max_depth):
+    """Depth, priority and entities of what is reached, by walking from each seed."""
+    depths, priorities, entities = {}, {}, {}
+    for node, priority, entity in seeds:
+        priorities[node] = min(priority, priorities.get(node, priority))
+        level = {node}
+        for depth in range(max_depth + 1):
+            for n in level:
+                depths[n] = min(depth, depths.get(n, depth))
+                entities.setdefault(n, set()).update([] if entity is None else [entity])
+            level = {c for p, c, _ in edges if p in level}
+    for p, c, priority in edges:
+        if depths.get(p, max_depth) < max_depth:
+            priorities[c] = min(priority, priorities.get(c, priority))
+    return depths, priorities, entities
+
+
+@pytest.mark.parametrize(("seed", "kind", "max_nodes"), [(1, None, None), (2, "kind", None), (3, "kind", 10_000), (4, None, 10_000)])
+def test_entities_of_many_segments(spark, seed, kind, max_nodes):
+    """200 entities are several segments; edges repeat and lead back, nodes may have no entity, keys of two types meet."""
+    rng = random.Random(seed)
+    node = lambda: (rng.choice(["meta", "asset", None]), rng.choice([*range(60), None]))
+    edges = [(node(), node(), rng.choice([20, 30, 50])) for _ in range(200)]
+    edges += edges[:9]
+    hub = ("meta", 99)
+    seeds = [(hub, 60, f"s{i}") for i in range(150)] + [(node(), rng.choice([10, 60]), rng.choice([None, f"s{i}"])) for i in range(40)]
+    edges += [(hub, node(), 20) for _ in range(5)]
+    n = "struct<kind:string,key:{}>"
+    got, bound, met = graph.expand_frontier(
+        frame(spark, seeds, f"node {n.format('int')}, priority int, entity string"), frame(spark, edges, f"parent {n.format('long')}, child {n.format('int')}, priority int"), 3, max_nodes, kind=kind
+    )
+    depths, priorities, entities = walked(seeds, edges, 3)
+    assert {tuple(r["node"]): (r["depth"], r["priority"]) for r in got.collect()} == {x: (d, priorities[x]) for x, d in depths.items()}
+    found = {}
+    for r in bound.collect():
+        held = found.setdefault(tuple(r["node"]), set())
+        assert 0 < len(r["entities"]) <= 64 and held.isdisjoint(r["entities"])
+        held.update(r["entities"])
+    assert found == {x: e for x, e in entities.items() if e}
+    want = [(p, c, w, depths[p], "max_depth" if depths[p] == 3 else None) for p, c, w in edges if p in depths]
+    assert sorted(map(str, want)) == sorted(str((tuple(r["parent"]), tuple(r["child"]), r["priority"], r["depth"], r["refused"])) for r in met.collect())
+
+
+def test_bindings_of_no_entity(spark):
+    seeds, edges = frame(spark, [(1, 10, None)], "node long, priority int, entity string"), frame(spark, [(1, 2, 20), (2, 1, 5)], "parent long, child long, priority int")
+    nodes, bound, _ = graph.expand_frontier(seeds, edges, 3)
+    assert sorted(map(tuple, nodes.collect())) == [(1, 0, 5), (2, 1, 20)] and bound.isEmpty()
+    assert all(df.isEmpty() for df in graph.expand_frontier(seeds.limit(0), edges, 3))
+
+
 # trees and coverage
 
 
